@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from lamina.catalogue.inputs import (
     CARE_UNITS_SQL,
     ESTABLISHMENTS_SQL,
-    pick,
+    case,
     raw_care_units,
     raw_establishments,
     table,
     whole,
 )
 from lamina.functions import calendar, cleaning, geo, measures
+from lamina.operators.shaping import derive
 from lamina.sources.raw import separator_of
 
 QUERIES = {}
@@ -28,18 +29,20 @@ def _query(function):
 
 @_query
 def clean_string_sentinels(spark: SparkSession, folder: str) -> DataFrame:
-    raw = pick(
+    raw = case(
         "c_mktsegment",
         {
-            "BUILDING": " nulo ",
-            "AUTOMOBILE": F.concat(F.lit("\u00a0"), F.col("c_name"), F.lit("\t")),
-            "FURNITURE": "n/a",
-            "MACHINERY": F.concat(F.lit("  "), F.col("c_name"), F.lit(" x ")),
+            "'BUILDING'": "' nulo '",
+            "'AUTOMOBILE'": r"concat('\u00a0', c_name, '\t')",
+            "'FURNITURE'": "'n/a'",
+            "'MACHINERY'": "concat('  ', c_name, ' x ')",
         },
-        "\u3000",
+        r"'\u3000'",
     )
-    return table(spark, folder, "customer").select(
-        "c_custkey", cleaning.clean_text(raw).alias("cleaned")
+    return (
+        table(spark, folder, "customer")
+        .selectExpr("c_custkey", f"{raw} AS raw")
+        .selectExpr("c_custkey", f"{cleaning.clean_text('raw')} AS cleaned")
     )
 
 
@@ -51,8 +54,8 @@ FROM customer"""
 
 @_query
 def clean_whole_text(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
-        "doc_id", cleaning.clean_text(F.col("text")).alias("cleaned")
+    return table(spark, folder, "documents").selectExpr(
+        "doc_id", f"{cleaning.clean_text('text')} AS cleaned"
     )
 
 
@@ -69,15 +72,16 @@ FROM documents, blank"""
 
 @_query
 def flag_from_number(spark: SparkSession, folder: str) -> DataFrame:
-    raw = pick(
+    raw = case(
         "l_linenumber",
-        {1: "1.0", 2: "0.0", 3: "0.5", 4: "x", 5: None, 6: " 1.0"},
-        "7e-1",
+        {"1": "'1.0'", "2": "'0.0'", "3": "'0.5'", "4": "'x'", "5": "NULL", "6": "' 1.0'"},
+        "'7e-1'",
     )
     return (
         table(spark, folder, "lineitem")
-        .groupBy("l_linenumber", cleaning.flag_from_number(raw).alias("flag"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .selectExpr("l_linenumber", f"{raw} AS raw")
+        .groupBy("l_linenumber", F.expr(f"{cleaning.flag_from_number('raw')} AS flag"))
+        .agg(F.expr("count(*) AS n"))
     )
 
 
@@ -89,9 +93,11 @@ FROM lineitem GROUP BY ALL"""
 
 @_query
 def flag_from_word(spark: SparkSession, folder: str) -> DataFrame:
-    raw = F.when(F.col("o_orderpriority") != "5-LOW", pick("o_orderstatus", {"O": "True", "F": "FALSE"}, " true"))
-    return table(spark, folder, "orders").select(
-        "o_orderkey", cleaning.flag_from_word(raw).alias("flag")
+    word = case("o_orderstatus", {"'O'": "'True'", "'F'": "'FALSE'"}, "' true'")
+    return (
+        table(spark, folder, "orders")
+        .selectExpr("o_orderkey", f"if(o_orderpriority <> '5-LOW', {word}, NULL) AS raw")
+        .selectExpr("o_orderkey", f"{cleaning.flag_from_word('raw')} AS flag")
     )
 
 
@@ -104,10 +110,14 @@ FROM orders"""
 
 @_query
 def coord_envelope(spark: SparkSession, folder: str) -> DataFrame:
-    return raw_establishments(spark, folder).select(
-        F.col("CO_CNES").alias("co_cnes"),
-        geo.coordinate(F.col("NU_LATITUDE"), *geo.LATITUDE_RANGE).alias("nu_latitude"),
-        geo.coordinate(F.col("NU_LONGITUDE"), *geo.LONGITUDE_RANGE).alias("nu_longitude"),
+    return _located(spark, folder)
+
+
+def _located(spark: SparkSession, folder: str) -> DataFrame:
+    return raw_establishments(spark, folder).selectExpr(
+        "CO_CNES AS co_cnes",
+        f"{geo.coordinate('NU_LATITUDE', *geo.LATITUDE_RANGE)} AS nu_latitude",
+        f"{geo.coordinate('NU_LONGITUDE', *geo.LONGITUDE_RANGE)} AS nu_longitude",
     )
 
 
@@ -118,13 +128,12 @@ SQL["coord_envelope"] = (
 
 @_query
 def coord_decimal_comma(spark: SparkSession, folder: str) -> DataFrame:
-    latitude = geo.coordinate_decimal_comma(F.col("LATITUDE"), *geo.LATITUDE_RANGE)
-    longitude = geo.coordinate_decimal_comma(F.col("LONGITUDE"), *geo.LONGITUDE_RANGE)
-    return raw_care_units(spark, folder).select(
-        F.col("NOME").alias("nome"),
-        latitude.alias("nu_latitude"),
-        longitude.alias("nu_longitude"),
-        geo.point(longitude, latitude).isNotNull().alias("has_point"),
+    latitude = geo.coordinate_decimal_comma("LATITUDE", *geo.LATITUDE_RANGE)
+    longitude = geo.coordinate_decimal_comma("LONGITUDE", *geo.LONGITUDE_RANGE)
+    return (
+        raw_care_units(spark, folder)
+        .selectExpr("NOME AS nome", f"{latitude} AS nu_latitude", f"{longitude} AS nu_longitude")
+        .withColumn("has_point", F.expr(geo.point("nu_longitude", "nu_latitude")).isNotNull())
     )
 
 
@@ -134,24 +143,25 @@ SELECT ' ' || no_unidade AS nome, nu_latitude, nu_longitude,
        nu_latitude IS NOT NULL AND nu_longitude IS NOT NULL AS has_point FROM care_units"""
 
 
-def _value_text():
-    number = whole(F.col("value"))
-    return pick(
+def _amounts(spark: SparkSession, folder: str) -> DataFrame:
+    number = whole("value")
+    raw = case(
         "event_type",
         {
-            "view": number,
-            "error": F.concat(number, F.lit(".0")),
-            "click": F.concat(number, F.lit(".9")),
-            "signup": F.concat(F.lit("-"), number),
+            "'view'": number,
+            "'error'": f"concat({number}, '.0')",
+            "'click'": f"concat({number}, '.9')",
+            "'signup'": f"concat('-', {number})",
         },
-        F.concat(F.lit("x"), number),
+        f"concat('x', {number})",
     )
+    return table(spark, folder, "events").selectExpr("event_id", f"{raw} AS raw")
 
 
 @_query
 def lenient_int(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
-        "event_id", cleaning.strict_count(_value_text()).alias("amount")
+    return _amounts(spark, folder).selectExpr(
+        "event_id", f"{cleaning.strict_count('raw')} AS amount"
     )
 
 
@@ -162,8 +172,8 @@ SELECT event_id, CASE event_type WHEN 'view' THEN floor(value) WHEN 'signup' THE
 
 @_query
 def lenient_count(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
-        "event_id", cleaning.lenient_count(_value_text()).alias("amount")
+    return _amounts(spark, folder).selectExpr(
+        "event_id", f"{cleaning.lenient_count('raw')} AS amount"
     )
 
 
@@ -174,22 +184,26 @@ SELECT event_id, CASE WHEN event_type IN ('view', 'error', 'click') THEN floor(v
 
 @_query
 def iso_timestamp_year(spark: SparkSession, folder: str) -> DataFrame:
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
-    raw = pick(
+    stamp = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\")"
+    raw = case(
         "event_type",
         {
-            "view": F.concat(stamp, F.lit("Z")),
-            "purchase": F.concat(stamp, F.lit("+03:00")),
-            "error": F.date_format("ts", "yyyy-MM-dd"),
-            "signup": F.date_format("ts", "yyyy"),
+            "'view'": f"concat({stamp}, 'Z')",
+            "'purchase'": f"concat({stamp}, '+03:00')",
+            "'error'": "date_format(ts, 'yyyy-MM-dd')",
+            "'signup'": "date_format(ts, 'yyyy')",
         },
-        "garbage",
+        "'garbage'",
     )
-    moment = cleaning.utc_timestamp(raw)
-    return table(spark, folder, "events").select(
-        "event_id",
-        F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS").alias("moment"),
-        F.year(moment).alias("ano"),
+    return (
+        table(spark, folder, "events")
+        .selectExpr("event_id", f"{raw} AS raw")
+        .selectExpr("event_id", f"{cleaning.utc_timestamp('raw')} AS parsed")
+        .selectExpr(
+            "event_id",
+            "date_format(parsed, 'yyyy-MM-dd HH:mm:ss.SSS') AS moment",
+            "year(parsed) AS ano",
+        )
     )
 
 
@@ -204,8 +218,8 @@ FROM (SELECT event_id, CASE event_type WHEN 'view' THEN ts
 def month_key(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "orders")
-        .groupBy(calendar.month_key(F.col("o_orderdate")).alias("ano_mes"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.expr(f"{calendar.month_key('o_orderdate')} AS ano_mes"))
+        .agg(F.expr("count(*) AS n"))
     )
 
 
@@ -213,24 +227,22 @@ SQL["month_key"] = """
 SELECT strftime(o_orderdate, '%Y%m') AS ano_mes, count(*) AS n FROM orders GROUP BY 1"""
 
 
-def _key_text():
-    number = F.col("p_partkey").cast("string")
-    return pick(
+def _keys(spark: SparkSession, folder: str) -> DataFrame:
+    raw = case(
         "p_type",
         {
-            "SMALL": F.concat(F.lit("-"), number),
-            "MEDIUM": F.concat(F.lit("+"), number),
-            "LARGE": F.concat(F.lit("9000000"), number),
+            "'SMALL'": "concat('-', p_partkey)",
+            "'MEDIUM'": "concat('+', p_partkey)",
+            "'LARGE'": "concat('9000000', p_partkey)",
         },
-        number,
+        "string(p_partkey)",
     )
+    return table(spark, folder, "part").selectExpr("p_partkey", f"{raw} AS raw")
 
 
 @_query
 def zero_fill(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        "p_partkey", cleaning.zero_fill(_key_text(), 7).alias("filled")
-    )
+    return _keys(spark, folder).selectExpr("p_partkey", f"{cleaning.zero_fill('raw', 7)} AS filled")
 
 
 SQL["zero_fill"] = """
@@ -244,9 +256,7 @@ FROM part"""
 
 @_query
 def lpad_key(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        "p_partkey", F.lpad(_key_text(), 7, "0").alias("padded")
-    )
+    return _keys(spark, folder).selectExpr("p_partkey", "lpad(raw, 7, '0') AS padded")
 
 
 SQL["lpad_key"] = """
@@ -259,15 +269,16 @@ FROM part"""
 
 @_query
 def leading_year(spark: SparkSession, folder: str) -> DataFrame:
-    period = pick(
+    period = case(
         "o_orderstatus",
-        {"F": F.date_format("o_orderdate", "yyyyMM"), "O": F.date_format("o_orderdate", "yyyy")},
-        "1x97",
+        {"'F'": "date_format(o_orderdate, 'yyyyMM')", "'O'": "date_format(o_orderdate, 'yyyy')"},
+        "'1x97'",
     )
     return (
         table(spark, folder, "orders")
-        .groupBy(cleaning.leading_year(period).alias("ano"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .selectExpr(f"{period} AS comp")
+        .groupBy(F.expr(f"{cleaning.leading_year('comp')} AS ano"))
+        .agg(F.expr("count(*) AS n"))
     )
 
 
@@ -278,19 +289,22 @@ SELECT CASE WHEN o_orderstatus IN ('F', 'O') THEN year(o_orderdate) END::BIGINT
 
 @_query
 def guarded_ratio(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = table(spark, folder, "part").groupBy("p_brand", "p_type").agg(
-        F.sum(F.col("p_size").cast("bigint")).alias("total"),
-        F.count_if(F.col("p_size") > 25).alias("large"),
-        F.count_if(F.col("p_size") > 48).alias("capacity"),
-        F.count(F.lit(1)).alias("parts"),
+    sizes = (
+        table(spark, folder, "part")
+        .groupBy("p_brand", "p_type")
+        .agg(
+            F.expr("sum(cast(p_size AS bigint)) AS total"),
+            F.expr("count_if(p_size > 25) AS large"),
+            F.expr("count_if(p_size > 48) AS capacity"),
+            F.expr("count(*) AS parts"),
+        )
     )
-    large, capacity = F.col("large"), F.col("capacity")
-    return sizes.select(
+    return sizes.selectExpr(
         "p_brand",
         "p_type",
-        measures.rounded_mean(F.col("total"), F.col("parts")).cast("double").alias("mean_size"),
-        measures.ratio(large, capacity).cast("double").alias("ratio"),
-        measures.exceeds(large, capacity).alias("exceeded"),
+        f"double({measures.rounded_mean('total', 'parts')}) AS mean_size",
+        f"double({measures.ratio('large', 'capacity')}) AS ratio",
+        f"{measures.exceeds('large', 'capacity')} AS exceeded",
     )
 
 
@@ -307,8 +321,8 @@ FROM (SELECT p_brand, p_type, sum(p_size)::BIGINT AS total,
 
 @_query
 def separator_detect(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
-        "doc_id", separator_of(F.col("text")).alias("separator")
+    return table(spark, folder, "documents").selectExpr(
+        "doc_id", f"{separator_of('text')} AS separator"
     )
 
 
@@ -321,11 +335,7 @@ FROM documents"""
 
 @_query
 def radius_search(spark: SparkSession, folder: str) -> DataFrame:
-    points = raw_establishments(spark, folder).select(
-        F.col("CO_CNES").alias("co_cnes"),
-        geo.coordinate(F.col("NU_LATITUDE"), *geo.LATITUDE_RANGE).alias("nu_latitude"),
-        geo.coordinate(F.col("NU_LONGITUDE"), *geo.LONGITUDE_RANGE).alias("nu_longitude"),
-    )
+    points = _located(spark, folder)
     found = geo.within_radius(points, longitude=-53.0, latitude=-14.0, metres=600_000.0)
     return found.select("co_cnes", F.round("distance_m", 3).alias("distance_m"))
 
@@ -345,18 +355,14 @@ WHERE metres <= 600000"""
 @_query
 def date_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """Calendar over the span of the orders, with the orders of each day."""
-    ordered = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("data"))
-    span = ordered.agg(F.min("data").alias("first"), F.max("data").alias("last"))
-    days = span.select(
-        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("data")
-    )
-    per_day = ordered.groupBy("data").agg(F.count(F.lit(1)).alias("orders"))
-    attributes = calendar.calendar_attributes(F.col("data"))
-    return (
-        days.join(per_day, "data", "left")
-        .withColumns({**attributes, "orders": F.coalesce("orders", F.lit(0))})
-        .withColumn("data", F.date_format("data", "yyyy-MM-dd"))
-    )
+    ordered = table(spark, folder, "orders").selectExpr("to_date(o_orderdate) AS data")
+    span = ordered.selectExpr("min(data) AS first", "max(data) AS last")
+    days = span.selectExpr(f"{calendar.days_between('first', 'last')} AS data")
+    per_day = ordered.groupBy("data").agg(F.expr("count(*) AS orders"))
+    known = days.join(per_day, "data", "left")
+    attributes = calendar.calendar_attributes("data")
+    full = derive(known, {**attributes, "orders": "coalesce(orders, 0L)"})
+    return full.withColumn("data", F.date_format("data", "yyyy-MM-dd"))
 
 
 SQL["date_dimension"] = """

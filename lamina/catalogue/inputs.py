@@ -12,11 +12,10 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from lamina.operators.shaping import ticked
 from lamina.plans.domains import STATES
-from lamina.plans.schemas import BED_MEASURES
 from lamina.plans.sources import BED_ICU_KINDS, ESTABLISHMENT_NAMES
 
 EXTRACTED = date(2026, 6, 10)
@@ -29,143 +28,111 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def pick(selector: str, choices: dict[str, Column | str | None], default=None) -> Column:
-    """The choice for the value of a column."""
-    result: Column = F.lit(default) if not isinstance(default, Column) else default
-    for value, choice in reversed(choices.items()):
-        chosen = choice if isinstance(choice, Column) else F.lit(choice)
-        result = F.when(F.col(selector) == value, chosen).otherwise(result)
-    return result.cast("string")
+def case(selector: str, choices: dict[str, str], default: str = "NULL") -> str:
+    """SQL text that picks an expression by the value of a column."""
+    arms = " ".join(f"WHEN {value} THEN {choice}" for value, choice in choices.items())
+    return f"CASE {selector} {arms} ELSE {default} END"
 
 
-def whole(value: Column) -> Column:
-    return F.floor(value).cast("bigint").cast("string")
+def whole(value: str) -> str:
+    """The integer part of a number as text."""
+    return f"string(cast(floor({value}) AS bigint))"
 
 
-def _lineage(df: DataFrame, source: str) -> DataFrame:
-    return df.withColumns(
-        {
-            "_ingested_at": F.lit(INGESTED),
-            "_source_file": F.lit(source),
-            "_source_hash": F.lit("0" * 64),
-        }
+_LINEAGE = (
+    f"TIMESTAMP '{INGESTED.isoformat()}' AS _ingested_at",
+    f"'{'0' * 64}' AS _source_hash",
+)
+
+
+def _project(df: DataFrame, cells: dict[str, str], source: str, *order: str) -> DataFrame:
+    return df.selectExpr(
+        *[f"{text} AS {ticked(name)}" for name, text in cells.items()],
+        *_LINEAGE,
+        f"'{source}' AS _source_file",
+        *order,
     )
 
 
-def _state_code(nation: str) -> Column:
-    codes = F.array(*[F.lit(code) for code, _, _ in STATES])
-    return F.element_at(codes, F.col(nation) + 1)
+def _state_code(nation: str) -> str:
+    codes = ", ".join(f"'{code}'" for code, _, _ in STATES)
+    return f"element_at(array({codes}), {nation} + 1)"
 
 
-def _micro(balance: str, scale: int, offset: int) -> Column:
-    cents = F.round(F.col(balance) * 100).cast("bigint")
-    return cents * scale + offset
+def _micro(balance: str, scale: int, offset: int) -> str:
+    return f"(cast(round({balance} * 100) AS bigint) * {scale} + {offset})"
 
 
-def _with_comma(micro: Column) -> Column:
-    size = F.abs(micro)
-    return F.concat(
-        F.when(micro < 0, "-").otherwise(""),
-        F.floor(size / 1_000_000).cast("string"),
-        F.lit(","),
-        F.lpad((size % 1_000_000).cast("string"), 6, "0"),
+def _with_comma(micro: str) -> str:
+    size = f"abs({micro})"
+    return (
+        f"concat(if({micro} < 0, '-', ''), string({size} div 1000000), ',',"
+        f" lpad(string({size} % 1000000), 6, '0'))"
     )
 
 
 def raw_establishments(spark: SparkSession, folder: str) -> DataFrame:
-    customer = table(spark, folder, "customer")
     state = _state_code("c_nationkey")
-    nation = F.col("c_nationkey")
     cells = {
-        "CO_CNES": F.col("c_custkey").cast("string"),
+        "CO_CNES": "string(c_custkey)",
         "CO_UF": state,
-        "CO_IBGE": pick(
+        "CO_IBGE": case(
             "c_mktsegment",
             {
-                "AUTOMOBILE": F.concat(state, F.lit("0010")),
-                "BUILDING": F.concat(state, F.lit("0020")),
-                "FURNITURE": F.concat(state, F.lit("0030 ")),
-                "MACHINERY": F.concat(F.lit(" "), state, F.lit("0040")),
+                "'AUTOMOBILE'": f"concat({state}, '0010')",
+                "'BUILDING'": f"concat({state}, '0020')",
+                "'FURNITURE'": f"concat({state}, '0030 ')",
+                "'MACHINERY'": f"concat(' ', {state}, '0040')",
             },
-            " n/a ",
+            "' n/a '",
         ),
-        "NO_FANTASIA": F.concat(F.lit("  "), F.col("c_name"), F.lit("\u00a0")),
-        "NO_RAZAO_SOCIAL": F.col("c_mktsegment"),
-        "TP_GESTAO": pick(
+        "NO_FANTASIA": r"concat('  ', c_name, '\u00a0')",
+        "NO_RAZAO_SOCIAL": "c_mktsegment",
+        "TP_GESTAO": case(
             "c_mktsegment",
-            {"AUTOMOBILE": "M", "BUILDING": "E", "FURNITURE": "D", "MACHINERY": "nulo"},
-            "",
+            {
+                "'AUTOMOBILE'": "'M'",
+                "'BUILDING'": "'E'",
+                "'FURNITURE'": "'D'",
+                "'MACHINERY'": "'nulo'",
+            },
+            "''",
         ),
-        "TP_UNIDADE": pick(
+        "TP_UNIDADE": case(
             "c_mktsegment",
-            {"AUTOMOBILE": "5", "BUILDING": "05", "FURNITURE": "36", "MACHINERY": "2"},
-            "99",
+            {
+                "'AUTOMOBILE'": "'5'",
+                "'BUILDING'": "'05'",
+                "'FURNITURE'": "'36'",
+                "'MACHINERY'": "'2'",
+            },
+            "'99'",
         ),
-        "CO_NATUREZA_JUR": F.when(nation < 6, "1244")
-        .when(nation < 12, "2062")
-        .when(nation < 18, "3999")
-        .when(nation < 22, "4000")
-        .otherwise("9999"),
-        "CO_MOTIVO_DESAB": F.when(F.col("c_acctbal") < 0, "01").otherwise(""),
-        "NU_LATITUDE": F.concat(_micro("c_acctbal", 45, -36_000_000).cast("string"), F.lit("e-6")),
-        "NU_LONGITUDE": F.concat(_micro("c_acctbal", 50, -78_000_000).cast("string"), F.lit("e-6")),
-        "ST_ATEND_HOSPITALAR": F.when(F.col("c_acctbal") > 4000, "1.0")
-        .when(F.col("c_acctbal") > 1000, "0.0")
-        .when(F.col("c_acctbal") > 0, "0.5")
-        .otherwise("x"),
+        "CO_NATUREZA_JUR": "CASE WHEN c_nationkey < 6 THEN '1244' WHEN c_nationkey < 12 THEN '2062'"
+        " WHEN c_nationkey < 18 THEN '3999' WHEN c_nationkey < 22 THEN '4000' ELSE '9999' END",
+        "CO_MOTIVO_DESAB": "if(c_acctbal < 0, '01', '')",
+        "NU_LATITUDE": f"concat({_micro('c_acctbal', 45, -36_000_000)}, 'e-6')",
+        "NU_LONGITUDE": f"concat({_micro('c_acctbal', 50, -78_000_000)}, 'e-6')",
+        "ST_ATEND_HOSPITALAR": "CASE WHEN c_acctbal > 4000 THEN '1.0' WHEN c_acctbal > 1000"
+        " THEN '0.0' WHEN c_acctbal > 0 THEN '0.5' ELSE 'x' END",
     }
-    absent = F.lit(None).cast("string")
-    return _lineage(
-        customer.select(
-            *[cells.get(name, absent).alias(name) for name in ESTABLISHMENT_NAMES]
-        ),
-        "estabelecimentos.csv",
-    )
+    everything = {name: cells.get(name, "cast(NULL AS string)") for name in ESTABLISHMENT_NAMES}
+    return _project(table(spark, folder, "customer"), everything, "estabelecimentos.csv")
 
 
 def raw_care_units(spark: SparkSession, folder: str) -> DataFrame:
-    supplier = table(spark, folder, "supplier")
     state = _state_code("s_nationkey")
-    rows = supplier.select(
-        F.concat(F.lit(" "), F.col("s_suppkey").cast("string")).alias("CNES"),
-        state.alias("UF"),
-        F.concat(state, F.when(F.col("s_acctbal") > 3000, "0010").otherwise("0020")).alias("IBGE"),
-        F.concat(F.lit(" "), F.col("s_name")).alias("NOME"),
-        F.lit("NULL").alias("LOGRADOURO"),
-        F.lit("Centro").alias("BAIRRO"),
-        F.concat(_with_comma(_micro("s_acctbal", 45, -36_000_000)), F.lit(" ")).alias("LATITUDE"),
-        _with_comma(_micro("s_acctbal", 50, -78_000_000)).alias("LONGITUDE"),
-    )
-    return _lineage(rows, "ubs.csv")
-
-
-def bed_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Bed declarations under the older header spelling."""
-    item = table(spark, folder, "lineitem")
-    line = F.col("l_linenumber").cast("string")
     cells = {
-        "COMP": F.date_format(F.col("l_shipdate") + F.expr(SHIFT), "yyyyMM"),
-        "CNES": F.lpad(F.col("l_partkey").cast("string"), 7, "0"),
-        "MUNICIPIO": F.when(
-            (F.col("l_returnflag") != "A") | (F.col("l_linestatus") != "F"),
-            F.concat("l_returnflag", "l_linestatus"),
-        ),
-        "LEITOS EXISTENTE": whole(F.col("l_quantity")),
-        "LEITOS SUS": F.when(F.col("l_tax") > 0.05, "13.0").otherwise(line),
-        "UTI TOTAL - EXIST": F.when(F.col("l_discount") == 0, "0").otherwise(line),
-        "UTI TOTAL - SUS": F.when(F.col("l_returnflag") == "N", "x").otherwise(line),
+        "CNES": "concat(' ', s_suppkey)",
+        "UF": state,
+        "IBGE": f"concat({state}, if(s_acctbal > 3000, '0010', '0020'))",
+        "NOME": "concat(' ', s_name)",
+        "LOGRADOURO": "'NULL'",
+        "BAIRRO": "'Centro'",
+        "LATITUDE": f"concat({_with_comma(_micro('s_acctbal', 45, -36_000_000))}, ' ')",
+        "LONGITUDE": _with_comma(_micro("s_acctbal", 50, -78_000_000)),
     }
-    return _lineage(
-        item.select(
-            *[c.alias(n) for n, c in cells.items()],
-            F.col("l_shipdate").alias("shipped"),
-            F.col("l_orderkey").alias("_block_start"),
-            (F.col("l_linenumber").cast("bigint") * 1_000_000_000_000 + F.col("l_suppkey")).alias(
-                "_row_seq"
-            ),
-        ),
-        "leitos.csv",
-    )
+    return _project(table(spark, folder, "supplier"), cells, "ubs.csv")
 
 
 BED_NEW_SPELLING = {
@@ -181,79 +148,70 @@ BED_NEW_SPELLING = {
 
 def raw_beds(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
     """Two staged years in the two header spellings."""
-    rows = bed_rows(spark, folder)
-    change = F.lit(SPELLING_CHANGE).cast("timestamp_ntz")
-    older = rows.where(F.col("shipped") < change).drop("shipped")
-    newer = rows.where(F.col("shipped") >= change).drop("shipped")
+    cells = {
+        "COMP": f"date_format(l_shipdate + {SHIFT}, 'yyyyMM')",
+        "CNES": "lpad(string(l_partkey), 7, '0')",
+        "MUNICIPIO": "if(l_returnflag <> 'A' OR l_linestatus <> 'F',"
+        " concat(l_returnflag, l_linestatus), NULL)",
+        "LEITOS EXISTENTE": whole("l_quantity"),
+        "LEITOS SUS": "if(l_tax > 0.05, '13.0', string(l_linenumber))",
+        "UTI TOTAL - EXIST": "if(l_discount = 0, '0', string(l_linenumber))",
+        "UTI TOTAL - SUS": "if(l_returnflag = 'N', 'x', string(l_linenumber))",
+    }
+    item = table(spark, folder, "lineitem")
+    order = (
+        "l_orderkey AS _block_start",
+        "l_linenumber * 1000000000000L + l_suppkey AS _row_seq",
+    )
+    change = f"TIMESTAMP_NTZ '{SPELLING_CHANGE}'"
+    older = _project(item.where(f"l_shipdate < {change}"), cells, "leitos.csv", *order)
+    newer = _project(item.where(f"l_shipdate >= {change}"), cells, "leitos.csv", *order)
     return {2020: older, 2023: newer.withColumnsRenamed(BED_NEW_SPELLING)}
 
 
 def raw_occupancy(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
-    orders = table(spark, folder, "orders")
-    moment = F.col("o_orderdate") + F.expr(SHIFT)
-    price = F.col("o_totalprice")
-    missing = (F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "O")
+    moment = f"(o_orderdate + {SHIFT})"
+    absent = "cast(NULL AS string)"
     cells = {
-        "": F.lit("junk"),
-        "_id": F.concat_ws(
-            "-", F.col("o_custkey").cast("string"), F.date_format(moment, "yyyyMMdd")
-        ),
-        "dataNotificacao": F.when(missing, F.date_format(moment, "yyyy")).otherwise(
-            F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-        ),
-        "cnes": F.concat(F.col("o_custkey").cast("string"), F.lit(" ")),
-        "ocupacaoCovidUti": F.when(
-            (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"), "-2"
-        ).otherwise(F.concat(whole(price / 50000), F.lit(".0"))),
-        "ocupacaoCovidCli": F.concat(whole(price / 10000), F.lit(".9")),
-        "ocupacaoHospitalarUti": whole(price / 20000),
-        "ocupacaoHospitalarCli": F.lit("n/d"),
-        "saidaConfirmadaObitos": whole(price / 100000),
-        "saidaConfirmadaAltas": F.when(F.col("o_orderpriority") == "1-URGENT", "0").otherwise(
-            whole(price / 30000)
-        ),
-        "excluido": pick("o_orderstatus", {"P": "True", "F": "FALSE"}),
-        "origem": F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit("\t")),
-    }
-    constant = {
-        c: F.lit(None).cast("string")
-        for c in (
-            "ocupacaoSuspeitoCli",
-            "ocupacaoSuspeitoUti",
-            "ocupacaoConfirmadoCli",
-            "ocupacaoConfirmadoUti",
-            "saidaSuspeitaObitos",
-            "saidaSuspeitaAltas",
-            "estadoNotificacao",
-            "municipioNotificacao",
-            "estado",
-            "municipio",
-            "validado",
-            "_created_at",
-            "_updated_at",
-        )
+        "_c0": "'junk'",
+        "_id": f"concat(o_custkey, '-', date_format({moment}, 'yyyyMMdd'))",
+        "dataNotificacao": "if(o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O',"
+        f" date_format({moment}, 'yyyy'),"
+        f" date_format({moment}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\"))",
+        "cnes": "concat(o_custkey, ' ')",
+        "ocupacaoSuspeitoCli": absent,
+        "ocupacaoSuspeitoUti": absent,
+        "ocupacaoConfirmadoCli": absent,
+        "ocupacaoConfirmadoUti": absent,
+        "ocupacaoCovidUti": "if(o_orderstatus = 'F' AND o_orderpriority = '1-URGENT', '-2',"
+        f" concat({whole('o_totalprice / 50000')}, '.0'))",
+        "ocupacaoCovidCli": f"concat({whole('o_totalprice / 10000')}, '.9')",
+        "ocupacaoHospitalarUti": whole("o_totalprice / 20000"),
+        "ocupacaoHospitalarCli": "'n/d'",
+        "saidaSuspeitaObitos": absent,
+        "saidaSuspeitaAltas": absent,
+        "saidaConfirmadaObitos": whole("o_totalprice / 100000"),
+        "saidaConfirmadaAltas": f"if(o_orderpriority = '1-URGENT', '0', {whole('o_totalprice / 30000')})",
+        "origem": r"concat(' ', o_orderpriority, '\t')",
+        "_p_usuario": "'junk'",
+        "estadoNotificacao": absent,
+        "municipioNotificacao": absent,
+        "estado": absent,
+        "municipio": absent,
+        "excluido": case("o_orderstatus", {"'P'": "'True'", "'F'": "'FALSE'"}),
+        "validado": absent,
+        "_created_at": absent,
+        "_updated_at": absent,
     }
-    rows = _lineage(
-        orders.select(
-            *[c.alias(n) for n, c in {**cells, **constant}.items()],
-            F.col("o_orderdate").alias("ordered"),
-            F.lit(0).cast("bigint").alias("_block_start"),
-            F.col("o_orderkey").alias("_row_seq"),
-        ),
-        "covid_ocupacao.csv",
-    )
-    change = F.lit(SPELLING_CHANGE).cast("timestamp_ntz")
+    orders = table(spark, folder, "orders")
+    order = ("0L AS _block_start", "o_orderkey AS _row_seq")
+    change = f"TIMESTAMP_NTZ '{SPELLING_CHANGE}'"
     return {
-        2020: rows.where(F.col("ordered") < change).drop("ordered"),
-        2023: rows.where(F.col("ordered") >= change).drop("ordered"),
+        year: _project(orders.where(f"o_orderdate {side} {change}"), cells, "covid.csv", *order)
+        for year, side in ((2020, "<"), (2023, ">="))
     }
 
 
-def unused_measures() -> tuple[str, ...]:
-    """Bed measures the raw rows leave out; Silver fills them with 0."""
-    return BED_MEASURES[4:]
-
-
 # --- SQL twins of the cleaned datasets -------------------------------------
 
 _STATE_LIST = "[" + ", ".join(f"'{code}'" for code, _, _ in STATES) + "]"

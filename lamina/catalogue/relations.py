@@ -8,10 +8,12 @@ from pyspark.sql import types as T
 
 from lamina.catalogue.inputs import BEDS_SQL, EXTRACTED, INGESTED, raw_beds, table
 from lamina.functions.cleaning import clean_text
+from lamina.functions.measures import rounded_total
 from lamina.operators.contracts import TableSpec, duplicate_keys, violation_counts
 from lamina.operators.latest import keep_last, latest_snapshot, latest_snapshot_per
 from lamina.operators.shaping import (
     align,
+    derive,
     keep_known,
     rename_known,
     rename_strict,
@@ -20,7 +22,6 @@ from lamina.operators.shaping import (
 )
 from lamina.operators.quality import RowCounts
 from lamina.plans import silver
-from lamina.plans.dashboard import rounded_total
 from lamina.plans.sources import BED_NAMES
 
 QUERIES = {}
@@ -47,8 +48,7 @@ def text_cleaning_by_type(spark: SparkSession, folder: str) -> DataFrame:
     """Every string column is cleaned, found by its type; one is left out by name."""
     part = table(spark, folder, "part").withColumn("_note", F.lit(" kept "))
     padded = part.withColumn("p_name", F.concat(F.lit(" "), "p_name", F.lit(" ")))
-    cleaned = {c: clean_text(F.col(c)) for c in text_columns(padded, {"p_brand"})}
-    return padded.withColumns(cleaned)
+    return derive(padded, {c: clean_text(c) for c in text_columns(padded, {"p_brand"})})
 
 
 SQL["text_cleaning_by_type"] = """
@@ -252,7 +252,7 @@ def total_rounded(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "lineitem")
         .groupBy("l_returnflag")
-        .agg(rounded_total(F.col("l_extendedprice").cast("decimal(12,2)")).alias("total"))
+        .agg(F.expr(f"{rounded_total('cast(l_extendedprice AS decimal(12,2))')} AS total"))
     )
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Default span of the date dimension and the notification period.
 FIRST_DAY = date(2007, 1, 1)
@@ -13,35 +12,41 @@ LAST_DAY = date(2030, 12, 31)
 COVID_PERIOD = (date(2020, 3, 1), date(2022, 12, 31))
 
 
-def month_key(moment: Column) -> Column:
+def month_key(moment: str) -> str:
     """``yyyyMM`` of a timestamp (session time zone, which is UTC) or date."""
-    return F.date_format(moment, "yyyyMM")
+    return f"date_format({moment}, 'yyyyMM')"
+
+
+def days_between(first: str, last: str) -> str:
+    """Every day from ``first`` to ``last``, both included, as rows."""
+    return f"explode(sequence({first}, {last}, INTERVAL 1 DAY))"
 
 
 def date_series(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY) -> DataFrame:
-    """One row per day, both ends included, in column ``data``."""
-    days = F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 DAY"))
-    return spark.range(1).select(F.explode(days).alias("data"))
+    """One row per day in column ``data``."""
+    return spark.range(1).selectExpr(
+        f"{days_between(f'DATE {first.isoformat()!r}', f'DATE {last.isoformat()!r}')} AS data"
+    )
 
 
-def calendar_attributes(day: Column) -> dict[str, Column]:
+def calendar_attributes(day: str) -> dict[str, str]:
     """The attributes of a day, named as in the date dimension."""
-    weekday = F.extract(F.lit("DAYOFWEEK_ISO"), day).cast("int")
+    weekday = f"extract(DAYOFWEEK_ISO FROM {day})"
     low, high = COVID_PERIOD
     return {
-        "ano": F.year(day),
-        "mes": F.month(day),
-        "dia": F.dayofmonth(day),
-        "trimestre": F.quarter(day),
-        "semestre": F.when(F.quarter(day) <= 2, 1).otherwise(2),
+        "ano": f"year({day})",
+        "mes": f"month({day})",
+        "dia": f"dayofmonth({day})",
+        "trimestre": f"quarter({day})",
+        "semestre": f"if(quarter({day}) <= 2, 1, 2)",
         "ano_mes": month_key(day),
-        "ano_mes_label": F.date_format(day, "yyyy-MM"),
-        "nome_mes": F.date_format(day, "MMMM"),
-        "nome_mes_abrev": F.date_format(day, "MMM"),
-        "dia_semana": weekday,
-        "nome_dia_semana": F.date_format(day, "EEEE"),
-        "eh_fim_de_semana": weekday >= 6,
-        "semana_iso": F.weekofyear(day),
-        "dia_do_ano": F.dayofyear(day),
-        "eh_periodo_covid": day.between(F.lit(low), F.lit(high)),
+        "ano_mes_label": f"date_format({day}, 'yyyy-MM')",
+        "nome_mes": f"date_format({day}, 'MMMM')",
+        "nome_mes_abrev": f"date_format({day}, 'MMM')",
+        "dia_semana": f"cast({weekday} AS int)",
+        "nome_dia_semana": f"date_format({day}, 'EEEE')",
+        "eh_fim_de_semana": f"({weekday} >= 6)",
+        "semana_iso": f"weekofyear({day})",
+        "dia_do_ano": f"dayofyear({day})",
+        "eh_periodo_covid": f"({day} BETWEEN DATE '{low}' AND DATE '{high}')",
     }

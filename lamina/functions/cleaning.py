@@ -8,9 +8,6 @@ checks the spelling first and then uses ``try_cast``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Words that stand for a missing string, compared in upper case.
 NULL_WORDS = ("", "NULL", "NULO", "NA", "N/A", "NONE", "NAN")
 
@@ -28,69 +25,70 @@ DATE_TIME_SPELLING = (
     r"(Z|[+-][0-9]{2}:?[0-9]{2})?\z"
 )
 
+_BLANKS = "".join(f"\\u{ord(c):04x}" for c in WHITE_SPACE)
+_WORD_LIST = ", ".join(f"'{word}'" for word in NULL_WORDS)
+
+
+def _spelled(value: str, pattern: str, kind: str) -> str:
+    return f"if({value} rlike r'{pattern}', try_cast({value} AS {kind}), NULL)"
 
-def strip_blank(value: Column) -> Column:
+
+def strip_blank(value: str) -> str:
     """Remove Unicode white space at both ends (a character set, not a regex)."""
-    return F.btrim(value, F.lit(WHITE_SPACE))
+    return f"btrim({value}, '{_BLANKS}')"
 
 
-def clean_text(value: Column) -> Column:
+def clean_text(value: str) -> str:
     """Strip blanks; a sentinel word in any case becomes NULL."""
     stripped = strip_blank(value)
-    return F.when(F.upper(stripped).isin(*NULL_WORDS), F.lit(None)).otherwise(stripped)
+    return f"if(upper({stripped}) IN ({_WORD_LIST}), NULL, {stripped})"
 
 
-def parse_float(value: Column) -> Column:
+def parse_float(value: str) -> str:
     """String to double; anything that is not a number becomes NULL."""
-    return F.when(value.rlike(FLOAT_SPELLING), value.try_cast("double"))
+    return _spelled(value, FLOAT_SPELLING, "double")
 
 
-def flag_from_number(value: Column) -> Column:
+def flag_from_number(value: str) -> str:
     """``"1.0"``/``"0.0"`` to boolean: above one half is true, NULL stays NULL."""
-    return parse_float(value) > F.lit(0.5)
+    return f"({parse_float(value)} > 0.5D)"
 
 
-def flag_from_word(value: Column) -> Column:
+def flag_from_word(value: str) -> str:
     """``true``/``false`` in any case to boolean; other words become NULL."""
-    word = F.upper(value)
-    return F.when(word == "TRUE", F.lit(True)).when(word == "FALSE", F.lit(False))
+    return f"CASE upper({value}) WHEN 'TRUE' THEN true WHEN 'FALSE' THEN false END"
 
 
-def strict_count(value: Column) -> Column:
+def strict_count(value: str) -> str:
     """Integer spelling only (``"13.0"`` is not one); NULL and bad cells become 0."""
-    parsed = F.when(value.rlike(INTEGER_SPELLING), value.try_cast("bigint"))
-    return F.coalesce(parsed, F.lit(0).cast("bigint"))
+    return f"coalesce({_spelled(value, INTEGER_SPELLING, 'bigint')}, 0L)"
 
 
-def lenient_count(value: Column) -> Column:
+def lenient_count(value: str) -> str:
     """Count read through a double: NULL and bad cells 0, truncated, not below 0.
 
     A parsed value that is no 64-bit integer (NaN, infinity, overflow) stays
     NULL, so that the not-null contract rejects it later.
     """
-    whole = F.coalesce(parse_float(value), F.lit(0.0)).try_cast("bigint")
-    return F.when(whole < 0, F.lit(0).cast("bigint")).otherwise(whole)
+    whole = f"try_cast(coalesce({parse_float(value)}, 0D) AS bigint)"
+    return f"if({whole} < 0, 0L, {whole})"
 
 
-def utc_timestamp(value: Column) -> Column:
+def utc_timestamp(value: str) -> str:
     """ISO-8601 date-time to a UTC timestamp; a bare date or year becomes NULL."""
-    return F.when(value.rlike(DATE_TIME_SPELLING), value.try_cast("timestamp"))
+    return _spelled(value, DATE_TIME_SPELLING, "timestamp")
 
 
-def zero_fill(value: Column, width: int) -> Column:
+def zero_fill(value: str, width: int) -> str:
     """Left-fill with zeros after a leading sign; longer values are kept whole."""
-    signed = F.concat(
-        F.substring(value, 1, 1),
-        F.lpad(F.substring(value, 2, 2_147_483_647), width - 1, "0"),
-    )
     return (
-        F.when(F.length(value) >= width, value)
-        .when(F.substring(value, 1, 1).isin("+", "-"), signed)
-        .otherwise(F.lpad(value, width, "0"))
+        f"CASE WHEN length({value}) >= {width} THEN {value}"
+        f" WHEN left({value}, 1) IN ('+', '-')"
+        f" THEN concat(left({value}, 1), lpad(substring({value}, 2), {width - 1}, '0'))"
+        f" ELSE lpad({value}, {width}, '0') END"
     )
 
 
-def leading_year(period: Column) -> Column:
+def leading_year(period: str) -> str:
     """Year from the first four characters of a ``YYYYMM`` period."""
-    head = F.substring(period, 1, 4)
-    return F.when(head.rlike(INTEGER_SPELLING), head.try_cast("bigint"))
+    return _spelled(f"left({period}, 4)", INTEGER_SPELLING, "bigint")

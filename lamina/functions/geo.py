@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.cleaning import parse_float, strip_blank
@@ -18,45 +18,48 @@ EARTH_RADIUS_M = 6_371_008.8
 ZERO_TOLERANCE = 1e-6
 
 
-def within_envelope(degrees: Column, low: float, high: float) -> Column:
+def within_envelope(degrees: str, low: float, high: float) -> str:
     """NULL for a placeholder near zero or a value outside ``[low, high]``."""
-    usable = (F.abs(degrees) >= F.lit(ZERO_TOLERANCE)) & degrees.between(low, high)
-    return F.when(usable, degrees)
+    return (
+        f"if(abs({degrees}) >= {ZERO_TOLERANCE!r}D AND {degrees} BETWEEN {low!r}D AND {high!r}D,"
+        f" {degrees}, NULL)"
+    )
 
 
-def coordinate(value: Column, low: float, high: float) -> Column:
+def coordinate(value: str, low: float, high: float) -> str:
     """Decimal-point string to degrees."""
     return within_envelope(parse_float(value), low, high)
 
 
-def coordinate_decimal_comma(value: Column, low: float, high: float) -> Column:
+def coordinate_decimal_comma(value: str, low: float, high: float) -> str:
     """Decimal-comma string, possibly padded with blanks, to degrees."""
-    return coordinate(F.translate(strip_blank(value), ",", "."), low, high)
+    return coordinate(f"translate({strip_blank(value)}, ',', '.')", low, high)
 
 
-def point(longitude: Column, latitude: Column) -> Column:
+def point(longitude: str, latitude: str) -> str:
     """``struct<srid,lon,lat>``, NULL unless both coordinates are present."""
-    built = F.struct(
-        F.lit(SRID).alias("srid"), longitude.alias("lon"), latitude.alias("lat")
+    return (
+        f"if({longitude} IS NOT NULL AND {latitude} IS NOT NULL,"
+        f" named_struct('srid', {SRID}, 'lon', {longitude}, 'lat', {latitude}), NULL)"
     )
-    return F.when(longitude.isNotNull() & latitude.isNotNull(), built)
 
 
-def point_wkt(longitude: Column, latitude: Column) -> Column:
-    """The point as EWKT text."""
-    return F.format_string(f"SRID={SRID};POINT(%s %s)", longitude, latitude)
+def point_wkt(longitude: str, latitude: str) -> str:
+    """The point as EWKT text, NULL unless both coordinates are present."""
+    return f"concat('SRID={SRID};POINT(', {longitude}, ' ', {latitude}, ')')"
 
 
 def great_circle_m(
-    longitude: Column, latitude: Column, other_longitude: Column, other_latitude: Column
-) -> Column:
+    longitude: str, latitude: str, other_longitude: str, other_latitude: str
+) -> str:
     """Haversine distance in metres."""
-    half_lat = F.radians(other_latitude - latitude) / 2
-    half_lon = F.radians(other_longitude - longitude) / 2
-    chord = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(latitude)) * F.cos(
-        F.radians(other_latitude)
-    ) * F.pow(F.sin(half_lon), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    half_lat = f"radians({other_latitude} - {latitude}) / 2"
+    half_lon = f"radians({other_longitude} - {longitude}) / 2"
+    chord = (
+        f"pow(sin({half_lat}), 2) + cos(radians({latitude})) * cos(radians({other_latitude}))"
+        f" * pow(sin({half_lon}), 2)"
+    )
+    return f"({2 * EARTH_RADIUS_M!r}D * asin(sqrt(least({chord}, 1D))))"
 
 
 def within_radius(
@@ -72,9 +75,8 @@ def within_radius(
     """Rows within ``metres`` of one centre.
 
     A bounding box of plain comparisons comes first, so that Parquet statistics
-    can skip row groups; the distance is computed on what is left. Exact for
-    boxes that stay clear of the poles and the antimeridian; other boxes are
-    widened to every longitude.
+    can skip row groups; the distance is computed on what is left. Where the
+    box would touch a pole or the antimeridian it covers every longitude.
     """
     d_lat = math.degrees(metres / EARTH_RADIUS_M) * 1.000001
     box = F.col(lat_column).between(latitude - d_lat, latitude + d_lat)
@@ -85,10 +87,10 @@ def within_radius(
         if longitude - d_lon >= -180.0 and longitude + d_lon <= 180.0:
             box = box & F.col(lon_column).between(longitude - d_lon, longitude + d_lon)
     distance = great_circle_m(
-        F.lit(longitude), F.lit(latitude), F.col(lon_column), F.col(lat_column)
+        f"{float(longitude)!r}D", f"{float(latitude)!r}D", lon_column, lat_column
     )
     return (
         df.where(box)
-        .withColumn(distance_column, distance)
-        .where(F.col(distance_column) <= F.lit(float(metres)))
+        .withColumn(distance_column, F.expr(distance))
+        .where(F.col(distance_column) <= float(metres))
     )

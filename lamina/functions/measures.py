@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def _exact(value: str) -> str:
+    return f"cast({value} AS decimal(20,0))"
 
-def _exact(value: Column) -> Column:
-    return value.cast("decimal(20,0)")
 
-
-def rounded_mean(total: Column, rows: Column) -> Column:
+def rounded_mean(total: str, rows: str) -> str:
     """Mean of integers to two places, from their sum and their count.
 
     Integer sums keep the mean exact; averaging doubles first could move a tie.
     """
-    return F.round(_exact(total) / _exact(rows), 2).cast("decimal(10,2)")
+    return f"cast(round({_exact(total)} / {_exact(rows)}, 2) AS decimal(10,2))"
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """``part / whole`` to four places; NULL unless ``whole`` is positive."""
-    return F.when(whole > 0, F.round(_exact(part) / _exact(whole), 4).cast("decimal(8,4)"))
+    quotient = f"cast(round({_exact(part)} / {_exact(whole)}, 4) AS decimal(8,4))"
+    return f"if({whole} > 0, {quotient}, NULL)"
 
 
-def exceeds(peak: Column, capacity: Column) -> Column:
+def exceeds(peak: str, capacity: str) -> str:
     """True only where a positive capacity is exceeded; never NULL."""
-    return F.coalesce((capacity > 0) & (peak > capacity), F.lit(False))
+    return f"coalesce({capacity} > 0 AND {peak} > {capacity}, false)"
+
+
+def rounded_total(value: str) -> str:
+    """Sum of decimals, rounded half up to a whole number."""
+    return f"cast(round(sum({value})) AS bigint)"

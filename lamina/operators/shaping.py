@@ -14,9 +14,25 @@ class MissingColumns(ValueError):
     """A column the contract requires is not in the input."""
 
 
+def ticked(name: str) -> str:
+    """A column name as SQL text; a raw header may hold blanks or dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column reference for a raw header that may hold blanks or dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column reference for a raw header."""
+    return F.col(ticked(name))
+
+
+def derive(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
+    """Add or replace columns by SQL expressions, in one projection."""
+    kept = [
+        f"{expressions[c]} AS {ticked(c)}" if c in expressions else ticked(c) for c in df.columns
+    ]
+    added = [
+        f"{text} AS {ticked(c)}" for c, text in expressions.items() if c not in df.columns
+    ]
+    return df.selectExpr(*kept, *added)
 
 
 def require(df: DataFrame, names: Iterable[str]) -> None:
@@ -38,7 +54,7 @@ def rename_known(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def keep_known(df: DataFrame, allowed: Collection[str]) -> DataFrame:
     """Allow-list projection in input order."""
-    return df.select([quoted(c) for c in df.columns if c in allowed])
+    return df.selectExpr(*[ticked(c) for c in df.columns if c in allowed])
 
 
 def text_columns(df: DataFrame, excluded: Collection[str] = ()) -> list[str]:
@@ -80,8 +96,9 @@ def align(
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Canonical order and stored types; fails on a missing column.
 
-    Casts follow the session's ANSI mode, so a quantity too large for the
-    stored integer aborts the load instead of wrapping around.
+    Narrowing casts are checked, so a quantity too large for the stored integer
+    aborts the load instead of wrapping around. Not-null is left to the
+    contract: a frame that breaks it must get there to be reported.
     """
     require(df, schema.names)
-    return df.select([quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.to(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))

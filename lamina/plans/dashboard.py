@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def rounded_total(value: Column) -> Column:
-    """Sum of decimals, rounded half up to a whole number."""
-    return F.round(F.sum(value)).cast("bigint")
+from lamina.functions.measures import rounded_total
 
 
 def latest_year(beds_fact: DataFrame) -> DataFrame:
@@ -24,7 +21,7 @@ def kpis(dim: DataFrame, beds_fact: DataFrame) -> DataFrame:
     picked from the totals, so the fact is read once.
     """
     yearly = beds_fact.groupBy("ano_referencia").agg(
-        rounded_total(F.col("leitos_sus_avg")).alias("leitos_sus")
+        F.expr(rounded_total("leitos_sus_avg")).alias("leitos_sus")
     )
     newest = yearly.agg(
         F.struct(
@@ -50,8 +47,8 @@ def top_states(dim: DataFrame, beds_fact: DataFrame, year: int | Column, limit:
         .join(dim.where(F.col("sg_uf").isNotNull()).select("co_cnes", "sg_uf", "ds_uf"), "co_cnes")
         .groupBy("sg_uf", "ds_uf")
         .agg(
-            rounded_total(F.col("leitos_sus_avg")).alias("leitos_sus"),
-            rounded_total(F.col("uti_sus_avg")).alias("uti_sus"),
+            F.expr(rounded_total("leitos_sus_avg")).alias("leitos_sus"),
+            F.expr(rounded_total("uti_sus_avg")).alias("uti_sus"),
             F.count_distinct("co_cnes").alias("hospitais"),
         )
         .orderBy(F.desc("leitos_sus"), "sg_uf")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lamina.functions import calendar, geo, measures
 from lamina.operators.contracts import TableSpec
 from lamina.operators.latest import latest_snapshot, latest_snapshot_per
-from lamina.operators.shaping import conform
+from lamina.operators.shaping import conform, derive
 from lamina.plans import domains, schemas
 
 PRESSURE_YEARS = (2020, 2022)
@@ -41,29 +41,28 @@ def dim_establishment(
     execution.
     """
     spark = establishments.sparkSession
-    base = latest_snapshot(establishments, value=snapshot).withColumns(
+    base = derive(
+        latest_snapshot(establishments, value=snapshot),
         {
-            "co_cnes": F.lpad("co_cnes", 7, "0"),
-            "tp_unidade": F.lpad("tp_unidade", 2, "0"),
-            "is_ativo": F.col("co_motivo_desab").isNull(),
-            "geom": geo.point(F.col("nu_longitude"), F.col("nu_latitude")),
-        }
+            "co_cnes": "lpad(co_cnes, 7, '0')",
+            "tp_unidade": "lpad(tp_unidade, 2, '0')",
+            "is_ativo": "co_motivo_desab IS NULL",
+            "geom": geo.point("nu_longitude", "nu_latitude"),
+        },
     )
     known_units = (
         latest_snapshot(care_units, value=care_unit_snapshot)
-        .select(F.col("cnes").alias("co_cnes"))
+        .selectExpr("cnes AS co_cnes")
         .distinct()
         .withColumn("is_ubs", F.lit(True))
     )
-    unit_types = domains.unit_types(spark).select(
-        F.col("co_tp_unidade").alias("tp_unidade"),
-        F.col("ds_tp_unidade").alias("ds_tipo_unidade"),
-        F.col("categoria").alias("categoria_unidade"),
+    unit_types = domains.unit_types(spark).selectExpr(
+        "co_tp_unidade AS tp_unidade",
+        "ds_tp_unidade AS ds_tipo_unidade",
+        "categoria AS categoria_unidade",
     )
-    natures = domains.legal_natures(spark).select(
-        "co_natureza_jur",
-        F.col("ds_natureza_jur").alias("ds_natureza_juridica"),
-        F.col("grupo").alias("grupo_natureza_jur"),
+    natures = domains.legal_natures(spark).selectExpr(
+        "co_natureza_jur", "ds_natureza_jur AS ds_natureza_juridica", "grupo AS grupo_natureza_jur"
     )
     decoded = (
         base.join(domains.states(spark), "co_uf", "left")
@@ -82,7 +81,7 @@ def dim_time(
 ) -> DataFrame:
     """One row per day with its calendar attributes."""
     days = calendar.date_series(spark, first, last)
-    return _finish(days.withColumns(calendar.calendar_attributes(F.col("data"))), schemas.DIM_TIME)
+    return _finish(derive(days, calendar.calendar_attributes("data")), schemas.DIM_TIME)
 
 
 def most_frequent(
@@ -140,24 +139,30 @@ def dim_municipality(
         counts.join(names, "co_ibge", "left")
         .join(domains.states(spark), "co_uf", "left")
         .join(units, "co_ibge", "left")
-        .withColumns(
-            {
-                "co_ibge_7dig": F.lpad("co_ibge", 7, "0"),
-                "qtd_ubs": F.coalesce("qtd_ubs", F.lit(0)),
-            }
-        )
     )
-    return _finish(joined, schemas.DIM_MUNICIPALITY)
+    described = derive(
+        joined,
+        {"co_ibge_7dig": "lpad(co_ibge, 7, '0')", "qtd_ubs": "coalesce(qtd_ubs, 0)"},
+    )
+    return _finish(described, schemas.DIM_MUNICIPALITY)
+
+
+def _with_means(facts: DataFrame, rows: str, totals: Mapping[str, str]) -> DataFrame:
+    """Means from the sums of the aggregation, so no average is carried through it."""
+    means = {mean: measures.rounded_mean(total, rows) for mean, total in totals.items()}
+    return derive(facts, means)
+
+
+def _sum(name: str, result: str) -> Column:
+    return F.expr(f"sum(cast({name} AS bigint)) AS {result}")
 
 
-def _stored_means(totals: Mapping[str, str], rows: str) -> dict[str, Column]:
-    return {
-        mean: measures.rounded_mean(F.col(total), F.col(rows)) for mean, total in totals.items()
-    }
+def _max(name: str, result: str) -> Column:
+    return F.expr(f"max({name}) AS {result}")
 
 
-def _total(name: str) -> Column:
-    return F.sum(F.col(name).cast("bigint"))
+def _rows(result: str) -> Column:
+    return F.expr(f"count(*) AS {result}")
 
 
 def fact_beds(
@@ -173,25 +178,25 @@ def fact_beds(
         current = latest_snapshot_per(beds, ["ano_referencia"])
     else:
         current = latest_snapshot(beds, value=snapshot)
-    facts = current.groupBy(F.col("cnes").alias("co_cnes"), "ano_referencia").agg(
-        F.count(F.lit(1)).alias("qtd_competencias"),
-        _total("leitos_existentes").alias("leitos_existentes_sum"),
-        _total("leitos_sus").alias("leitos_sus_sum"),
-        _total("uti_total_exist").alias("uti_total_sum"),
-        _total("uti_total_sus").alias("uti_sus_sum"),
-        F.max("leitos_existentes").alias("leitos_existentes_max"),
-        F.max("uti_total_exist").alias("uti_total_max"),
-        F.max("_extraction_date").alias("_extraction_date"),
-    ).withColumns(
-        _stored_means(
-            {
-                "leitos_existentes_avg": "leitos_existentes_sum",
-                "leitos_sus_avg": "leitos_sus_sum",
-                "uti_total_avg": "uti_total_sum",
-                "uti_sus_avg": "uti_sus_sum",
-            },
-            "qtd_competencias",
-        )
+    facts = current.groupBy(F.expr("cnes AS co_cnes"), "ano_referencia").agg(
+        _rows("qtd_competencias"),
+        _sum("leitos_existentes", "leitos_existentes_sum"),
+        _sum("leitos_sus", "leitos_sus_sum"),
+        _sum("uti_total_exist", "uti_total_sum"),
+        _sum("uti_total_sus", "uti_sus_sum"),
+        _max("leitos_existentes", "leitos_existentes_max"),
+        _max("uti_total_exist", "uti_total_max"),
+        _max("_extraction_date", "_extraction_date"),
+    )
+    facts = _with_means(
+        facts,
+        "qtd_competencias",
+        {
+            "leitos_existentes_avg": "leitos_existentes_sum",
+            "leitos_sus_avg": "leitos_sus_sum",
+            "uti_total_avg": "uti_total_sum",
+            "uti_sus_avg": "uti_sus_sum",
+        },
     )
     return _finish(facts, schemas.FACT_BEDS)
 
@@ -204,36 +209,29 @@ def fact_occupancy(
         current = latest_snapshot_per(occupancy, ["ano_referencia"])
     else:
         current = latest_snapshot(occupancy, value=snapshot)
-    kept = current.where(~F.coalesce("excluido", F.lit(False)))
-    facts = (
-        kept.groupBy(
-            F.col("cnes").alias("co_cnes"),
-            calendar.month_key(F.col("data_notificacao")).alias("ano_mes"),
-            "ano_referencia",
-        )
-        .agg(
-            F.count(F.lit(1)).alias("qtd_notificacoes"),
-            _total("ocupacao_covid_uti").alias("ocupacao_uti_covid_sum"),
-            F.max("ocupacao_covid_uti").alias("ocupacao_uti_covid_max"),
-            _total("ocupacao_covid_cli").alias("ocupacao_cli_covid_sum"),
-            F.max("ocupacao_covid_cli").alias("ocupacao_cli_covid_max"),
-            F.max("ocupacao_hospitalar_uti").alias("ocupacao_uti_hosp_max"),
-            F.max("ocupacao_hospitalar_cli").alias("ocupacao_cli_hosp_max"),
-            _total("saida_confirmada_obitos").alias("obitos_confirmados_sum"),
-            _total("saida_confirmada_altas").alias("altas_confirmadas_sum"),
-            _total("saida_suspeita_obitos").alias("obitos_suspeitos_sum"),
-            _total("saida_suspeita_altas").alias("altas_suspeitas_sum"),
-            F.max("_extraction_date").alias("_extraction_date"),
-        )
-        .withColumns(
-            _stored_means(
-                {
-                    "ocupacao_uti_covid_avg": "ocupacao_uti_covid_sum",
-                    "ocupacao_cli_covid_avg": "ocupacao_cli_covid_sum",
-                },
-                "qtd_notificacoes",
-            )
-        )
+    kept = current.where("NOT coalesce(excluido, false)")
+    month = F.expr(f"{calendar.month_key('data_notificacao')} AS ano_mes")
+    facts = kept.groupBy(F.expr("cnes AS co_cnes"), month, "ano_referencia").agg(
+        _rows("qtd_notificacoes"),
+        _sum("ocupacao_covid_uti", "ocupacao_uti_covid_sum"),
+        _max("ocupacao_covid_uti", "ocupacao_uti_covid_max"),
+        _sum("ocupacao_covid_cli", "ocupacao_cli_covid_sum"),
+        _max("ocupacao_covid_cli", "ocupacao_cli_covid_max"),
+        _max("ocupacao_hospitalar_uti", "ocupacao_uti_hosp_max"),
+        _max("ocupacao_hospitalar_cli", "ocupacao_cli_hosp_max"),
+        _sum("saida_confirmada_obitos", "obitos_confirmados_sum"),
+        _sum("saida_confirmada_altas", "altas_confirmadas_sum"),
+        _sum("saida_suspeita_obitos", "obitos_suspeitos_sum"),
+        _sum("saida_suspeita_altas", "altas_suspeitas_sum"),
+        _max("_extraction_date", "_extraction_date"),
+    )
+    facts = _with_means(
+        facts,
+        "qtd_notificacoes",
+        {
+            "ocupacao_uti_covid_avg": "ocupacao_uti_covid_sum",
+            "ocupacao_cli_covid_avg": "ocupacao_cli_covid_sum",
+        },
     )
     return _finish(facts, schemas.FACT_OCCUPANCY)
 
@@ -247,30 +245,31 @@ def fact_pressure(
     already aggregated to their key, so no join key is hot.
     """
     in_years = F.col("ano_referencia").between(*years)
-    capacity = beds_fact.where(in_years).select(
+    capacity = beds_fact.where(in_years).selectExpr(
         "co_cnes",
         "ano_referencia",
-        F.col("uti_total_max").alias("capacidade_uti_declarada"),
-        F.col("leitos_existentes_max").alias("leitos_total_declarado"),
+        "uti_total_max AS capacidade_uti_declarada",
+        "leitos_existentes_max AS leitos_total_declarado",
     )
-    use = occupancy_fact.where(in_years).select(
+    use = occupancy_fact.where(in_years).selectExpr(
         "co_cnes",
         "ano_referencia",
         "ano_mes",
         "qtd_notificacoes",
-        F.col("ocupacao_uti_covid_max").alias("pico_uti_covid_mes"),
-        F.col("ocupacao_cli_covid_max").alias("pico_cli_covid_mes"),
-        F.col("ocupacao_uti_hosp_max").alias("pico_uti_total_mes"),
-        F.col("obitos_confirmados_sum").alias("obitos_confirmados"),
-        F.col("altas_confirmadas_sum").alias("altas_confirmadas"),
+        "ocupacao_uti_covid_max AS pico_uti_covid_mes",
+        "ocupacao_cli_covid_max AS pico_cli_covid_mes",
+        "ocupacao_uti_hosp_max AS pico_uti_total_mes",
+        "obitos_confirmados_sum AS obitos_confirmados",
+        "altas_confirmadas_sum AS altas_confirmadas",
     )
-    peak, beds = F.col("pico_uti_covid_mes"), F.col("capacidade_uti_declarada")
-    deaths = F.col("obitos_confirmados")
-    facts = use.join(capacity, ["co_cnes", "ano_referencia"]).withColumns(
+    peak, beds = "pico_uti_covid_mes", "capacidade_uti_declarada"
+    deaths, discharges = "obitos_confirmados", "altas_confirmadas"
+    facts = derive(
+        use.join(capacity, ["co_cnes", "ano_referencia"]),
         {
             "taxa_ocupacao_uti_covid": measures.ratio(peak, beds),
             "is_overloaded": measures.exceeds(peak, beds),
-            "taxa_letalidade": measures.ratio(deaths, deaths + F.col("altas_confirmadas")),
-        }
+            "taxa_letalidade": measures.ratio(deaths, f"({deaths} + {discharges})"),
+        },
     )
     return _finish(facts, schemas.FACT_PRESSURE)

@@ -15,6 +15,7 @@ from lamina.operators.latest import keep_last
 from lamina.operators.quality import RowCounts
 from lamina.operators.shaping import (
     conform,
+    derive,
     keep_known,
     rename_known,
     rename_strict,
@@ -48,25 +49,30 @@ def _tap(counts: RowCounts | None, df: DataFrame, stage: str) -> DataFrame:
 
 def _stamp(df: DataFrame, extraction_date: date, cleansed_at: datetime | None) -> DataFrame:
     moment = cleansed_at or datetime.now(tz=timezone.utc)
-    return df.withColumns(
-        {"_cleansed_at": F.lit(moment), "_extraction_date": F.lit(extraction_date)}
-    )
+    stamped = df.withColumn("_cleansed_at", F.lit(moment))
+    return stamped.withColumn("_extraction_date", F.lit(extraction_date))
 
 
-def _with_order(df: DataFrame) -> DataFrame:
-    """Give frames that were staged elsewhere constant order columns."""
-    absent = [c for c in SEQUENCE_COLUMNS if c not in df.columns]
-    return df.withColumns({c: F.lit(0).cast("bigint") for c in absent}) if absent else df
+def _order_columns(df: DataFrame) -> dict[str, str]:
+    """Constant positions for frames that were staged without them."""
+    return {c: "0L" for c in ("_block_start", "_row_seq") if c not in df.columns}
 
 
 def _by_year(frames: Mapping[int, DataFrame], names: Mapping[str, str]) -> list[DataFrame]:
     allowed = set(names.values()) | STAGED
     return [
-        keep_known(rename_known(_with_order(frame), names), allowed).withColumn(YEAR, F.lit(year))
+        derive(
+            keep_known(rename_known(frame, names), allowed),
+            {YEAR: str(year), **_order_columns(frame)},
+        )
         for year, frame in sorted(frames.items())
     ]
 
 
+def _key(name: str) -> str:
+    return cleaning.zero_fill(cleaning.strip_blank(name), KEY_WIDTH)
+
+
 def establishments(
     df: DataFrame, extraction_date: date, cleansed_at: datetime | None = None
 ) -> SilverTable:
@@ -74,15 +80,13 @@ def establishments(
     named = rename_strict(df, sources.ESTABLISHMENT_NAMES)
     flags = schemas.ESTABLISHMENT_FLAGS
     coordinates = {"nu_latitude": geo.LATITUDE_RANGE, "nu_longitude": geo.LONGITUDE_RANGE}
-    cleaned = named.withColumns(
+    cleaned = derive(
+        named,
         {
-            **{
-                c: cleaning.clean_text(F.col(c))
-                for c in text_columns(named, {*flags, *coordinates})
-            },
-            **{c: cleaning.flag_from_number(F.col(c)) for c in flags},
-            **{c: geo.coordinate(F.col(c), *limits) for c, limits in coordinates.items()},
-        }
+            **{c: cleaning.clean_text(c) for c in text_columns(named, {*flags, *coordinates})},
+            **{c: cleaning.flag_from_number(c) for c in flags},
+            **{c: geo.coordinate(c, *limits) for c, limits in coordinates.items()},
+        },
     )
     stamped = _stamp(cleaned, extraction_date, cleansed_at)
     return SilverTable(conform(stamped, schemas.ESTABLISHMENTS.schema))
@@ -106,23 +110,18 @@ def beds(
     """
     measures = schemas.BED_MEASURES
     union = union_drifted(_by_year(frames, sources.BED_NAMES))
-    zero = F.lit(0).cast("bigint")
-    typed = union.withColumns(
+    typed = derive(
+        union,
         {
-            **{
-                m: cleaning.strict_count(F.col(m)) if m in union.columns else zero
-                for m in measures
-            },
-            "ano_referencia": cleaning.leading_year(F.col("comp")),
-        }
+            **{m: cleaning.strict_count(m) if m in union.columns else "0L" for m in measures},
+            "ano_referencia": cleaning.leading_year("comp"),
+        },
     )
     if normalize_keys:
-        key = cleaning.zero_fill(cleaning.strip_blank(F.col("cnes")), KEY_WIDTH)
-        typed = typed.withColumn("cnes", key)
+        typed = derive(typed, {"cnes": _key("cnes")})
     if clean_names:
-        typed = typed.withColumns(
-            {c: cleaning.clean_text(F.col(c)) for c in text_columns(typed, {"comp", "cnes"})}
-        )
+        named = text_columns(typed, {"comp", "cnes"})
+        typed = derive(typed, {c: cleaning.clean_text(c) for c in named})
     typed = _tap(counts, typed, "read")
     dated = _tap(counts, typed.where(F.col("comp").rlike(r"^[0-9]{6}\z")), "valid_period")
     unique = _tap(counts, keep_last(dated, ["comp", "cnes"], ROW_ORDER), "deduplicated")
@@ -137,7 +136,7 @@ def beds(
 def _fill_absent(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Nullable columns that no year of the series has at all."""
     absent = [f for f in spec.schema.fields if f.nullable and f.name not in df.columns]
-    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
+    return derive(df, {f.name: f"cast(NULL AS {f.dataType.simpleString()})" for f in absent})
 
 
 def occupancy(
@@ -154,25 +153,23 @@ def occupancy(
     moments = ("data_notificacao", "registro_created_at", "registro_updated_at")
     words = ("excluido", "validado")
     texts = ("estado_notificacao", "municipio_notificacao", "estado", "municipio", "origem")
-    typed = union.withColumns(
+    typed = derive(
+        union,
         {
-            **{c: cleaning.utc_timestamp(F.col(c)) for c in moments},
-            **{c: cleaning.lenient_count(F.col(c)) for c in schemas.OCCUPANCY_MEASURES},
-            **{c: cleaning.flag_from_word(F.col(c)) for c in words},
-            **{c: cleaning.clean_text(F.col(c)) for c in texts},
-            "cnes": cleaning.zero_fill(cleaning.strip_blank(F.col("cnes")), KEY_WIDTH),
-        }
+            **{c: cleaning.utc_timestamp(c) for c in moments},
+            **{c: cleaning.lenient_count(c) for c in schemas.OCCUPANCY_MEASURES},
+            **{c: cleaning.flag_from_word(c) for c in words},
+            **{c: cleaning.clean_text(c) for c in texts},
+            "cnes": _key("cnes"),
+        },
     )
     typed = _tap(counts, typed, "read")
     identified = typed.dropna(subset=["id_registro", "cnes", "data_notificacao"])
-    dated = _tap(counts, 
-        identified.withColumn("ano_referencia", F.year("data_notificacao")), "identified"
-    )
+    dated = identified.withColumn("ano_referencia", F.year("data_notificacao"))
+    dated = _tap(counts, dated, "identified")
     unique = _tap(counts, keep_last(dated, ["id_registro"], ROW_ORDER), "deduplicated")
     stamped = _stamp(unique, extraction_date, cleansed_at)
-    return SilverTable(
-        conform(stamped, schemas.OCCUPANCY.schema), processed_years=sorted(frames)
-    )
+    return SilverTable(conform(stamped, schemas.OCCUPANCY.schema), processed_years=sorted(frames))
 
 
 def care_units(
@@ -183,18 +180,16 @@ def care_units(
     counts: RowCounts | None = None,
 ) -> SilverTable:
     """Primary-care units; coordinates are written with a decimal comma."""
-    named = rename_strict(_with_order(df), sources.CARE_UNIT_NAMES)
+    named = derive(rename_strict(df, sources.CARE_UNIT_NAMES), _order_columns(df))
     texts = ("co_uf", "co_ibge", "no_unidade", "no_logradouro", "no_bairro")
     coordinates = {"nu_latitude": geo.LATITUDE_RANGE, "nu_longitude": geo.LONGITUDE_RANGE}
-    cleaned = named.withColumns(
+    cleaned = derive(
+        named,
         {
-            **{c: cleaning.clean_text(F.col(c)) for c in texts},
-            **{
-                c: geo.coordinate_decimal_comma(F.col(c), *limits)
-                for c, limits in coordinates.items()
-            },
-            "cnes": cleaning.zero_fill(cleaning.strip_blank(F.col("cnes")), KEY_WIDTH),
-        }
+            **{c: cleaning.clean_text(c) for c in texts},
+            **{c: geo.coordinate_decimal_comma(c, *limits) for c, limits in coordinates.items()},
+            "cnes": _key("cnes"),
+        },
     )
     cleaned = _tap(counts, cleaned, "read")
     keyed = _tap(counts, cleaned.where(F.col("cnes") != NO_KEY), "keyed")

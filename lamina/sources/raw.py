@@ -33,12 +33,12 @@ def choose_separator(header: str) -> str:
     return max(CANDIDATE_SEPARATORS, key=header.count)
 
 
-def separator_of(header: Column) -> Column:
-    """:func:`choose_separator` as an expression."""
+def separator_of(header: str) -> str:
+    """:func:`choose_separator` as an SQL expression."""
     commas, semicolons = (
-        F.length(header) - F.length(F.replace(header, F.lit(s))) for s in CANDIDATE_SEPARATORS
+        f"length({header}) - length(replace({header}, '{s}', ''))" for s in CANDIDATE_SEPARATORS
     )
-    return F.when(semicolons > commas, ";").otherwise(DEFAULT_SEPARATOR)
+    return f"if({semicolons} > {commas}, ';', '{DEFAULT_SEPARATOR}')"
 
 
 def detect_separator(spark: SparkSession, path: str) -> str:
