@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lamina.catalogue.inputs import BEDS_SQL, EXTRACTED, INGESTED, raw_beds, table
+from lamina.columns import columns
 from lamina.functions.cleaning import clean_text
 from lamina.functions.measures import rounded_total
 from lamina.operators.contracts import TableSpec, duplicate_keys, violation_counts
@@ -157,7 +157,7 @@ SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'"""
 @_query
 def additive_columns(spark: SparkSession, folder: str) -> DataFrame:
     """An older table read under a newer schema: new columns take their default."""
-    schema = T.StructType.fromDDL(
+    schema = columns(
         "n_nationkey bigint, n_name string, is_ubs boolean, categoria string"
     )
     return align(table(spark, folder, "nation"), schema, {"is_ubs": False})
@@ -170,7 +170,7 @@ FROM nation"""
 
 _ORDERS = TableSpec(
     name="orders",
-    schema=T.StructType.fromDDL(
+    schema=columns(
         "o_orderkey bigint not null, o_totalprice double not null, o_orderpriority string, "
         "o_orderstatus string not null"
     ),

@@ -16,8 +16,8 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from lamina.columns import columns
 from lamina.operators.latest import keep_last
 
 NEW = "new"
@@ -25,12 +25,12 @@ UNCHANGED = "unchanged"
 METADATA_ONLY = "metadata_only"
 FAILED = "failed"
 
-MANIFEST_SCHEMA = T.StructType.fromDDL(
+MANIFEST_SCHEMA = columns(
     "dataset string, year int, extraction_date date, ingested_at timestamp, etag string, "
     "last_modified string, remote_content_length bigint, source_hash string, source string, "
     "raw_path string, parquet_path string"
 )
-LISTING_SCHEMA = T.StructType.fromDDL(
+LISTING_SCHEMA = columns(
     "dataset string, year int, origin string, etag string, last_modified string, "
     "content_length bigint, source_hash string, path string, reachable boolean"
 )

@@ -13,7 +13,8 @@ EMPTY_STREAK_TO_STOP = 3
 def list_key(payload: Column) -> Column:
     """First key of a JSON object, in document order, whose value is a list."""
     keys = F.json_object_keys(payload)
-    return F.filter(keys, lambda k: F.json_array_length(_member(payload, k)).isNotNull())[0]
+    lists = F.filter(keys, lambda k: F.json_array_length(_member(payload, k)).isNotNull())
+    return F.get(lists, F.lit(0))
 
 
 def _member(payload: Column, key: Column) -> Column:

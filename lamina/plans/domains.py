@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.columns import columns
 from lamina.plans.schemas import LEGAL_NATURES, UNIT_TYPES
 
 # Federal units (IBGE code, abbreviation, name).
@@ -118,7 +119,7 @@ LEGAL_NATURE_ROWS = (
 )
 
 
-STATE_SCHEMA = T.StructType.fromDDL(
+STATE_SCHEMA = columns(
     "co_uf string not null, sg_uf string not null, ds_uf string not null"
 )
 

@@ -3,8 +3,7 @@ checks all follow from its :class:`TableSpec`."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
+from lamina.columns import columns
 from lamina.functions.geo import LATITUDE_RANGE, LONGITUDE_RANGE
 from lamina.operators.contracts import TableSpec
 
@@ -59,10 +58,6 @@ ESTABLISHMENT_FLAGS = (
 )
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 def _not_null_int(names: tuple[str, ...]) -> str:
     return ", ".join(f"{n} int not null" for n in names)
 
@@ -71,7 +66,7 @@ _COORDINATES = {"nu_latitude": LATITUDE_RANGE, "nu_longitude": LONGITUDE_RANGE}
 
 ESTABLISHMENTS = TableSpec(
     name="silver.estabelecimentos",
-    schema=_schema(
+    schema=columns(
         f"""
         co_cnes string not null, co_unidade string, co_uf string, co_ibge string,
         nu_cnpj_mantenedora string, no_razao_social string, no_fantasia string,
@@ -96,7 +91,7 @@ ESTABLISHMENTS = TableSpec(
 
 BEDS = TableSpec(
     name="silver.leitos_anual",
-    schema=_schema(
+    schema=columns(
         f"""
         ano_referencia int not null, comp string not null, cnes string not null,
         nome_estabelecimento string, razao_social string, motivo_desabilitacao string,
@@ -116,7 +111,7 @@ BEDS = TableSpec(
 
 OCCUPANCY = TableSpec(
     name="silver.ocupacao_covid",
-    schema=_schema(
+    schema=columns(
         f"""
         id_registro string not null, cnes string not null,
         data_notificacao timestamp not null, ano_referencia int not null,
@@ -133,7 +128,7 @@ OCCUPANCY = TableSpec(
 
 CARE_UNITS = TableSpec(
     name="silver.ubs",
-    schema=_schema(
+    schema=columns(
         f"""
         cnes string not null, co_uf string, co_ibge string, no_unidade string,
         no_logradouro string, no_bairro string, nu_latitude double, nu_longitude double,
@@ -147,7 +142,7 @@ CARE_UNITS = TableSpec(
 
 UNIT_TYPES = TableSpec(
     name="silver.dominio_tp_unidade",
-    schema=_schema(
+    schema=columns(
         "co_tp_unidade string not null, ds_tp_unidade string not null, categoria string not null"
     ),
     key=("co_tp_unidade",),
@@ -155,7 +150,7 @@ UNIT_TYPES = TableSpec(
 
 LEGAL_NATURES = TableSpec(
     name="silver.dominio_natureza_juridica",
-    schema=_schema(
+    schema=columns(
         "co_natureza_jur string not null, ds_natureza_jur string not null, grupo string not null"
     ),
     key=("co_natureza_jur",),
@@ -163,7 +158,7 @@ LEGAL_NATURES = TableSpec(
 
 DIM_ESTABLISHMENT = TableSpec(
     name="gold.dim_estabelecimento",
-    schema=_schema(
+    schema=columns(
         """
         co_cnes string not null, no_fantasia string, no_razao_social string,
         co_uf string, sg_uf string, ds_uf string, co_ibge string, tp_gestao string,
@@ -171,7 +166,7 @@ DIM_ESTABLISHMENT = TableSpec(
         co_natureza_jur string, ds_natureza_juridica string, grupo_natureza_jur string,
         co_motivo_desab string, is_ativo boolean, is_ubs boolean not null,
         nu_latitude double, nu_longitude double,
-        geom struct<srid:int,lon:double,lat:double>, co_cep string,
+        geom point, co_cep string,
         st_atend_hospitalar boolean, st_centro_cirurgico boolean,
         st_atend_ambulatorial boolean, _extraction_date date not null,
         _loaded_at timestamp not null
@@ -182,7 +177,7 @@ DIM_ESTABLISHMENT = TableSpec(
 
 DIM_TIME = TableSpec(
     name="gold.dim_tempo",
-    schema=_schema(
+    schema=columns(
         """
         data date not null, ano int not null, mes int not null, dia int not null,
         trimestre int not null, semestre int not null, ano_mes string not null,
@@ -198,7 +193,7 @@ DIM_TIME = TableSpec(
 
 DIM_MUNICIPALITY = TableSpec(
     name="gold.dim_municipio",
-    schema=_schema(
+    schema=columns(
         """
         co_ibge string not null, co_ibge_7dig string not null, no_municipio string,
         co_uf string, sg_uf string, ds_uf string,
@@ -211,7 +206,7 @@ DIM_MUNICIPALITY = TableSpec(
 
 FACT_BEDS = TableSpec(
     name="gold.fato_leitos_anual",
-    schema=_schema(
+    schema=columns(
         """
         co_cnes string not null, ano_referencia int not null, qtd_competencias int not null,
         leitos_existentes_sum bigint not null, leitos_sus_sum bigint not null,
@@ -227,7 +222,7 @@ FACT_BEDS = TableSpec(
 
 FACT_OCCUPANCY = TableSpec(
     name="gold.fato_ocupacao_covid",
-    schema=_schema(
+    schema=columns(
         """
         co_cnes string not null, ano_mes string not null, ano_referencia int not null,
         qtd_notificacoes int not null,
@@ -246,7 +241,7 @@ FACT_OCCUPANCY = TableSpec(
 
 FACT_PRESSURE = TableSpec(
     name="gold.fato_pressao_uti_covid",
-    schema=_schema(
+    schema=columns(
         """
         co_cnes string not null, ano_mes string not null, ano_referencia int not null,
         capacidade_uti_declarada int not null, leitos_total_declarado int not null,

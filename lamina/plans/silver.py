@@ -110,13 +110,8 @@ def beds(
     """
     measures = schemas.BED_MEASURES
     union = union_drifted(_by_year(frames, sources.BED_NAMES))
-    typed = derive(
-        union,
-        {
-            **{m: cleaning.strict_count(m) if m in union.columns else "0L" for m in measures},
-            "ano_referencia": cleaning.leading_year("comp"),
-        },
-    )
+    declared = {m: cleaning.strict_count(m) for m in measures if m in union.columns}
+    typed = derive(union, {**declared, "ano_referencia": cleaning.leading_year("comp")})
     if normalize_keys:
         typed = derive(typed, {"cnes": _key("cnes")})
     if clean_names:
@@ -125,6 +120,8 @@ def beds(
     typed = _tap(counts, typed, "read")
     dated = _tap(counts, typed.where(F.col("comp").rlike(r"^[0-9]{6}\z")), "valid_period")
     unique = _tap(counts, keep_last(dated, ["comp", "cnes"], ROW_ORDER), "deduplicated")
+    # Measures and attributes that no year has are constants: added after the shuffle.
+    unique = derive(unique, {m: "0L" for m in measures if m not in declared})
     stamped = _stamp(unique, extraction_date, cleansed_at)
     return SilverTable(
         conform(_fill_absent(stamped, schemas.BEDS), schemas.BEDS.schema),
@@ -153,6 +150,9 @@ def occupancy(
     moments = ("data_notificacao", "registro_created_at", "registro_updated_at")
     words = ("excluido", "validado")
     texts = ("estado_notificacao", "municipio_notificacao", "estado", "municipio", "origem")
+    # The identity is tested on the raw cells where that is the same test, so that
+    # the key is not computed a second time inside a pushed-down filter.
+    union = _tap(counts, union, "read").where("id_registro IS NOT NULL AND cnes IS NOT NULL")
     typed = derive(
         union,
         {
@@ -163,8 +163,7 @@ def occupancy(
             "cnes": _key("cnes"),
         },
     )
-    typed = _tap(counts, typed, "read")
-    identified = typed.dropna(subset=["id_registro", "cnes", "data_notificacao"])
+    identified = typed.where("data_notificacao IS NOT NULL")
     dated = identified.withColumn("ano_referencia", F.year("data_notificacao"))
     dated = _tap(counts, dated, "identified")
     unique = _tap(counts, keep_last(dated, ["id_registro"], ROW_ORDER), "deduplicated")
