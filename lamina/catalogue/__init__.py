@@ -10,14 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.session import configure
+from lamina.session import configure, size_shuffles
+from lamina.sources.folders import size
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _configured(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(configure(spark), folder)
+        size_shuffles(configure(spark), size(spark, folder))
+        return query(spark, folder)
 
     run.__name__ = query.__name__
     run.__doc__ = query.__doc__

@@ -8,15 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.catalogue import star
-from lamina.catalogue.inputs import EXTRACTED, INGESTED, raw_beds, table
+from lamina.catalogue.inputs import (
+    EXTRACTED,
+    INGESTED,
+    raw_beds,
+    raw_care_units,
+    raw_establishments,
+    raw_occupancy,
+    table,
+)
 from lamina.operators import manifest
+from lamina.operators.contracts import TableSpec
 from lamina.operators.digest import file_hashes
-from lamina.plans import bronze, gold, schemas, silver
-from lamina.plans.sources import BEDS_CSV, VACCINATION_CODE
+from lamina.plans import bronze, dashboard, gold, schemas, silver
+from lamina.plans.sources import (
+    BEDS_CSV,
+    CARE_UNITS_CSV,
+    ESTABLISHMENTS_CSV,
+    OCCUPANCY_CSV,
+    VACCINATION_CODE,
+    CsvDataset,
+)
 from lamina.session import scratch_folder
 from lamina.sinks import tables
 from lamina.sources.raw import SEQUENCE_COLUMNS, read_csv, read_json_pages
-from lamina.sources.staged import read_newest, read_yearly
+from lamina.sources.staged import read_newest, read_staged, read_yearly
 
 QUERIES = {}
 SQL = {}
@@ -201,34 +217,106 @@ def full_rebuild(spark: SparkSession, folder: str) -> DataFrame:
 SQL["full_rebuild"] = f"SELECT * FROM ({star.SQL['yearly_fact']}) WHERE ano_referencia >= 2022"
 
 
-@_query
-def landed_beds(spark: SparkSession, folder: str) -> DataFrame:
-    """All layers on files: yearly CSV, staging, Silver partition, Gold version.
-
-    The two years differ in header spelling and in separator.
-    """
-    root = scratch_folder(spark, "beds")
-    lineage = [*schemas.STAGED_LINEAGE, *SEQUENCE_COLUMNS]
+def _land(
+    spark: SparkSession,
+    root: str,
+    dataset: CsvDataset,
+    frames: dict[int | None, DataFrame],
+    separators: tuple[str, ...],
+) -> None:
+    """Write raw frames as the dataset's CSV files, then detect and stage them."""
+    hidden = {*schemas.STAGED_LINEAGE, *SEQUENCE_COLUMNS}
     listed = []
-    for (year, rows), separator in zip(raw_beds(spark, folder).items(), (",", ";")):
-        ordered = rows.orderBy("_block_start", "_row_seq").drop(*lineage)
-        path = write_csv(ordered, f"{root}/raw/Leitos_{year}.csv", separator, BEDS_CSV.encoding)
-        listed.append(
-            (BEDS_CSV.name, year, "remote", f"v{year}", None, None, f"h{year}", path, True)
-        )
+    for (year, rows), separator in zip(frames.items(), separators):
+        order = [c for c in SEQUENCE_COLUMNS if c in rows.columns]
+        cells = rows.orderBy(*order) if year is not None else rows
+        name = f"{root}/raw/{dataset.name}_{year}.csv"
+        write_csv(cells.drop(*hidden), name, separator, dataset.encoding)
+        listed.append((dataset.name, year, "remote", f"v{year}", None, None, "h", name, True))
     listing = spark.createDataFrame(listed, manifest.LISTING_SCHEMA)
     nothing = spark.createDataFrame([], manifest.MANIFEST_SCHEMA)
     bronze.ingest_csv(
-        spark, BEDS_CSV, listing, nothing, f"{root}/staged", EXTRACTED, INGESTED
-    )
-    staged = read_yearly(spark, f"{root}/staged/{EXTRACTED.isoformat()}", "leitos", "COMP")
-    cleaned = silver.beds(staged.frames, EXTRACTED, cleansed_at=INGESTED)
-    tables.load_silver(
-        cleaned.df, f"{root}/silver", schemas.BEDS, EXTRACTED, unique_by_construction=True
+        spark, dataset, listing, nothing, f"{root}/staged/{dataset.name}", EXTRACTED, INGESTED
     )
-    fact = gold.fact_beds(read_newest(spark, f"{root}/silver"), snapshot=EXTRACTED)
-    tables.rebuild(fact, f"{root}/gold", schemas.FACT_BEDS)
-    return star.comparable(tables.read_rebuilt(spark, f"{root}/gold"))
+
+
+def _stored_beds(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    """Yearly CSV with two header spellings and two separators, to a Silver partition."""
+    _land(spark, root, BEDS_CSV, raw_beds(spark, folder), (",", ";"))
+    staged = f"{root}/staged/{BEDS_CSV.name}/{EXTRACTED.isoformat()}"
+    years = read_yearly(spark, staged, "leitos", "COMP")
+    cleaned = silver.beds(years.frames, EXTRACTED, cleansed_at=INGESTED).df
+    return _stored(cleaned, f"{root}/silver/beds", schemas.BEDS, unique=True)
+
+
+def _stored_occupancy(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    _land(spark, root, OCCUPANCY_CSV, raw_occupancy(spark, folder), (",", ","))
+    staged = f"{root}/staged/{OCCUPANCY_CSV.name}/{EXTRACTED.isoformat()}"
+    years = read_yearly(spark, staged, "covid_ocupacao")
+    cleaned = silver.occupancy(years.frames, EXTRACTED, cleansed_at=INGESTED).df
+    return _stored(cleaned, f"{root}/silver/occupancy", schemas.OCCUPANCY, unique=True)
+
+
+def _stored_establishments(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    dataset = ESTABLISHMENTS_CSV
+    _land(spark, root, dataset, {None: raw_establishments(spark, folder)}, (";",))
+    staged = f"{root}/staged/{dataset.name}/{EXTRACTED.isoformat()}/{dataset.name}.parquet"
+    cleaned = silver.establishments(read_staged(spark, staged), EXTRACTED, INGESTED).df
+    return _stored(cleaned, f"{root}/silver/establishments", schemas.ESTABLISHMENTS)
+
+
+def _stored_care_units(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    dataset = CARE_UNITS_CSV
+    _land(spark, root, dataset, {None: raw_care_units(spark, folder)}, (";",))
+    staged = f"{root}/staged/{dataset.name}/{EXTRACTED.isoformat()}/{dataset.name}.parquet"
+    cleaned = silver.care_units(read_staged(spark, staged), EXTRACTED, cleansed_at=INGESTED).df
+    return _stored(cleaned, f"{root}/silver/care_units", schemas.CARE_UNITS, unique=True)
+
+
+def _stored(df: DataFrame, path: str, spec: TableSpec, unique: bool = False) -> DataFrame:
+    tables.load_silver(df, path, spec, EXTRACTED, unique_by_construction=unique)
+    return read_newest(df.sparkSession, path)
+
+
+def _rebuilt(df: DataFrame, path: str, spec: TableSpec) -> DataFrame:
+    tables.rebuild(df, path, spec)
+    return tables.read_rebuilt(df.sparkSession, path)
+
+
+@_query
+def landed_beds(spark: SparkSession, folder: str) -> DataFrame:
+    """The bed series through files: CSV, staging, Silver partition, Gold version."""
+    root = scratch_folder(spark, "beds")
+    beds = _stored_beds(spark, folder, root)
+    return star.comparable(_rebuilt(gold.fact_beds(beds), f"{root}/gold", schemas.FACT_BEDS))
 
 
 SQL["landed_beds"] = star.SQL["yearly_fact"]
+
+
+@_query
+def landed_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """All four CSV datasets through files, up to the overload ranking."""
+    root = scratch_folder(spark, "warehouse")
+    dim = _rebuilt(
+        gold.dim_establishment(
+            _stored_establishments(spark, folder, root), _stored_care_units(spark, folder, root)
+        ),
+        f"{root}/gold/dim",
+        schemas.DIM_ESTABLISHMENT,
+    )
+    beds = _rebuilt(
+        gold.fact_beds(_stored_beds(spark, folder, root)), f"{root}/gold/beds", schemas.FACT_BEDS
+    )
+    occupancy = _rebuilt(
+        gold.fact_occupancy(_stored_occupancy(spark, folder, root)),
+        f"{root}/gold/occupancy",
+        schemas.FACT_OCCUPANCY,
+    )
+    pressure = _rebuilt(
+        gold.fact_pressure(occupancy, beds), f"{root}/gold/pressure", schemas.FACT_PRESSURE
+    )
+    return star.comparable(dashboard.overload_ranking(dim, pressure))
+
+
+SQL["landed_ranking"] = star.SQL["overload_ranking"]

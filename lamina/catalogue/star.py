@@ -13,10 +13,12 @@ from lamina.catalogue.inputs import (
     EXTRACTED,
     INGESTED,
     OCCUPANCY_SQL,
+    SHIFT,
     raw_beds,
     raw_care_units,
     raw_establishments,
     raw_occupancy,
+    table,
 )
 from lamina.plans import dashboard, gold, silver
 from lamina.plans.domains import LEGAL_NATURE_ROWS, STATES, UNIT_TYPE_ROWS
@@ -296,6 +298,34 @@ def pressure_fact(spark: SparkSession, folder: str) -> DataFrame:
 SQL["pressure_fact"] = f"WITH {_PRESSURE_SQL} SELECT * FROM pressure"
 
 
+@_query
+def calendar_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Shipments by half-year and weekend through the date dimension.
+
+    The rows are summed per day first; the dimension has a fixed size and is
+    broadcast.
+    """
+    daily = (
+        table(spark, folder, "lineitem")
+        .groupBy(F.expr(f"to_date(l_shipdate + {SHIFT}) AS data"))
+        .agg(F.expr("count(*) AS n"), F.expr("sum(cast(l_quantity AS bigint)) AS quantity"))
+    )
+    return (
+        daily.join(F.broadcast(gold.dim_time(spark)), "data")
+        .groupBy("ano", "semestre", "eh_fim_de_semana", "eh_periodo_covid")
+        .agg(F.expr("sum(n) AS n"), F.expr("sum(quantity) AS quantity"))
+    )
+
+
+SQL["calendar_rollup"] = """
+SELECT year(d)::INTEGER AS ano, CASE WHEN month(d) <= 6 THEN 1 ELSE 2 END AS semestre,
+       isodow(d) >= 6 AS eh_fim_de_semana,
+       d BETWEEN DATE '2020-03-01' AND DATE '2022-12-31' AS eh_periodo_covid,
+       count(*) AS n, sum(l_quantity::BIGINT)::BIGINT AS quantity
+FROM (SELECT (l_shipdate + INTERVAL 25 YEAR)::DATE AS d, l_quantity FROM lineitem)
+GROUP BY 1, 2, 3, 4"""
+
+
 @_query
 def dim_decode(spark: SparkSession, folder: str) -> DataFrame:
     dim = comparable(_dim(spark, folder), "co_cep", "st_centro_cirurgico", "st_atend_ambulatorial")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -28,6 +29,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# One shuffle partition per 256 MB of input, and never so many that the driver's
+# bookkeeping of map outputs becomes the bottleneck; adaptive execution merges
+# what turns out small and splits what turns out large.
+BYTES_PER_PARTITION = 256 << 20
+MOST_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the shuffle partitions to suit the input; never lowers them."""
+    key = "spark.sql.shuffle.partitions"
+    wanted = min(MOST_PARTITIONS, math.ceil(input_bytes / BYTES_PER_PARTITION))
+    chosen = max(int(spark.conf.get(key)), wanted)
+    spark.conf.set(key, chosen)
+    return chosen
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder of the cluster.
 

@@ -23,6 +23,12 @@ def exists(spark: SparkSession, location: str) -> bool:
     return bool(system.exists(path))
 
 
+def size(spark: SparkSession, location: str) -> int:
+    """Bytes below a path."""
+    system, path = _path(spark, location)
+    return int(system.getContentSummary(path).getLength())
+
+
 def delete(spark: SparkSession, location: str) -> bool:
     system, path = _path(spark, location)
     return bool(system.delete(path, True))
