@@ -18,7 +18,6 @@ from lamina.catalogue.inputs import (
     table,
 )
 from lamina.operators import manifest
-from lamina.operators.contracts import TableSpec
 from lamina.operators.digest import file_hashes
 from lamina.plans import bronze, dashboard, gold, schemas, silver
 from lamina.plans.sources import (
@@ -29,10 +28,11 @@ from lamina.plans.sources import (
     VACCINATION_CODE,
     CsvDataset,
 )
+from lamina.plans.warehouse import Warehouse
 from lamina.session import scratch_folder
 from lamina.sinks import tables
 from lamina.sources.raw import SEQUENCE_COLUMNS, read_csv, read_json_pages
-from lamina.sources.staged import read_newest, read_staged, read_yearly
+from lamina.sources.staged import read_newest
 
 QUERIES = {}
 SQL = {}
@@ -223,8 +223,8 @@ def _land(
     dataset: CsvDataset,
     frames: dict[int | None, DataFrame],
     separators: tuple[str, ...],
-) -> None:
-    """Write raw frames as the dataset's CSV files, then detect and stage them."""
+) -> list[tuple]:
+    """Write raw frames as the dataset's CSV files; their rows of the listing."""
     hidden = {*schemas.STAGED_LINEAGE, *SEQUENCE_COLUMNS}
     listed = []
     for (year, rows), separator in zip(frames.items(), separators):
@@ -233,62 +233,30 @@ def _land(
         name = f"{root}/raw/{dataset.name}_{year}.csv"
         write_csv(cells.drop(*hidden), name, separator, dataset.encoding)
         listed.append((dataset.name, year, "remote", f"v{year}", None, None, "h", name, True))
-    listing = spark.createDataFrame(listed, manifest.LISTING_SCHEMA)
-    nothing = spark.createDataFrame([], manifest.MANIFEST_SCHEMA)
-    bronze.ingest_csv(
-        spark, dataset, listing, nothing, f"{root}/staged/{dataset.name}", EXTRACTED, INGESTED
-    )
-
-
-def _stored_beds(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    """Yearly CSV with two header spellings and two separators, to a Silver partition."""
-    _land(spark, root, BEDS_CSV, raw_beds(spark, folder), (",", ";"))
-    staged = f"{root}/staged/{BEDS_CSV.name}/{EXTRACTED.isoformat()}"
-    years = read_yearly(spark, staged, "leitos", "COMP")
-    cleaned = silver.beds(years.frames, EXTRACTED, cleansed_at=INGESTED).df
-    return _stored(cleaned, f"{root}/silver/beds", schemas.BEDS, unique=True)
-
-
-def _stored_occupancy(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    _land(spark, root, OCCUPANCY_CSV, raw_occupancy(spark, folder), (",", ","))
-    staged = f"{root}/staged/{OCCUPANCY_CSV.name}/{EXTRACTED.isoformat()}"
-    years = read_yearly(spark, staged, "covid_ocupacao")
-    cleaned = silver.occupancy(years.frames, EXTRACTED, cleansed_at=INGESTED).df
-    return _stored(cleaned, f"{root}/silver/occupancy", schemas.OCCUPANCY, unique=True)
-
-
-def _stored_establishments(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    dataset = ESTABLISHMENTS_CSV
-    _land(spark, root, dataset, {None: raw_establishments(spark, folder)}, (";",))
-    staged = f"{root}/staged/{dataset.name}/{EXTRACTED.isoformat()}/{dataset.name}.parquet"
-    cleaned = silver.establishments(read_staged(spark, staged), EXTRACTED, INGESTED).df
-    return _stored(cleaned, f"{root}/silver/establishments", schemas.ESTABLISHMENTS)
-
+    return listed
 
-def _stored_care_units(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    dataset = CARE_UNITS_CSV
-    _land(spark, root, dataset, {None: raw_care_units(spark, folder)}, (";",))
-    staged = f"{root}/staged/{dataset.name}/{EXTRACTED.isoformat()}/{dataset.name}.parquet"
-    cleaned = silver.care_units(read_staged(spark, staged), EXTRACTED, cleansed_at=INGESTED).df
-    return _stored(cleaned, f"{root}/silver/care_units", schemas.CARE_UNITS, unique=True)
 
-
-def _stored(df: DataFrame, path: str, spec: TableSpec, unique: bool = False) -> DataFrame:
-    tables.load_silver(df, path, spec, EXTRACTED, unique_by_construction=unique)
-    return read_newest(df.sparkSession, path)
-
-
-def _rebuilt(df: DataFrame, path: str, spec: TableSpec) -> DataFrame:
-    tables.rebuild(df, path, spec)
-    return tables.read_rebuilt(df.sparkSession, path)
+def _ingested(spark: SparkSession, root: str, listed: list[tuple]) -> Warehouse:
+    """A warehouse whose Silver tables hold the landed files."""
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    listing = spark.createDataFrame(listed, manifest.LISTING_SCHEMA)
+    for name in warehouse.ingest(listing, EXTRACTED, INGESTED):
+        warehouse.refresh_silver(name)
+    return warehouse
 
 
 @_query
 def landed_beds(spark: SparkSession, folder: str) -> DataFrame:
-    """The bed series through files: CSV, staging, Silver partition, Gold version."""
+    """The bed series through files: CSV, staging, Silver partition, Gold version.
+
+    The two years differ in header spelling and in separator.
+    """
     root = scratch_folder(spark, "beds")
-    beds = _stored_beds(spark, folder, root)
-    return star.comparable(_rebuilt(gold.fact_beds(beds), f"{root}/gold", schemas.FACT_BEDS))
+    warehouse = _ingested(
+        spark, root, _land(spark, root, BEDS_CSV, raw_beds(spark, folder), (",", ";"))
+    )
+    warehouse.refresh_gold([schemas.FACT_BEDS.name])
+    return star.comparable(warehouse.gold(schemas.FACT_BEDS))
 
 
 SQL["landed_beds"] = star.SQL["yearly_fact"]
@@ -298,25 +266,19 @@ SQL["landed_beds"] = star.SQL["yearly_fact"]
 def landed_ranking(spark: SparkSession, folder: str) -> DataFrame:
     """All four CSV datasets through files, up to the overload ranking."""
     root = scratch_folder(spark, "warehouse")
-    dim = _rebuilt(
-        gold.dim_establishment(
-            _stored_establishments(spark, folder, root), _stored_care_units(spark, folder, root)
-        ),
-        f"{root}/gold/dim",
-        schemas.DIM_ESTABLISHMENT,
-    )
-    beds = _rebuilt(
-        gold.fact_beds(_stored_beds(spark, folder, root)), f"{root}/gold/beds", schemas.FACT_BEDS
-    )
-    occupancy = _rebuilt(
-        gold.fact_occupancy(_stored_occupancy(spark, folder, root)),
-        f"{root}/gold/occupancy",
-        schemas.FACT_OCCUPANCY,
-    )
-    pressure = _rebuilt(
-        gold.fact_pressure(occupancy, beds), f"{root}/gold/pressure", schemas.FACT_PRESSURE
+    establishments = {None: raw_establishments(spark, folder)}
+    units = {None: raw_care_units(spark, folder)}
+    warehouse = _ingested(
+        spark,
+        root,
+        _land(spark, root, ESTABLISHMENTS_CSV, establishments, (";",))
+        + _land(spark, root, CARE_UNITS_CSV, units, (";",))
+        + _land(spark, root, BEDS_CSV, raw_beds(spark, folder), (",", ";"))
+        + _land(spark, root, OCCUPANCY_CSV, raw_occupancy(spark, folder), (",", ",")),
     )
-    return star.comparable(dashboard.overload_ranking(dim, pressure))
+    warehouse.refresh_gold()
+    dim = warehouse.gold(schemas.DIM_ESTABLISHMENT)
+    return star.comparable(dashboard.overload_ranking(dim, warehouse.gold(schemas.FACT_PRESSURE)))
 
 
 SQL["landed_ranking"] = star.SQL["overload_ranking"]

@@ -16,7 +16,7 @@ class ContractViolation(ValueError):
     """The data breaks its contract; nothing may be loaded."""
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class TableSpec:
     """One table: order, types and nullability in ``schema``, checks beside it."""
 

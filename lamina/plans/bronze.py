@@ -1,7 +1,8 @@
 """Staging: landed files to all-string Parquet with lineage columns.
 
-A staging folder ``<root>/<extraction date>/<name>.parquet`` is written once
-and never changed. ``_source_file``, ``_block_start`` and ``_row_seq`` keep the
+A staging folder ``<root>/<extraction date>/<name>.parquet`` belongs to its day:
+later extractions never touch it, and repeating an extraction on the same day
+(after a lost job, say) replaces it. ``_source_file``, ``_block_start`` and ``_row_seq`` keep the
 order of the rows in their source for the later keep-last.
 """
 
@@ -69,7 +70,8 @@ def stage_csv(
                 staged_name(dataset, record["year"]),
             ]
         )
-        stage(with_lineage(rows, record["ingested_at"], record["source_hash"]), target)
+        lineage = with_lineage(rows, record["ingested_at"], record["source_hash"])
+        stage(lineage, target, replace=True)
         written.append((record["year"], target))
     return written
 
@@ -140,7 +142,7 @@ def ingest_vaccination(
         [staging_root.rstrip("/"), extraction_date.isoformat(), f"{source_name}.parquet"]
     )
     lineage = with_lineage(rows, ingested_at, status["digest"])
-    stage(lineage.withColumn("_source_file", F.lit(source_name)), target)
+    stage(lineage.withColumn("_source_file", F.lit(source_name)), target, replace=True)
     return spark.createDataFrame(
         [
             (

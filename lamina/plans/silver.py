@@ -119,7 +119,7 @@ def beds(
         typed = derive(typed, {c: cleaning.clean_text(c) for c in named})
     typed = _tap(counts, typed, "read")
     dated = _tap(counts, typed.where(F.col("comp").rlike(r"^[0-9]{6}\z")), "valid_period")
-    unique = _tap(counts, keep_last(dated, ["comp", "cnes"], ROW_ORDER), "deduplicated")
+    unique = _tap(counts, keep_last(dated, ["cnes", "comp"], ROW_ORDER), "deduplicated")
     # Measures and attributes that no year has are constants: added after the shuffle.
     unique = derive(unique, {m: "0L" for m in measures if m not in declared})
     stamped = _stamp(unique, extraction_date, cleansed_at)

@@ -14,9 +14,10 @@ from lamina.sources import folders
 PUBLISHED = "_PUBLISHED"
 
 
-def stage(df: DataFrame, path: str) -> str:
-    """Write one immutable staging folder; an existing one is never overwritten."""
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+def stage(df: DataFrame, path: str, *, replace: bool = False) -> str:
+    """Write one staging folder; an existing one is an error unless it is replaced."""
+    mode = "overwrite" if replace else "errorifexists"
+    df.write.mode(mode).option("compression", "zstd").parquet(path)
     return path
 
 
