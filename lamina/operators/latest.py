@@ -44,16 +44,17 @@ def latest_snapshot(
 
 
 def latest_snapshot_per(
-    df: DataFrame, by: Sequence[str], column: str = "_extraction_date"
+    df: DataFrame, by: Sequence[str], column: str = "_extraction_date", *, few: bool = False
 ) -> DataFrame:
     """For every value of ``by`` (a year, say) the rows of its newest snapshot.
 
-    The grouped side has one row per ``by`` value and comes from a partial
-    aggregation, so adaptive execution joins it without shuffling ``df``.
+    ``few`` says that a contract bounds the number of ``by`` values, as it does
+    for years. The newest dates are then broadcast and ``df`` is not shuffled;
+    otherwise the join is left to adaptive execution.
     """
     newest = df.groupBy([quoted(k).alias(f"__{k}") for k in by]).agg(
         F.max(quoted(column)).alias("__newest")
     )
     match = [quoted(k).eqNullSafe(F.col(f"__{k}")) for k in by]
     match.append(quoted(column) == F.col("__newest"))
-    return df.join(newest, match, "left_semi")
+    return df.join(F.broadcast(newest) if few else newest, match, "left_semi")

@@ -175,7 +175,7 @@ def fact_beds(
     when an extraction brought only the years that changed.
     """
     if latest_per_year:
-        current = latest_snapshot_per(beds, ["ano_referencia"])
+        current = latest_snapshot_per(beds, ["ano_referencia"], few=True)
     else:
         current = latest_snapshot(beds, value=snapshot)
     facts = current.groupBy(F.expr("cnes AS co_cnes"), "ano_referencia").agg(
@@ -206,7 +206,7 @@ def fact_occupancy(
 ) -> DataFrame:
     """Monthly occupancy and outcomes per establishment, deleted records left out."""
     if latest_per_year:
-        current = latest_snapshot_per(occupancy, ["ano_referencia"])
+        current = latest_snapshot_per(occupancy, ["ano_referencia"], few=True)
     else:
         current = latest_snapshot(occupancy, value=snapshot)
     kept = current.where("NOT coalesce(excluido, false)")

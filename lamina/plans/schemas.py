@@ -218,6 +218,7 @@ FACT_BEDS = TableSpec(
         """
     ),
     key=("co_cnes", "ano_referencia"),
+    partition="ano_referencia",
 )
 
 FACT_OCCUPANCY = TableSpec(
@@ -237,6 +238,7 @@ FACT_OCCUPANCY = TableSpec(
         """
     ),
     key=("co_cnes", "ano_mes"),
+    partition="ano_referencia",
 )
 
 FACT_PRESSURE = TableSpec(
@@ -253,4 +255,5 @@ FACT_PRESSURE = TableSpec(
         """
     ),
     key=("co_cnes", "ano_mes"),
+    partition="ano_referencia",
 )

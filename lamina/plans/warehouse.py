@@ -175,7 +175,7 @@ class Warehouse:
 
     def gold(self, spec: TableSpec) -> DataFrame:
         """The published version of a code table, dimension or fact."""
-        return tables.read_rebuilt(self.spark, self._folder("gold", spec.name))
+        return tables.read_rebuilt(self.spark, self._folder("gold", spec.name), spec)
 
     def refresh_gold(self, names: Collection[str] | None = None) -> dict[str, int]:
         """Rebuild code tables, dimensions and facts; rows per table.

@@ -105,19 +105,31 @@ def rebuild(df: DataFrame, path: str, spec: TableSpec | None = None) -> int:
     target = f"{path.rstrip('/')}/v{number:010d}"
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("errorifexists").option("compression", "zstd").parquet(target)
+    if spec is not None and spec.partition is not None:
+        # Files of even size per partition value; a large value gets several.
+        writer = rows.hint("rebalance", spec.partition).write.partitionBy(spec.partition)
+    else:
+        writer = rows.write
+    writer.mode("errorifexists").option("compression", "zstd").parquet(target)
     if spec is not None:
-        require_unique(spark.read.parquet(target), spec)
+        require_unique(_read(spark, target, spec), spec)
     folders.touch(spark, f"{target}/{PUBLISHED}")
     return written.get["rows"]
 
 
-def read_rebuilt(spark: SparkSession, path: str) -> DataFrame:
-    """The newest published version."""
+def _read(spark: SparkSession, path: str, spec: TableSpec | None) -> DataFrame:
+    # With its schema given, an empty partitioned version can be read as well.
+    if spec is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(spec.schema).parquet(path).select(*spec.columns)
+
+
+def read_rebuilt(spark: SparkSession, path: str, spec: TableSpec | None = None) -> DataFrame:
+    """The newest published version, in the column order of ``spec``."""
     published = _versions(spark, path, published=True)
     if not published:
         raise FileNotFoundError(f"nothing published in {path}")
-    return spark.read.parquet(published[-1])
+    return _read(spark, published[-1], spec)
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:

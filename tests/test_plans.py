@@ -85,6 +85,11 @@ def test_pressure_filters_years_on_both_sides(stored):
     assert plan(fact).count("GreaterThanOrEqual(ano_referencia,2020)") == 2
 
 
+def test_history_by_year_does_not_shuffle_the_table(stored):
+    text = plan(gold.fact_beds(stored["beds"], latest_per_year=True))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_a_hot_key_crosses_the_shuffle_once_per_task(spark):
     rows = spark.range(0, 200_000, 1, 8).selectExpr(
         "if(id % 3 = 0, NULL, cast(id AS string)) AS k", "id AS o"

@@ -255,6 +255,17 @@ def test_rebuild_publishes_only_checked_versions(spark, folder):
     assert tables.read_rebuilt(spark, folder).count() == 4
 
 
+def test_an_empty_partitioned_version_can_be_read(spark, folder):
+    spec = TableSpec(
+        name="f", schema=columns("id bigint not null, y int not null"), key=("id",), partition="y"
+    )
+    some = spark.sql("SELECT 1L AS id, 2021 AS y")
+    assert tables.rebuild(some, folder, spec) == 1
+    assert tables.rebuild(some.where("false"), folder, spec) == 0
+    df = tables.read_rebuilt(spark, folder, spec)
+    assert (df.columns, df.count()) == (["id", "y"], 0)
+
+
 def test_count_rows(spark):
     df = spark.range(10)
     assert tables.count_rows(df) == 10

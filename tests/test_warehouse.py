@@ -102,6 +102,15 @@ def test_first_refresh(refreshed):
     assert warehouse.gold(schemas.DIM_MUNICIPALITY).first()["no_municipio"] == "São Paulo"
 
 
+def test_published_facts_are_pruned_by_year(refreshed):
+    warehouse, *_ = refreshed
+    fact = warehouse.gold(schemas.FACT_BEDS)
+    assert fact.columns == schemas.FACT_BEDS.columns
+    assert fact.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.FACT_BEDS.schema]
+    text = fact.where("ano_referencia = 2021")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano_referencia" in text
+
+
 def test_unchanged_listing_does_nothing(refreshed):
     warehouse, listing, first, *_ = refreshed
     before = warehouse.manifest().count()
