@@ -20,7 +20,8 @@ from lamina.plans.sources import BED_ICU_KINDS, ESTABLISHMENT_NAMES
 
 EXTRACTED = date(2026, 6, 10)
 INGESTED = datetime(2026, 6, 10, 12, 0, tzinfo=timezone.utc)
-SHIFT = "INTERVAL 25 YEARS"
+SHIFT_YEARS = 25
+SHIFT = f"INTERVAL {SHIFT_YEARS} YEARS"
 SPELLING_CHANGE = "1998-01-01"
 
 
@@ -149,7 +150,7 @@ BED_NEW_SPELLING = {
 def raw_beds(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
     """Two staged years in the two header spellings."""
     cells = {
-        "COMP": f"date_format(l_shipdate + {SHIFT}, 'yyyyMM')",
+        "COMP": f"string((year(l_shipdate) + {SHIFT_YEARS}) * 100 + month(l_shipdate))",
         "CNES": "lpad(string(l_partkey), 7, '0')",
         "MUNICIPIO": "if(l_returnflag <> 'A' OR l_linestatus <> 'F',"
         " concat(l_returnflag, l_linestatus), NULL)",
@@ -170,14 +171,15 @@ def raw_beds(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
 
 
 def raw_occupancy(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
-    moment = f"(o_orderdate + {SHIFT})"
+    # Order dates carry no time of day.
+    day = f"add_months(to_date(o_orderdate), {12 * SHIFT_YEARS})"
+    compact = f"year({day}) * 10000 + month({day}) * 100 + day({day})"
     absent = "cast(NULL AS string)"
     cells = {
         "_c0": "'junk'",
-        "_id": f"concat(o_custkey, '-', date_format({moment}, 'yyyyMMdd'))",
+        "_id": f"concat(o_custkey, '-', {compact})",
         "dataNotificacao": "if(o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O',"
-        f" date_format({moment}, 'yyyy'),"
-        f" date_format({moment}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\"))",
+        f" string(year({day})), concat({day}, 'T00:00:00.000Z'))",
         "cnes": "concat(o_custkey, ' ')",
         "ocupacaoSuspeitoCli": absent,
         "ocupacaoSuspeitoUti": absent,

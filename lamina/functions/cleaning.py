@@ -26,6 +26,7 @@ DATE_TIME_SPELLING = (
 )
 
 _BLANKS = "".join(f"\\u{ord(c):04x}" for c in WHITE_SPACE)
+_LONGEST_WORD = max(map(len, NULL_WORDS))
 _WORD_LIST = ", ".join(f"'{word}'" for word in NULL_WORDS)
 
 
@@ -39,9 +40,13 @@ def strip_blank(value: str) -> str:
 
 
 def clean_text(value: str) -> str:
-    """Strip blanks; a sentinel word in any case becomes NULL."""
+    """Strip blanks; a sentinel word in any case becomes NULL.
+
+    The length comes first: a long text is not put into upper case to be compared.
+    """
     stripped = strip_blank(value)
-    return f"if(upper({stripped}) IN ({_WORD_LIST}), NULL, {stripped})"
+    sentinel = f"length({stripped}) <= {_LONGEST_WORD} AND upper({stripped}) IN ({_WORD_LIST})"
+    return f"if({sentinel}, NULL, {stripped})"
 
 
 def parse_float(value: str) -> str:

@@ -19,6 +19,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # The JVM does not compile methods above 8000 bytes of code; the cleaning of
+    # forty columns in one generated method would be interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
