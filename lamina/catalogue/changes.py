@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina.catalogue.inputs import table
 from lamina.operators import manifest
-from lamina.operators.digest import set_digest
+from lamina.operators.digest import BOUNDED_CODES, payload_identity, set_digest
 from lamina.operators.paging import page_items, paged_rows, with_list_key
 from lamina.operators.shaping import align
 
@@ -38,6 +38,20 @@ def payload_digest(spark: SparkSession, folder: str) -> DataFrame:
 SQL["payload_digest"] = _digest_sql("text", "lang", "(SELECT * FROM documents WHERE text <> '')")
 
 
+@_query
+def payload_hash(spark: SparkSession, folder: str) -> DataFrame:
+    """One hash of the sorted document codes per language, while they are few enough."""
+    codes = table(spark, folder, "documents").selectExpr("lang", "string(doc_id) AS code")
+    return payload_identity(codes, "code", ["lang"])
+
+
+_CODES = "(SELECT lang, doc_id::VARCHAR AS code FROM documents)"
+SQL["payload_hash"] = f"""
+SELECT lang, codes, CASE WHEN codes <= {BOUNDED_CODES} THEN hash ELSE digest END AS identity
+FROM (SELECT lang, sha256(string_agg(code, '' ORDER BY code)) AS hash FROM {_CODES} GROUP BY lang)
+JOIN ({_digest_sql("code", "lang", _CODES)}) USING (lang)"""
+
+
 @_query
 def payload_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     """Sources whose documents are still those of the previous extraction."""
@@ -46,12 +60,12 @@ def payload_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     )
     before = documents.where(~((F.col("dataset") == "src3") & (F.col("lang") == "de")))
     known = align(
-        set_digest(before, "code", ["dataset"])
-        .withColumn("source_hash", F.col("digest"))
+        payload_identity(before, "code", ["dataset"])
+        .withColumn("source_hash", F.col("identity"))
         .withColumn("extraction_date", F.lit("2026-06-03")),
         manifest.MANIFEST_SCHEMA,
     )
-    now = set_digest(documents, "code", ["dataset"])
+    now = payload_identity(documents, "code", ["dataset"])
     return manifest.payload_status(now, known).select("dataset", "codes", "status")
 
 

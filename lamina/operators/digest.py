@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1 << 20
 CELL_LIMIT_BYTES = 256 << 20
 
+# Most values whose concatenation is hashed as one: two hundred full API pages.
+BOUNDED_CODES = 200_000
+
 # A 256-bit hash is added up as four 64-bit words. Sums are exact: decimal(38,0)
 # holds 2**62 such words before it could overflow.
 _WORDS = range(4)
@@ -50,6 +53,30 @@ def set_digest(df: DataFrame, code: str, by: Sequence[str] = ()) -> DataFrame:
     return sums.select(*by, "codes", F.sha2(F.concat_ws("|", *parts), 256).alias("digest"))
 
 
+def payload_identity(
+    df: DataFrame, code: str, by: Sequence[str] = (), bound: int = BOUNDED_CODES
+) -> DataFrame:
+    """Identity of the non-empty ``code`` values: ``codes`` and ``identity``.
+
+    Up to ``bound`` values it is the SHA-256 over the sorted, concatenated
+    values, repeats included. That hash cannot be computed in parts, so a larger
+    group, recognised by its count before anything is gathered, has its
+    :func:`set_digest` as identity; either one differs exactly when the values do.
+    """
+    kept = df.where(F.col(code).isNotNull() & (F.col(code) != ""))
+    digests = set_digest(df, code, by)
+    small = F.col("codes") <= bound
+    joined = F.sha2(F.concat_ws("", F.sort_array(F.collect_list(code))), 256).alias("hash")
+    if by:
+        bounded = kept.join(digests.where(small).select(*by), list(by), "left_semi")
+        hashed = digests.join(bounded.groupBy(*by).agg(joined), list(by), "left")
+    else:
+        total = kept.agg(F.count(F.lit(1))).scalar()
+        hashed = digests.withColumn("hash", kept.where(total <= bound).agg(joined).scalar())
+    identity = F.when(small, F.col("hash")).otherwise(F.col("digest"))
+    return hashed.select(*by, "codes", identity.alias("identity"))
+
+
 def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 

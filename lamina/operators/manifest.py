@@ -184,12 +184,12 @@ def latest_extraction_of(manifest: DataFrame, dataset: str) -> tuple[date, str |
     return found["extraction_date"], found["parquet_path"]
 
 
-def payload_status(digests: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Set payloads (``dataset, codes, digest``) against their last digest."""
+def payload_status(identities: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Set payloads (``dataset, codes, identity``) against their last identity."""
     known = keep_last(manifest, ["dataset"], ["extraction_date", "ingested_at"]).select(
-        "dataset", F.col("source_hash").alias("previous_digest")
+        "dataset", F.col("source_hash").alias("previous")
     )
-    return digests.join(known, "dataset", "left").withColumn(
+    return identities.join(known, "dataset", "left").withColumn(
         "status",
-        F.when(same_text(F.col("digest"), F.col("previous_digest")), UNCHANGED).otherwise(NEW),
+        F.when(same_text(F.col("identity"), F.col("previous")), UNCHANGED).otherwise(NEW),
     )

@@ -14,14 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators import digest, manifest
+from lamina.operators.paging import (
+    EMPTY_STREAK_TO_STOP,
+    page_items,
+    paged_rows,
+    with_list_key,
+)
 from lamina.plans.sources import (
     VACCINATION,
     VACCINATION_CODE,
+    VACCINATION_PAGE_SIZE,
     CsvDataset,
 )
-from lamina.sinks.tables import stage
+from lamina.sinks.tables import land_json_text, stage
 from lamina.sources.folders import matching
-from lamina.sources.raw import read_csv, read_csv_detected, read_json_pages
+from lamina.sources.raw import (
+    read_csv,
+    read_csv_detected,
+    read_json_pages,
+    read_page_payloads,
+)
 
 
 def staged_name(dataset: CsvDataset, year: int | None) -> str:
@@ -108,18 +120,42 @@ def ingest_csv(
 
 def vaccination_pages(spark: SparkSession, folder: str, whole_file: bool = True) -> DataFrame:
     """The records of all landed pages, every column a string."""
-    pattern = "page_*.json" if whole_file else "*.json"
+    pattern = "page_*.json" if whole_file else "part-*"
     if not matching(spark, f"{folder.rstrip('/')}/{pattern}"):
         raise FileNotFoundError(f"no pages in {folder}")
     return read_json_pages(spark, f"{folder.rstrip('/')}/{pattern}", whole_file=whole_file)
 
 
 def vaccination_status(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Digest of the document codes and whether it differs from the last one."""
-    found = digest.set_digest(rows, VACCINATION_CODE).withColumn("dataset", F.lit(VACCINATION))
+    """Identity of the document codes and whether it differs from the last one."""
+    found = digest.payload_identity(rows, VACCINATION_CODE)
+    found = found.withColumn("dataset", F.lit(VACCINATION))
     return manifest.payload_status(found, known.where(F.col("dataset") == VACCINATION))
 
 
+def land_api_pages(
+    spark: SparkSession,
+    pages: str,
+    folder: str,
+    *,
+    data_key: str | None = None,
+    empty_streak: int = EMPTY_STREAK_TO_STOP,
+    max_pages: int | None = None,
+) -> str:
+    """Records of saved API answers as JSON lines, at most a page size per file.
+
+    Reading ends at the first run of empty pages, as a reader of the API would.
+    ``data_key`` names the list of records; by default it is found.
+    """
+    answers = read_page_payloads(spark, pages)
+    keyed = with_list_key(answers) if data_key is None else answers.withColumn(
+        "data_key", F.lit(data_key)
+    )
+    items = keyed.withColumn("items", page_items(F.col("payload"), F.col("data_key")))
+    rows = paged_rows(items, empty_streak=empty_streak, max_pages=max_pages)
+    return land_json_text(rows, "item", folder, VACCINATION_PAGE_SIZE)
+
+
 def ingest_vaccination(
     spark: SparkSession,
     folder: str,
@@ -141,7 +177,7 @@ def ingest_vaccination(
     target = "/".join(
         [staging_root.rstrip("/"), extraction_date.isoformat(), f"{source_name}.parquet"]
     )
-    lineage = with_lineage(rows, ingested_at, status["digest"])
+    lineage = with_lineage(rows, ingested_at, status["identity"])
     stage(lineage.withColumn("_source_file", F.lit(source_name)), target, replace=True)
     return spark.createDataFrame(
         [
@@ -153,7 +189,7 @@ def ingest_vaccination(
                 None,
                 None,
                 None,
-                status["digest"],
+                status["identity"],
                 "remote",
                 folder,
                 target,

@@ -146,6 +146,13 @@ def land_json(df: DataFrame, path: str, page_size: int = 1000) -> str:
     return path
 
 
+def land_json_text(df: DataFrame, column: str, path: str, page_size: int = 1000) -> str:
+    """Records that are JSON text already, one per line."""
+    lines = df.select(quoted(column))
+    lines.write.mode("errorifexists").option("maxRecordsPerFile", page_size).text(path)
+    return path
+
+
 def count_rows(df: DataFrame, where: Column | str | None = None) -> int:
     """Row count, optionally of the rows a predicate selects."""
     return (df if where is None else df.where(where)).count()

@@ -159,3 +159,13 @@ def read_json_pages(
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
     )
+
+
+def read_page_payloads(spark: SparkSession, pattern: str) -> DataFrame:
+    """Saved API answers, one per file, as ``page`` (number in the name) and ``payload``."""
+    if not matching(spark, pattern):
+        raise FileNotFoundError(pattern)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1)
+    return spark.read.text(pattern, wholetext=True).select(
+        number.cast("bigint").alias("page"), F.col("value").alias("payload")
+    )

@@ -431,6 +431,25 @@ def test_vaccination(spark, tmp_path):
         bronze.vaccination_pages(spark, f"{tmp_path}/none")
 
 
+def test_api_pages_to_staging(spark, tmp_path):
+    from lamina.operators.manifest import MANIFEST_SCHEMA
+
+    answers = [["a", "b"], [], ["c"], [], [], [], ["late"]]
+    for number, codes in enumerate(answers):
+        records = ", ".join(f'{{"codigo_documento": "{c}", "n": {number}}}' for c in codes)
+        (tmp_path / f"answer_{number:04d}.json").write_text(f'{{"ok": true, "doses": [{records}]}}')
+    root = scratch_folder(spark, "api")
+    landed = bronze.land_api_pages(spark, f"{tmp_path}/answer_*.json", f"{root}/raw")
+    nothing = spark.createDataFrame([], MANIFEST_SCHEMA)
+    # JSON lines as text files
+    rows = spark.read.option("primitivesAsString", True).json(landed)
+    assert sorted(tuple(r) for r in rows.collect()) == [("a", "0"), ("b", "0"), ("c", "2")]
+    record = bronze.ingest_vaccination(
+        spark, landed, nothing, f"{root}/staged", "pni", DAY, NOW, whole_file=False
+    )
+    assert spark.read.parquet(record.first()["parquet_path"]).count() == 3
+
+
 def test_incremental_ingest_keeps_unchanged_years(spark, tmp_path):
     from lamina.operators import manifest
     from lamina.sources.staged import read_years_of_manifest

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
@@ -198,8 +199,21 @@ def test_set_digest_of_nothing(spark):
     assert digest.set_digest(empty, "c").first()["codes"] == 0
 
 
+def test_payload_identity_is_the_hash_of_the_sorted_codes(spark):
+    codes = ["b", "é", "a", "B", "a", "", None]
+    expected = hashlib.sha256("".join(sorted(c for c in codes if c)).encode()).hexdigest()
+    df = spark.createDataFrame([(i % 2, c) for i, c in enumerate(codes)], "g int, c string")
+    whole = digest.payload_identity(df, "c").first()
+    assert (whole["codes"], whole["identity"]) == (5, expected)
+    beyond = digest.payload_identity(df, "c", bound=4).first()
+    assert beyond["identity"] == digest.set_digest(df, "c").first()["digest"] != expected
+    groups = {r["g"]: r["identity"] for r in digest.payload_identity(df, "c", ["g"], bound=2).collect()}
+    assert groups[1] == hashlib.sha256("Bé".encode()).hexdigest()
+    large = digest.set_digest(df, "c", ["g"]).where("g = 0").first()
+    assert (large["codes"], groups[0]) == (3, large["digest"])
+
+
 def test_file_hashes(spark, tmp_path):
-    import hashlib
 
     content = {f"f{i}.bin": bytes([i]) * (i * 700_000 + 1) for i in range(4)}
     for name, data in content.items():
