@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lamina.operators.shaping import ticked
 from lamina.plans.domains import STATES
-from lamina.plans.sources import BED_ICU_KINDS, ESTABLISHMENT_NAMES
+from lamina.plans.sources import BED_ICU_KINDS, BED_PLAIN, ESTABLISHMENT_NAMES
 
 EXTRACTED = date(2026, 6, 10)
 INGESTED = datetime(2026, 6, 10, 12, 0, tzinfo=timezone.utc)
@@ -159,6 +159,9 @@ def raw_beds(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
         "UTI TOTAL - EXIST": "if(l_discount = 0, '0', string(l_linenumber))",
         "UTI TOTAL - SUS": "if(l_returnflag = 'N', 'x', string(l_linenumber))",
     }
+    measured = ("LEITOS_EXISTENTES", "LEITOS_SUS")
+    empty = [c for c in BED_PLAIN if c not in cells and c not in measured]
+    cells |= {c: "cast(NULL AS string)" for c in empty}
     item = table(spark, folder, "lineitem")
     order = (
         "l_orderkey AS _block_start",

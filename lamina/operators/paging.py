@@ -56,12 +56,9 @@ def pages_before_stop(
     over all pages. Page numbers are offsets starting at 0 without gaps.
     """
     empty = pages.where(F.size(items) == 0).select(*by, page)
-    votes = empty.select(
-        *by,
-        F.explode(
-            F.sequence(F.col(page), F.col(page) + F.lit(empty_streak - 1).cast("bigint"))
-        ).alias(page),
-    )
+    number = F.col(page).cast("bigint")
+    reach = F.sequence(number, number + F.lit(empty_streak - 1).cast("bigint"))
+    votes = empty.select(*by, F.explode(reach).alias(page))
     stops = (
         votes.groupBy(*by, page)
         .agg(F.count(F.lit(1)).alias("votes"))

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import cleaning, geo
-from lamina.operators.contracts import TableSpec
 from lamina.operators.latest import keep_last
 from lamina.operators.quality import RowCounts
 from lamina.operators.shaping import (
@@ -120,22 +119,16 @@ def beds(
     typed = _tap(counts, typed, "read")
     dated = _tap(counts, typed.where(F.col("comp").rlike(r"^[0-9]{6}\z")), "valid_period")
     unique = _tap(counts, keep_last(dated, ["cnes", "comp"], ROW_ORDER), "deduplicated")
-    # Measures and attributes that no year has are constants: added after the shuffle.
+    # A measure that no year has is a constant: added after the shuffle.
     unique = derive(unique, {m: "0L" for m in measures if m not in declared})
     stamped = _stamp(unique, extraction_date, cleansed_at)
     return SilverTable(
-        conform(_fill_absent(stamped, schemas.BEDS), schemas.BEDS.schema),
+        conform(stamped, schemas.BEDS.schema),
         processed_years=sorted(frames),
         skipped_years=sorted(skipped_years or []),
     )
 
 
-def _fill_absent(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Nullable columns that no year of the series has at all."""
-    absent = [f for f in spec.schema.fields if f.nullable and f.name not in df.columns]
-    return derive(df, {f.name: f"cast(NULL AS {f.dataType.simpleString()})" for f in absent})
-
-
 def occupancy(
     frames: Mapping[int, DataFrame],
     extraction_date: date,

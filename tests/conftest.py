@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import sys
+import time
 from datetime import date, datetime, timezone
 from pathlib import Path
 
@@ -11,6 +13,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from lamina.session import SETTINGS  # noqa: E402
 
+os.environ["TZ"] = "UTC"  # collected timestamps are in the local zone
+time.tzset()
+
 DAY = date(2026, 6, 10)
 NOW = datetime(2026, 6, 10, 12, 0, tzinfo=timezone.utc)
 
@@ -57,3 +62,18 @@ def staged(spark, rows, columns, source="file.csv"):
         f"'{source}' AS _source_file",
         "'hash' AS _source_hash",
     )
+
+
+def bed_columns(given):
+    """The given bed headers and, behind them, the attributes they leave out."""
+    from lamina.plans.sources import BED_NAMES, BED_PLAIN
+
+    present = {BED_NAMES.get(c) for c in given}
+    measures = {"LEITOS_EXISTENTES", "LEITOS_SUS"}
+    return [*given, *(c for c in BED_PLAIN if BED_NAMES[c] not in present and c not in measures)]
+
+
+def staged_beds(spark, rows, columns, source="file.csv"):
+    every = bed_columns(columns)
+    padded = [(*row, *[None] * (len(every) - len(columns))) for row in rows]
+    return staged(spark, padded, every, source)

@@ -6,7 +6,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import DAY, NOW, staged
+from conftest import DAY, NOW, bed_columns, staged, staged_beds
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ def test_name_maps_are_complete():
 
 def test_beds_across_years(spark):
     frames = {
-        2020: staged(
+        2020: staged_beds(
             spark,
             [
                 ("202001", "0000001", "A", "10", "x", "1"),
@@ -49,7 +49,7 @@ def test_beds_across_years(spark):
             ],
             OLD,
         ),
-        2021: staged(
+        2021: staged_beds(
             spark,
             [("202012", "0000001", "C", "30", "7", "4", "?"), ("202101", "2", "C", "1", "", "0", "?")],
             NEW,
@@ -73,15 +73,21 @@ def test_beds_across_years(spark):
 
 
 def test_beds_options(spark):
-    frame = staged(spark, [("202001", " 12 ", " nulo ", "1", "1", "1")], OLD)
+    frame = staged_beds(spark, [("202001", " 12 ", " nulo ", "1", "1", "1")], OLD)
     plain = silver.beds({2020: frame}, DAY).df.first()
     tidy = silver.beds({2020: frame}, DAY, normalize_keys=True, clean_names=True).df.first()
     assert (plain["cnes"], plain["municipio"]) == (" 12 ", " nulo ")
     assert (tidy["cnes"], tidy["municipio"]) == ("0000012", None)
 
 
+def test_an_attribute_that_no_year_has_is_an_error(spark):
+    frame = staged_beds(spark, [("202001", "1", "A", "1", "1", "1")], OLD).drop("REGIAO")
+    with pytest.raises(MissingColumns, match="regiao"):
+        silver.beds({2020: frame}, DAY)
+
+
 def test_negative_beds_break_the_contract(spark):
-    frame = staged(spark, [("202001", "1", "A", "-1", "1", "1")], OLD)
+    frame = staged_beds(spark, [("202001", "1", "A", "-1", "1", "1")], OLD)
     made = silver.beds({2020: frame}, DAY).df
     with pytest.raises(contracts.ContractViolation, match="leitos_existentes"):
         contracts.validate(made, schemas.BEDS)
@@ -263,7 +269,7 @@ def test_dim_municipality(spark):
     establishments, units = gold_inputs(spark)
     beds = silver.beds(
         {
-            2020: staged(
+            2020: staged_beds(
                 spark,
                 [
                     (f"2020{month:02d}", cnes, name, "1", "1", "1")
@@ -292,7 +298,7 @@ def test_dim_municipality(spark):
 
 def test_one_municipality_under_two_states_aborts(spark):
     establishments, units = gold_inputs(spark)
-    beds = silver.beds({2020: staged(spark, [], OLD)}, DAY).df
+    beds = silver.beds({2020: staged_beds(spark, [], OLD)}, DAY).df
     dim = gold.dim_municipality(establishments, beds, units)
     assert dim.count() == 2
     with pytest.raises(contracts.ContractViolation, match="350010"):
@@ -314,7 +320,7 @@ def test_dim_time(spark):
 def fact_inputs(spark):
     beds = silver.beds(
         {
-            2021: staged(
+            2021: staged_beds(
                 spark,
                 [
                     (f"2021{m:02d}", "0000012", "A", "10", "1" if m == 8 else "0", "10")
@@ -331,7 +337,12 @@ def fact_inputs(spark):
             2021: occupancy_frame(
                 spark,
                 [
-                    notification(_id="1", ocupacaoCovidUti="11", saidaConfirmadaObitos="1", saidaConfirmadaAltas="2"),
+                    notification(
+                        _id="1",
+                        ocupacaoCovidUti="11",
+                        saidaConfirmadaObitos="1",
+                        saidaConfirmadaAltas="2",
+                    ),
                     notification(_id="2", ocupacaoCovidUti="5"),
                     notification(_id="3", ocupacaoCovidUti="99", excluido="True"),
                     notification(_id="4", cnes="13", ocupacaoCovidUti="5", excluido="False"),
@@ -385,7 +396,8 @@ def test_month_and_year_agree_at_the_year_boundary(spark):
 
 def test_latest_per_year_keeps_the_history(spark):
     beds, _ = fact_inputs(spark)
-    second = silver.beds({2022: staged(spark, [("202201", "0000012", "A", "7", "7", "7")], OLD)}, date(2026, 6, 17)).df
+    newer = staged_beds(spark, [("202201", "0000012", "A", "7", "7", "7")], OLD)
+    second = silver.beds({2022: newer}, date(2026, 6, 17)).df
     both = beds.unionByName(second)
     assert {r["ano_referencia"] for r in gold.fact_beds(both).collect()} == {2022}
     kept = gold.fact_beds(both, latest_per_year=True).collect()
@@ -465,9 +477,15 @@ def test_incremental_ingest_keeps_unchanged_years(spark, tmp_path):
             rows.append(("leitos", year, "remote", tag, None, None, f"{year}{tag}", str(path), True))
         return spark.createDataFrame(rows, manifest.LISTING_SCHEMA)
 
+    def csv(separator, *rows):
+        columns = bed_columns(["COMP", "CNES", "MUNICIPIO"])
+        lines = [separator.join([*row, *[""] * (len(columns) - len(row))]) for row in rows]
+        return "\n".join([separator.join(columns), *lines]) + "\n"
+
+    sao_paulo = csv(",", ("202001", "0000001", "São Paulo"))
     first = listing(
-        y2020=("v1", "COMP,CNES,MUNICIPIO\n202001,0000001,São Paulo\n"),
-        y2021=("v1", "COMP;CNES\n202101;0000001\n"),
+        y2020=("v1", sao_paulo),
+        y2021=("v1", csv(";", ("202101", "0000001"))),
         y2022=("v1", "OUTRA|COISA\n1|2\n"),
     )
     table = spark.createDataFrame([], manifest.MANIFEST_SCHEMA)
@@ -477,8 +495,8 @@ def test_incremental_ingest_keeps_unchanged_years(spark, tmp_path):
 
     later = date(2026, 6, 17)
     second = listing(
-        y2020=("v1", "COMP,CNES,MUNICIPIO\n202001,0000001,São Paulo\n"),
-        y2021=("v2", "COMP;CNES\n202101;0000001\n202102;0000001\n"),
+        y2020=("v1", sao_paulo),
+        y2021=("v2", csv(";", ("202101", "0000001"), ("202102", "0000001"))),
         y2022=("v1", "OUTRA|COISA\n1|2\n"),
     )
     records = bronze.ingest_csv(spark, sources.BEDS_CSV, second, table, root, later, NOW)

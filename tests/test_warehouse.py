@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import DAY, NOW
+from conftest import DAY, NOW, bed_columns
 
 from lamina.operators import manifest
 from lamina.plans import bronze, dashboard, schemas, sources
@@ -34,8 +34,9 @@ def units(*codes):
 
 
 def beds(separator, *rows):
-    names = ["COMP", "CNES", "MUNICIPIO", "LEITOS EXISTENTE", "UTI TOTAL - EXIST"]
-    return "\n".join([separator.join(names), *(separator.join(r) for r in rows)]) + "\n"
+    names = bed_columns(["COMP", "CNES", "MUNICIPIO", "LEITOS EXISTENTE", "UTI TOTAL - EXIST"])
+    lines = [separator.join([*row, *[""] * (len(names) - len(row))]) for row in rows]
+    return "\n".join([separator.join(names), *lines]) + "\n"
 
 
 def occupancy(*rows):
@@ -132,7 +133,8 @@ def test_an_extraction_can_be_repeated_after_a_lost_job(refreshed, spark):
 
 def test_one_changed_year(refreshed):
     warehouse, listing, first, *_ = refreshed
-    text = beds(";", ("202105", "0000012", "São Paulo", "9", "5"), ("202106", "0000012", "São Paulo", "9", "5"))
+    may, june = (("2021" + m, "0000012", "São Paulo", "9", "5") for m in ("05", "06"))
+    text = beds(";", may, june)
     second = {**first, "b21": ("leitos", 2021, "v2", text, "ISO-8859-1")}
     assert warehouse.ingest(listing(**second), LATER, NOW.replace(day=18)) == ["leitos"]
     load = warehouse.refresh_silver("leitos")
