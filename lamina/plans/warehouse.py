@@ -168,6 +168,10 @@ class Warehouse:
         """Newest snapshot of a Silver table."""
         return staged.read_newest(self.spark, self._folder("silver", name))
 
+    def snapshot(self, name: str) -> date:
+        """Its extraction date, from the folder names."""
+        return staged.newest_partition(self.spark, self._folder("silver", name))
+
     # --- Gold ---------------------------------------------------------------
 
     def _rebuild(self, df: DataFrame, spec: TableSpec) -> int:
@@ -189,13 +193,25 @@ class Warehouse:
             schemas.LEGAL_NATURES: lambda: domains.legal_natures(self.spark),
             schemas.DIM_TIME: lambda: gold.dim_time(self.spark),
             schemas.DIM_ESTABLISHMENT: lambda: gold.dim_establishment(
-                self.silver(establishments), self.silver(units)
+                self.silver(establishments),
+                self.silver(units),
+                snapshot=self.snapshot(establishments),
+                care_unit_snapshot=self.snapshot(units),
             ),
             schemas.DIM_MUNICIPALITY: lambda: gold.dim_municipality(
-                self.silver(establishments), self.silver(beds), self.silver(units)
+                self.silver(establishments),
+                self.silver(beds),
+                self.silver(units),
+                snapshot=self.snapshot(establishments),
+                bed_snapshot=self.snapshot(beds),
+                care_unit_snapshot=self.snapshot(units),
+            ),
+            schemas.FACT_BEDS: lambda: gold.fact_beds(
+                self.silver(beds), snapshot=self.snapshot(beds)
+            ),
+            schemas.FACT_OCCUPANCY: lambda: gold.fact_occupancy(
+                self.silver(occupancy), snapshot=self.snapshot(occupancy)
             ),
-            schemas.FACT_BEDS: lambda: gold.fact_beds(self.silver(beds)),
-            schemas.FACT_OCCUPANCY: lambda: gold.fact_occupancy(self.silver(occupancy)),
             schemas.FACT_PRESSURE: lambda: gold.fact_pressure(
                 self.gold(schemas.FACT_OCCUPANCY), self.gold(schemas.FACT_BEDS)
             ),
