@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from lamina.llm import simhash
+from lamina.llm import bpe, packing, simhash, token_files
 
 QUERIES = {
+    "op2_bpe_rank_array": bpe.query,
+    "op5_directly_addressable_codes": token_files.query,
     "op7_simhash_anchors": simhash.query,
+    "op10_linear_grouping": packing.query,
 }
 
 SQL: dict[str, str] = {}
