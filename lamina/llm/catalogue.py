@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, packing, simhash, token_files
+from lamina.llm import bpe, licenses, nearest, packing, simhash, spotsigs, token_files
 
 QUERIES = {
+    "op1_multi_index_hashing": nearest.query,
     "op2_bpe_rank_array": bpe.query,
+    "op3_spot_signatures": spotsigs.query,
     "op5_directly_addressable_codes": token_files.query,
     "op7_simhash_anchors": simhash.query,
+    "op8_signature_rules": licenses.query,
     "op10_linear_grouping": packing.query,
 }
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.session import scratch_folder
 
 # Whole texts travel in Arrow batches; few rows keep a batch of long ones small.
 ROWS_PER_BATCH = 256
+NO_ID = np.iinfo(np.int64).min  # stands for a null id where rows are put in order; sorts first
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,28 +43,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def id_ranges(df: DataFrame, column: str, rows_per_range: int) -> list[int]:
-    """Lower bounds of ranges of about equal row counts; the driver gets one number a range."""
-    spark = df.sparkSession
+def id_ranges(df: DataFrame, column: str, rows_per_range: int) -> tuple[DataFrame, dict[int, int]]:
+    """``df`` with ``range``, numbers of ranges of about so many rows each, and their first ids.
+
+    The driver gets one id a range, as Spark's own range partitioner does.
+    """
     total = df.count()
-    ranges = max(spark.sparkContext.defaultParallelism, math.ceil(total / rows_per_range))
-    shares = [i / ranges for i in range(1, ranges)]
-    if not total or not shares:
-        return []
-    cuts = df.agg(F.percentile_approx(column, shares, 10 * ranges)).first()[0] or []
-    return sorted(set(cuts))
-
-
-def range_of(column: str, cuts: list[int]) -> Column:
-    """Number of cuts at or below the id; null ids sort first."""
-    if not cuts:
-        return F.lit(0)
-    # The array is sorted, so the bounds at or below are its first ones.
-    bounds = F.array(*map(F.lit, cuts)) if len(cuts) < 64 else F.lit(cuts)
-    return F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col(column))), F.lit(0))
-
-
-def frames_of(batches: Iterator, *columns: str) -> Iterator[tuple]:
-    for pdf in batches:
-        if len(pdf):
-            yield tuple(pdf[c] for c in columns)
+    ranges = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / rows_per_range))
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    found = df.agg(F.percentile_approx(column, shares, 10 * ranges)).first()[0] or []
+    cuts = np.unique(np.array(found, np.int64))
+
+    @F.pandas_udf("int")
+    def number(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, ids, "right"))
+
+    dealt = df.withColumn("range", number(column))
+    firsts = dealt.groupBy("range").agg(F.min(column).alias("first")).collect()
+    return dealt, {r["range"]: r["first"] for r in sorted(firsts)}

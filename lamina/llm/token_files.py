@@ -25,7 +25,6 @@ from lamina.session import scratch_folder
 END = 1  # id that ends a document
 TOKENS_PER_BLOCK = 1 << 20
 BLOCKS = "part int, within long, n_docs long, n_tokens long, doc_ids binary, ends binary, codes binary"
-NO_ID = np.iinfo(np.int64).min  # stands for a null id, which sorts first
 
 
 def _blocks(tokenizer: str, end: int, bits: int):
@@ -76,7 +75,7 @@ def write(
     frames.small_batches(docs.sparkSession)
     ordered = (
         frames.whole_text(docs)
-        .withColumn("doc_id", F.coalesce("doc_id", F.lit(int(NO_ID))))
+        .withColumn("doc_id", F.coalesce("doc_id", F.lit(int(frames.NO_ID))))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
@@ -108,8 +107,8 @@ def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             tokens = codes.run(0, len(codes)).astype("<u4").tobytes()
             yield pd.DataFrame(
                 {
-                    "doc_id": pd.array(np.where(ids == NO_ID, 0, ids), "Int64").copy(),
-                    "unnamed": ids == NO_ID,
+                    "doc_id": pd.array(np.where(ids == frames.NO_ID, 0, ids), "Int64").copy(),
+                    "unnamed": ids == frames.NO_ID,
                     "start": row.start + begins,
                     "n_tokens": ends - begins,
                     "ids": [tokens[4 * i : 4 * j] for i, j in zip(begins.tolist(), ends.tolist())],
