@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, licenses, nearest, packing, simhash, spotsigs, token_files
+from lamina.llm import bpe, licenses, line_dedup, nearest, packing, simhash, spotsigs, token_files
 
 QUERIES = {
     "op1_multi_index_hashing": nearest.query,
     "op2_bpe_rank_array": bpe.query,
     "op3_spot_signatures": spotsigs.query,
+    "op4_exact_line_join": line_dedup.query,
     "op5_directly_addressable_codes": token_files.query,
     "op7_simhash_anchors": simhash.query,
     "op8_signature_rules": licenses.query,
     "op10_linear_grouping": packing.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_exact_line_join": line_dedup.SQL,
+}
