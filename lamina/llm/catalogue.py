@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, licenses, line_dedup, nearest, packing, simhash, spotsigs, token_files
+from lamina.llm import bpe, licenses, line_dedup, nearest, packing, pii, simhash, spotsigs, token_files
 
 QUERIES = {
     "op1_multi_index_hashing": nearest.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_directly_addressable_codes": token_files.query,
     "op7_simhash_anchors": simhash.query,
     "op8_signature_rules": licenses.query,
+    "op9_candidate_boosting": pii.query,
     "op10_linear_grouping": packing.query,
 }
 
