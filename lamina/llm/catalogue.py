@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.llm import bpe, licenses, line_dedup, nearest, packing, pii, simhash, spotsigs, token_files
+from lamina.llm import bpe, licenses, line_dedup, nearest, packing, pii, quality, simhash, spotsigs, token_files
 
 QUERIES = {
     "op1_multi_index_hashing": nearest.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_spot_signatures": spotsigs.query,
     "op4_exact_line_join": line_dedup.query,
     "op5_directly_addressable_codes": token_files.query,
+    "op6_attention_mil": quality.query,
     "op7_simhash_anchors": simhash.query,
     "op8_signature_rules": licenses.query,
     "op9_candidate_boosting": pii.query,

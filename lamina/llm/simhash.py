@@ -243,7 +243,7 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` of every row.
+    """``doc_id``, ``fp``, ``group`` (a fingerprint) and ``component_id`` of every row.
 
     ``component_id`` is the smallest id that links reach, the row's own
     included. Texts without a word have fingerprint zero and link like others.
@@ -268,19 +268,29 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "fp", "first", F.coalesce("component", "fp").alias("label")
     )
     least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = classes.join(least, "label").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = classes.join(least, "label").select("fp", F.col("label").alias("group"), "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "group", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each group of near duplicates the row with the smallest id, all columns kept.
 
-    Rows without an id stay only where no row of their group has one. Of
-    several rows with the kept id, one stays.
+    Of several rows with that id one stays. Rows without an id stay only where
+    no row of their group has one: one of them for each group.
     """
-    found = groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(docs.columns)
+    found = groups(docs, id_col, text_col)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    named = docs.join(kept, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
+    nameless = found.where("component_id IS NULL").select(F.col("fp").alias("__fp"), "group").distinct()
+    own_print = F.pandas_udf(_own_prints, "long")(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rest = docs.where(F.col(id_col).isNull()).withColumn("__fp", own_print).join(
+        nameless.withColumnRenamed("group", "__group"), "__fp"
+    )
+    return named.select(docs.columns).union(rest.dropDuplicates(["__group"]).select(docs.columns))
+
+
+def _own_prints(texts: pd.Series) -> pd.Series:
+    return pd.Series(_signed(np.fromiter(map(fingerprint, texts), np.uint64, len(texts))))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
