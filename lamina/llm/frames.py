@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.session import scratch_folder
@@ -32,6 +32,16 @@ def whole_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def as_row(docs: DataFrame) -> Column:
+    """All columns as one, ``row``, so that no name a stage adds can clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def from_row(columns: list[str], changed: dict[str, Column]) -> list[Column]:
+    """The columns back from ``row``, some of them changed."""
+    return [(changed[c] if c in changed else F.col("row")[c]).alias(c) for c in columns]
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows from a table in the shared folder, computed once.
 

@@ -156,20 +156,19 @@ def dedup(docs: DataFrame) -> DataFrame:
     A null text stays null, an empty one empty, and a document may become
     empty. Rows that repeat an id lose the same lines. No rows, no result.
     """
-    gone = _by_document(docs).select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone"))
-    joined = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))).join(
-        gone, "__doc", "left"
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc")
+    joined = docs.select(frames.as_row(docs), doc, F.col("text").cast("string").alias("text")).join(
+        _by_document(docs), "doc", "left"
     )
-    split = joined.withColumn("__lines", F.split(F.col("text").cast("string"), "\n"))
-    kept = F.expr(
-        "array_join(transform(array_except(sequence(0, size(__lines) - 1), __gone), i -> __lines[i]), '\\n')"
-    )
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)
-    out = split.withColumn("text", text)
+    split = joined.withColumn("lines", F.split("text", "\n"))
+    kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), gone), i -> lines[i]), '\\n')")
+    untouched = F.col("gone").isNull()
+    out = split.withColumn("text", F.when(untouched, F.col("text")).otherwise(kept))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(chars))
-    return out.select(docs.columns)
+        changed["n_chars"] = F.when(untouched, F.col("row")["n_chars"]).otherwise(chars)
+    return out.select(frames.from_row(docs.columns, changed))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,14 +279,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     no row of their group has one: one of them for each group.
     """
     found = groups(docs, id_col, text_col)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.join(kept, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
-    nameless = found.where("component_id IS NULL").select(F.col("fp").alias("__fp"), "group").distinct()
-    own_print = F.pandas_udf(_own_prints, "long")(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    rest = docs.where(F.col(id_col).isNull()).withColumn("__fp", own_print).join(
-        nameless.withColumnRenamed("group", "__group"), "__fp"
-    )
-    return named.select(docs.columns).union(rest.dropDuplicates(["__group"]).select(docs.columns))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(frames.as_row(docs), F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    named = rows.drop("text").join(kept, "id", "left_semi").dropDuplicates(["id"])
+    nameless = found.where("component_id IS NULL").select("fp", "group").distinct()
+    own_print = F.pandas_udf(_own_prints, "long")("text").alias("fp")
+    rest = rows.where("id IS NULL").select("row", own_print).join(nameless, "fp").dropDuplicates(["group"])
+    return named.select("row").union(rest.select("row")).select("row.*")
 
 
 def _own_prints(texts: pd.Series) -> pd.Series:
