@@ -32,15 +32,14 @@ SHARED, UNITED = 5, 4
 TRACKED, FREQUENT = 8192, 1024
 LEVELS = 7
 
+# A word is fetched by its place: slice() would copy the line for every token.
+_RUN = ", ".join(f"words[i + {k}]" for k in range(WORDS_PER_TOKEN))
+_PLACES = f"sequence(0, greatest(size(words) - {WORDS_PER_TOKEN}, 0))"
 _TOKENS = (
-    f"IF(size(words) < {WORDS_PER_TOKEN}, array(line), "
-    f"transform(sequence(1, greatest(size(words) - {WORDS_PER_TOKEN - 1}, 1)), "
-    f"i -> array_join(slice(words, i, {WORDS_PER_TOKEN}), ' ')))"
+    f"IF(size(words) < {WORDS_PER_TOKEN}, array(line), transform({_PLACES}, i -> concat_ws(' ', {_RUN})))"
 )
 _HASHES = (
-    f"IF(size(words) < {WORDS_PER_TOKEN}, array(xxhash64(words)), "
-    f"transform(sequence(1, greatest(size(words) - {WORDS_PER_TOKEN - 1}, 1)), "
-    f"i -> xxhash64(slice(words, i, {WORDS_PER_TOKEN}))))"
+    f"IF(size(words) < {WORDS_PER_TOKEN}, array(xxhash64(line)), transform({_PLACES}, i -> xxhash64({_RUN})))"
 )
 
 
@@ -51,7 +50,7 @@ def lines(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
-        F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("place", "line"),
+        F.posexplode_outer(F.split(F.col("text").cast("string"), "\n")).alias("place", "line"),
     )
     return texts.where("trim(line) != ''").selectExpr(
         "doc", "place", "line", "xxhash64(line) AS k1", "xxhash64(line, 1) AS k2"
@@ -64,7 +63,8 @@ def _tokens(found: DataFrame, expression: str, name: str) -> DataFrame:
 
 def _levels(found: DataFrame) -> list[list[int]]:
     """Hashes of frequent tokens, those of each level of their counts, from a sketch of all."""
-    spread = _tokens(found, _HASHES, "hashes").select(F.explode("hashes").alias("h"))
+    # explode() would add a filter on the array's size that computes it again, word by word.
+    spread = _tokens(found, _HASHES, "hashes").select(F.explode_outer("hashes").alias("h"))
     top = spread.agg(F.expr(f"approx_top_k(h, {FREQUENT}, {TRACKED})").alias("top")).first()["top"] or []
     levels: list[list[int]] = [[] for _ in range(LEVELS)]
     for row in top:
