@@ -2,8 +2,8 @@
 
 A text becomes its words: lower case, runs of letters, digits and characters
 beyond ASCII. A rule is a pattern over these words with a label, a priority
-and the words that every match holds. Rules are tried only if all of their
-words stand in the text. Of overlapping detections, one that lies within
+and keywords, one of which every match holds. Only rules with a keyword in the
+text are tried. Of overlapping detections, one that lies within
 another of higher priority, or within a longer or earlier one of its own, goes.
 """
 
@@ -159,20 +159,32 @@ class Rule:
     label: str
     priority: int
     pattern: re.Pattern
-    words: frozenset[str]  # all of them stand in every match
+    words: frozenset[str]  # every match holds one of them; none: nothing to ask for
 
 
-def _certain_words(pattern: str) -> frozenset[str]:
-    """Words of a pattern outside groups, classes and repeats."""
-    flat = pattern
-    while (shorter := re.sub(r"\[[^\[\]]*\]|\([^()]*\)[?*]?(\{[^}]*\})?", "~", flat)) != flat:
-        flat = shorter
-    flat = re.sub(r"\.\{[^}]*\}\??", "~", flat)
-    return frozenset(w for w in flat.split(" ") if re.fullmatch("[0-9a-z]+", w))
+def _spellings(pattern: str) -> set[str]:
+    """The pattern with each of its groups replaced by each alternative, or by none if optional."""
+    group = re.search(r"\(([^()]*)\)(\?|\{[^}]*\})?", pattern)
+    if not group:
+        return {pattern}
+    choices = group[1].split("|") + [""] * (group[2] == "?")
+    return {s for c in choices for s in _spellings(pattern[: group.start()] + c + pattern[group.end() :])}
+
+
+def _words_of_every_match(pattern: str) -> frozenset[str]:
+    """The longest plain word of each spelling; empty if some spelling has none."""
+    flat = re.sub(r"\[[^\[\]]*\]", "~", pattern)
+    found = set()
+    for spelling in _spellings(flat):
+        plain = [w for w in spelling.split(" ") if re.fullmatch("[0-9a-z]+", w)]
+        if not plain:
+            return frozenset()
+        found.add(max(plain, key=len))
+    return frozenset(found)
 
 
 def _rule(label: str, priority: int, pattern: str) -> Rule:
-    return Rule(label, priority, re.compile(f"(?<= ){pattern}(?= )"), _certain_words(pattern))
+    return Rule(label, priority, re.compile(f"(?<= ){pattern}(?= )"), _words_of_every_match(pattern))
 
 
 @cache
@@ -199,18 +211,24 @@ def rules() -> tuple[Rule, ...]:
     return tuple(sorted(made, key=lambda r: -r.priority))
 
 
-def normal(text: str) -> tuple[list[bytes], str]:
+@cache
+def _keywords() -> frozenset[str]:
+    return frozenset().union(*(r.words for r in rules()))
+
+
+def normal(text: str) -> tuple[list[str], str]:
     """The words of a text, and the text that they make, with a space at either end."""
-    words = text.encode("utf-8", "surrogatepass").lower().translate(_SPACES).split()
-    return words, " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
+    kept = text.encode("utf-8", "surrogatepass").lower().translate(_SPACES).split()
+    plain = b" ".join(kept).decode("utf-8", "surrogatepass")
+    return plain.split(" ") if kept else [], f" {plain} "
 
 
-def detections(words: list[bytes], plain: str) -> list[tuple[int, int, int, str]]:
+def detections(words: list[str], plain: str) -> list[tuple[int, int, int, str]]:
     """``(first word, stop, priority, label)`` of every detection that stands, in order."""
-    present = set(words)
+    present = _keywords().intersection(words)
     found = []
     for rule in rules():
-        if all(w.encode() in present for w in rule.words):
+        if not rule.words or not present.isdisjoint(rule.words):
             found += [(m.start(), m.end(), rule.priority, rule.label) for m in rule.pattern.finditer(plain)]
     # Higher priority, then longer, then earlier ones suppress what lies within them.
     found.sort(key=lambda d: (-d[2], d[0] - d[1], d[0], d[3]))

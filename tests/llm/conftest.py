@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import pytest
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "fp long, row string, range int, spans string, doc long, lines string, label int, `group` string"
+)
+
+
+def rows(pairs):
+    """Documents from (id, text), with further columns whose names operators use themselves."""
+    return [(i, t, "en", None, None if t is None else len(t), 7, "r", 1, "s", 2, "l", 3, "g") for i, t in pairs]
+
+
+LONG = " ".join(f"word{i % 97} the of thing{i}" for i in range(9000))
+
+ODD = [
+    (5, "The cat sat on the mat and the dog lay by the door of the house."),
+    (5, "The cat sat on the mat and the dog lay by the door of the house."),
+    (3, None),
+    (4, ""),
+    (None, "a line without an id\nmail me@example.org now"),
+    (9, LONG),
+    (7, "x" * 50_000),
+    (8, " \t\n \n"),
+    (11, "日本語 é́ 🙂 <|endoftext|> it's 12.5%"),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return spark.createDataFrame(rows(ODD), SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    def make(pairs):
+        return spark.createDataFrame(rows(pairs), SCHEMA)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def sf_texts():
+    """Texts of the smallest given table."""
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["doc_id", "text"])
+    return dict(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()))
