@@ -31,6 +31,7 @@ SHARED, UNITED = 5, 4
 # only orders tokens, so no result depends on it.
 TRACKED, FREQUENT = 8192, 1024
 LEVELS = 7
+MOST_BROADCAST = 500_000  # places of candidate lines, of 16 bytes each
 
 # A word is fetched by its place: slice() would copy the line for every token.
 _RUN = ", ".join(f"words[i + {k}]" for k in range(WORDS_PER_TOKEN))
@@ -95,38 +96,54 @@ def _classes(found: DataFrame) -> DataFrame:
         )
         .groupBy("k1", "k2")
         .agg(F.min("at").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        .select("k1", "k2", "first.doc", "first.place", "n", "prefix")
     )
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """Pairs of different lines that meet under a token and pass the filters; ``a`` is the earlier."""
-    listed = classes.selectExpr("first AS id", "n", "posexplode(prefix) AS (i, token)")
-    left = listed.selectExpr("token", "id AS a", "n AS n", "i AS i")
-    right = listed.selectExpr("token AS token", "id AS b", "n AS m", "i AS j")
-    needed = f"({UNITED} * (n + m) + {SHARED + UNITED - 1}) div {SHARED + UNITED}"
+    """Pairs of different lines that meet under a token and pass the filters; the first is the earlier."""
+    listed = classes.selectExpr("doc", "place", "n", "posexplode(prefix) AS (i, token)").selectExpr(
+        # Few and short columns, since there is a row for every listed token.
+        "token", "doc", "place", "shiftleft(bigint(n), 32) | i AS ni"
+    )
+    # Both sides are the same but for their names, so one exchange serves both.
+    left = listed.selectExpr("token AS t", "doc AS a_doc", "place AS a_place", "ni AS a_ni")
+    right = listed.selectExpr("token AS u", "doc AS b_doc", "place AS b_place", "ni AS b_ni")
+    n, m = "shiftright(a_ni, 32)", "shiftright(b_ni, 32)"
+    left_of, right_of = f"{n} - (a_ni & 2147483647)", f"{m} - (b_ni & 2147483647)"
+    needed = f"({UNITED} * ({n} + {m}) + {SHARED + UNITED - 1}) div {SHARED + UNITED}"
     return (
-        left.join(right, "token")
-        .where("a < b")
-        .where(f"{SHARED} * least(n, m) >= {UNITED} * greatest(n, m)")
-        .where(f"least(n - i, m - j) >= {needed}")
-        .select("a", "b")
+        left.join(right, F.expr("t = u AND (a_doc < b_doc OR (a_doc = b_doc AND a_place < b_place))"))
+        .where(f"{SHARED} * least({n}, {m}) >= {UNITED} * greatest({n}, {m})")
+        .where(f"least({left_of}, {right_of}) >= {needed}")
+        .select("a_doc", "a_place", "b_doc", "b_place")
         .distinct()
     )
 
 
 def _similar(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The candidates whose words bear them out."""
-    ends = pairs.selectExpr("a AS id").union(pairs.selectExpr("b AS id")).distinct()
-    # The key is the place of a line's first copy, so the words of a candidate
-    # are met once, and other copies not at all.
-    first = found.selectExpr("struct(doc, place) AS id", "line").join(ends, "id")
-    sets = _tokens(first, _TOKENS, "tokens").select("id", F.array_distinct("tokens").alias("tokens"))
-    sets = frames.written(sets.dropDuplicates(["id"]), "line-sets")
-    left = sets.selectExpr("id AS a", "tokens AS x")
-    right = sets.selectExpr("id AS b", "tokens AS y")
-    both = F.size(F.array_intersect("x", "y"))
-    united = F.size("x") + F.size("y") - both
-    return pairs.join(left, "a").join(right, "b").where(SHARED * both >= UNITED * united).select("a", "b")
+    ends = pairs.selectExpr("a_doc AS doc", "a_place AS place").union(
+        pairs.selectExpr("b_doc AS doc", "b_place AS place")
+    )
+    ends = frames.written(ends.distinct(), "line-ends")
+    # Places of two numbers each: broadcast behind a check of their count, so that
+    # the texts stay where they are; shuffled with the texts beyond it.
+    few = ends.count() <= MOST_BROADCAST
+    first = found.select("doc", "place", "line").join(F.broadcast(ends) if few else ends, ["doc", "place"])
+    sets = _tokens(first, _TOKENS, "tokens").select("doc", "place", F.array_distinct("tokens").alias("tokens"))
+    sets = frames.written(sets.dropDuplicates(["doc", "place"]), "line-sets")
+    left = sets.selectExpr("doc AS a_doc", "place AS a_place", "tokens AS x")
+    right = sets.selectExpr("doc AS b_doc", "place AS b_place", "tokens AS y")
+    # shared / united >= 4 / 5 with the intersection written, and so made, once.
+    shared = F.size(F.array_intersect("x", "y"))
+    alike = (SHARED + UNITED) * shared >= UNITED * (F.size("x") + F.size("y"))
+    return (
+        pairs.join(left, ["a_doc", "a_place"])
+        .join(right, ["b_doc", "b_place"])
+        .where(alike)
+        .select("a_doc", "a_place", "b_doc", "b_place")
+    )
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -137,11 +154,16 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     found = lines(docs)
     classes = frames.written(_classes(found), "lines")
     pairs = frames.written(_candidates(classes), "line-pairs")
-    near = _similar(pairs, found).groupBy(F.col("b").alias("first")).agg(F.min("a").alias("earlier"))
-    bounds = classes.join(near, "first", "left").select(
-        "k1", "k2", F.coalesce("earlier", "first").alias("bound")
+    near = (
+        _similar(pairs, found)
+        .groupBy(F.col("b_doc").alias("doc"), F.col("b_place").alias("place"))
+        .agg(F.min(F.struct("a_doc", "a_place")).alias("earlier"))
+    )
+    first = F.struct("doc", "place")
+    bounds = classes.join(near, ["doc", "place"], "left").select(
+        "k1", "k2", F.coalesce(F.col("earlier").cast("struct<doc: bigint, place: int>"), first).alias("bound")
     )
-    every = found.select("k1", "k2", F.struct("doc", "place").alias("at"))
+    every = found.select("k1", "k2", first.alias("at"))
     return every.join(bounds, ["k1", "k2"]).where("at > bound").select("at.doc", "at.place").distinct()
 
 
