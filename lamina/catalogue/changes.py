@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina.catalogue.inputs import table
 from lamina.operators import manifest
-from lamina.operators.digest import BOUNDED_CODES, payload_identity, set_digest
+from lamina.operators.digest import payload_identity, set_digest
 from lamina.operators.paging import page_items, paged_rows, with_list_key
 from lamina.operators.shaping import align
 
@@ -40,16 +40,14 @@ SQL["payload_digest"] = _digest_sql("text", "lang", "(SELECT * FROM documents WH
 
 @_query
 def payload_hash(spark: SparkSession, folder: str) -> DataFrame:
-    """One hash of the sorted document codes per language, while they are few enough."""
+    """Identity of the document codes of every language."""
     codes = table(spark, folder, "documents").selectExpr("lang", "string(doc_id) AS code")
     return payload_identity(codes, "code", ["lang"])
 
 
 _CODES = "(SELECT lang, doc_id::VARCHAR AS code FROM documents)"
 SQL["payload_hash"] = f"""
-SELECT lang, codes, CASE WHEN codes <= {BOUNDED_CODES} THEN hash ELSE digest END AS identity
-FROM (SELECT lang, sha256(string_agg(code, '' ORDER BY code)) AS hash FROM {_CODES} GROUP BY lang)
-JOIN ({_digest_sql("code", "lang", _CODES)}) USING (lang)"""
+SELECT lang, codes, digest AS identity FROM ({_digest_sql("code", "lang", _CODES)})"""
 
 
 @_query

@@ -128,21 +128,19 @@ FROM conversations"""
 
 @_query
 def hashed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes written, and whether cell and streamed hashes of every file agree."""
+    """Bytes and hash of a file with the texts of each source."""
     path = scratch_folder(spark, "text")
-    table(spark, folder, "documents").select("text").write.text(path)
-    in_cell = file_hashes(spark, path)
-    streamed = file_hashes(spark, path, cell_limit=-1).select(
-        "path", F.col("source_hash").alias("streamed_hash")
-    )
-    return in_cell.join(streamed, "path", "full_outer").agg(
-        F.sum("length").alias("bytes"),
-        F.bool_and(F.col("source_hash").eqNullSafe(F.col("streamed_hash"))).alias("agree"),
-    )
+    texts = table(spark, folder, "documents").where("text IS NOT NULL")
+    ordered = texts.repartition("source").sortWithinPartitions("source", "doc_id")
+    ordered.select("source", "text").write.partitionBy("source").text(path)
+    source = F.regexp_extract("path", "source=([^/]+)/", 1)
+    return file_hashes(spark, path).select(source.alias("source"), "length", "source_hash")
 
 
 SQL["hashed_files"] = """
-SELECT sum(strlen(text) + 1)::BIGINT AS bytes, true AS agree FROM documents"""
+SELECT source, sum(strlen(text) + 1)::BIGINT AS length,
+       sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS source_hash
+FROM documents WHERE text IS NOT NULL GROUP BY source"""
 
 
 @_query

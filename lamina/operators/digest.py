@@ -2,19 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
-CELL_LIMIT_BYTES = 256 << 20
-
-# Most values whose concatenation is hashed as one: two hundred full API pages.
-BOUNDED_CODES = 200_000
-
 # A 256-bit hash is added up as four 64-bit words. Sums are exact: decimal(38,0)
 # holds 2**62 such words before it could overflow.
 _WORDS = range(4)
@@ -53,63 +45,20 @@ def set_digest(df: DataFrame, code: str, by: Sequence[str] = ()) -> DataFrame:
     return sums.select(*by, "codes", F.sha2(F.concat_ws("|", *parts), 256).alias("digest"))
 
 
-def payload_identity(
-    df: DataFrame, code: str, by: Sequence[str] = (), bound: int = BOUNDED_CODES
-) -> DataFrame:
+def payload_identity(df: DataFrame, code: str, by: Sequence[str] = ()) -> DataFrame:
     """Identity of the non-empty ``code`` values: ``codes`` and ``identity``.
 
-    Up to ``bound`` values it is the SHA-256 over the sorted, concatenated
-    values, repeats included. That hash cannot be computed in parts, so a larger
-    group, recognised by its count before anything is gathered, has its
-    :func:`set_digest` as identity; either one differs exactly when the values do.
+    The :func:`set_digest` at every size: it ignores the order, counts repeats
+    and keeps apart values that only look alike when they are joined.
     """
-    kept = df.where(F.col(code).isNotNull() & (F.col(code) != ""))
-    digests = set_digest(df, code, by)
-    small = F.col("codes") <= bound
-    joined = F.sha2(F.concat_ws("", F.sort_array(F.collect_list(code))), 256).alias("hash")
-    if by:
-        bounded = kept.join(digests.where(small).select(*by), list(by), "left_semi")
-        hashed = digests.join(bounded.groupBy(*by).agg(joined), list(by), "left")
-    else:
-        total = kept.agg(F.count(F.lit(1))).scalar()
-        hashed = digests.withColumn("hash", kept.where(total <= bound).agg(joined).scalar())
-    identity = F.when(small, F.col("hash")).otherwise(F.col("digest"))
-    return hashed.select(*by, "codes", identity.alias("identity"))
-
+    return set_digest(df, code, by).withColumnRenamed("digest", "identity")
 
-def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
 
-    for batch in batches:
-        hashes = []
-        for path in batch["path"]:
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") else path
-            system, inner = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(inner) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            hashes.append(digest.hexdigest())
-        yield batch.assign(source_hash=hashes)
-
-
-def file_hashes(
-    spark: SparkSession, paths: str | Sequence[str], cell_limit: int = CELL_LIMIT_BYTES
-) -> DataFrame:
+def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """SHA-256 of every file: ``path, length, source_hash``.
 
-    Files up to ``cell_limit`` are hashed by the built-in function. Larger ones
-    do not fit a binary cell and are streamed in chunks, one task per file; the
-    length filter keeps their content out of the scan.
+    A file is one binary cell, read through Hadoop's file system whatever store
+    it is in; a file of 2 GiB or more fails the job, and is landed in parts.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    size = F.col("length")
-    small = files.where(size <= cell_limit).select(
-        "path", "length", F.sha2("content", 256).alias("source_hash")
-    )
-    large = (
-        files.where(size > cell_limit)
-        .select("path", "length")
-        .mapInPandas(_stream_hashes, "path string, length bigint, source_hash string")
-    )
-    return small.unionByName(large)
+    return files.select("path", "length", F.sha2("content", 256).alias("source_hash"))

@@ -22,10 +22,20 @@ def _member(payload: Column, key: Column) -> Column:
     return F.call_function("get_json_object", payload, path)
 
 
-def page_items(payload: Column, key: Column) -> Column:
-    """The records of a page as JSON strings; no such list counts as empty."""
+def page_items(payload: Column, key: Column, page: Column | None = None) -> Column:
+    """The records of a page as JSON strings; a page without that list counts as empty.
+
+    A payload that is no JSON object fails the job with the page's number, and
+    so does a key that no page has.
+    """
     items = F.from_json(_member(payload, key), "array<string>")
-    return F.coalesce(items, F.array().cast("array<string>"))
+    name = F.lit("?") if page is None else page.cast("string")
+    broken = F.raise_error(F.concat(F.lit("page "), name, F.lit(" is not a JSON object")))
+    nowhere = F.raise_error(F.lit("no page has a list of records"))
+    fails = F.when(F.json_object_keys(payload).isNull(), broken.cast("array<string>")).when(
+        key.isNull(), nowhere.cast("array<string>")
+    )
+    return F.coalesce(fails, items, F.array().cast("array<string>"))
 
 
 def with_list_key(

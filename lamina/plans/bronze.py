@@ -145,13 +145,15 @@ def land_api_pages(
     """Records of saved API answers as JSON lines, at most a page size per file.
 
     Reading ends at the first run of empty pages, as a reader of the API would.
-    ``data_key`` names the list of records; by default it is found.
+    ``data_key`` names the list of records; by default it is found. A page that
+    is no JSON object, and pages of which none has a list, fail the job.
     """
     answers = read_page_payloads(spark, pages)
     keyed = with_list_key(answers) if data_key is None else answers.withColumn(
         "data_key", F.lit(data_key)
     )
-    items = keyed.withColumn("items", page_items(F.col("payload"), F.col("data_key")))
+    records = page_items(F.col("payload"), F.col("data_key"), F.col("page"))
+    items = keyed.withColumn("items", records)
     rows = paged_rows(items, empty_streak=empty_streak, max_pages=max_pages)
     return land_json_text(rows, "item", folder, VACCINATION_PAGE_SIZE)
 

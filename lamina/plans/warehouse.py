@@ -19,6 +19,7 @@ from lamina.operators import manifest
 from lamina.operators.contracts import TableSpec
 from lamina.operators.quality import RowCounts
 from lamina.plans import bronze, domains, gold, schemas, silver, sources
+from lamina.session import sized_shuffles
 from lamina.sinks import tables
 from lamina.sources import folders, staged
 
@@ -133,13 +134,23 @@ class Warehouse:
         folder = self._folder("staging", dataset.name, extracted.isoformat())
         return staged.read_yearly(self.spark, folder, dataset.year_prefix, required)
 
-    def refresh_silver(self, name: str, *, whole_series: bool = False) -> SilverLoad:
+    def _sized(self, *parts: str):
+        """Shuffles sized by what is stored below a folder, for the jobs inside."""
+        path = self._folder(*parts)
+        stored = folders.size(self.spark, path) if folders.exists(self.spark, path) else 0
+        return sized_shuffles(self.spark, stored)
+
+    def refresh_silver(self, name: str, *, whole_series: bool = True) -> SilverLoad:
         """Load the newest extraction of a dataset into its Silver partition.
 
-        A yearly dataset loads the years staged on that date. An incremental
-        extraction holds only the years that changed; ``whole_series`` loads
-        every year from its own newest extraction instead.
+        An incremental extraction holds only the years that changed, so every
+        year of a yearly dataset is loaded from its own newest extraction.
+        Without ``whole_series`` only the years staged on that date are.
         """
+        with self._sized("staging", name):
+            return self._refresh_silver(name, whole_series)
+
+    def _refresh_silver(self, name: str, whole_series: bool) -> SilverLoad:
         extracted, path = manifest.latest_extraction_of(self.manifest(), name)
         counts = RowCounts()
         if name == sources.BEDS_CSV.name:
@@ -216,8 +227,9 @@ class Warehouse:
                 self.gold(schemas.FACT_OCCUPANCY), self.gold(schemas.FACT_BEDS)
             ),
         }
-        return {
-            spec.name: self._rebuild(build(), spec)
-            for spec, build in builders.items()
-            if names is None or spec.name in names
-        }
+        with self._sized("silver"):
+            return {
+                spec.name: self._rebuild(build(), spec)
+                for spec, build in builders.items()
+                if names is None or spec.name in names
+            }

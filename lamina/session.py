@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -32,22 +34,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# One shuffle partition per 256 MB of input, and never so many that the driver's
-# bookkeeping of map outputs becomes the bottleneck; adaptive execution merges
-# what turns out small and splits what turns out large.
+# One shuffle partition per 256 MB of input; adaptive execution merges what
+# turns out small and splits what turns out large.
 BYTES_PER_PARTITION = 256 << 20
-MOST_PARTITIONS = 50_000
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Raise the shuffle partitions to suit the input; never lowers them."""
-    key = "spark.sql.shuffle.partitions"
-    wanted = min(MOST_PARTITIONS, math.ceil(input_bytes / BYTES_PER_PARTITION))
-    chosen = max(int(spark.conf.get(key)), wanted)
-    spark.conf.set(key, chosen)
+    wanted = math.ceil(input_bytes / BYTES_PER_PARTITION)
+    chosen = max(int(spark.conf.get(PARTITIONS)), wanted)
+    spark.conf.set(PARTITIONS, chosen)
     return chosen
 
 
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """:func:`size_shuffles` for the jobs inside; the session's own number comes back."""
+    previous = spark.conf.get(PARTITIONS)
+    try:
+        yield size_shuffles(spark, input_bytes)
+    finally:
+        spark.conf.set(PARTITIONS, previous)
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder of the cluster.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,12 +16,24 @@ PUBLISHED = "_PUBLISHED"
 
 
 def stage(df: DataFrame, path: str, *, replace: bool = False) -> str:
-    """Write one staging folder; an existing one is an error unless it is replaced."""
-    mode = "overwrite" if replace else "errorifexists"
-    df.write.mode(mode).option("compression", "zstd").parquet(path)
+    """Write one staging folder; an existing one is an error unless it is replaced.
+
+    A replacement is written beside the old folder and takes its place when it
+    is whole, so a failed job leaves what was there.
+    """
+    target = _beside(path) if replace else path
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(target)
+    if replace:
+        folders.exchange(df.sparkSession, target, path)
     return path
 
 
+def _beside(path: str) -> str:
+    """A fresh folder next to a table's, which readers of the parent don't see."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_next-{name}-{uuid.uuid4().hex}"
+
+
 def append_partition(df: DataFrame, path: str, column: str = "_extraction_date") -> None:
     """Append rows below ``column=value`` folders."""
     df.write.mode("append").option("compression", "zstd").partitionBy(column).parquet(path)
@@ -36,32 +49,33 @@ def replace_partition(
     """Replace one logical partition, or the whole table; returns the rows loaded.
 
     Running it again with the same input leaves the same state. The rows are
-    counted while they are written. Files are exchanged when the job commits,
-    so a failed job leaves the old partition; a row of another partition fails
-    it. Empty input empties the partition.
+    counted while they are written, beside the old folder, which they replace
+    once all are there: a failed job leaves the old rows, on any store and with
+    any committer. A row of another partition fails it. Empty input empties the
+    partition.
     """
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_column is None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        target = _beside(path)
+        rows.write.option("compression", "zstd").parquet(target)
+        folders.exchange(df.sparkSession, target, path)
         return written.get["rows"]
     held = quoted(partition_column)
     value = F.lit(partition_value).cast(df.schema[partition_column].dataType)
     wrong = F.concat(F.lit(f"row outside partition {partition_value}: "), held.cast("string"))
     stray = F.when(~held.eqNullSafe(value), F.raise_error(wrong).cast("boolean"))
-    (
-        # A literal partition column spares the sort that dynamic writes need.
-        rows.where(F.coalesce(stray, F.lit(True)))
-        .withColumn(partition_column, value)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(partition_column)
-        .parquet(path)
-    )
+    partition = f"{path.rstrip('/')}/{partition_column}={partition_value}"
+    target = _beside(partition)
+    rows.where(F.coalesce(stray, F.lit(True))).drop(partition_column).write.option(
+        "compression", "zstd"
+    ).parquet(target)
     loaded = written.get["rows"]
-    if loaded == 0:
-        folders.delete(df.sparkSession, f"{path.rstrip('/')}/{partition_column}={partition_value}")
+    if loaded:
+        folders.exchange(df.sparkSession, target, partition)
+    else:
+        folders.delete(df.sparkSession, target)
+        folders.delete(df.sparkSession, partition)
     return loaded
 
 

@@ -34,6 +34,15 @@ def delete(spark: SparkSession, location: str) -> bool:
     return bool(system.delete(path, True))
 
 
+def exchange(spark: SparkSession, prepared: str, location: str) -> None:
+    """Put a finished folder in the place of another one, if there is one."""
+    system, path = _path(spark, location)
+    system.mkdirs(path.getParent())
+    system.delete(path, True)
+    if not system.rename(_path(spark, prepared)[1], path):
+        raise OSError(f"{prepared} cannot take the place of {location}")
+
+
 def touch(spark: SparkSession, location: str) -> None:
     """Create an empty marker file; fails if it exists."""
     system, path = _path(spark, location)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,24 @@ def _too_long(record: Column, separator: str, width: int) -> Column:
     return separators >= width
 
 
+def _checked_by_reader(reader: DataFrameReader, paths: list[str], header: list[str]) -> bool:
+    """Whether the reader can compare the header of every file.
+
+    It cannot where it had to name columns itself, for a blank or repeated
+    header cell; then the files' headers are compared here, one line of each.
+    """
+    written = reader.option("header", False).csv(paths[0]).first()
+    reader.option("header", True)
+    if written is not None and list(written) == header:
+        return True
+    files = [f for p in paths for f in matching(reader._spark, p)] or paths
+    parts = [f for p in files for f in (matching(reader._spark, f"{p}/part-*") or [p])]
+    for file in parts[1:] if len(parts) > 1 else []:
+        if reader.csv(file).columns != header:
+            raise MalformedFile(f"another header in {file}")
+    return False
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -70,7 +88,8 @@ def read_csv(
     a row with fewer is padded with NULL, or fails it when ``pad_short_rows``
     is off. Quoted cells may hold line breaks, which keeps a file in one task;
     ``multi_line=False`` reads large files that have none in parallel blocks.
-    All ``paths`` must share one header.
+    All ``paths`` must share one header; a file with another fails the job. In
+    block mode a record with an open quote, which a line break has cut, does too.
     """
     reader = (
         spark.read.option("header", True)
@@ -88,7 +107,7 @@ def read_csv(
         reader.schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", True)
+        .option("enforceSchema", not _checked_by_reader(reader, located, header))
         .csv(located)
     )
     rows = rows.select(
@@ -101,6 +120,9 @@ def read_csv(
     bad = F.col(CORRUPT).isNotNull()
     if pad_short_rows:
         bad = bad & _too_long(F.col(CORRUPT), separator, len(header))
+    if not multi_line:
+        quotes = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit('"')))
+        bad = bad | (F.col(CORRUPT).isNotNull() & (quotes % 2 == 1))
     message = F.concat(F.lit("malformed row in "), F.col("_source_file"))
     fine = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return rows.where(fine).drop(CORRUPT)
@@ -139,9 +161,13 @@ def read_json_pages(
 
     ``whole_file`` reads a page as one JSON array; otherwise one record per
     line. Without a schema all pages are read once to find their keys.
-    Nested values become their JSON text.
+    Nested values become their JSON text. A broken page or line fails the job.
     """
-    reader = spark.read.option("multiLine", whole_file).option("primitivesAsString", True)
+    reader = (
+        spark.read.option("multiLine", whole_file)
+        .option("primitivesAsString", True)
+        .option("mode", "FAILFAST")
+    )
     if schema is not None:
         reader = reader.schema(schema)
     rows = reader.json(paths)

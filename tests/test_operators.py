@@ -199,29 +199,23 @@ def test_set_digest_of_nothing(spark):
     assert digest.set_digest(empty, "c").first()["codes"] == 0
 
 
-def test_payload_identity_is_the_hash_of_the_sorted_codes(spark):
-    codes = ["b", "é", "a", "B", "a", "", None]
-    expected = hashlib.sha256("".join(sorted(c for c in codes if c)).encode()).hexdigest()
-    df = spark.createDataFrame([(i % 2, c) for i, c in enumerate(codes)], "g int, c string")
-    whole = digest.payload_identity(df, "c").first()
-    assert (whole["codes"], whole["identity"]) == (5, expected)
-    beyond = digest.payload_identity(df, "c", bound=4).first()
-    assert beyond["identity"] == digest.set_digest(df, "c").first()["digest"] != expected
-    groups = {r["g"]: r["identity"] for r in digest.payload_identity(df, "c", ["g"], bound=2).collect()}
-    assert groups[1] == hashlib.sha256("Bé".encode()).hexdigest()
-    large = digest.set_digest(df, "c", ["g"]).where("g = 0").first()
-    assert (large["codes"], groups[0]) == (3, large["digest"])
+def test_payload_identity_counts_repeats_and_keeps_values_apart(spark):
+    def identity(*codes):
+        df = spark.createDataFrame([(c,) for c in codes], "c string")
+        return tuple(digest.payload_identity(df, "c").first())
 
+    assert identity("b", "é", "a", "a", "", None) == identity("a", "b", "a", "é")
+    assert identity("a", "b")[1] != identity("a", "a", "b")[1]
+    assert identity("ab", "c")[1] != identity("a", "bc")[1]
 
-def test_file_hashes(spark, tmp_path):
 
+def test_file_hashes(spark, tmp_path):
     content = {f"f{i}.bin": bytes([i]) * (i * 700_000 + 1) for i in range(4)}
     for name, data in content.items():
         (tmp_path / name).write_bytes(data)
-    for limit in (1 << 30, 1_000_000, -1):
-        found = digest.file_hashes(spark, str(tmp_path), cell_limit=limit).collect()
-        hashes = {r["path"].rsplit("/", 1)[1]: r["source_hash"] for r in found}
-        assert hashes == {n: hashlib.sha256(d).hexdigest() for n, d in content.items()}
+    found = digest.file_hashes(spark, str(tmp_path)).collect()
+    hashes = {r["path"].rsplit("/", 1)[1]: r["source_hash"] for r in found}
+    assert hashes == {n: hashlib.sha256(d).hexdigest() for n, d in content.items()}
 
 
 # --- paging -----------------------------------------------------------------

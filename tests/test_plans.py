@@ -11,7 +11,7 @@ from lamina.catalogue import inputs, star
 from lamina.operators import digest, paging
 from lamina.operators.latest import keep_last
 from lamina.plans import gold, schemas
-from lamina.session import scratch_folder, size_shuffles
+from lamina.session import scratch_folder, size_shuffles, sized_shuffles
 from lamina.sinks import tables
 from lamina.sources.staged import read_newest
 
@@ -114,7 +114,10 @@ def test_shuffle_size_follows_the_input(spark):
     try:
         assert size_shuffles(spark, 1 << 20) == int(previous)
         assert size_shuffles(spark, 1 << 40) == 4096
-        assert size_shuffles(spark, 100 << 40) == 50_000
-        assert size_shuffles(spark, 0) == 50_000
+        assert size_shuffles(spark, 100 << 40) == 409_600
+        assert size_shuffles(spark, 0) == 409_600
     finally:
         spark.conf.set(key, previous)
+    with sized_shuffles(spark, 100 << 40) as chosen:
+        assert int(spark.conf.get(key)) == chosen == 409_600
+    assert spark.conf.get(key) == previous
