@@ -256,7 +256,7 @@ FROM part"""
 
 @_query
 def lpad_key(spark: SparkSession, folder: str) -> DataFrame:
-    return _keys(spark, folder).selectExpr("p_partkey", "lpad(raw, 7, '0') AS padded")
+    return _keys(spark, folder).selectExpr("p_partkey", f"{cleaning.padded('raw', 7)} AS padded")
 
 
 SQL["lpad_key"] = """

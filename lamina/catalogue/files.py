@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,9 @@ from lamina.catalogue.inputs import (
     raw_occupancy,
     table,
 )
+from lamina.columns import columns
 from lamina.operators import manifest
+from lamina.operators.contracts import ContractViolation, TableSpec
 from lamina.operators.digest import file_hashes
 from lamina.plans import bronze, dashboard, gold, schemas, silver
 from lamina.plans.sources import (
@@ -32,7 +34,7 @@ from lamina.plans.warehouse import Warehouse
 from lamina.session import scratch_folder
 from lamina.sinks import tables
 from lamina.sources.raw import SEQUENCE_COLUMNS, read_csv, read_json_pages
-from lamina.sources.staged import read_newest
+from lamina.sources.staged import read_newest, read_yearly
 
 QUERIES = {}
 SQL = {}
@@ -207,12 +209,13 @@ def full_rebuild(spark: SparkSession, folder: str) -> DataFrame:
         silver.beds(raw_beds(spark, folder), EXTRACTED, cleansed_at=INGESTED).df,
         snapshot=EXTRACTED,
     )
-    tables.rebuild(fact.where("ano_referencia < 2022"), path, schemas.FACT_BEDS)
-    tables.rebuild(fact.where("ano_referencia >= 2022"), path, schemas.FACT_BEDS)
+    first = fact.withColumn("uti_total_max", F.col("uti_total_max") + 1)
+    tables.rebuild(first, path, schemas.FACT_BEDS)
+    tables.rebuild(fact, path, schemas.FACT_BEDS)
     return star.comparable(tables.read_rebuilt(spark, path))
 
 
-SQL["full_rebuild"] = f"SELECT * FROM ({star.SQL['yearly_fact']}) WHERE ano_referencia >= 2022"
+SQL["full_rebuild"] = star.SQL["yearly_fact"]
 
 
 def _land(
@@ -280,3 +283,81 @@ def landed_ranking(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["landed_ranking"] = star.SQL["overload_ranking"]
+
+
+_ORDERS = TableSpec(
+    "orders",
+    columns("o_orderkey bigint not null, o_orderstatus string not null, o_totalprice double, day date not null"),
+    key=("o_orderkey",),
+    ranges={"o_totalprice": (0, None)},
+    partition="day",
+)
+
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double"), F.lit(EXTRACTED).alias("day")
+    )
+
+
+@_query
+def rejected_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table after a load that breaks its contract: the rows of the load before."""
+    path = scratch_folder(spark, "rejected")
+    orders = _orders(spark, folder)
+    tables.load_silver(orders, path, _ORDERS, EXTRACTED)
+    broken = orders.withColumn("o_totalprice", -F.col("o_totalprice"))
+    twice = orders.union(orders)
+    for load in (broken, twice, orders.drop("o_orderstatus")):
+        try:
+            tables.load_silver(load, path, _ORDERS, EXTRACTED)
+        except Exception as rejected:
+            if "contract" not in str(rejected) and not isinstance(rejected, ContractViolation):
+                raise
+        else:
+            raise AssertionError("a load that breaks the contract was accepted")
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+SQL["rejected_load"] = """
+SELECT o_orderkey, o_orderstatus, o_totalprice::DOUBLE AS o_totalprice FROM orders"""
+
+
+@_query
+def skipped_years(spark: SparkSession, folder: str) -> DataFrame:
+    """Staged years; one from a broken source, without the column that all need, is left out."""
+    path = scratch_folder(spark, "years")
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").alias("COMP"))
+    whole = orders.withColumn("year", F.year("COMP"))
+    for year in range(1992, 1999):
+        one = whole.where(F.col("year") == year).drop("year")
+        tables.stage(one if year != 1995 else one.drop("COMP"), f"{path}/pedidos_{year}.parquet")
+    found = read_yearly(spark, path, "pedidos", "COMP")
+    rows = [f.agg(F.lit(y).alias("year"), F.count("*").alias("rows")) for y, f in found.frames.items()]
+    left_out = spark.createDataFrame([(y,) for y in found.skipped_years], "year int")
+    read = rows[0]
+    for more in rows[1:]:
+        read = read.union(more)
+    return read.where("rows > 0").union(left_out.selectExpr("year", "CAST(NULL AS BIGINT)"))
+
+
+SQL["skipped_years"] = """
+SELECT year(o_orderdate)::INTEGER AS year, count(*) AS rows FROM orders
+WHERE year(o_orderdate) BETWEEN 1992 AND 1998 AND year(o_orderdate) <> 1995 GROUP BY 1
+UNION ALL SELECT 1995, NULL"""
+
+
+@_query
+def load_stamp(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a fact by whether their load stamp is set and not older than this load."""
+    began = datetime.now(tz=timezone.utc)
+    fact = gold.fact_beds(
+        silver.beds(raw_beds(spark, folder), EXTRACTED, cleansed_at=INGESTED).df, snapshot=EXTRACTED
+    )
+    recent = F.col("_loaded_at").isNotNull() & (F.col("_loaded_at") >= F.lit(began))
+    return fact.groupBy("ano_referencia").agg(F.count("*").alias("rows"), F.count_if(recent).alias("stamped"))
+
+
+SQL["load_stamp"] = f"""
+SELECT ano_referencia, count(*) AS rows, count(*) AS stamped
+FROM ({star.SQL['yearly_fact']}) GROUP BY ano_referencia"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina.catalogue.inputs import BEDS_SQL, EXTRACTED, INGESTED, raw_beds, table
 from lamina.columns import columns
+from lamina.functions import cleaning
 from lamina.functions.cleaning import clean_text
 from lamina.functions.measures import rounded_total
 from lamina.operators.contracts import TableSpec, duplicate_keys, violation_counts
@@ -88,7 +89,7 @@ def period_filter(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "orders")
         .select("o_orderkey", dirty.alias("comp"))
-        .where(F.col("comp").rlike(r"^[0-9]{6}\z"))
+        .where(cleaning.is_period("comp"))
     )
 
 
@@ -145,7 +146,8 @@ def soft_delete_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         table(spark, folder, "orders")
-        .where(~F.coalesce(deleted, F.lit(False)))
+        .withColumn("excluido", deleted)
+        .where(cleaning.not_deleted("excluido"))
         .select("o_orderkey", "o_orderstatus")
     )
 

@@ -97,3 +97,18 @@ def zero_fill(value: str, width: int) -> str:
 def leading_year(period: str) -> str:
     """Year from the first four characters of a ``YYYYMM`` period."""
     return _spelled(f"left({period}, 4)", INTEGER_SPELLING, "bigint")
+
+
+def is_period(x: str) -> str:
+    """Six digits and nothing else, not even a line break behind them."""
+    return f"{x} RLIKE '^[0-9]{{6}}\\\\z'"
+
+
+def not_deleted(flag: str) -> str:
+    """Only a true flag deletes a row."""
+    return f"NOT coalesce({flag}, false)"
+
+
+def padded(x: str, width: int) -> str:
+    """Filled up with zeros from the left; a longer value is cut to the width."""
+    return f"lpad({x}, {width}, '0')"

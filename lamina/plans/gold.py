@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.functions import calendar, geo, measures
+from lamina.functions import calendar, cleaning, geo, measures
 from lamina.operators.contracts import TableSpec
 from lamina.operators.latest import latest_snapshot, latest_snapshot_per
 from lamina.operators.shaping import conform, derive
@@ -44,8 +44,8 @@ def dim_establishment(
     base = derive(
         latest_snapshot(establishments, value=snapshot),
         {
-            "co_cnes": "lpad(co_cnes, 7, '0')",
-            "tp_unidade": "lpad(tp_unidade, 2, '0')",
+            "co_cnes": cleaning.padded("co_cnes", 7),
+            "tp_unidade": cleaning.padded("tp_unidade", 2),
             "is_ativo": "co_motivo_desab IS NULL",
             "geom": geo.point("nu_longitude", "nu_latitude"),
         },
@@ -142,7 +142,7 @@ def dim_municipality(
     )
     described = derive(
         joined,
-        {"co_ibge_7dig": "lpad(co_ibge, 7, '0')", "qtd_ubs": "coalesce(qtd_ubs, 0)"},
+        {"co_ibge_7dig": cleaning.padded("co_ibge", 7), "qtd_ubs": "coalesce(qtd_ubs, 0)"},
     )
     return _finish(described, schemas.DIM_MUNICIPALITY)
 
@@ -209,7 +209,7 @@ def fact_occupancy(
         current = latest_snapshot_per(occupancy, ["ano_referencia"], few=True)
     else:
         current = latest_snapshot(occupancy, value=snapshot)
-    kept = current.where("NOT coalesce(excluido, false)")
+    kept = current.where(cleaning.not_deleted("excluido"))
     month = F.expr(f"{calendar.month_key('data_notificacao')} AS ano_mes")
     facts = kept.groupBy(F.expr("cnes AS co_cnes"), month, "ano_referencia").agg(
         _rows("qtd_notificacoes"),

@@ -117,7 +117,7 @@ def beds(
         named = text_columns(typed, {"comp", "cnes"})
         typed = derive(typed, {c: cleaning.clean_text(c) for c in named})
     typed = _tap(counts, typed, "read")
-    dated = _tap(counts, typed.where(F.col("comp").rlike(r"^[0-9]{6}\z")), "valid_period")
+    dated = _tap(counts, typed.where(cleaning.is_period("comp")), "valid_period")
     unique = _tap(counts, keep_last(dated, ["cnes", "comp"], ROW_ORDER), "deduplicated")
     # A measure that no year has is a constant: added after the shuffle.
     unique = derive(unique, {m: "0L" for m in measures if m not in declared})
