@@ -210,8 +210,8 @@ def links(prints: DataFrame) -> DataFrame:
     """Spanning links ``a``, ``b`` between distinct fingerprints ``fp``, in each anchor's group.
 
     Every pair at two or fewer differing bits is connected by them. The rows
-    of an anchor with very many homes are dealt over as many salts as its
-    homes need; what else comes there goes to each.
+    of an anchor with very many homes are compared in as many salts as these
+    need: each salt has a part of the homes and all that came to the anchor.
     """
     copies = prints.mapInPandas(_replicate, "anchor long, fp long, home boolean")
     crowded = (
@@ -225,14 +225,12 @@ def links(prints: DataFrame) -> DataFrame:
     if crowded.isEmpty():
         dealt = copies.withColumn("salt", F.lit(0))
     else:
-        wide = F.when(
-            F.col("home"), F.array(F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int"))
-        ).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))
+        # Every copy goes to each salt of its anchor, and is a home in one of them.
         dealt = (
             copies.join(crowded, "anchor", "left")
             .withColumn("salts", F.coalesce("salts", F.lit(1)))
-            .withColumn("salt", F.explode(wide))
-            .select("anchor", "salt", "fp", "home")
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            .withColumn("home", F.col("home") & (F.pmod(F.xxhash64("fp"), F.col("salts")) == F.col("salt")))
         )
     return (
         dealt.select("anchor", "salt", "fp", "home")

@@ -281,7 +281,7 @@ def test_similar_spots_against_brute_force(spark, docs_of):
     chance = random.Random(5)
     pairs = []
     for i in range(40):
-        words = [chance.choice(["the", "of", *[f"w{k}" for k in range(200)]]) for _ in range(150)]
+        words = [chance.choice(["the", "of"] * 40 + [f"w{k}" for k in range(200)]) for _ in range(150)]
         pairs.append((2 * i, " ".join(words)))
         for _ in range(chance.choice([0, 3])):
             words[chance.randrange(150)] = "new"
