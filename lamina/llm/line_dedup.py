@@ -12,7 +12,8 @@ is listed under the first tokens of that order only, so many that similar
 lines share one of them (prefix filter). Two lines that meet there are a
 candidate if their lengths allow the likeness (length filter) and what stands
 behind the shared token can still reach it (positional filter). Candidates are
-verified on the words themselves.
+verified on their whole sets. A token is known by the 64-bit hash of its words,
+an equal line by two such hashes.
 """
 
 from __future__ import annotations
@@ -36,9 +37,6 @@ MOST_BROADCAST = 500_000  # places of candidate lines, of 16 bytes each
 # A word is fetched by its place: slice() would copy the line for every token.
 _RUN = ", ".join(f"words[i + {k}]" for k in range(WORDS_PER_TOKEN))
 _PLACES = f"sequence(0, greatest(size(words) - {WORDS_PER_TOKEN}, 0))"
-_TOKENS = (
-    f"IF(size(words) < {WORDS_PER_TOKEN}, array(line), transform({_PLACES}, i -> concat_ws(' ', {_RUN})))"
-)
 _HASHES = (
     f"IF(size(words) < {WORDS_PER_TOKEN}, array(xxhash64(line)), transform({_PLACES}, i -> xxhash64({_RUN})))"
 )
@@ -122,7 +120,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The candidates whose words bear them out."""
+    """The candidates whose whole sets bear them out."""
     ends = pairs.selectExpr("a_doc AS doc", "a_place AS place").union(
         pairs.selectExpr("b_doc AS doc", "b_place AS place")
     )
@@ -131,7 +129,7 @@ def _similar(pairs: DataFrame, found: DataFrame) -> DataFrame:
     # the texts stay where they are; shuffled with the texts beyond it.
     few = ends.count() <= MOST_BROADCAST
     first = found.select("doc", "place", "line").join(F.broadcast(ends) if few else ends, ["doc", "place"])
-    sets = _tokens(first, _TOKENS, "tokens").select("doc", "place", F.array_distinct("tokens").alias("tokens"))
+    sets = _tokens(first, _HASHES, "hashes").select("doc", "place", F.array_distinct("hashes").alias("tokens"))
     sets = frames.written(sets.dropDuplicates(["doc", "place"]), "line-sets")
     left = sets.selectExpr("doc AS a_doc", "place AS a_place", "tokens AS x")
     right = sets.selectExpr("doc AS b_doc", "place AS b_place", "tokens AS y")
