@@ -11,8 +11,8 @@ last, in levels of their counts, and within a level the hash decides. A line
 is listed under the first tokens of that order only, so many that similar
 lines share one of them (prefix filter). Two lines that meet there are a
 candidate if their lengths allow the likeness (length filter) and what stands
-behind the shared token can still reach it (positional filter). Candidates are
-verified on their whole sets. A token is known by the 64-bit hash of its words,
+behind the shared token can still reach it (positional filter). Bitmaps of the
+sets drop most candidates, and the others are verified on their whole sets. A token is known by the 64-bit hash of its words,
 an equal line by two such hashes.
 """
 
@@ -119,6 +119,29 @@ def _candidates(classes: DataFrame) -> DataFrame:
     )
 
 
+def _by_bitmap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that the bitmaps of their sets leave possible.
+
+    Each token sets one of 256 bits. A bit that only one of two sets has stands
+    for a token that only it has, and similar sets have few of these. So most
+    candidates go before whole sets travel.
+    """
+    words = [
+        f"aggregate(tokens, 0L, (s, t) -> s | IF((t & 192) = {64 * k}, shiftleft(1L, int(t & 63)), 0L))"
+        for k in range(4)
+    ]
+    marks = sets.selectExpr("doc", "place", "size(tokens) AS n", *[f"{w} AS w{k}" for k, w in enumerate(words)])
+    names = ["doc", "place", "n", *[f"w{k}" for k in range(4)]]
+    left, right = (marks.selectExpr(*[f"{c} AS {side}_{c}" for c in names]) for side in "ab")
+    apart = " + ".join(f"bit_count(a_w{k} ^ b_w{k})" for k in range(4))
+    return (
+        pairs.join(left, ["a_doc", "a_place"])
+        .join(right, ["b_doc", "b_place"])
+        .where(f"{SHARED + UNITED} * ({apart}) <= {SHARED - UNITED} * (a_n + b_n)")
+        .select("a_doc", "a_place", "b_doc", "b_place")
+    )
+
+
 def _similar(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The candidates whose whole sets bear them out."""
     ends = pairs.selectExpr("a_doc AS doc", "a_place AS place").union(
@@ -131,13 +154,14 @@ def _similar(pairs: DataFrame, found: DataFrame) -> DataFrame:
     first = found.select("doc", "place", "line").join(F.broadcast(ends) if few else ends, ["doc", "place"])
     sets = _tokens(first, _HASHES, "hashes").select("doc", "place", F.array_distinct("hashes").alias("tokens"))
     sets = frames.written(sets.dropDuplicates(["doc", "place"]), "line-sets")
+    likely = frames.written(_by_bitmap(pairs, sets), "likely-pairs")
     left = sets.selectExpr("doc AS a_doc", "place AS a_place", "tokens AS x")
     right = sets.selectExpr("doc AS b_doc", "place AS b_place", "tokens AS y")
     # shared / united >= 4 / 5 with the intersection written, and so made, once.
     shared = F.size(F.array_intersect("x", "y"))
     alike = (SHARED + UNITED) * shared >= UNITED * (F.size("x") + F.size("y"))
     return (
-        pairs.join(left, ["a_doc", "a_place"])
+        likely.join(left, ["a_doc", "a_place"])
         .join(right, ["b_doc", "b_place"])
         .where(alike)
         .select("a_doc", "a_place", "b_doc", "b_place")
