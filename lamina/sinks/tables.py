@@ -65,7 +65,7 @@ def replace_partition(
     value = F.lit(partition_value).cast(df.schema[partition_column].dataType)
     wrong = F.concat(F.lit(f"row outside partition {partition_value}: "), held.cast("string"))
     stray = F.when(~held.eqNullSafe(value), F.raise_error(wrong).cast("boolean"))
-    partition = f"{path.rstrip('/')}/{partition_column}={partition_value}"
+    partition = folders.of_partition(df.sparkSession, path, partition_column, partition_value)
     target = _beside(partition)
     rows.where(F.coalesce(stray, F.lit(True))).drop(partition_column).write.option(
         "compression", "zstd"

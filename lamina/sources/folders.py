@@ -34,6 +34,13 @@ def delete(spark: SparkSession, location: str) -> bool:
     return bool(system.delete(path, True))
 
 
+def of_partition(spark: SparkSession, table: str, column: str, value: object) -> str:
+    """Folder of one value of a partition column, spelled as Spark spells it."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    spelled = "__HIVE_DEFAULT_PARTITION__" if value is None else names.escapePathName(str(value))
+    return f"{table.rstrip('/')}/{names.escapePathName(column)}={spelled}"
+
+
 def exchange(spark: SparkSession, prepared: str, location: str) -> None:
     """Put a finished folder in the place of another one, if there is one."""
     system, path = _path(spark, location)

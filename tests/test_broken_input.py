@@ -88,3 +88,12 @@ def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path):
         assert spark.read.parquet(path).count() == 10
     assert tables.replace_partition(spark.range(3), whole) == 3
     assert tables.replace_partition(dated.limit(0), part, partition_column="d", partition_value=day) == 0
+
+
+def test_partition_folders_are_spelled_as_spark_spells_them(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    for value in ("a/b:c", "d=e", "plain", None):
+        rows = spark.range(3).withColumn("k", F.lit(value).cast("string"))
+        assert tables.replace_partition(rows, path, partition_column="k", partition_value=value) == 3
+    found = spark.read.parquet(path).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in found} == {"a/b:c": 3, "d=e": 3, "plain": 3, None: 3}
