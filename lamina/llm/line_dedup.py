@@ -3,7 +3,10 @@
 A line is the set of its runs of five words (a shorter line: one run of all).
 Lines whose sets have a Jaccard likeness of 0.8 or more are similar, and a
 line goes if a similar or equal one stands earlier, in ascending order of ids
-and then of lines. Blank lines are layout and always stay.
+and then of lines. Blank lines are layout and always stay. A row is known by its
+id and two hashes of its text: rows that share an id, or have none, keep their
+lines apart, and of lines at one place of such rows the hashes say which is the
+earlier.
 
 The join works on distinct lines. Their tokens are ordered by rarity, the same
 for all lines: tokens that a sketch over the whole corpus finds frequent come
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import frames
@@ -32,7 +35,10 @@ SHARED, UNITED = 5, 4
 # only orders tokens, so no result depends on it.
 TRACKED, FREQUENT = 8192, 1024
 LEVELS = 7
-MOST_BROADCAST = 500_000  # places of candidate lines, of 16 bytes each
+MOST_BROADCAST = 500_000  # places of candidate lines, of 36 bytes each
+
+ROW = ["doc", "t1", "t2"]
+AT = "struct(doc, place, t1, t2)"  # a line's place in the order of all
 
 # A word is fetched by its place: slice() would copy the line for every token.
 _RUN = ", ".join(f"words[i + {k}]" for k in range(WORDS_PER_TOKEN))
@@ -43,19 +49,22 @@ _HASHES = (
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc``, ``place``, ``line`` and two hashes of it, for every line that isn't blank.
-
-    A row without an id counts as the last document.
-    """
+    """The row, ``place``, ``line`` and two hashes of it, for every line that isn't blank."""
     texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
-        F.posexplode_outer(F.split(F.col("text").cast("string"), "\n")).alias("place", "line"),
+        *_row_key(), F.posexplode_outer(F.split(F.col("text").cast("string"), "\n")).alias("place", "line")
     )
     return texts.where("trim(line) != ''").selectExpr(
-        "doc", "place", "line", "xxhash64(line) AS k1", "xxhash64(line, 1) AS k2"
+        *ROW, "place", "line", "xxhash64(line) AS k1", "xxhash64(line, 1) AS k2"
     )
 
 
+def _row_key() -> list[Column]:
+    """What a row is known by; one without an id counts as one of the last document."""
+    text = F.col("text").cast("string")
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+    return [doc.alias("doc"), F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(1)).alias("t2")]
+
+
 def _tokens(found: DataFrame, expression: str, name: str) -> DataFrame:
     return found.withColumn("words", F.split("line", " ")).withColumn(name, F.expr(expression)).drop("words")
 
@@ -84,37 +93,40 @@ def _ordered(levels: list[list[int]]) -> str:
 
 
 def _classes(found: DataFrame) -> DataFrame:
-    """Distinct lines: first place, number of tokens, and the prefix they are listed under."""
+    """Distinct lines: a number ``c``, first place, count of tokens, and the prefix they are listed under.
+
+    The numbers hold once the rows are written.
+    """
     ordered = _tokens(found, _HASHES, "hashes").withColumn("tokens", F.expr(_ordered(_levels(found))))
     n = "size(tokens)"
     prefix = f"slice(tokens, 1, {n} - ({UNITED} * {n} + {SHARED - 1}) div {SHARED} + 1)"
     return (
         ordered.selectExpr(
-            "k1", "k2", "struct(doc, place) AS at", f"{n} AS n", f"transform({prefix}, t -> hash(t)) AS prefix"
+            "k1", "k2", f"{AT} AS at", f"{n} AS n", f"transform({prefix}, t -> hash(t)) AS prefix"
         )
         .groupBy("k1", "k2")
         .agg(F.min("at").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        .select("k1", "k2", "first.doc", "first.place", "n", "prefix")
+        .select(F.monotonically_increasing_id().alias("c"), "k1", "k2", "first", "n", "prefix")
     )
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """Pairs of different lines that meet under a token and pass the filters; the first is the earlier."""
-    listed = classes.selectExpr("doc", "place", "n", "posexplode(prefix) AS (i, token)").selectExpr(
+    """Pairs of different lines, ``a`` and ``b``, that meet under a token and pass the filters."""
+    listed = classes.selectExpr("c", "n", "posexplode(prefix) AS (i, token)").selectExpr(
         # Few and short columns, since there is a row for every listed token.
-        "token", "doc", "place", "shiftleft(bigint(n), 32) | i AS ni"
+        "token", "c", "shiftleft(bigint(n), 32) | i AS ni"
     )
     # Both sides are the same but for their names, so one exchange serves both.
-    left = listed.selectExpr("token AS t", "doc AS a_doc", "place AS a_place", "ni AS a_ni")
-    right = listed.selectExpr("token AS u", "doc AS b_doc", "place AS b_place", "ni AS b_ni")
+    left = listed.selectExpr("token AS t", "c AS a", "ni AS a_ni")
+    right = listed.selectExpr("token AS u", "c AS b", "ni AS b_ni")
     n, m = "shiftright(a_ni, 32)", "shiftright(b_ni, 32)"
     left_of, right_of = f"{n} - (a_ni & 2147483647)", f"{m} - (b_ni & 2147483647)"
     needed = f"({UNITED} * ({n} + {m}) + {SHARED + UNITED - 1}) div {SHARED + UNITED}"
     return (
-        left.join(right, F.expr("t = u AND (a_doc < b_doc OR (a_doc = b_doc AND a_place < b_place))"))
+        left.join(right, F.expr("t = u AND a < b"))
         .where(f"{SHARED} * least({n}, {m}) >= {UNITED} * greatest({n}, {m})")
         .where(f"least({left_of}, {right_of}) >= {needed}")
-        .select("a_doc", "a_place", "b_doc", "b_place")
+        .select("a", "b")
         .distinct()
     )
 
@@ -130,79 +142,73 @@ def _by_bitmap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         f"aggregate(tokens, 0L, (s, t) -> s | IF((t & 192) = {64 * k}, shiftleft(1L, int(t & 63)), 0L))"
         for k in range(4)
     ]
-    marks = sets.selectExpr("doc", "place", "size(tokens) AS n", *[f"{w} AS w{k}" for k, w in enumerate(words)])
-    names = ["doc", "place", "n", *[f"w{k}" for k in range(4)]]
-    left, right = (marks.selectExpr(*[f"{c} AS {side}_{c}" for c in names]) for side in "ab")
+    marks = sets.selectExpr("c", "size(tokens) AS n", *[f"{w} AS w{k}" for k, w in enumerate(words)])
+    names = ["n", *[f"w{k}" for k in range(4)]]
+    left, right = (marks.selectExpr(f"c AS {side}", *[f"{c} AS {side}_{c}" for c in names]) for side in "ab")
     apart = " + ".join(f"bit_count(a_w{k} ^ b_w{k})" for k in range(4))
     return (
-        pairs.join(left, ["a_doc", "a_place"])
-        .join(right, ["b_doc", "b_place"])
+        pairs.join(left, "a")
+        .join(right, "b")
         .where(f"{SHARED + UNITED} * ({apart}) <= {SHARED - UNITED} * (a_n + b_n)")
-        .select("a_doc", "a_place", "b_doc", "b_place")
+        .select("a", "b")
     )
 
 
-def _similar(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The candidates whose whole sets bear them out."""
-    ends = pairs.selectExpr("a_doc AS doc", "a_place AS place").union(
-        pairs.selectExpr("b_doc AS doc", "b_place AS place")
-    )
+def _similar(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """The later line ``c`` and the ``earlier`` place, of candidates whose whole sets bear them out."""
+    ends = pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c"))
     ends = frames.written(ends.distinct(), "line-ends")
-    # Places of two numbers each: broadcast behind a check of their count, so that
+    # Numbers and places only: broadcast behind a check of their count, so that
     # the texts stay where they are; shuffled with the texts beyond it.
     few = ends.count() <= MOST_BROADCAST
-    first = found.select("doc", "place", "line").join(F.broadcast(ends) if few else ends, ["doc", "place"])
-    sets = _tokens(first, _HASHES, "hashes").select("doc", "place", F.array_distinct("hashes").alias("tokens"))
-    sets = frames.written(sets.dropDuplicates(["doc", "place"]), "line-sets")
+    places = classes.select("c", "first.*").join(F.broadcast(ends) if few else ends, "c")
+    first = found.select(*ROW, "place", "line").join(F.broadcast(places) if few else places, [*ROW, "place"])
+    sets = _tokens(first, _HASHES, "hashes").selectExpr("c", f"{AT} AS first", "array_distinct(hashes) AS tokens")
+    # Equal rows have the first place of a line once each.
+    sets = frames.written(sets.dropDuplicates(["c"]), "line-sets")
     likely = frames.written(_by_bitmap(pairs, sets), "likely-pairs")
-    left = sets.selectExpr("doc AS a_doc", "place AS a_place", "tokens AS x")
-    right = sets.selectExpr("doc AS b_doc", "place AS b_place", "tokens AS y")
+    left = sets.selectExpr("c AS a", "first AS a_first", "tokens AS x")
+    right = sets.selectExpr("c AS b", "first AS b_first", "tokens AS y")
     # shared / united >= 4 / 5 with the intersection written, and so made, once.
     shared = F.size(F.array_intersect("x", "y"))
     alike = (SHARED + UNITED) * shared >= UNITED * (F.size("x") + F.size("y"))
     return (
-        likely.join(left, ["a_doc", "a_place"])
-        .join(right, ["b_doc", "b_place"])
+        likely.join(left, "a")
+        .join(right, "b")
         .where(alike)
-        .select("a_doc", "a_place", "b_doc", "b_place")
+        .selectExpr(
+            "IF(a_first < b_first, a_first, b_first) AS earlier", "IF(a_first < b_first, b, a) AS c"
+        )
     )
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """``doc``, ``place`` of every line that a similar or equal earlier one makes go.
+    """The row, and ``place``, of every line that a similar or equal earlier one makes go.
 
-    Lines of repeated rows of one id share a place: neither is earlier.
+    Lines of equal rows, of one id and one text, share a place: neither is earlier.
     """
     found = lines(docs)
     classes = frames.written(_classes(found), "lines")
     pairs = frames.written(_candidates(classes), "line-pairs")
-    near = (
-        _similar(pairs, found)
-        .groupBy(F.col("b_doc").alias("doc"), F.col("b_place").alias("place"))
-        .agg(F.min(F.struct("a_doc", "a_place")).alias("earlier"))
-    )
-    first = F.struct("doc", "place")
-    bounds = classes.join(near, ["doc", "place"], "left").select(
-        "k1", "k2", F.coalesce(F.col("earlier").cast("struct<doc: bigint, place: int>"), first).alias("bound")
-    )
-    every = found.select("k1", "k2", first.alias("at"))
-    return every.join(bounds, ["k1", "k2"]).where("at > bound").select("at.doc", "at.place").distinct()
+    near = _similar(pairs, classes, found).groupBy("c").agg(F.min("earlier").alias("earlier"))
+    bounds = classes.join(near, "c", "left").selectExpr("k1", "k2", "coalesce(earlier, first) AS bound")
+    every = found.selectExpr("k1", "k2", f"{AT} AS at")
+    return every.join(bounds, ["k1", "k2"]).where("at > bound").select(*[f"at.{c}" for c in ROW], "at.place").distinct()
 
 
 def _by_document(docs: DataFrame) -> DataFrame:
-    """``doc``, ``gone``: numbers of the removed lines, ascending."""
-    return removed_lines(docs).groupBy("doc").agg(F.sort_array(F.collect_list("place")).alias("gone"))
+    """The row and ``gone``: numbers of its removed lines, ascending."""
+    return removed_lines(docs).groupBy(*ROW).agg(F.sort_array(F.collect_list("place")).alias("gone"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents without the lines that go; all columns stay, ``n_chars`` follows the text.
 
     A null text stays null, an empty one empty, and a document may become
-    empty. Rows that repeat an id lose the same lines. No rows, no result.
+    empty. Equal rows lose the same lines. No rows, no result.
     """
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc")
-    joined = docs.select(frames.as_row(docs), doc, F.col("text").cast("string").alias("text")).join(
-        _by_document(docs), "doc", "left"
+    joined = docs.select(frames.as_row(docs), *_row_key(), F.col("text").cast("string").alias("text")).join(
+        _by_document(docs), ROW, "left"
     )
     split = joined.withColumn("lines", F.split("text", "\n"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), gone), i -> lines[i]), '\\n')")
@@ -219,10 +225,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of every document the number of lines, and the numbers (from 0) of those that go."""
     docs = frames.documents(spark, sf_dir)
     gone = _by_document(docs)
-    counts = docs.selectExpr(
-        "doc_id", "coalesce(doc_id, 9223372036854775807) AS doc", "size(split(coalesce(text, ''), '\\n')) AS n_lines"
-    )
-    return counts.join(gone, "doc", "left").selectExpr(
+    n_lines = F.expr("size(split(coalesce(text, ''), '\\n'))").alias("n_lines")
+    return docs.select("doc_id", *_row_key(), n_lines).join(gone, ROW, "left").selectExpr(
         "doc_id",
         "CAST(n_lines AS BIGINT) AS n_lines",
         "CAST(coalesce(size(gone), 0) AS BIGINT) AS n_removed",

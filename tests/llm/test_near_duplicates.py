@@ -212,6 +212,38 @@ def test_line_stage_rebuilds_texts(docs_of):
     assert out == {1: (pairs[0][1], len(pairs[0][1])), 2: ("first of its own\n", 17), 3: ("", 0), None: ("last", 4)}
 
 
+def test_rows_sharing_an_id_keep_their_own_lines(spark, docs_of):
+    """Rows without an id, and of a repeated one, with different texts: each loses its own lines alone."""
+    same = "this very line has more than five words"
+    near = " ".join(f"w{i}" for i in range(60))
+    pairs = [
+        (1, same),
+        (None, f"{same}\nonly in the first of these rows"),
+        (None, f"a line of its own\n{near} once"),
+        (None, f"another of its own\n{near} twice"),
+        (7, f"{same}\nseven has this"),
+        (7, f"unlike the other seven\n{same}"),
+        (8, "at one place\nfirst eight"),
+        (8, "at one place\nsecond eight"),
+        (8, "at one place\nsecond eight"),
+    ]
+    out = line_dedup.dedup(docs_of(pairs)).collect()
+    got = sorted((str(r["doc_id"]), r["text"], r["n_chars"] == len(r["text"])) for r in out)
+    nears = [x for x in got if near in x[1]]
+    assert len(nears) == 1 and nears[0][0] == "None"
+    rest = {t for i, t, _ in got if i == "None" and near not in t}
+    lost = {"a line of its own", "another of its own"} & rest
+    assert len(lost) == 1 and rest == lost | {"only in the first of these rows"}
+    assert [t for i, t, _ in got if i == "7"] == ["seven has this", "unlike the other seven"]
+    # The equal rows count as one, and of two different ones either is the earlier.
+    eights = sorted(t for i, t, _ in got if i == "8")
+    assert eights in (
+        ["at one place\nfirst eight", "second eight", "second eight"],
+        ["at one place\nsecond eight", "at one place\nsecond eight", "first eight"],
+    )
+    assert all(right for _, _, right in got)
+
+
 def plain_spots(text):
     words = re.findall(r"[^\W_]+", text.lower())
     anchors = set(spotsigs.ANCHORS)
