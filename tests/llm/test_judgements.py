@@ -199,6 +199,34 @@ def test_trained_spans_and_redaction(docs_of):
         assert out[i][1] == len(out[i][0])
 
 
+def test_context_is_that_of_the_text(docs_of):
+    """Other matches of the same generator are part of it."""
+    more = [(7, 'AWS_SECRET_ACCESS_KEY_OF_MINE = "b39f2211c596882a4510"12 34 5 6 78 a_name_of_no_digits_at_all 😀'), *ODD]
+    seen = 0
+    for r in pii.candidates(docs_of([*TRICKY, *more])).collect():
+        text = r["text"] or ""
+        for c in r["candidates"]:
+            start, stop = c["start"], c["stop"]
+            assert c["value"] == text[start:stop]
+            assert c["before"] == text[max(0, start - pii.BEFORE) : start].lower()
+            assert c["after"] == text[stop : stop + pii.AFTER]
+            seen += 1
+    assert seen > 20
+
+
+def test_secrets_behind_long_key_names(docs_of):
+    forms = ['aws_secret_access_key = "{}"', "STRIPE_SECRET_KEY={} is set", "GITHUB_ACCESS_TOKEN: {} there"]
+    texts = []
+    for i in range(300):
+        # No run of digits is long enough for a card number, which would come first.
+        code = re.sub("([0-9]{6})", r"\1a", hashlib.sha1(str(i).encode()).hexdigest())
+        texts.append((i, forms[i % 4].format(code) if i % 4 < 3 else f"plain {code} words"))
+    docs = docs_of(texts)
+    out = {r["doc_id"]: r["text"] for r in pii.redact(docs, pii.train(docs)).collect()}
+    for i, text in texts:
+        assert out[i] == (forms[i % 4].format("[SECRET]") if i % 4 < 3 else text)
+
+
 def test_trees_become_the_same_scores():
     text = "If (feature 1 <= 2.5)\n If (feature 0 <= 0.0)\n  Predict: -1.0E-2\n Else (feature 0 > 0.0)\n  Predict: 2.0\nElse (feature 1 > 2.5)\n Predict: 3.0"
     assert pii._tree_sql(text) == "IF(c.f[1] <= 2.5D, IF(c.f[0] <= 0.0D, -0.01D, 2.0D), 3.0D)"
