@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from lamina.catalogue.inputs import (
 from lamina.columns import columns
 from lamina.operators import manifest
 from lamina.operators.contracts import ContractViolation, TableSpec
-from lamina.operators.digest import file_hashes
+from lamina.operators.digest import folder_hashes
 from lamina.plans import bronze, dashboard, gold, schemas, silver
 from lamina.plans.sources import (
     BEDS_CSV,
@@ -39,6 +40,8 @@ from lamina.sources.staged import read_newest, read_yearly
 QUERIES = {}
 SQL = {}
 
+PART_BYTES = 64 << 20
+
 
 def _query(function):
     QUERIES[function.__name__] = function
@@ -128,15 +131,23 @@ SELECT conv_id || '-' || turn AS codigo_documento, role AS sg_vacina, text,
 FROM conversations"""
 
 
+def land_texts(texts: DataFrame, path: str) -> str:
+    """A folder of part files for each source, in order of ids, of ``PART_BYTES`` or so."""
+    total = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    # Ranges of ids within a source, so that a large one is dealt over many tasks.
+    order = [F.col("source"), F.col("doc_id").asc_nulls_last(), F.col("text")]
+    ranged = texts.repartitionByRange(max(1, math.ceil(total / PART_BYTES)), *order)
+    ranged.sortWithinPartitions(*order).select("source", "text").write.partitionBy("source").text(path)
+    return path
+
+
 @_query
 def hashed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes and hash of a file with the texts of each source."""
-    path = scratch_folder(spark, "text")
+    """Bytes and hash of the texts of each source, landed in parts, as one file."""
     texts = table(spark, folder, "documents").where("text IS NOT NULL")
-    ordered = texts.repartition("source").sortWithinPartitions("source", "doc_id")
-    ordered.select("source", "text").write.partitionBy("source").text(path)
-    source = F.regexp_extract("path", "source=([^/]+)/", 1)
-    return file_hashes(spark, path).select(source.alias("source"), "length", "source_hash")
+    path = land_texts(texts, scratch_folder(spark, "text"))
+    source = F.regexp_extract("path", "source=([^/]+)$", 1)
+    return folder_hashes(spark, path).select(source.alias("source"), "length", "source_hash")
 
 
 SQL["hashed_files"] = """

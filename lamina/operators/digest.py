@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.sources.folders import _path
+
+CELL_LIMIT_BYTES = 256 << 20
+STREAMS = 8  # files the driver reads at once
+
 # A 256-bit hash is added up as four 64-bit words. Sums are exact: decimal(38,0)
 # holds 2**62 such words before it could overflow.
 _WORDS = range(4)
@@ -54,11 +61,60 @@ def payload_identity(df: DataFrame, code: str, by: Sequence[str] = ()) -> DataFr
     return set_digest(df, code, by).withColumnRenamed("digest", "identity")
 
 
+def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+
+
+def _streamed_hash(spark: SparkSession, paths: Sequence[str]) -> str:
+    """SHA-256 over the bytes of files one after the other, read in chunks by the JVM."""
+    codec = spark._jvm.org.apache.commons.codec.digest.DigestUtils
+    state = codec.getSha256Digest()
+    for name in paths:
+        system, path = _path(spark, name)
+        stream = system.open(path)
+        try:
+            codec.updateDigest(state, stream)
+        finally:
+            stream.close()
+    return state.digest().hex()
+
+
+def _streamed_hashes(spark: SparkSession, files: Mapping[str, Sequence[str]]) -> dict[str, str]:
+    with ThreadPoolExecutor(STREAMS) as pool:
+        return dict(zip(files, pool.map(lambda names: _streamed_hash(spark, names), files.values())))
+
+
 def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """SHA-256 of every file: ``path, length, source_hash``.
 
-    A file is one binary cell, read through Hadoop's file system whatever store
-    it is in; a file of 2 GiB or more fails the job, and is landed in parts.
+    Files are read through Hadoop's file system whatever store they are in. Up
+    to ``CELL_LIMIT_BYTES`` a file is one binary cell of a task. Larger ones are
+    streamed in chunks by the driver, some at once; the length filter keeps
+    their content out of the scan.
+    """
+    files = _listed(spark, paths)
+    small = files.where(F.col("length") <= CELL_LIMIT_BYTES)
+    hashes = small.select("path", "length", F.sha2("content", 256).alias("source_hash"))
+    over = files.where(F.col("length") > CELL_LIMIT_BYTES).select("path", "length")
+    large = {r["path"]: r["length"] for r in over.collect()}
+    if not large:
+        return hashes
+    streamed = _streamed_hashes(spark, {path: [path] for path in large})
+    rows = [(path, large[path], streamed[path]) for path in large]
+    return hashes.unionByName(spark.createDataFrame(rows, hashes.schema))
+
+
+def folder_hashes(spark: SparkSession, root: str) -> DataFrame:
+    """SHA-256 of the part files of every folder, as one file: ``path, length, source_hash``.
+
+    Parts count in the order of their tasks. Such a hash cannot be made in parts:
+    the driver streams a folder in chunks, several folders at once.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    return files.select("path", "length", F.sha2("content", 256).alias("source_hash"))
+    folders: dict[str, list[tuple]] = {}
+    for r in _listed(spark, root).select("path", "length").collect():
+        folder, name = r["path"].rsplit("/", 1)
+        order = [int(n) for n in re.search(r"^part-(\d+)-.*?[.-]c(\d+)", name).groups()]
+        folders.setdefault(folder, []).append((order, r["path"], r["length"]))
+    hashes = _streamed_hashes(spark, {f: [path for _, path, _ in sorted(parts)] for f, parts in folders.items()})
+    rows = [(f, sum(length for *_, length in parts), hashes[f]) for f, parts in folders.items()]
+    return spark.createDataFrame(rows, "path string, length bigint, source_hash string")

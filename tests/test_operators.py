@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from lamina.catalogue import files
 from lamina.columns import columns
 from lamina.operators import contracts, digest, paging, shaping
 from lamina.operators.latest import keep_last, latest_snapshot, latest_snapshot_per
@@ -218,6 +219,33 @@ def test_file_hashes(spark, tmp_path):
     assert hashes == {n: hashlib.sha256(d).hexdigest() for n, d in content.items()}
 
 
+def test_a_file_larger_than_a_cell(spark, tmp_path):
+    size = (2 << 30) + 5
+    with open(tmp_path / "large.bin", "wb") as sparse:
+        sparse.truncate(size)
+    (tmp_path / "small file.bin").write_bytes(b"x")
+    want = hashlib.sha256()
+    for _ in range(size >> 20):
+        want.update(bytes(1 << 20))
+    want.update(bytes(5))
+    found = {r["path"].rsplit("/", 1)[1]: (r["length"], r["source_hash"]) for r in digest.file_hashes(spark, str(tmp_path)).collect()}
+    assert found == {"large.bin": (size, want.hexdigest()), "small file.bin": (1, hashlib.sha256(b"x").hexdigest())}
+
+
+def test_a_source_lands_in_parts_and_is_hashed_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PART_BYTES", 4_000)
+    rows = [(None if i % 50 == 49 else i, "hot" if i % 10 else "few", f"text {i} " * (i % 7)) for i in range(600)]
+    texts = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    path = files.land_texts(texts, str(tmp_path / "landed"))
+    parts = list((tmp_path / "landed" / "source=hot").glob("part-*"))
+    assert len(parts) > 3 and max(p.stat().st_size for p in parts) < 16_000
+    want = {}
+    for i, source, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2])):
+        want[source] = want.get(source, b"") + text.encode() + b"\n"
+    got = {r["path"].rsplit("=", 1)[1]: (r["length"], r["source_hash"]) for r in digest.folder_hashes(spark, path).collect()}
+    assert got == {s: (len(t), hashlib.sha256(t).hexdigest()) for s, t in want.items()}
+
+
 # --- paging -----------------------------------------------------------------
 
 
