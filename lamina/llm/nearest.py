@@ -181,8 +181,9 @@ def search(
 
     Ties go to the smaller id; all candidates where there are fewer. Vectors
     that are null, zero or not finite throughout, rows without an id and
-    vectors not as long as the longest take no part. Of rows that repeat an id
-    with its vector one counts. No queries or no rows, no result.
+    vectors not of the commonest length (of equally common ones the longest)
+    take no part. Of rows that repeat an id with its vector one counts. No
+    queries or no rows, no result.
     """
     spark = vectors.sparkSession
     frames.small_batches(spark, 4096)
@@ -191,8 +192,9 @@ def search(
         F.col(vector_col).cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     ).where(F.col("vec_id").isNotNull() & taking_part("vector"))
-    width = rows.agg(F.max(F.size("vector"))).first()[0]
-    rows = rows.where(F.size("vector") == (width or 0))
+    widths = rows.groupBy(F.size("vector").alias("width")).count()
+    commonest = widths.orderBy(F.desc("count"), F.desc("width")).first()
+    rows = rows.where(F.size("vector") == (commonest["width"] if commonest else 0))
     # Equal vectors become one entry under their smallest id; a hot vector is
     # limited to the ids that a list can use before it is shuffled.
     first = W.partitionBy("vector").orderBy("vec_id")

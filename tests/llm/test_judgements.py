@@ -63,6 +63,17 @@ def test_nearest_odd_rows(spark):
     assert nearest.search(frame.limit(0), F.lit(True), "vec_id", "embedding").count() == 0
 
 
+def test_a_longer_vector_does_not_displace_the_others(spark):
+    rows = [(i, [1.0, float(i), float(i % 3)]) for i in range(30)] + [(500, [1.0] * 4), (501, [2.0] * 2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = nearest.search(frame, frame["vec_id"] % 20 == 0, "vec_id", "embedding").collect()
+    got = {}
+    for r in sorted(found, key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    ids = list(range(30))
+    assert got == brute_nearest(ids, np.array([v for _, v in rows[:30]]), [0, 20])
+
+
 def test_probing_retrieves_every_code_within_the_radius():
     chance = np.random.default_rng(3)
     vectors = chance.normal(size=(600, 16))
