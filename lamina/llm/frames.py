@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,6 +26,18 @@ def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for the jobs inside; the session's own number comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous)
+
+
 def whole_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` alone, a null text as the empty one."""
     return df.select(
@@ -42,14 +56,16 @@ def from_row(columns: list[str], changed: dict[str, Column]) -> list[Column]:
     return [(changed[c] if c in changed else F.col("row")[c]).alias(c) for c in columns]
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, rows_per_batch: int | None = None) -> DataFrame:
     """The same rows from a table in the shared folder, computed once.
 
     A lost executor loses none of it, and what reads it twice gets equal rows.
+    The job that writes may have Arrow batches of its own size.
     """
     spark = df.sparkSession
     path = scratch_folder(spark, purpose)
-    df.write.parquet(path)
+    with batches_of(spark, rows_per_batch) if rows_per_batch else contextlib.nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
