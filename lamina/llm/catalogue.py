@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from lamina.llm import bottom_k, bpe, centroids, licenses, line_dedup, nearest, packing, pii, quality, simhash, spotsigs, token_files
+from lamina.llm import (
+    bottom_k,
+    bpe,
+    centroids,
+    licenses,
+    line_dedup,
+    nearest,
+    packing,
+    pii,
+    quality,
+    simhash,
+    spotsigs,
+    token_files,
+    turns,
+)
 
 QUERIES = {
     "op1_multi_index_hashing": nearest.query,
@@ -16,11 +30,13 @@ QUERIES = {
     "op9_candidate_boosting": pii.query,
     "op10_linear_grouping": packing.query,
     "op11_heap_bounds": centroids.query,
+    "op12_auction_repair": turns.query,
     "op13_bottom_k": bottom_k.query,
 }
 
 SQL: dict[str, str] = {
     "op4_exact_line_join": line_dedup.SQL,
     "op11_heap_bounds": centroids.SQL,
+    "op12_auction_repair": turns.SQL,
     "op13_bottom_k": bottom_k.SQL,
 }
