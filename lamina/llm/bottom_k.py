@@ -10,12 +10,13 @@ Jaccard likeness of their whole sets is 0.8 or more.
   values that they must meet in the list of one of their rarest, so a class is
   listed under as many of its rarest values as the required overlap leaves, and
   under none that nobody else has.
-* Copies first: in the lists of its four smallest values a class meets the list's
-  first class alone, so a large group of near copies is tied together by a few
-  links a class. Only classes of different groups meet after that.
-* Where two classes meet, bitmaps of their sketches bound the overlap. Those
-  left are judged by their union sketch, the 64 smallest values of both, and
-  the survivors by their whole sets, which are made from the texts again.
+* Copies first: of every list that it is under, a class meets one other class
+  alone, another one in each list. So a large group of near copies is tied
+  together by a few links a class, and only classes of different groups meet
+  after that, each two of them once, in the first list that both are under.
+* Where two classes meet, bitmaps of their whole sets bound how many shingles only
+  one of them has. Those left are judged by their union sketch, the 64 smallest
+  values of both, and the survivors by their whole sets, made from the texts again.
 
 Two sets of likeness 0.8 share 51 of the 64 values of their union sketch on
 average and fewer than ``LEAST_SHARED`` = 30 with a chance below 1e-9 each; for
@@ -38,19 +39,18 @@ from lamina.llm.components import components
 
 SKETCH = 64
 LEAST_SHARED = 30
-STAR_KEYS = 4
 # Likeness in whole numbers: 100 x shared >= 80 x united.
 SHARED, UNITED = 5, 4
 # A value is frequent if one class in 200 has it: 64 x 200 such values at most,
 # whatever the size of the corpus, and their counts are broadcast.
 FREQUENT = 200
-MARKS = 4  # words of 64 bits in a bitmap
+MARKS = 8  # words of 64 bits in a bitmap
 WORDS_HELD = 1 << 18  # words whose hashes a task remembers
 ROWS_PER_BATCH = 256
 
 # A row is known by its id and two hashes of its text, its set by two hashes.
 ROW = ["doc", "t1", "t2"]
-SETS = "doc long, t1 long, t2 long, k1 long, k2 long, n long, sketch array<bigint>"
+SETS = "doc long, t1 long, t2 long, k1 long, k2 long, n long, sketch array<bigint>, marks array<bigint>"
 
 
 # --- sets of hashes ---------------------------------------------------------------
@@ -92,14 +92,24 @@ def _identity(shingles: np.ndarray) -> tuple[int, int]:
     return int(digest[0]), int(digest[1])
 
 
+def _marks(shingles: np.ndarray) -> np.ndarray:
+    """A bitmap in which every shingle turns one bit over.
+
+    What two sets share cancels out, so no more bits of two bitmaps differ than
+    there are shingles that only one of the sets has.
+    """
+    odd = np.bincount(shingles & (64 * MARKS - 1), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler = Shingler()
     for pdf in batches:
         rows = []
         for text in pdf["text"]:
             found = shingler.shingles(text)
-            rows.append((*_identity(found), len(found), found[:SKETCH]))
-        made = pd.DataFrame(rows, columns=["k1", "k2", "n", "sketch"])
+            rows.append((*_identity(found), len(found), found[:SKETCH], _marks(found)))
+        made = pd.DataFrame(rows, columns=["k1", "k2", "n", "sketch", "marks"])
         yield pd.concat([pdf[ROW], made], axis=1)
 
 
@@ -132,10 +142,6 @@ def _classes(rows: DataFrame) -> DataFrame:
 
     The numbers hold once the rows are written.
     """
-    marks = [
-        f"aggregate(sketch, 0L, (s, t) -> s | IF((t & {64 * (MARKS - 1)}) = {64 * i}, shiftleft(1L, int(t & 63)), 0L)) AS w{i}"
-        for i in range(MARKS)
-    ]
     one = (
         rows.where("n > 0")
         .groupBy("k1", "k2")
@@ -143,46 +149,32 @@ def _classes(rows: DataFrame) -> DataFrame:
         .agg(
             F.first("n").alias("n"),
             F.first("sketch").alias("sketch"),
+            F.first("marks").alias("marks"),
             F.min(F.struct(*ROW)).alias("row"),
             F.min(F.nullif("doc", F.lit(frames.NO_ID))).alias("least"),
         )
     )
-    return one.select(
-        F.monotonically_increasing_id().alias("c"), "k1", "k2", "n", "sketch", "row", "least", *map(F.expr, marks)
-    )
+    words = [F.col("marks")[i].alias(f"w{i}") for i in range(MARKS)]
+    return one.select(F.monotonically_increasing_id().alias("c"), "k1", "k2", "n", "sketch", "row", "least", *words)
 
 
-def _required(n: str, m: str) -> str:
-    """The least overlap that the sketches of similar sets of these sizes have."""
-    whole = f"({UNITED} * ({n} + {m}) + {SHARED + UNITED - 1}) div {SHARED + UNITED}"
-    return f"IF({n} <= {SKETCH} AND {m} <= {SKETCH}, {whole}, {LEAST_SHARED})"
+WORDS = [f"w{i}" for i in range(MARKS)]
 
 
 def _possible(a: str, b: str) -> str:
-    """Whether sizes and bitmaps of two classes leave the likeness possible."""
-    apart = " + ".join(f"bit_count({a}.w{i} ^ {b}.w{i})" for i in range(MARKS))
-    held = f"least({a}.n, {SKETCH}) + least({b}.n, {SKETCH})"
-    sizes = f"{SHARED} * least({a}.n, {b}.n) >= {UNITED} * greatest({a}.n, {b}.n)"
-    return f"{sizes} AND {apart} <= {held} - 2 * ({_required(f'{a}.n', f'{b}.n')})"
-
-
-ENTRY = "struct(c, n, " + ", ".join(f"w{i}" for i in range(MARKS)) + ")"
-
-
-def _star_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs of a class and the first one in the list of one of its smallest values."""
-    listed = classes.selectExpr(f"{ENTRY} AS e", f"explode(slice(sketch, 1, {STAR_KEYS})) AS value")
-    firsts = listed.groupBy("value").agg(F.min("e").alias("first"), F.count("*").alias("size")).where("size > 1")
-    return (
-        listed.join(firsts, "value")
-        .where(f"e.c != first.c AND {_possible('e', 'first')}")
-        .selectExpr("first.c AS a", "e.c AS b")
-        .distinct()
-    )
+    """Whether sizes and bitmaps of two classes, in columns of these prefixes, leave the likeness possible."""
+    n, m = f"{a}n", f"{b}n"
+    apart = " + ".join(f"bit_count({a}{w} ^ {b}{w})" for w in WORDS)
+    # shared >= 4/9 of both sizes, so at most 1/9 of them stands in one set only.
+    few = f"{SHARED + UNITED} * ({apart}) <= {SHARED - UNITED} * ({n} + {m})"
+    return f"{SHARED} * least({n}, {m}) >= {UNITED} * greatest({n}, {m}) AND {few}"
 
 
 def _listing(classes: DataFrame) -> DataFrame:
-    """``value``, ``e``: the rarest retained values of each class that another class has too."""
+    """``c``, ``value``, ``listed``: each class under its rarest retained values that another class has too.
+
+    ``listed`` are all of these, in the order that is the same for all classes.
+    """
     retained = classes.select("c", F.explode("sketch").alias("value"))
     held = retained.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     held = frames.written(held, "values")
@@ -193,34 +185,49 @@ def _listing(classes: DataFrame) -> DataFrame:
     seldom = retained.join(F.broadcast(frequent.select("value")), "value", "left_anti").join(
         held.where(F.col("df") * FREQUENT < total), "value"
     )
-    by_class = often.union(seldom).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
+    ranked = F.sort_array(F.collect_list(F.struct("df", "value")))
+    by_class = often.union(seldom).groupBy("c").agg(F.transform(ranked, lambda s: s["value"]).alias("shared"))
     # The values that none shares are the rarest of all: they fill the first places.
     size = f"least(n, {SKETCH})"
     least = f"IF(n <= {SKETCH}, (3 * n + 3) div 4, {LEAST_SHARED})"
-    places = f"{size} - {least} + 1 - ({size} - size(shared))"
+    places = f"int({size} - {least} + 1 - ({size} - size(shared)))"
     return (
         classes.join(by_class, "c")
-        .withColumn("places", F.expr(places))
-        .where("places > 0")
-        .selectExpr(f"{ENTRY} AS e", "explode(slice(shared, 1, int(places))) AS s")
-        .selectExpr("s.value AS value", "e")
+        .withColumn("listed", F.expr(f"slice(shared, 1, greatest({places}, 0))"))
+        .select("c", "n", *WORDS, "listed", F.explode("listed").alias("value"))
+    )
+
+
+def _side(entries: DataFrame, prefix: str) -> DataFrame:
+    return entries.select(*[F.col(c).alias(prefix + c) for c in entries.columns])
+
+
+def _star_pairs(listing: DataFrame) -> DataFrame:
+    """Pairs of a class and one other of each list it is under, that may be similar."""
+    entry = F.struct(F.xxhash64("value", "c").alias("order"), "c", "n", *WORDS)
+    firsts = listing.groupBy("value").agg(F.min(entry).alias("first"), F.count("*").alias("size")).where("size > 1")
+    centres = firsts.select(F.col("value").alias("y_value"), *[F.col(f"first.{c}").alias(f"y_{c}") for c in ["c", "n", *WORDS]])
+    return (
+        _side(listing.drop("listed"), "x_")
+        .join(centres, F.expr(f"x_value = y_value AND x_c != y_c AND {_possible('x_', 'y_')}"))
+        .selectExpr("least(x_c, y_c) AS a", "greatest(x_c, y_c) AS b")
+        .distinct()
     )
 
 
 def _list_pairs(listing: DataFrame, group: DataFrame) -> DataFrame:
-    """Pairs of classes of different groups that meet in a list and may be similar."""
-    known = listing.join(group.selectExpr("vertex AS v", "component"), F.expr("e.c = v"), "left").selectExpr(
-        "value", "e", "coalesce(component, e.c) AS g"
+    """Pairs of classes of different groups that may be similar, from the first list both are under."""
+    known = listing.join(group.selectExpr("vertex AS c", "component"), "c", "left").withColumn(
+        "g", F.coalesce("component", "c")
     )
     # A list of one group alone has nothing to add.
     mixed = known.groupBy("value").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high")
-    entries = frames.written(known.join(mixed.select("value"), "value", "left_semi"), "listing")
-    left = entries.selectExpr("value", "e AS x", "g")
-    right = entries.selectExpr("value AS v", "e AS y", "g AS h")
+    entries = frames.written(known.drop("component").join(mixed.select("value"), "value", "left_semi"), "listing")
+    once = "array_intersect(x_listed, y_listed)[0] = x_value"
     return (
-        left.join(right, F.expr(f"value = v AND g < h AND {_possible('x', 'y')}"))
-        .selectExpr("x.c AS a", "y.c AS b")
-        .distinct()
+        _side(entries, "x_")
+        .join(_side(entries, "y_"), F.expr(f"x_value = y_value AND x_g < y_g AND {_possible('x_', 'y_')} AND {once}"))
+        .selectExpr("x_c AS a", "y_c AS b")
     )
 
 
@@ -231,13 +238,12 @@ def _by_union_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose union sketch leaves the likeness possible."""
     x = classes.selectExpr("c AS a", "n AS n", "sketch AS x")
     y = classes.selectExpr("c AS b", "n AS m", "sketch AS y")
-    both = pairs.join(x, "a").join(y, "b").withColumn("united", F.expr("array_sort(array_union(x, y))"))
-    both = both.withColumn("last", F.expr(f"united[least(size(united), {SKETCH}) - 1]"))
-    shared = "size(filter(array_intersect(x, y), t -> t <= last))"
+    united = f"slice(sort_array(array_union(x, y)), 1, {SKETCH})"
+    shared = f"size(array_intersect(array_intersect(x, y), {united}))"
     # Sketches of small sets are the sets.
     exact = f"{SHARED + UNITED} * size(array_intersect(x, y)) >= {UNITED} * (n + m)"
     judged = f"IF(n <= {SKETCH} AND m <= {SKETCH}, {exact}, {shared} >= {LEAST_SHARED})"
-    return both.where(judged).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").where(judged).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -256,9 +262,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFr
 
 def links(classes: DataFrame, found: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` of classes that tie together all that have the likeness."""
-    copies = _confirmed(_by_union_sketch(_star_pairs(classes), classes), classes, found)
-    group = components(copies)
-    others = _list_pairs(_listing(classes), group)
+    listing = frames.written(_listing(classes), "lists")
+    copies = _confirmed(_by_union_sketch(_star_pairs(listing), classes), classes, found)
+    others = _list_pairs(listing, components(copies))
     return copies.union(_confirmed(_by_union_sketch(others, classes), classes, found))
 
 
