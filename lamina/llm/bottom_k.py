@@ -45,6 +45,7 @@ SHARED, UNITED = 5, 4
 # whatever the size of the corpus, and their counts are broadcast.
 FREQUENT = 200
 MARKS = 8  # words of 64 bits in a bitmap
+MOST_BROADCAST = 500_000  # rows of 32 bytes that say whose texts are wanted
 WORDS_HELD = 1 << 18  # words whose hashes a task remembers
 ROWS_PER_BATCH = 256
 
@@ -170,14 +171,14 @@ def _possible(a: str, b: str) -> str:
     return f"{SHARED} * least({n}, {m}) >= {UNITED} * greatest({n}, {m}) AND {few}"
 
 
-def _listing(classes: DataFrame) -> DataFrame:
+def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
     """``c``, ``value``, ``listed``: each class under its rarest retained values that another class has too.
 
     ``listed`` are all of these, in the order that is the same for all classes.
     """
     retained = classes.select("c", F.explode("sketch").alias("value"))
     held = retained.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    held = frames.written(held, "values")
+    held = scratch.written(held, "values")
     total = classes.count()
     frequent = held.where(F.col("df") * FREQUENT >= total)
     # Frequent values are few, by their definition; the lists of the others are short.
@@ -215,14 +216,14 @@ def _star_pairs(listing: DataFrame) -> DataFrame:
     )
 
 
-def _list_pairs(listing: DataFrame, group: DataFrame) -> DataFrame:
+def _list_pairs(listing: DataFrame, group: DataFrame, scratch: frames.Scratch) -> DataFrame:
     """Pairs of classes of different groups that may be similar, from the first list both are under."""
     known = listing.join(group.selectExpr("vertex AS c", "component"), "c", "left").withColumn(
         "g", F.coalesce("component", "c")
     )
     # A list of one group alone has nothing to add.
     mixed = known.groupBy("value").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high")
-    entries = frames.written(known.drop("component").join(mixed.select("value"), "value", "left_semi"), "listing")
+    entries = scratch.written(known.drop("component").join(mixed.select("value"), "value", "left_semi"), "listing")
     once = "array_intersect(x_listed, y_listed)[0] = x_value"
     return (
         _side(entries, "x_")
@@ -246,26 +247,45 @@ def _by_union_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where(judged).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Those of the pairs whose whole sets, made from the texts of ``found``, have the likeness."""
-    pairs = frames.written(pairs, "pairs")
-    ends = pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c")).distinct()
-    wanted = classes.join(ends, "c", "left_semi").select("c", "row.*")
+def _sets(wanted: DataFrame, found: DataFrame, scratch: frames.Scratch) -> DataFrame:
+    """``c`` and the whole set of the classes in ``wanted``, made from one text of each."""
+    wanted = scratch.written(wanted, "wanted")
+    # Numbers only: broadcast behind a check of their count, so that the texts
+    # stay where they are; shuffled with the texts beyond it.
+    few = wanted.count() <= MOST_BROADCAST
+    texts = found.join(F.broadcast(wanted) if few else wanted, ROW).select("c", "text")
     # Equal rows come once each, so one of them is taken.
-    firsts = found.join(wanted, ROW).groupBy("c").agg(F.first("text").alias("text"))
-    sets = frames.written(firsts.mapInPandas(_whole_sets, "c long, tokens array<bigint>"), "sets", ROWS_PER_BATCH)
+    firsts = texts.groupBy("c").agg(F.first("text").alias("text"))
+    return scratch.written(firsts.mapInPandas(_whole_sets, "c long, tokens array<bigint>"), "sets", ROWS_PER_BATCH)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs whose whole sets have the likeness."""
     x = sets.selectExpr("c AS a", "tokens AS x")
     y = sets.selectExpr("c AS b", "tokens AS y")
     alike = f"{SHARED + UNITED} * size(array_intersect(x, y)) >= {UNITED} * (size(x) + size(y))"
-    return frames.written(pairs.join(x, "a").join(y, "b").where(alike).select("a", "b"), "links")
+    return pairs.join(x, "a").join(y, "b").where(alike).select("a", "b")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c")).distinct()
+
 
+def links(classes: DataFrame, found: DataFrame, scratch: frames.Scratch) -> DataFrame:
+    """Links ``a``, ``b`` of classes that tie together all that have the likeness.
 
-def links(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` of classes that tie together all that have the likeness."""
-    listing = frames.written(_listing(classes), "lists")
-    copies = _confirmed(_by_union_sketch(_star_pairs(listing), classes), classes, found)
-    others = _list_pairs(listing, components(copies))
-    return copies.union(_confirmed(_by_union_sketch(others, classes), classes, found))
+    ``found`` are the rows of :func:`texts`, ``classes`` the written classes of their sets.
+    """
+    rows = classes.select("c", "row.*")
+    listing = scratch.written(_listing(classes, scratch), "lists")
+    stars = scratch.written(_by_union_sketch(_star_pairs(listing), classes), "pairs")
+    sets = _sets(rows.join(_ends(stars), "c", "left_semi"), found, scratch)
+    copies = scratch.written(_confirmed(stars, sets), "links")
+    others = _by_union_sketch(_list_pairs(listing, components(copies), scratch), classes)
+    others = scratch.written(others, "pairs")
+    more = rows.join(_ends(others), "c", "left_semi").join(sets.select("c"), "c", "left_anti")
+    every = sets.union(_sets(more, found, scratch))
+    return scratch.written(copies.union(_confirmed(others, every)), "links")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,19 +299,29 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     one id count as one document. No rows, no result.
     """
     found = texts(docs, id_col, text_col)
-    rows = frames.written(sketches(found), "sketches", ROWS_PER_BATCH)
-    classes = frames.written(_classes(rows), "classes")
+    with frames.Scratch(docs.sparkSession) as scratch:
+        rows = scratch.written(sketches(found), "sketches", ROWS_PER_BATCH)
+        classes = scratch.written(_classes(rows), "classes")
+        labels = components(links(classes, found, scratch).union(_of_one_id(rows, classes)))
+        return frames.written(_named(rows, classes, labels), "near-duplicates")
+
+
+def _of_one_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links of the classes that rows of one id are in."""
+    rows = rows.where((F.col("n") > 0) & (F.col("doc") != frames.NO_ID)).select("doc", "k1", "k2")
     several = (
-        rows.where((F.col("n") > 0) & (F.col("doc") != frames.NO_ID))
-        .groupBy("doc")
+        rows.groupBy("doc")
         .agg(F.min(F.struct("k1", "k2")).alias("low"), F.max(F.struct("k1", "k2")).alias("high"))
         .where("low != high")
         .select("doc")
     )
-    of_id = rows.where("n > 0").join(several, "doc").join(classes.select("k1", "k2", "c"), ["k1", "k2"])
-    first = of_id.groupBy("doc").agg(F.min("c").alias("a"))
-    same_id = of_id.join(first, "doc").where("a != c").selectExpr("a", "c AS b")
-    labels = components(links(classes, found).union(same_id))
+    numbered = rows.join(several, "doc").join(classes.select("k1", "k2", "c"), ["k1", "k2"])
+    first = numbered.groupBy("doc").agg(F.min("c").alias("a"))
+    return numbered.join(first, "doc").where("a != c").selectExpr("a", "c AS b")
+
+
+def _named(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the least id of their component."""
     named = classes.join(labels.withColumnRenamed("vertex", "c"), "c", "left").select(
         "k1", "k2", "least", F.coalesce("component", "c").alias("label")
     )

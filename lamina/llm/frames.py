@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.session import scratch_folder
+from lamina.sources import folders
 
 # Whole texts travel in Arrow batches; few rows keep a batch of long ones small.
 ROWS_PER_BATCH = 256
@@ -69,6 +70,28 @@ def written(df: DataFrame, purpose: str, rows_per_batch: int | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch(contextlib.AbstractContextManager):
+    """Tables that are needed only until the block ends, like those of :func:`written`.
+
+    What leaves the block must not read them any more: it is written itself.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def written(self, df: DataFrame, purpose: str, rows_per_batch: int | None = None) -> DataFrame:
+        path = scratch_folder(self.spark, purpose)
+        self.paths.append(path)
+        with batches_of(self.spark, rows_per_batch) if rows_per_batch else contextlib.nullcontext():
+            df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            folders.delete(self.spark, path)
+
+
 def id_ranges(df: DataFrame, column: str, rows_per_range: int) -> tuple[DataFrame, dict[int, int]]:
     """``df`` with ``range``, numbers of ranges of about so many rows each, and their first ids.
 
