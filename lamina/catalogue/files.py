@@ -34,7 +34,7 @@ from lamina.plans.sources import (
 from lamina.plans.warehouse import Warehouse
 from lamina.session import scratch_folder
 from lamina.sinks import tables
-from lamina.sources.raw import SEQUENCE_COLUMNS, read_csv, read_json_pages
+from lamina.sources.raw import SEQUENCE_COLUMNS, read_csv, read_csv_detected, read_json_pages
 from lamina.sources.staged import read_newest, read_yearly
 
 QUERIES = {}
@@ -88,6 +88,27 @@ SQL["csv_blocks"] = """
 SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_mktsegment FROM customer"""
 
 
+@_query
+def separators_in_one_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """One folder with files of both separators, each read with its own."""
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    path = scratch_folder(spark, "mixed")
+    for part, separator in enumerate((",", ";")):
+        half = rows.where(F.col("c_custkey") % 2 == part)
+        # The columns of the second half stand in another order.
+        order = rows.columns if part == 0 else rows.columns[::-1]
+        write_csv(half.select(*order), f"{path}/{part}", separator, "UTF-8")
+    back = read_csv_detected(spark, f"{path}/*", encoding="UTF-8", multi_line=False)
+    separator = F.when(F.col("c_custkey") % 2 == 0, F.lit(",")).otherwise(F.lit(";"))
+    return back.drop(*SEQUENCE_COLUMNS).withColumn("separator", separator)
+
+
+SQL["separators_in_one_folder"] = """
+SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_mktsegment,
+       CASE WHEN c_custkey % 2 = 0 THEN ',' ELSE ';' END AS separator
+FROM customer"""
+
+
 @_query
 def json_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Records in files of at most 1000, read back as strings."""

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.operators.shaping import quoted
-from lamina.sources.folders import matching
+from lamina.operators.shaping import quoted, union_drifted
+from lamina.sources.folders import base_name, matching
 
 CANDIDATE_SEPARATORS = (",", ";")
 DEFAULT_SEPARATOR = ","
 CORRUPT = "_corrupt_record"
+HEADERS_AT_ONCE = 8
 
 # Position of a row in its source. Keep-last needs an order: files by name,
 # blocks by offset, rows by reading order inside a block.
@@ -55,22 +57,39 @@ def _too_long(record: Column, separator: str, width: int) -> Column:
     return separators >= width
 
 
-def _checked_by_reader(reader: DataFrameReader, paths: list[str], header: list[str]) -> bool:
-    """Whether the reader can compare the header of every file.
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Files that a path or pattern stands for, in name order; those of a folder for itself."""
+    found = []
+    for entry in matching(spark, path):
+        inside = [f for f in matching(spark, f"{entry}/*") if not base_name(f).startswith(("_", "."))]
+        found += inside or [entry]
+    return found
 
-    It cannot where it had to name columns itself, for a blank or repeated
-    header cell; then the files' headers are compared here, one line of each.
-    """
-    written = reader.option("header", False).csv(paths[0]).first()
+
+def _regular(reader: DataFrameReader, path: str, header: list[str]) -> bool:
+    """Whether the header is as written: the reader renames a blank or repeated cell."""
+    written = reader.option("header", False).csv(path).first()
     reader.option("header", True)
-    if written is not None and list(written) == header:
-        return True
-    files = [f for p in paths for f in matching(reader._spark, p)] or paths
-    parts = [f for p in files for f in (matching(reader._spark, f"{p}/part-*") or [p])]
-    for file in parts[1:] if len(parts) > 1 else []:
-        if reader.csv(file).columns != header:
-            raise MalformedFile(f"another header in {file}")
-    return False
+    return written is not None and list(written) == header
+
+
+def _without_headers(rows: DataFrame, cells: list[str], written: list[str | None]) -> DataFrame:
+    """Rows that were read with their headers as rows: these are compared, and go.
+
+    A file's first row is that with the least number in its first block. The
+    numbers follow from the split alone, so both passes over the files agree.
+    """
+    whole = F.concat_ws("\x1f", *[F.coalesce(quoted(c), F.lit("\x1e")) for c in cells])
+    heads = (
+        rows.where("_block_start = 0")
+        .groupBy(F.col("_path").alias("_head_of"))
+        .agg(F.min("_row_seq").alias("_head_seq"), F.min_by(whole, "_row_seq").alias("_head"))
+    )
+    joined = rows.join(heads, F.col("_path") == F.col("_head_of"), "left")
+    other = F.col("_head") != F.lit("\x1f".join("\x1e" if c is None else c for c in written))
+    message = F.concat(F.lit("another header in "), F.col("_source_file"))
+    alike = F.when(other, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return joined.where(alike & (F.col("_row_seq") != F.col("_head_seq"))).drop("_head_of", "_head_seq", "_head")
 
 
 def read_csv(
@@ -101,41 +120,80 @@ def read_csv(
         .option("inferSchema", False)
     )
     located = [paths] if isinstance(paths, str) else list(paths)
-    header = reader.csv(located[0]).columns
+    # The first file's header, by the reader before a schema is set on it.
+    first = next(iter(files_below(spark, located[0])), located[0])
+    header = reader.csv(first).columns
+    if not header:
+        raise MalformedFile(f"empty file: {first}")
+    regular = _regular(reader, first, header)
+    written = None if regular else list(reader.option("header", False).csv(first).first())
+    # Where the reader had to rename cells it can't compare headers, so they are read as rows.
+    # Every column is parsed, so that headers and row lengths are checked whatever is read.
+    reader.option("header", regular).option("enforceSchema", not regular).option("columnPruning", False)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
     rows = (
         reader.schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", not _checked_by_reader(reader, located, header))
         .csv(located)
     )
     rows = rows.select(
         *[quoted(c) for c in header],
         F.col("_metadata.file_name").alias("_source_file"),
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
         F.col(CORRUPT),
     )
+    if not regular:
+        rows = _without_headers(rows, header, written)
     bad = F.col(CORRUPT).isNotNull()
     if pad_short_rows:
         bad = bad & _too_long(F.col(CORRUPT), separator, len(header))
     if not multi_line:
         quotes = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit('"')))
         bad = bad | (F.col(CORRUPT).isNotNull() & (quotes % 2 == 1))
-    message = F.concat(F.lit("malformed row in "), F.col("_source_file"))
+    # The message names a cell, for the reader refuses a query on the corrupt column alone.
+    begins = F.coalesce(F.substring(quoted(header[0]), 1, 20), F.lit(""))
+    message = F.concat(F.lit("malformed row in "), F.col("_source_file"), F.lit(", after "), begins)
     fine = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return rows.where(fine).drop(CORRUPT)
+    return rows.where(fine).drop(CORRUPT, "_path")
 
 
-def read_csv_detected(spark: SparkSession, path: str, *, encoding: str, **options) -> DataFrame:
-    """:func:`read_csv` with the separator found in the file's header."""
-    files = matching(spark, path)
+def separators(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files below a path by the separator of their own header line.
+
+    A job reads the first line of a file and no more of it; several run at once.
+    Files without a line are left out.
+    """
+    files = files_below(spark, path)
     if not files:
         raise FileNotFoundError(path)
-    first = next(iter(matching(spark, f"{files[0]}/part-*")), files[0])
-    separator = detect_separator(spark, first)
-    return read_csv(spark, path, separator=separator, encoding=encoding, **options)
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        lines = list(pool.map(lambda file: spark.read.text(file).first(), files))
+    found: dict[str, list[str]] = {}
+    for file, line in zip(files, lines):
+        if line is not None:
+            found.setdefault(choose_separator(line[0]), []).append(file)
+    if not found:
+        raise MalformedFile(f"empty file: {path}")
+    return found
+
+
+def read_csv_detected(spark: SparkSession, path: str, *, encoding: str, **options) -> DataFrame:
+    """:func:`read_csv` with the separator found in each file's header.
+
+    Files of one separator are one read and share one header. Where a path has
+    files of both, their rows are put together by column name.
+    """
+    found = separators(spark, path)
+    reads = [
+        read_csv(spark, files if len(found) > 1 else path, separator=separator, encoding=encoding, **options)
+        for separator, files in sorted(found.items())
+    ]
+    together = union_drifted(reads)
+    cells = [c for c in together.columns if c not in SEQUENCE_COLUMNS]
+    return together.select(*[quoted(c) for c in cells], *SEQUENCE_COLUMNS)
 
 
 def year_in_name(name: str, pattern: str) -> int | None:
