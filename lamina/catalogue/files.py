@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.catalogue import star
 from lamina.catalogue.inputs import (
@@ -34,6 +35,7 @@ from lamina.plans.sources import (
 from lamina.plans.warehouse import Warehouse
 from lamina.session import scratch_folder
 from lamina.sinks import tables
+from lamina.sinks.versioned import Table
 from lamina.sources.raw import SEQUENCE_COLUMNS, read_csv, read_csv_detected, read_json_pages
 from lamina.sources.staged import read_newest, read_yearly
 
@@ -214,6 +216,60 @@ FROM orders
 WHERE year(o_orderdate) <> 1998 AND (year(o_orderdate) <> 1997 OR o_orderstatus = 'F')"""
 
 
+def _orders_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_totalprice",
+        "o_orderstatus",
+        F.to_date(F.date_trunc("year", "o_orderdate")).alias("_extraction_date"),
+    )
+
+
+@_query
+def versioned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """A table with a commit log after replacing a partition twice, emptying one, and a lost race."""
+    stored = Table(spark, scratch_folder(spark, "versioned"))
+    orders = _orders_by_year(spark, folder)
+    for (day,) in orders.select("_extraction_date").distinct().collect():
+        stored.replace_partition(orders.where(F.col("_extraction_date") == F.lit(day)), "_extraction_date", day)
+    changed = orders.where(
+        (F.col("_extraction_date") == date(1997, 1, 1)) & (F.col("o_orderstatus") == "F")
+    ).withColumn("o_totalprice", -F.col("o_totalprice"))
+    for _ in range(2):
+        stored.replace_partition(changed, "_extraction_date", date(1997, 1, 1))
+    stored.replace_partition(orders.where(F.lit(False)), "_extraction_date", date(1998, 1, 1))
+    return star.comparable(stored.read())
+
+
+SQL["versioned_partitions"] = """
+SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN -o_totalprice ELSE o_totalprice END
+         AS o_totalprice, o_orderstatus, year(o_orderdate) || '-01-01' AS _extraction_date
+FROM orders
+WHERE year(o_orderdate) <> 1998 AND (year(o_orderdate) <> 1997 OR o_orderstatus = 'F')"""
+
+
+@_query
+def added_columns_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table after columns were added: what was stored before reads with their defaults."""
+    stored = Table(spark, scratch_folder(spark, "evolved"))
+    orders = _orders_by_year(spark, folder)
+    old, new = date(1995, 1, 1), date(1996, 1, 1)
+    of_year = F.col("_extraction_date")
+    stored.replace_partition(orders.where(of_year == F.lit(old)), "_extraction_date", old)
+    stored.add_column("priority", T.StringType(), "none")
+    stored.add_column("weight", T.DoubleType())
+    later = orders.where(of_year == F.lit(new)).withColumn("priority", F.lit("high"))
+    stored.replace_partition(later.withColumn("weight", F.lit(0.5)), "_extraction_date", new)
+    return star.comparable(stored.read())
+
+
+SQL["added_columns_stored"] = """
+SELECT o_orderkey, o_totalprice, o_orderstatus, year(o_orderdate) || '-01-01' AS _extraction_date,
+       CASE year(o_orderdate) WHEN 1995 THEN 'none' ELSE 'high' END AS priority,
+       CASE year(o_orderdate) WHEN 1996 THEN 0.5::DOUBLE END AS weight
+FROM orders WHERE year(o_orderdate) IN (1995, 1996)"""
+
+
 @_query
 def newest_partition(spark: SparkSession, folder: str) -> DataFrame:
     """The newest partition of a stored table, found in its folder names."""

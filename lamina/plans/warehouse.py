@@ -2,7 +2,7 @@
 
     <root>/manifest                      append-only change record
     <root>/staging/<dataset>/<date>/     all-string Parquet, written once
-    <root>/silver/<table>/_extraction_date=<date>/
+    <root>/silver/<table>/               commit log and partitions by extraction date
     <root>/gold/<table>/v<number>/       published versions
 """
 
@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from lamina.operators import manifest
 from lamina.operators.contracts import TableSpec
+from lamina.operators.latest import latest_snapshot
 from lamina.operators.quality import RowCounts
 from lamina.plans import bronze, domains, gold, schemas, silver, sources
 from lamina.session import sized_shuffles
 from lamina.sinks import tables
+from lamina.sinks.versioned import Table
 from lamina.sources import folders, staged
 
 CSV_DATASETS = (
@@ -166,22 +168,27 @@ class Warehouse:
             made = silver.care_units(frame, extracted, counts=counts)
         else:
             made = silver.establishments(staged.read_staged(self.spark, path), extracted)
-        rows = tables.load_silver(
+        rows = self._silver_table(name).load(
             made.df,
-            self._folder("silver", name),
             SILVER[name],
             extracted,
             unique_by_construction=name != sources.ESTABLISHMENTS_CSV.name,
         )
         return SilverLoad(rows, counts.removed(), made.processed_years, made.skipped_years)
 
+    def _silver_table(self, name: str) -> Table:
+        return Table(self.spark, self._folder("silver", name))
+
     def silver(self, name: str) -> DataFrame:
         """Newest snapshot of a Silver table."""
-        return staged.read_newest(self.spark, self._folder("silver", name))
+        return latest_snapshot(self._silver_table(name).read(), SILVER[name].partition, self.snapshot(name))
 
     def snapshot(self, name: str) -> date:
-        """Its extraction date, from the folder names."""
-        return staged.newest_partition(self.spark, self._folder("silver", name))
+        """Its extraction date, from the commit log."""
+        dates = self._silver_table(name).values()
+        if not dates:
+            raise FileNotFoundError(f"no extraction of {name} is loaded")
+        return max(date.fromisoformat(d) for d in dates)
 
     # --- Gold ---------------------------------------------------------------
 

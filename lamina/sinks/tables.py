@@ -107,16 +107,25 @@ def _versions(spark: SparkSession, path: str, published: bool) -> list[str]:
     return [f[: len(f) - len(marker)] for f in found]
 
 
+def _claimed(spark: SparkSession, path: str) -> str:
+    """A folder for a version that no other writer has."""
+    last = _versions(spark, path, published=False)
+    number = 1 + (int(folders.base_name(last[-1])[1:]) if last else 0)
+    while not folders.publish_text(spark, "", f"{path.rstrip('/')}/_claims/v{number:010d}"):
+        number += 1
+    return f"{path.rstrip('/')}/v{number:010d}"
+
+
 def rebuild(df: DataFrame, path: str, spec: TableSpec | None = None) -> int:
     """Full rebuild: write a new version beside the old ones, check it, publish it.
 
     Readers use the newest published version, so they see the old content until
-    the marker of the new one exists, and a failed build changes nothing.
+    the marker of the new one exists, and a failed build changes nothing. A
+    version's number is claimed before it is written, so builds that run at once
+    write versions of their own.
     """
     spark = df.sparkSession
-    last = _versions(spark, path, published=False)
-    number = 1 + (int(folders.base_name(last[-1])[1:]) if last else 0)
-    target = f"{path.rstrip('/')}/v{number:010d}"
+    target = _claimed(spark, path)
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if spec is not None and spec.partition is not None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -50,6 +53,49 @@ def exchange(spark: SparkSession, prepared: str, location: str) -> None:
         raise OSError(f"{prepared} cannot take the place of {location}")
 
 
+def read_text(spark: SparkSession, location: str) -> str:
+    """A small file, whole."""
+    system, path = _path(spark, location)
+    stream = system.open(path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, text: str, location: str) -> bool:
+    """Let a small file appear, whole, unless its name is taken; whether it did."""
+    jvm = spark._jvm
+    system, path = _path(spark, location)
+    parent = path.getParent()
+    prepared = jvm.org.apache.hadoop.fs.Path(parent, f".{path.getName()}-{uuid.uuid4().hex}")
+    stream = system.create(prepared, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        # Unlike FileSystem.rename, this one never takes an existing file's place.
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            system.getUri(), spark._jsc.hadoopConfiguration()
+        ).rename(system.makeQualified(prepared), system.makeQualified(path), options)
+    except Py4JJavaError as problem:
+        system.delete(prepared, False)
+        if "FileAlreadyExistsException" in problem.java_exception.toString():
+            return False
+        raise
+    return True
+
+
+def modified(spark: SparkSession, location: str) -> float:
+    """When a path was last changed, in seconds of the epoch."""
+    system, path = _path(spark, location)
+    return system.getFileStatus(path).getModificationTime() / 1000
+
+
 def touch(spark: SparkSession, location: str) -> None:
     """Create an empty marker file; fails if it exists."""
     system, path = _path(spark, location)
