@@ -12,11 +12,14 @@ The join works on distinct lines. Their tokens are ordered by rarity, the same
 for all lines: tokens that a sketch over the whole corpus finds frequent come
 last, in levels of their counts, and within a level the hash decides. A line
 is listed under the first tokens of that order only, so many that similar
-lines share one of them (prefix filter). Two lines that meet there are a
-candidate if their lengths allow the likeness (length filter) and what stands
-behind the shared token can still reach it (positional filter). Bitmaps of the
-sets drop most candidates, and the others are verified on their whole sets. A token is known by the 64-bit hash of its words,
-an equal line by two such hashes.
+lines share one of them (prefix filter). Two lines that meet there may be
+similar if their lengths allow the likeness (length filter), if what stands
+behind the shared token can still reach it (positional filter), and if bitmaps of
+their sets do; then their whole sets are compared. A line goes as soon as one
+earlier line is found similar, so it first meets the earliest line of each of
+its lists, then one other of each list. Only lines that neither makes go meet
+all earlier ones of their lists, each of them once. A token is known by the
+64-bit hash of its words, an equal line by two such hashes.
 """
 
 from __future__ import annotations
@@ -110,76 +113,91 @@ def _classes(found: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Pairs of different lines, ``a`` and ``b``, that meet under a token and pass the filters."""
-    listed = classes.selectExpr("c", "n", "posexplode(prefix) AS (i, token)").selectExpr(
-        # Few and short columns, since there is a row for every listed token.
-        "token", "c", "shiftleft(bigint(n), 32) | i AS ni"
-    )
-    # Both sides are the same but for their names, so one exchange serves both.
-    left = listed.selectExpr("token AS t", "c AS a", "ni AS a_ni")
-    right = listed.selectExpr("token AS u", "c AS b", "ni AS b_ni")
-    n, m = "shiftright(a_ni, 32)", "shiftright(b_ni, 32)"
-    left_of, right_of = f"{n} - (a_ni & 2147483647)", f"{m} - (b_ni & 2147483647)"
-    needed = f"({UNITED} * ({n} + {m}) + {SHARED + UNITED - 1}) div {SHARED + UNITED}"
-    return (
-        left.join(right, F.expr("t = u AND a < b"))
-        .where(f"{SHARED} * least({n}, {m}) >= {UNITED} * greatest({n}, {m})")
-        .where(f"least({left_of}, {right_of}) >= {needed}")
-        .select("a", "b")
-        .distinct()
-    )
+MARKS = 4  # words of 64 bits in a bitmap
+ENTRY = ["c", "first", "n", "i", *[f"w{k}" for k in range(MARKS)]]
+
 
+def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
+    """``token`` with number, first place, size and position of the classes that share it."""
+    listed = classes.selectExpr("c", "first", "n", "prefix", "posexplode(prefix) AS (i, token)")
+    shared = listed.groupBy("token").count().where("count > 1").select("token")
+    return scratch.written(listed.join(shared, "token", "left_semi"), "listing")
 
-def _by_bitmap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that the bitmaps of their sets leave possible.
 
-    Each token sets one of 256 bits. A bit that only one of two sets has stands
-    for a token that only it has, and similar sets have few of these. So most
-    candidates go before whole sets travel.
+def _sets(classes: DataFrame, found: DataFrame, scratch: frames.Scratch) -> DataFrame:
+    """``c``, the token set and its bitmap, of the classes given.
+
+    Each token turns one of 256 bits over: what two sets share cancels out, so
+    no more bits of two bitmaps differ than there are tokens only one set has.
     """
+    # Numbers and places only: broadcast behind a check of their count, so that
+    # the texts stay where they are; shuffled with the texts beyond it.
+    places = scratch.written(classes.select("c", "first.*"), "line-ends")
+    few = places.count() <= MOST_BROADCAST
+    lines_of = found.select(*ROW, "place", "line").join(F.broadcast(places) if few else places, [*ROW, "place"])
+    # Equal rows have the first place of a line once each.
+    hashed = _tokens(lines_of.select("c", "line"), _HASHES, "hashes").selectExpr("c", "array_distinct(hashes) AS tokens")
     words = [
-        f"aggregate(tokens, 0L, (s, t) -> s | IF((t & 192) = {64 * k}, shiftleft(1L, int(t & 63)), 0L))"
-        for k in range(4)
+        f"aggregate(tokens, 0L, (s, t) -> s ^ IF((t & 192) = {64 * k}, shiftleft(1L, int(t & 63)), 0L)) AS w{k}"
+        for k in range(MARKS)
     ]
-    marks = sets.selectExpr("c", "size(tokens) AS n", *[f"{w} AS w{k}" for k, w in enumerate(words)])
-    names = ["n", *[f"w{k}" for k in range(4)]]
-    left, right = (marks.selectExpr(f"c AS {side}", *[f"{c} AS {side}_{c}" for c in names]) for side in "ab")
-    apart = " + ".join(f"bit_count(a_w{k} ^ b_w{k})" for k in range(4))
+    return scratch.written(hashed.dropDuplicates(["c"]).selectExpr("c", "tokens", *words), "line-sets")
+
+
+def _possible(a: str, b: str) -> str:
+    """Whether length, position and bitmaps leave the likeness possible; ``a``, ``b`` are column prefixes."""
+    n, m = f"{a}n", f"{b}n"
+    needed = f"({UNITED} * ({n} + {m}) + {SHARED + UNITED - 1}) div {SHARED + UNITED}"
+    apart = " + ".join(f"bit_count({a}w{k} ^ {b}w{k})" for k in range(MARKS))
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(f"{SHARED + UNITED} * ({apart}) <= {SHARED - UNITED} * (a_n + b_n)")
-        .select("a", "b")
+        f"{SHARED} * least({n}, {m}) >= {UNITED} * greatest({n}, {m})"
+        f" AND least({n} - {a}i, {m} - {b}i) >= {needed}"
+        f" AND {SHARED + UNITED} * ({apart}) <= {SHARED - UNITED} * ({n} + {m})"
     )
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """The later line ``c`` and the ``earlier`` place, of candidates whose whole sets bear them out."""
-    ends = pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c"))
-    ends = frames.written(ends.distinct(), "line-ends")
-    # Numbers and places only: broadcast behind a check of their count, so that
-    # the texts stay where they are; shuffled with the texts beyond it.
-    few = ends.count() <= MOST_BROADCAST
-    places = classes.select("c", "first.*").join(F.broadcast(ends) if few else ends, "c")
-    first = found.select(*ROW, "place", "line").join(F.broadcast(places) if few else places, [*ROW, "place"])
-    sets = _tokens(first, _HASHES, "hashes").selectExpr("c", f"{AT} AS first", "array_distinct(hashes) AS tokens")
-    # Equal rows have the first place of a line once each.
-    sets = frames.written(sets.dropDuplicates(["c"]), "line-sets")
-    likely = frames.written(_by_bitmap(pairs, sets), "likely-pairs")
-    left = sets.selectExpr("c AS a", "first AS a_first", "tokens AS x")
-    right = sets.selectExpr("c AS b", "first AS b_first", "tokens AS y")
-    # shared / united >= 4 / 5 with the intersection written, and so made, once.
-    shared = F.size(F.array_intersect("x", "y"))
-    alike = (SHARED + UNITED) * shared >= UNITED * (F.size("x") + F.size("y"))
-    return (
-        likely.join(left, "a")
-        .join(right, "b")
-        .where(alike)
-        .selectExpr(
-            "IF(a_first < b_first, a_first, b_first) AS earlier", "IF(a_first < b_first, b, a) AS c"
-        )
+def _side(entries: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
+    return entries.select(*[F.col(c).alias(prefix + c) for c in columns])
+
+
+def _against_one(entries: DataFrame, lines: DataFrame, order: Column) -> DataFrame:
+    """Pairs of ``lines`` and the first entry, in that order, of each of their lists, if it is earlier."""
+    one = entries.groupBy("token").agg(F.min(F.struct(order.alias("o"), *ENTRY)).alias("e"))
+    one = one.select(F.col("token").alias("x_token"), *[F.col(f"e.{c}").alias(f"x_{c}") for c in ENTRY])
+    met = F.expr(f"x_token = y_token AND x_first < y_first AND {_possible('x_', 'y_')}")
+    return one.join(_side(lines, "y_", ["token", *ENTRY]), met).selectExpr("x_c AS a", "y_c AS b").distinct()
+
+
+def _against_all(entries: DataFrame, lines: DataFrame) -> DataFrame:
+    """Pairs of ``lines`` and the earlier entries of their lists, from the first token both are under."""
+    met = F.expr(
+        f"x_token = y_token AND x_first < y_first AND {_possible('x_', 'y_')}"
+        " AND array_intersect(x_prefix, y_prefix)[0] = x_token"
     )
+    columns = ["token", "prefix", *ENTRY]
+    return _side(entries, "x_", columns).join(_side(lines, "y_", columns), met).selectExpr("x_c AS a", "y_c AS b")
+
+
+def _later(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``c``: the later lines of the pairs whose whole sets have the likeness."""
+    left, right = sets.selectExpr("c AS a", "tokens AS x"), sets.selectExpr("c AS b", "tokens AS y")
+    # shared / united >= 4 / 5 with the intersection written, and so made, once.
+    alike = (SHARED + UNITED) * F.size(F.array_intersect("x", "y")) >= UNITED * (F.size("x") + F.size("y"))
+    return pairs.join(left, "a").join(right, "b").where(alike).selectExpr("b AS c").distinct()
+
+
+def _with_earlier(classes: DataFrame, found: DataFrame, scratch: frames.Scratch) -> DataFrame:
+    """``c`` of every class to which an earlier one is similar."""
+    listing = _listing(classes, scratch)
+    met = classes.join(listing.select("c").distinct(), "c", "left_semi")
+    sets = _sets(met, found, scratch)
+    entries = scratch.written(listing.join(sets.drop("tokens"), "c"), "entries")
+    gone = scratch.written(_later(_against_one(entries, entries, F.col("first")), sets), "gone")
+    rest = entries.join(gone, "c", "left_anti")
+    more = scratch.written(_later(_against_one(entries, rest, F.xxhash64("token", "c")), sets), "gone")
+    gone = gone.union(more)
+    rest = entries.join(gone, "c", "left_anti")
+    return gone.union(_later(_against_all(entries, rest), sets))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -188,12 +206,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     Lines of equal rows, of one id and one text, share a place: neither is earlier.
     """
     found = lines(docs)
-    classes = frames.written(_classes(found), "lines")
-    pairs = frames.written(_candidates(classes), "line-pairs")
-    near = _similar(pairs, classes, found).groupBy("c").agg(F.min("earlier").alias("earlier"))
-    bounds = classes.join(near, "c", "left").selectExpr("k1", "k2", "coalesce(earlier, first) AS bound")
-    every = found.selectExpr("k1", "k2", f"{AT} AS at")
-    return every.join(bounds, ["k1", "k2"]).where("at > bound").select(*[f"at.{c}" for c in ROW], "at.place").distinct()
+    with frames.Scratch(docs.sparkSession) as scratch:
+        classes = scratch.written(_classes(found), "lines")
+        near = scratch.written(_with_earlier(classes, found, scratch), "near")
+        # A class with an earlier similar line goes whole, of any other all but its first line.
+        bounds = classes.join(near.withColumn("near", F.lit(True)), "c", "left").select("k1", "k2", "first", "near")
+        every = found.selectExpr("k1", "k2", f"{AT} AS at")
+        gone = every.join(bounds, ["k1", "k2"]).where("near OR at > first")
+        return frames.written(gone.select(*[f"at.{c}" for c in ROW], "at.place").distinct(), "removed")
 
 
 def _by_document(docs: DataFrame) -> DataFrame:
