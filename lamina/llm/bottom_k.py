@@ -9,7 +9,9 @@ Jaccard likeness of their whole sets is 0.8 or more.
   are ordered by how many classes have them. Similar sets share so many retained
   values that they must meet in the list of one of their rarest, so a class is
   listed under as many of its rarest values as the required overlap leaves, and
-  under none that nobody else has.
+  under none that nobody else has. A list is kept apart by sizes: similar sets lie
+  in one size class of the ratio 1.26 or in two next to each other, so a class is
+  listed under its own and the next one.
 * Copies first: of every list that it is under, a class meets one other class
   alone, another one in each list. So a large group of near copies is tied
   together by a few links a class, and only classes of different groups meet
@@ -44,6 +46,7 @@ SHARED, UNITED = 5, 4
 # A value is frequent if one class in 200 has it: 64 x 200 such values at most,
 # whatever the size of the corpus, and their counts are broadcast.
 FREQUENT = 200
+SIZE_RATIO = 1.26  # a little over 5/4, the largest ratio of the sizes of similar sets
 MARKS = 8  # words of 64 bits in a bitmap
 MOST_BROADCAST = 500_000  # rows of 32 bytes that say whose texts are wanted
 WORDS_HELD = 1 << 18  # words whose hashes a task remembers
@@ -160,6 +163,8 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 WORDS = [f"w{i}" for i in range(MARKS)]
+KEY = ["value", "size"]
+MEET = "x_value = y_value AND x_size = y_size"
 
 
 def _possible(a: str, b: str) -> str:
@@ -172,9 +177,10 @@ def _possible(a: str, b: str) -> str:
 
 
 def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
-    """``c``, ``value``, ``listed``: each class under its rarest retained values that another class has too.
+    """``c``, ``value``, ``size``: each class under its rarest retained values that another class has too.
 
-    ``listed`` are all of these, in the order that is the same for all classes.
+    ``listed`` are all of these values, in the order that is the same for all
+    classes. ``size`` is the class's own size class or the next one, ``own`` its own.
     """
     retained = classes.select("c", F.explode("sketch").alias("value"))
     held = retained.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
@@ -192,11 +198,21 @@ def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
     size = f"least(n, {SKETCH})"
     least = f"IF(n <= {SKETCH}, (3 * n + 3) div 4, {LEAST_SHARED})"
     places = f"int({size} - {least} + 1 - ({size} - size(shared)))"
-    return (
-        classes.join(by_class, "c")
+    own = F.floor(F.log("n") / F.log(F.lit(SIZE_RATIO))).cast("int")
+    chosen = (
+        classes.select("c", "n")
+        .join(by_class, "c")
         .withColumn("listed", F.expr(f"slice(shared, 1, greatest({places}, 0))"))
-        .select("c", "n", *WORDS, "listed", F.explode("listed").alias("value"))
+        .select("c", "listed", own.alias("own"))
+    )
+    chosen = scratch.written(chosen, "chosen")
+    # Few and short columns, since there are two rows for every listed value.
+    listed = chosen.select("c", F.explode("listed").alias("value"), "own").select(
+        "c", "value", F.explode(F.array("own", F.col("own") + 1)).alias("size")
     )
+    several = listed.groupBy(*KEY).count().where("count > 1").select(*KEY)
+    met = listed.join(several, KEY, "left_semi")
+    return met.join(chosen.join(classes.select("c", "n", *WORDS), "c"), "c")
 
 
 def _side(entries: DataFrame, prefix: str) -> DataFrame:
@@ -206,11 +222,13 @@ def _side(entries: DataFrame, prefix: str) -> DataFrame:
 def _star_pairs(listing: DataFrame) -> DataFrame:
     """Pairs of a class and one other of each list it is under, that may be similar."""
     entry = F.struct(F.xxhash64("value", "c").alias("order"), "c", "n", *WORDS)
-    firsts = listing.groupBy("value").agg(F.min(entry).alias("first"), F.count("*").alias("size")).where("size > 1")
-    centres = firsts.select(F.col("value").alias("y_value"), *[F.col(f"first.{c}").alias(f"y_{c}") for c in ["c", "n", *WORDS]])
+    firsts = listing.groupBy(*KEY).agg(F.min(entry).alias("first"))
+    centres = firsts.select(
+        *[F.col(c).alias(f"y_{c}") for c in KEY], *[F.col(f"first.{c}").alias(f"y_{c}") for c in ["c", "n", *WORDS]]
+    )
     return (
-        _side(listing.drop("listed"), "x_")
-        .join(centres, F.expr(f"x_value = y_value AND x_c != y_c AND {_possible('x_', 'y_')}"))
+        _side(listing.drop("listed", "own"), "x_")
+        .join(centres, F.expr(f"{MEET} AND x_c != y_c AND {_possible('x_', 'y_')}"))
         .selectExpr("least(x_c, y_c) AS a", "greatest(x_c, y_c) AS b")
         .distinct()
     )
@@ -222,12 +240,12 @@ def _list_pairs(listing: DataFrame, group: DataFrame, scratch: frames.Scratch) -
         "g", F.coalesce("component", "c")
     )
     # A list of one group alone has nothing to add.
-    mixed = known.groupBy("value").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high")
-    entries = scratch.written(known.drop("component").join(mixed.select("value"), "value", "left_semi"), "listing")
-    once = "array_intersect(x_listed, y_listed)[0] = x_value"
+    mixed = known.groupBy(*KEY).agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high")
+    entries = scratch.written(known.drop("component").join(mixed.select(*KEY), KEY, "left_semi"), "listing")
+    once = "x_size = greatest(x_own, y_own) AND array_intersect(x_listed, y_listed)[0] = x_value"
     return (
         _side(entries, "x_")
-        .join(_side(entries, "y_"), F.expr(f"x_value = y_value AND x_g < y_g AND {_possible('x_', 'y_')} AND {once}"))
+        .join(_side(entries, "y_"), F.expr(f"{MEET} AND x_g < y_g AND {_possible('x_', 'y_')} AND {once}"))
         .selectExpr("x_c AS a", "y_c AS b")
     )
 

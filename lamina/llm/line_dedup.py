@@ -118,8 +118,9 @@ ENTRY = ["c", "first", "n", "i", *[f"w{k}" for k in range(MARKS)]]
 
 
 def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
-    """``token`` with number, first place, size and position of the classes that share it."""
-    listed = classes.selectExpr("c", "first", "n", "prefix", "posexplode(prefix) AS (i, token)")
+    """``token`` with number and position of the classes that share it."""
+    # Few and short columns, since there is a row for every listed token.
+    listed = classes.selectExpr("c", "posexplode(prefix) AS (i, token)")
     shared = listed.groupBy("token").count().where("count > 1").select("token")
     return scratch.written(listed.join(shared, "token", "left_semi"), "listing")
 
@@ -191,7 +192,8 @@ def _with_earlier(classes: DataFrame, found: DataFrame, scratch: frames.Scratch)
     listing = _listing(classes, scratch)
     met = classes.join(listing.select("c").distinct(), "c", "left_semi")
     sets = _sets(met, found, scratch)
-    entries = scratch.written(listing.join(sets.drop("tokens"), "c"), "entries")
+    known = met.select("c", "first", "n", "prefix").join(sets.drop("tokens"), "c")
+    entries = scratch.written(listing.join(known, "c"), "entries")
     gone = scratch.written(_later(_against_one(entries, entries, F.col("first")), sets), "gone")
     rest = entries.join(gone, "c", "left_anti")
     more = scratch.written(_later(_against_one(entries, rest, F.xxhash64("token", "c")), sets), "gone")
