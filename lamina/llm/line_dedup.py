@@ -96,7 +96,7 @@ def _ordered(levels: list[list[int]]) -> str:
 
 
 def _classes(found: DataFrame) -> DataFrame:
-    """Distinct lines: a number ``c``, first place, count of tokens, and the prefix they are listed under.
+    """Distinct lines: a number ``c`` in order of first places, first place, count of tokens, and the prefix they are listed under.
 
     The numbers hold once the rows are written.
     """
@@ -109,12 +109,14 @@ def _classes(found: DataFrame) -> DataFrame:
         )
         .groupBy("k1", "k2")
         .agg(F.min("at").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        # In order of first places, so that of two numbers the smaller is the earlier line's.
+        .orderBy("first")
         .select(F.monotonically_increasing_id().alias("c"), "k1", "k2", "first", "n", "prefix")
     )
 
 
 MARKS = 4  # words of 64 bits in a bitmap
-ENTRY = ["c", "first", "n", "i", *[f"w{k}" for k in range(MARKS)]]
+ENTRY = ["c", "n", "i", *[f"w{k}" for k in range(MARKS)]]
 
 
 def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
@@ -165,22 +167,27 @@ def _against_one(entries: DataFrame, lines: DataFrame, order: Column) -> DataFra
     """Pairs of ``lines`` and the first entry, in that order, of each of their lists, if it is earlier."""
     one = entries.groupBy("token").agg(F.min(F.struct(order.alias("o"), *ENTRY)).alias("e"))
     one = one.select(F.col("token").alias("x_token"), *[F.col(f"e.{c}").alias(f"x_{c}") for c in ENTRY])
-    met = F.expr(f"x_token = y_token AND x_first < y_first AND {_possible('x_', 'y_')}")
+    met = F.expr(f"x_token = y_token AND x_c < y_c AND {_possible('x_', 'y_')}")
     return one.join(_side(lines, "y_", ["token", *ENTRY]), met).selectExpr("x_c AS a", "y_c AS b").distinct()
 
 
 def _against_all(entries: DataFrame, lines: DataFrame) -> DataFrame:
     """Pairs of ``lines`` and the earlier entries of their lists, from the first token both are under."""
     met = F.expr(
-        f"x_token = y_token AND x_first < y_first AND {_possible('x_', 'y_')}"
+        f"x_token = y_token AND x_c < y_c AND {_possible('x_', 'y_')}"
         " AND array_intersect(x_prefix, y_prefix)[0] = x_token"
     )
     columns = ["token", "prefix", *ENTRY]
     return _side(entries, "x_", columns).join(_side(lines, "y_", columns), met).selectExpr("x_c AS a", "y_c AS b")
 
 
-def _later(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _later(pairs: DataFrame, sets: DataFrame, scratch: frames.Scratch) -> DataFrame:
     """``c``: the later lines of the pairs whose whole sets have the likeness."""
+    pairs = scratch.written(pairs, "line-pairs")
+    ends = scratch.written(pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c")).distinct(), "pair-ends")
+    if ends.count() <= MOST_BROADCAST:
+        # Only the sets that are compared are shuffled; beyond that number, all are.
+        sets = sets.join(F.broadcast(ends), "c", "left_semi")
     left, right = sets.selectExpr("c AS a", "tokens AS x"), sets.selectExpr("c AS b", "tokens AS y")
     # shared / united >= 4 / 5 with the intersection written, and so made, once.
     alike = (SHARED + UNITED) * F.size(F.array_intersect("x", "y")) >= UNITED * (F.size("x") + F.size("y"))
@@ -192,14 +199,14 @@ def _with_earlier(classes: DataFrame, found: DataFrame, scratch: frames.Scratch)
     listing = _listing(classes, scratch)
     met = classes.join(listing.select("c").distinct(), "c", "left_semi")
     sets = _sets(met, found, scratch)
-    known = met.select("c", "first", "n", "prefix").join(sets.drop("tokens"), "c")
+    known = met.select("c", "n", "prefix").join(sets.drop("tokens"), "c")
     entries = scratch.written(listing.join(known, "c"), "entries")
-    gone = scratch.written(_later(_against_one(entries, entries, F.col("first")), sets), "gone")
+    gone = scratch.written(_later(_against_one(entries, entries, F.col("c")), sets, scratch), "gone")
     rest = entries.join(gone, "c", "left_anti")
-    more = scratch.written(_later(_against_one(entries, rest, F.xxhash64("token", "c")), sets), "gone")
+    more = scratch.written(_later(_against_one(entries, rest, F.xxhash64("token", "c")), sets, scratch), "gone")
     gone = gone.union(more)
     rest = entries.join(gone, "c", "left_anti")
-    return gone.union(_later(_against_all(entries, rest), sets))
+    return gone.union(_later(_against_all(entries, rest), sets, scratch))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
