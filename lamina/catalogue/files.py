@@ -22,7 +22,7 @@ from lamina.catalogue.inputs import (
 from lamina.columns import columns
 from lamina.operators import manifest
 from lamina.operators.contracts import ContractViolation, TableSpec
-from lamina.operators.digest import folder_hashes
+from lamina.operators.digest import FAN, tree_hashes
 from lamina.plans import bronze, dashboard, gold, schemas, silver
 from lamina.plans.sources import (
     BEDS_CSV,
@@ -166,17 +166,32 @@ def land_texts(texts: DataFrame, path: str) -> str:
 
 @_query
 def hashed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes and hash of the texts of each source, landed in parts, as one file."""
+    """Bytes, lines and hash tree of the texts of each source, landed in parts, as one file."""
     texts = table(spark, folder, "documents").where("text IS NOT NULL")
     path = land_texts(texts, scratch_folder(spark, "text"))
     source = F.regexp_extract("path", "source=([^/]+)$", 1)
-    return folder_hashes(spark, path).select(source.alias("source"), "length", "source_hash")
-
-
-SQL["hashed_files"] = """
-SELECT source, sum(strlen(text) + 1)::BIGINT AS length,
-       sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS source_hash
-FROM documents WHERE text IS NOT NULL GROUP BY source"""
+    return tree_hashes(spark, path, by_folder=True).select(source.alias("source"), "length", "lines", "source_hash")
+
+
+# Written for up to FAN * FAN lines a source.
+SQL["hashed_files"] = f"""
+WITH leaves AS (
+  SELECT source, doc_id, unnest(range(len(parts))) AS i, unnest(parts) AS line
+  FROM (SELECT source, doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)),
+numbered AS (
+  SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id, i) - 1 AS n, sha256(line) AS hash FROM leaves),
+first_level AS (
+  SELECT source, n // {FAN} AS n, count(*) AS lines,
+         CASE WHEN count(*) = 1 AND min(n) = 0 THEN min(hash) ELSE sha256(string_agg(hash, '' ORDER BY n)) END AS hash
+  FROM numbered GROUP BY 1, numbered.n // {FAN}),
+roots AS (
+  SELECT source, sum(lines)::BIGINT AS lines,
+         CASE WHEN count(*) > 1 THEN sha256(string_agg(hash, '' ORDER BY n)) ELSE min(hash) END AS hash
+  FROM first_level GROUP BY source),
+sizes AS (
+  SELECT source, sum(strlen(text) + 1)::BIGINT AS length FROM documents WHERE text IS NOT NULL GROUP BY source)
+SELECT source, length, lines, sha256(length || ':' || lines || ':' || hash) AS source_hash
+FROM roots JOIN sizes USING (source)"""
 
 
 @_query

@@ -1,18 +1,16 @@
-"""Content hashes of files and order-independent digests of row sets."""
+"""Content hashes of files, hash trees of any size, and order-independent digests of row sets."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lamina.sources.folders import _path
+from lamina.session import scratch_folder
 
 CELL_LIMIT_BYTES = 256 << 20
-STREAMS = 8  # files the driver reads at once
+FAN = 4096  # hashes that one node of a tree combines
 
 # A 256-bit hash is added up as four 64-bit words. Sums are exact: decimal(38,0)
 # holds 2**62 such words before it could overflow.
@@ -65,56 +63,89 @@ def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
 
 
-def _streamed_hash(spark: SparkSession, paths: Sequence[str]) -> str:
-    """SHA-256 over the bytes of files one after the other, read in chunks by the JVM."""
-    codec = spark._jvm.org.apache.commons.codec.digest.DigestUtils
-    state = codec.getSha256Digest()
-    for name in paths:
-        system, path = _path(spark, name)
-        stream = system.open(path)
-        try:
-            codec.updateDigest(state, stream)
-        finally:
-            stream.close()
-    return state.digest().hex()
+def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """SHA-256 of every file's bytes: ``path, length, source_hash``.
 
+    A file is one binary cell of a task, read through Hadoop's file system
+    whatever store it is in. Such a hash is one sequence, so a file over
+    ``CELL_LIMIT_BYTES`` is an error here; :func:`tree_hashes` takes any size.
+    """
+    files = _listed(spark, paths)
+    over = files.where(F.col("length") > CELL_LIMIT_BYTES).select("path").limit(5).collect()
+    if over:
+        raise ValueError(f"too large for one cell, use tree_hashes: {[r['path'] for r in over]}")
+    return files.select("path", "length", F.sha2("content", 256).alias("source_hash"))
+
+
+def _combined(hashes: DataFrame) -> DataFrame:
+    """One level of the trees: up to ``FAN`` hashes in a row become one. A finished tree stays."""
+    groups = hashes.groupBy("source", F.col("nodes"), F.floor(F.col("n") / FAN).alias("n"))
+    row = groups.agg(F.array_sort(F.collect_list(F.struct("n", "hash"))).alias("row"))
+    joined = F.sha2(F.array_join("row.hash", ""), 256)
+    return row.select(
+        "source",
+        F.ceil(F.col("nodes") / FAN).alias("nodes"),
+        "n",
+        F.when(F.col("nodes") > 1, joined).otherwise(F.col("row")[0]["hash"]).alias("hash"),
+    )
 
-def _streamed_hashes(spark: SparkSession, files: Mapping[str, Sequence[str]]) -> dict[str, str]:
-    with ThreadPoolExecutor(STREAMS) as pool:
-        return dict(zip(files, pool.map(lambda names: _streamed_hash(spark, names), files.values())))
 
+def tree_hashes(spark: SparkSession, root: str, by_folder: bool = False) -> DataFrame:
+    """Hash tree over the lines of every file: ``path, length, lines, source_hash``.
 
-def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """SHA-256 of every file: ``path, length, source_hash``.
+    With ``by_folder`` the part files of a folder, in the order of their tasks,
+    are one file. The leaves are SHA-256 hashes of lines (bytes between
+    newlines, as they are), made in the tasks that scan the blocks of a file;
+    each level above hashes the hex hashes of ``FAN`` neighbours, joined, until
+    one is left, the root. ``source_hash`` is the SHA-256 of ``length:lines:root``.
+    It depends on the file's bytes alone: how the file is split into blocks, or
+    into parts at line ends, and what else is listed does not matter. The length
+    tells whether a last newline is there. Empty files have no row, as Spark's
+    readers skip them.
 
-    Files are read through Hadoop's file system whatever store they are in. Up
-    to ``CELL_LIMIT_BYTES`` a file is one binary cell of a task. Larger ones are
-    streamed in chunks by the driver, some at once; the length filter keeps
-    their content out of the scan.
+    No bytes of a file pass through the driver or one task: 32 bytes a line are
+    written once and shuffled once by place, and no group exceeds ``FAN`` hashes.
+    Lines before a block are a running sum with one row a block.
     """
-    files = _listed(spark, paths)
-    small = files.where(F.col("length") <= CELL_LIMIT_BYTES)
-    hashes = small.select("path", "length", F.sha2("content", 256).alias("source_hash"))
-    over = files.where(F.col("length") > CELL_LIMIT_BYTES).select("path", "length")
-    large = {r["path"]: r["length"] for r in over.collect()}
-    if not large:
-        return hashes
-    streamed = _streamed_hashes(spark, {path: [path] for path in large})
-    rows = [(path, large[path], streamed[path]) for path in large]
-    return hashes.unionByName(spark.createDataFrame(rows, hashes.schema))
-
-
-def folder_hashes(spark: SparkSession, root: str) -> DataFrame:
-    """SHA-256 of the part files of every folder, as one file: ``path, length, source_hash``.
-
-    Parts count in the order of their tasks. Such a hash cannot be made in parts:
-    the driver streams a folder in chunks, several folders at once.
-    """
-    folders: dict[str, list[tuple]] = {}
-    for r in _listed(spark, root).select("path", "length").collect():
-        folder, name = r["path"].rsplit("/", 1)
-        order = [int(n) for n in re.search(r"^part-(\d+)-.*?[.-]c(\d+)", name).groups()]
-        folders.setdefault(folder, []).append((order, r["path"], r["length"]))
-    hashes = _streamed_hashes(spark, {f: [path for _, path, _ in sorted(parts)] for f, parts in folders.items()})
-    rows = [(f, sum(length for *_, length in parts), hashes[f]) for f, parts in folders.items()]
-    return spark.createDataFrame(rows, "path string, length bigint, source_hash string")
+    name = "regexp_replace(path, '/[^/]+$', '')" if by_folder else "path"
+    # Parts sort by task and file number, as Spark names them; other files by name.
+    part = "regexp_extract_all(regexp_extract(path, '/part-([0-9]+-.*?[.-]c[0-9]+)[^/]*$', 1), '(^[0-9]+|[0-9]+$)', 1)"
+    order = f"struct(transform({part}, x -> bigint(x)) AS part, path)"
+    sizes = _listed(spark, root).select("path", "length").selectExpr(f"{name} AS source", "length")
+    sizes = sizes.groupBy("source").agg(F.sum("length").alias("length"))
+
+    scan = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
+    leaves = scan.select(
+        # As binaryFile spells a path: decoded, not as a URI.
+        F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.sha2(F.col("value").cast("binary"), 256).alias("hash"),
+    )
+    scratch = scratch_folder(spark, "leaves")
+    leaves.withColumn("hash", F.unhex("hash")).write.parquet(scratch)
+    leaves = spark.read.parquet(scratch)
+
+    # Within a block, ids count lines in order; blocks are numbered in order of their file.
+    blocks = leaves.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("lines"))
+    placed = blocks.selectExpr("*", f"{name} AS source", f"{order} AS place")
+    before = Window.partitionBy("source").orderBy("place", "block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("before", F.coalesce(F.sum("lines").over(before), F.lit(0)))
+    totals = placed.groupBy("source").agg(F.sum("lines").alias("lines"))
+    firsts = placed.select("path", "block", "source", (F.col("before") - F.col("first")).alias("shift"))
+    level = leaves.join(firsts, ["path", "block"]).join(totals, "source").select(
+        "source",
+        F.col("lines").alias("nodes"),
+        (F.col("id") + F.col("shift")).alias("n"),
+        F.lower(F.hex("hash")).alias("hash"),
+    )
+    most = totals.agg(F.max("lines")).first()[0] or 0
+    while most > 1:
+        level, most = _combined(level), -(-most // FAN)
+    roots = sizes.join(totals, "source").join(level.select("source", "hash"), "source")
+    return roots.select(
+        F.col("source").alias("path"),
+        "length",
+        "lines",
+        F.sha2(F.concat_ws(":", "length", "lines", "hash"), 256).alias("source_hash"),
+    )

@@ -219,21 +219,47 @@ def test_file_hashes(spark, tmp_path):
     assert hashes == {n: hashlib.sha256(d).hexdigest() for n, d in content.items()}
 
 
-def test_a_file_larger_than_a_cell(spark, tmp_path):
-    size = (2 << 30) + 5
-    with open(tmp_path / "large.bin", "wb") as sparse:
-        sparse.truncate(size)
-    (tmp_path / "small file.bin").write_bytes(b"x")
-    want = hashlib.sha256()
-    for _ in range(size >> 20):
-        want.update(bytes(1 << 20))
-    want.update(bytes(5))
-    found = {r["path"].rsplit("/", 1)[1]: (r["length"], r["source_hash"]) for r in digest.file_hashes(spark, str(tmp_path)).collect()}
-    assert found == {"large.bin": (size, want.hexdigest()), "small file.bin": (1, hashlib.sha256(b"x").hexdigest())}
+def test_a_file_larger_than_a_cell_is_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(digest, "CELL_LIMIT_BYTES", 10)
+    (tmp_path / "large.bin").write_bytes(b"x" * 11)
+    with pytest.raises(ValueError, match="large.bin"):
+        digest.file_hashes(spark, str(tmp_path))
+
+
+def tree_of(data, fan):
+    lines = data.split(b"\n")[: -1 if data.endswith(b"\n") or not data else None]
+    hashes = [hashlib.sha256(line).hexdigest() for line in lines]
+    while len(hashes) > 1:
+        joined = ["".join(hashes[i : i + fan]) for i in range(0, len(hashes), fan)]
+        hashes = [hashlib.sha256(j.encode()).hexdigest() for j in joined]
+    return len(data), len(lines), hashlib.sha256(f"{len(data)}:{len(lines)}:{hashes[0]}".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("block", ["128m", "700b"])
+def test_hash_tree_of_files(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(digest, "FAN", 4)
+    content = {
+        "blank.bin": b"\n\n",
+        "open end.bin": b"a\r\nb\n\xff\xfe c",
+        "same+end%41.bin": b"a\r\nb\n\xff\xfe c\n",
+        "long.bin": b"x" * 5_000 + b"\n" + b"y\n" * 50,
+    }
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        found = digest.tree_hashes(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r["path"].rsplit("/", 1)[1]: (r["length"], r["lines"], r["source_hash"]) for r in found}
+    assert got == {n: tree_of(d, 4) for n, d in content.items()}
+    assert len({h for *_, h in got.values()}) == len(content)
 
 
 def test_a_source_lands_in_parts_and_is_hashed_whole(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "PART_BYTES", 4_000)
+    monkeypatch.setattr(digest, "FAN", 100)
     rows = [(None if i % 50 == 49 else i, "hot" if i % 10 else "few", f"text {i} " * (i % 7)) for i in range(600)]
     texts = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
     path = files.land_texts(texts, str(tmp_path / "landed"))
@@ -242,8 +268,9 @@ def test_a_source_lands_in_parts_and_is_hashed_whole(spark, tmp_path, monkeypatc
     want = {}
     for i, source, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2])):
         want[source] = want.get(source, b"") + text.encode() + b"\n"
-    got = {r["path"].rsplit("=", 1)[1]: (r["length"], r["source_hash"]) for r in digest.folder_hashes(spark, path).collect()}
-    assert got == {s: (len(t), hashlib.sha256(t).hexdigest()) for s, t in want.items()}
+    found = digest.tree_hashes(spark, path, by_folder=True).collect()
+    got = {r["path"].rsplit("=", 1)[1]: (r["length"], r["lines"], r["source_hash"]) for r in found}
+    assert got == {s: tree_of(t, 100) for s, t in want.items()}
 
 
 # --- paging -----------------------------------------------------------------
