@@ -352,6 +352,39 @@ FROM (SELECT co_cnes,
 WHERE metres <= 600000"""
 
 
+@_query
+def radius_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Establishments within 80 km of every supplier, on the spheroid."""
+    centres = table(spark, folder, "supplier").selectExpr(
+        "s_suppkey",
+        "(bigint(s_suppkey) * 37 % 42000) / 1000D - 75D AS longitude",
+        "(bigint(round(s_acctbal * 100)) * 45 - 36000000) / 1e6D AS latitude",
+    )
+    found = geo.radius_join(_located(spark, folder), centres, 80_000.0)
+    return found.select("s_suppkey", "co_cnes", F.round("distance_m", 2).alias("distance_m"))
+
+
+SQL["radius_join"] = f"""
+WITH {ESTABLISHMENTS_SQL},
+centres AS (
+  SELECT s_suppkey, (s_suppkey::BIGINT * 37 % 42000) / 1000::DOUBLE - 75 AS longitude,
+         (round(s_acctbal * 100)::BIGINT * 45 - 36000000)::DOUBLE / 1e6 AS latitude FROM supplier),
+angles AS (
+  SELECT s_suppkey, co_cnes, radians(latitude + nu_latitude) / 2 AS f, radians(latitude - nu_latitude) / 2 AS g,
+         radians(longitude - nu_longitude) / 2 AS l
+  FROM centres, establishments WHERE nu_latitude IS NOT NULL AND nu_longitude IS NOT NULL),
+squares AS (
+  SELECT *, pow(sin(g), 2) * pow(cos(l), 2) + pow(cos(f), 2) * pow(sin(l), 2) AS s,
+         pow(cos(g), 2) * pow(cos(l), 2) + pow(sin(f), 2) * pow(sin(l), 2) AS c FROM angles),
+widths AS (SELECT *, atan(sqrt(s / c)) AS w FROM squares WHERE s > 0),
+spheroid AS (
+  SELECT s_suppkey, co_cnes, 2 * w * 6378137.0::DOUBLE * (1 + 1 / 298.257223563::DOUBLE * (
+           (3 * (sqrt(s * c) / w) - 1) / (2 * c) * pow(sin(f), 2) * pow(cos(g), 2)
+         - (3 * (sqrt(s * c) / w) + 1) / (2 * s) * pow(cos(f), 2) * pow(sin(g), 2))) AS metres
+  FROM widths UNION ALL SELECT s_suppkey, co_cnes, 0 FROM squares WHERE s = 0)
+SELECT s_suppkey, co_cnes, round(metres, 2) AS distance_m FROM spheroid WHERE metres <= 80000"""
+
+
 @_query
 def date_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """Calendar over the span of the orders, with the orders of each day."""

@@ -1,9 +1,11 @@
-"""Coordinates: envelope cleaning, point construction and radius search."""
+"""Coordinates: envelope cleaning, point construction, radius search and radius join."""
 
 from __future__ import annotations
 
 import math
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,12 @@ LONGITUDE_RANGE = (-75.0, -33.0)
 SRID = 4326
 
 EARTH_RADIUS_M = 6_371_008.8
+EQUATOR_RADIUS_M = 6_378_137.0
+FLATTENING = 1 / 298.257223563
+# The least radius of curvature (north to south at the equator): no angle between two
+# points is larger than their distance over this.
+LEAST_RADIUS_M = EQUATOR_RADIUS_M * (1 - FLATTENING) ** 2
+CROWD = 20_000  # points of one cell that one task compares with its centres
 ZERO_TOLERANCE = 1e-6
 
 
@@ -94,3 +102,125 @@ def within_radius(
         .withColumn(distance_column, F.expr(distance))
         .where(F.col(distance_column) <= float(metres))
     )
+
+
+def spheroid_m(longitude: str, latitude: str, other_longitude: str, other_latitude: str) -> str:
+    """Distance on the WGS84 spheroid in metres, by the first-order formula in its flattening.
+
+    What it leaves out is of the flattening's square, about a metre in 100 km.
+    Points that are (nearly) opposite each other get the spherical value.
+    """
+    mean, half = f"radians({latitude} + {other_latitude}) / 2", f"radians({latitude} - {other_latitude}) / 2"
+    turn = f"radians({longitude} - {other_longitude}) / 2"
+    # Squares of the sine and the cosine of half the angle between the points.
+    s = (
+        f"(pow(sin({half}), 2) * pow(cos({turn}), 2) + pow(cos({mean}), 2) * pow(sin({turn}), 2))"
+    )
+    c = (
+        f"(pow(cos({half}), 2) * pow(cos({turn}), 2) + pow(sin({mean}), 2) * pow(sin({turn}), 2))"
+    )
+    w = f"atan(sqrt({s} / {c}))"
+    r = f"(sqrt({s} * {c}) / {w})"
+    by_mean = f"(3 * {r} - 1) / (2 * {c}) * pow(sin({mean}), 2) * pow(cos({half}), 2)"
+    by_half = f"(3 * {r} + 1) / (2 * {s}) * pow(cos({mean}), 2) * pow(sin({half}), 2)"
+    return (
+        f"(CASE WHEN {s} = 0D THEN 0D WHEN {c} < 1e-9D THEN {2 * EARTH_RADIUS_M!r}D * asin(sqrt(least({s}, 1D)))"
+        f" ELSE 2 * {w} * {EQUATOR_RADIUS_M!r}D * (1 + {FLATTENING!r}D * ({by_mean} - {by_half})) END)"
+    )
+
+
+class Cells:
+    """Grid whose cells are at least as wide as a radius, so that a circle meets few of them.
+
+    The sphere is cut into bands of latitude as high as the radius, and each
+    band into equal cells of longitude, as many as fit around it where it is
+    narrowest among the places a circle that reaches it can have; a band at a
+    pole is one cell. Longitudes wrap, so the antimeridian is no border.
+    """
+
+    def __init__(self, metres: float) -> None:
+        if not 0 < metres < math.inf:
+            raise ValueError("the radius must be positive")
+        reach = math.degrees(metres / LEAST_RADIUS_M) * 1.0001
+        self.bands = max(1, int(180.0 / reach))
+        self.height = 180.0 / self.bands
+
+    def band(self, latitude: str) -> str:
+        return f"least(greatest(int(floor(({latitude} + 90D) / {self.height!r}D)), 0), {self.bands - 1})"
+
+    def around(self, band: str) -> str:
+        """Cells of a band: 1 near the poles, else as many as the radius fits around it.
+
+        Of two points within the radius, one of them in this band, neither lies
+        beyond the next band; there their longitudes differ by no more than a cell.
+        """
+        widest = f"({self.height!r}D * (abs({band} - {(self.bands - 1) / 2!r}D) + 1.5D))"
+        sine = f"(sin(radians({self.height / 2!r}D)) / cos(radians(least({widest}, 89.999D))))"
+        width = f"degrees(2 * asin(least({sine}, 1D)))"
+        return f"if({widest} >= 90D, 1, greatest(1, int(floor(360D / ({width} * 1.000001D)))))"
+
+    def turn(self, longitude: str, band: str) -> str:
+        share = f"(pmod({longitude} + 180D, 360D) / 360D)"
+        return f"least(int(floor({share} * {self.around(band)})), {self.around(band)} - 1)"
+
+    def key(self, longitude: str, latitude: str) -> str:
+        """The one cell of a point, as ``band << 32 | turn``."""
+        band = self.band(latitude)
+        return f"(shiftleft(bigint({band}), 32) + {self.turn(longitude, f'({band})')})"
+
+    def keys(self, longitude: str, latitude: str) -> str:
+        """Array of the cells that hold all points within the radius of a centre: nine at most."""
+        band = f"({self.band(latitude)})"
+        bands = f"sequence(greatest({band} - 1, 0), least({band} + 1, {self.bands - 1}))"
+        turns = f"transform(sequence(-1, 1), d -> pmod({self.turn(longitude, 'b')} + d, {self.around('b')}))"
+        cells = f"transform(array_distinct({turns}), t -> shiftleft(bigint(b), 32) + t)"
+        return f"flatten(transform({bands}, b -> {cells}))"
+
+
+def radius_join(
+    points: DataFrame,
+    centres: DataFrame,
+    metres: float,
+    *,
+    point_at: Sequence[str] = ("nu_longitude", "nu_latitude"),
+    centre_at: Sequence[str] = ("longitude", "latitude"),
+    distance_column: str = "distance_m",
+) -> DataFrame:
+    """Every pair of a centre and a point within ``metres`` on the spheroid, with its distance.
+
+    Columns are those of the centre, those of the point and the distance; a name
+    on both sides is an error. Rows without a whole, finite position on the
+    globe (longitudes -180 to 180) meet nothing. Repeated rows give repeated pairs.
+
+    It is an equi-join on cells (:class:`Cells`): a point is in one cell, a
+    centre in nine at most, and neither side is broadcast but by its size. A
+    cell with more than ``CROWD`` points is cut into shares of about so many, by
+    the hash of the row, and the centres that reach it go to each share. (Equal
+    rows have one share, which adaptive execution splits where it has to.)
+    """
+    clash = set(points.columns) & set(centres.columns) | ({distance_column} & {*points.columns, *centres.columns})
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    cells = Cells(metres)
+
+    def placed(df: DataFrame, at: Sequence[str], side: str) -> DataFrame:
+        lon, lat = (F.col(c).cast("double") for c in at)
+        row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(side)
+        rows = df.select(row, lon.alias(f"{side}_lon"), lat.alias(f"{side}_lat"))
+        return rows.where(f"{side}_lon BETWEEN -180D AND 180D AND {side}_lat BETWEEN -90D AND 90D")
+
+    p = placed(points, point_at, "p").withColumn("cell", F.expr(cells.key("p_lon", "p_lat")))
+    crowded = p.groupBy("cell").agg(F.count("*").alias("held")).where(F.col("held") > CROWD)
+    crowded = crowded.select("cell", F.ceil(F.col("held") / CROWD).cast("int").alias("shares"))
+    p = p.join(crowded, "cell", "left").withColumn(
+        "share", F.expr("int(pmod(xxhash64(p), coalesce(shares, 1)))")
+    )
+    c = placed(centres, centre_at, "c").withColumn("cell", F.explode(F.expr(cells.keys("c_lon", "c_lat"))))
+    c = c.join(crowded, "cell", "left").withColumn("share", F.explode(F.expr("sequence(0, coalesce(shares, 1) - 1)")))
+    pairs = p.drop("shares").join(c.drop("shares"), ["cell", "share"])
+    found = pairs.withColumn("metres", F.expr(spheroid_m("c_lon", "c_lat", "p_lon", "p_lat")))
+    return found.where(F.col("metres") <= float(metres)).select(
+        *[F.col("c")[name].alias(name) for name in centres.columns],
+        *[F.col("p")[name].alias(name) for name in points.columns],
+        F.col("metres").alias(distance_column),
+    )
