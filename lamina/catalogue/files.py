@@ -426,6 +426,34 @@ SQL["rejected_load"] = """
 SELECT o_orderkey, o_orderstatus, o_totalprice::DOUBLE AS o_totalprice FROM orders"""
 
 
+@_query
+def audited_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Every count of a load that breaks several rules at once, of which nothing is loaded."""
+    path = scratch_folder(spark, "audited")
+    orders = _orders(spark, folder)
+    negative = F.when(F.col("o_orderkey") % 3 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    unknown = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    twice = orders.union(orders.where("o_orderstatus = 'F'"))
+    load = twice.withColumn("o_totalprice", negative).withColumn("o_orderstatus", unknown)
+    rows = []
+    try:
+        tables.load_silver(load, path, _ORDERS, EXTRACTED)
+    except ContractViolation as rejected:
+        rows = [(*check, n) for check, n in rejected.counts.items()]
+    return spark.createDataFrame(rows, "rule string, column string, rows bigint")
+
+
+SQL["audited_load"] = """
+WITH loaded AS (
+  SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+  UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F')
+SELECT * FROM (
+  SELECT 'not_null' AS rule, 'o_orderstatus' AS column, count(*) AS rows FROM loaded WHERE o_orderstatus = 'P'
+  UNION ALL SELECT 'range', 'o_totalprice', count(*) FROM loaded WHERE o_orderkey % 3 = 0 AND o_totalprice > 0
+  UNION ALL SELECT 'duplicate', 'o_orderkey', count(*) FROM orders WHERE o_orderstatus = 'F')
+WHERE rows > 0"""
+
+
 @_query
 def skipped_years(spark: SparkSession, folder: str) -> DataFrame:
     """Staged years; one from a broken source, without the column that all need, is left out."""

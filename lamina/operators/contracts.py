@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,14 @@ from lamina.operators.shaping import quoted
 
 
 class ContractViolation(ValueError):
-    """The data breaks its contract; nothing may be loaded."""
+    """The data breaks its contract; nothing may be loaded.
+
+    ``counts`` holds the broken rows of each ``(rule, column)`` where they are known.
+    """
+
+    def __init__(self, message: str, counts: Mapping[tuple[str, str], int] | None = None) -> None:
+        super().__init__(message)
+        self.counts = dict(counts or {})
 
 
 @dataclass(frozen=True, eq=False)
@@ -128,3 +135,43 @@ def guarded(df: DataFrame, spec: TableSpec) -> DataFrame:
     failure = F.raise_error(broken).cast(carrier.dataType)
     checked = F.when(broken.isNull(), quoted(carrier.name)).otherwise(failure)
     return df.withColumn(carrier.name, checked)
+
+
+class Audit:
+    """Write, audit, publish: a load's contract, decided on what was written.
+
+    :meth:`tap` counts the rows that break each row check in the job that writes
+    them, and :meth:`require` adds the rows whose key an earlier one has, read
+    from the key columns of the written files. A load is published only if all
+    counts are zero; otherwise the error holds every one that is not.
+    """
+
+    def __init__(self, spec: TableSpec, *, unique_by_construction: bool = False) -> None:
+        self.spec = spec
+        self.unique = unique_by_construction
+        self._checks = spec.row_checks()
+        self._seen = Observation() if self._checks else None
+
+    def tap(self, df: DataFrame) -> DataFrame:
+        """``df``, whose rows are checked as they pass; another schema is an error at once."""
+        check_schema(df, self.spec)
+        if self._seen is None:
+            return df
+        counts = [F.count_if(broken).alias(f"c{i}") for i, (_, _, broken) in enumerate(self._checks)]
+        return df.observe(self._seen, *counts)
+
+    def require(self, stored: DataFrame) -> None:
+        """Raise unless what was written, in ``stored``, keeps the contract."""
+        counts = {}
+        if self._seen is not None:
+            found = self._seen.get
+            counts = {(rule, column): found[f"c{i}"] for i, (rule, column, _) in enumerate(self._checks)}
+        if not self.unique:
+            # A partition's files don't hold the column they are partitioned by.
+            key = [k for k in self.spec.key if k in stored.columns]
+            surplus = duplicate_keys(stored, key).agg(F.sum(F.col("rows") - 1)).first()[0]
+            counts["duplicate", ", ".join(self.spec.key)] = surplus or 0
+        broken = {check: n for check, n in counts.items() if n}
+        if broken:
+            listed = "; ".join(f"{rule} on {column}: {n} rows" for (rule, column), n in broken.items())
+            raise ContractViolation(f"contract of {self.spec.name} broken: {listed}", broken)

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.operators.contracts import TableSpec, check_schema, guarded, require_unique
+from lamina.operators.contracts import Audit, ContractViolation, TableSpec, require_unique
 from lamina.operators.shaping import quoted
 from lamina.sources import folders
 
@@ -45,6 +45,7 @@ def replace_partition(
     *,
     partition_column: str | None = None,
     partition_value: date | str | int | None = None,
+    audit: Audit | None = None,
 ) -> int:
     """Replace one logical partition, or the whole table; returns the rows loaded.
 
@@ -52,13 +53,14 @@ def replace_partition(
     counted while they are written, beside the old folder, which they replace
     once all are there: a failed job leaves the old rows, on any store and with
     any committer. A row of another partition fails it. Empty input empties the
-    partition.
+    partition. An ``audit`` that fails leaves the old rows, too.
     """
     written = Observation()
-    rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    rows = (audit.tap(df) if audit else df).observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_column is None:
         target = _beside(path)
         rows.write.option("compression", "zstd").parquet(target)
+        _require(df.sparkSession, target, audit)
         folders.exchange(df.sparkSession, target, path)
         return written.get["rows"]
     held = quoted(partition_column)
@@ -70,6 +72,7 @@ def replace_partition(
     rows.where(F.coalesce(stray, F.lit(True))).drop(partition_column).write.option(
         "compression", "zstd"
     ).parquet(target)
+    _require(df.sparkSession, target, audit)
     loaded = written.get["rows"]
     if loaded:
         folders.exchange(df.sparkSession, target, partition)
@@ -79,6 +82,17 @@ def replace_partition(
     return loaded
 
 
+def _require(spark: SparkSession, target: str, audit: Audit | None) -> None:
+    """Pass the audit, or leave nothing of what was written."""
+    if audit is None:
+        return
+    try:
+        audit.require(spark.read.parquet(target))
+    except ContractViolation:
+        folders.delete(spark, target)
+        raise
+
+
 def load_silver(
     df: DataFrame,
     path: str,
@@ -89,15 +103,13 @@ def load_silver(
 ) -> int:
     """Check the contract and replace the extraction's partition.
 
-    The row checks run inside the writing job and stop it before it commits.
-    The key is checked first, on the key columns; a table that was deduplicated
-    by its key can leave that job out.
+    All checks are counted in the writing job, the key on the written files; the
+    old rows stay unless every count is zero. A table that was deduplicated by
+    its key can leave the key's check out.
     """
-    check_schema(df, spec)
-    if not unique_by_construction:
-        require_unique(df, spec)
+    audit = Audit(spec, unique_by_construction=unique_by_construction)
     return replace_partition(
-        guarded(df, spec), path, partition_column=spec.partition, partition_value=partition_value
+        df, path, partition_column=spec.partition, partition_value=partition_value, audit=audit
     )
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.operators.contracts import TableSpec, check_schema, guarded, require_unique
+from lamina.operators.contracts import Audit, ContractViolation, TableSpec
 from lamina.operators.shaping import align, quoted, union_drifted
 from lamina.sources import folders
 
@@ -128,18 +128,26 @@ class Table:
         rows.write.option("compression", "zstd").parquet(f"{self.path.rstrip('/')}/{target}")
         return target, tuple(df.columns), written.get["rows"]
 
-    def replace(self, df: DataFrame) -> int:
-        """Replace all rows of a table without partitions; returns the rows loaded."""
-        return self._replaced(df, self._begin(df, None), None, None)
+    def replace(self, df: DataFrame, audit: Audit | None = None) -> int:
+        """Replace all rows of a table without partitions; returns the rows loaded.
 
-    def replace_partition(self, df: DataFrame, column: str, value: date | str | int | None) -> int:
+        Rows that fail the ``audit`` leave no version.
+        """
+        return self._replaced(df, self._begin(df, None), None, None, audit)
+
+    def replace_partition(
+        self, df: DataFrame, column: str, value: date | str | int | None, audit: Audit | None = None
+    ) -> int:
         """Replace one partition; returns the rows loaded, none of which may be of another one.
 
         The same input again leaves the same state. Empty input removes the partition.
         """
-        return self._replaced(df, self._begin(df, column), column, value)
+        return self._replaced(df, self._begin(df, column), column, value, audit)
 
-    def _replaced(self, df: DataFrame, known: Snapshot, column: str | None, value: object) -> int:
+    def _replaced(
+        self, df: DataFrame, known: Snapshot, column: str | None, value: object, audit: Audit | None
+    ) -> int:
+        df = audit.tap(df) if audit else df
         if column is None:
             key, rows = WHOLE, df
         else:
@@ -150,6 +158,12 @@ class Table:
             fine = F.coalesce(F.when(stray, F.raise_error(message).cast("boolean")), F.lit(True))
             rows = df.where(fine).drop(column)
         target, columns, loaded = self._write(rows, key)
+        if audit is not None:
+            try:
+                audit.require(self.spark.read.parquet(f"{self.path.rstrip('/')}/{target}"))
+            except ContractViolation:
+                folders.delete(self.spark, f"{self.path.rstrip('/')}/{target}")
+                raise
         parts = {k: p for k, p in known.parts.items() if k != key}
         if loaded or column is None:
             parts[key] = (target, columns, loaded)
@@ -165,13 +179,10 @@ class Table:
     ) -> int:
         """Check the contract and replace the partition ``value``, or the whole table.
 
-        The row checks run inside the writing job, so a broken row leaves no version.
+        All checks are counted on the way (:class:`Audit`), so a load that breaks some leaves no version.
         """
-        check_schema(df, spec)
-        if not unique_by_construction:
-            require_unique(df, spec)
-        checked = guarded(df, spec)
-        return self.replace(checked) if spec.partition is None else self.replace_partition(checked, spec.partition, value)
+        audit = Audit(spec, unique_by_construction=unique_by_construction)
+        return self.replace(df, audit) if spec.partition is None else self.replace_partition(df, spec.partition, value, audit)
 
     def add_column(self, name: str, kind: T.DataType, default: object = None) -> bool:
         """Add a column unless it is there; what was stored before reads as ``default``.

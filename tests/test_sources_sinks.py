@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -214,13 +215,29 @@ SPEC = TableSpec(
 
 def test_load_silver_commits_nothing_on_failure(spark, folder):
     assert tables.load_silver(dated(spark, ("a", 1, JAN)), folder, SPEC, JAN) == 1
-    with pytest.raises(PySparkException, match="range on n"):
+    with pytest.raises(ContractViolation, match="range on n"):
         tables.load_silver(dated(spark, ("a", 2, JAN), ("b", -1, JAN)), folder, SPEC, JAN)
     with pytest.raises(ContractViolation, match="duplicate"):
         tables.load_silver(dated(spark, ("a", 2, JAN), ("a", 3, JAN)), folder, SPEC, JAN)
     assert state(spark, folder) == [("a", 1, JAN)]
 
 
+def test_a_rejected_load_counts_every_broken_rule(spark, folder):
+    assert tables.load_silver(dated(spark, ("a", 1, JAN)), folder, SPEC, JAN) == 1
+    bad = [("a", -1, JAN), ("a", -2, JAN), ("a", None, JAN), ("b", None, JAN), (None, 4, JAN), ("c", 5, JAN)]
+    with pytest.raises(ContractViolation, match="contract of t broken") as found:
+        tables.load_silver(dated(spark, *bad), folder, SPEC, JAN)
+    assert found.value.counts == {
+        ("not_null", "k"): 1,
+        ("not_null", "n"): 2,
+        ("range", "n"): 2,
+        ("duplicate", "_extraction_date, k"): 2,
+    }
+    assert state(spark, folder) == [("a", 1, JAN)]
+    assert not list(Path(folder).glob("_next*")) and not list(Path(folder).glob("*/_next*"))
+    assert tables.load_silver(dated(spark), folder, SPEC, JAN) == 0
+
+
 def test_newest_partition_is_pruned(spark, folder):
     tables.append_partition(dated(spark, ("a", 1, JAN), ("b", 2, FEB)), folder)
     assert staged.newest_partition(spark, folder) == FEB

@@ -199,8 +199,9 @@ def test_added_columns_have_defaults(spark, stored):
 def test_a_load_that_breaks_its_contract_leaves_no_version(spark, stored):
     spec = TableSpec("t", columns("id bigint not null, d date not null"), key=("id",), ranges={"id": (0, 5)}, partition="d")
     assert stored.load(rows(spark, 5), spec, DAY) == 5
-    with pytest.raises(Exception, match="contract of t broken"):
-        stored.load(rows(spark, 9), spec, DAY)
+    with pytest.raises(ContractViolation, match="contract of t broken") as found:
+        stored.load(rows(spark, 9).union(rows(spark, 2)), spec, DAY)
+    assert found.value.counts == {("range", "id"): 3, ("duplicate", "id"): 2}
     with pytest.raises(ContractViolation, match="duplicate"):
         stored.load(rows(spark, 2).union(rows(spark, 2)), spec, DAY)
     assert stored.versions() == [1]
