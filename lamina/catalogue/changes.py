@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina.catalogue.inputs import table
 from lamina.operators import manifest
-from lamina.operators.digest import payload_identity, set_digest
+from lamina.operators.digest import FAN, payload_identity, set_digest, sorted_digest
 from lamina.operators.paging import page_items, paged_rows, with_list_key
 from lamina.operators.shaping import align
 
@@ -50,6 +50,30 @@ SQL["payload_hash"] = f"""
 SELECT lang, codes, digest AS identity FROM ({_digest_sql("code", "lang", _CODES)})"""
 
 
+@_query
+def payload_sorted(spark: SparkSession, folder: str) -> DataFrame:
+    """Ordered digest of the users of every kind of event, who come up many times each."""
+    codes = table(spark, folder, "events").selectExpr("event_type", "string(user_id) AS code")
+    return sorted_digest(codes, "code", ["event_type"])
+
+
+# Written for up to FAN * FAN values a group.
+SQL["payload_sorted"] = f"""
+WITH counted AS (
+  SELECT event_type, user_id::VARCHAR AS code, count(*) AS times FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2),
+leaves AS (
+  SELECT event_type, times, row_number() OVER (PARTITION BY event_type ORDER BY code COLLATE "binary") - 1 AS n,
+         sha256(times || ':' || code) AS hash FROM counted),
+first_level AS (
+  SELECT event_type, sum(times) AS codes,
+         CASE WHEN count(*) = 1 AND min(n) = 0 THEN min(hash) ELSE sha256(string_agg(hash, '' ORDER BY n)) END AS hash,
+         n // {FAN} AS n
+  FROM leaves GROUP BY event_type, leaves.n // {FAN})
+SELECT event_type, sum(codes)::BIGINT AS codes,
+       CASE WHEN count(*) > 1 THEN sha256(string_agg(hash, '' ORDER BY n)) ELSE min(hash) END AS digest
+FROM first_level GROUP BY event_type"""
+
+
 @_query
 def payload_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     """Sources whose documents are still those of the previous extraction."""

@@ -79,17 +79,74 @@ def file_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def _combined(hashes: DataFrame) -> DataFrame:
     """One level of the trees: up to ``FAN`` hashes in a row become one. A finished tree stays."""
-    groups = hashes.groupBy("source", F.col("nodes"), F.floor(F.col("n") / FAN).alias("n"))
+    groups = hashes.groupBy("tree", "nodes", F.floor(F.col("n") / FAN).alias("n"))
     row = groups.agg(F.array_sort(F.collect_list(F.struct("n", "hash"))).alias("row"))
     joined = F.sha2(F.array_join("row.hash", ""), 256)
     return row.select(
-        "source",
+        "tree",
         F.ceil(F.col("nodes") / FAN).alias("nodes"),
         "n",
         F.when(F.col("nodes") > 1, joined).otherwise(F.col("row")[0]["hash"]).alias("hash"),
     )
 
 
+def _roots(leaves: DataFrame, piece: Sequence[str], tree: str, place: str) -> DataFrame:
+    """``tree, lines, root``: the hash trees over ``leaves``, whose ``hash`` is binary.
+
+    The leaves of a ``piece`` have ascending ids without gaps; the pieces of a
+    ``tree`` go by ``place``. Leaves before a piece are a running sum with one
+    row a piece. Leaves are written once, so that their ids stay, and shuffled
+    once by place; no group exceeds ``FAN`` hashes.
+    """
+    spark = leaves.sparkSession
+    scratch = scratch_folder(spark, "leaves")
+    leaves.write.parquet(scratch)
+    leaves = spark.read.schema(leaves.schema).parquet(scratch)
+    pieces = leaves.groupBy(*piece).agg(F.min("id").alias("first"), F.count("*").alias("held"))
+    placed = pieces.select(*piece, "first", "held", F.expr(tree).alias("tree"), F.expr(place).alias("place"))
+    before = Window.partitionBy("tree").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("held").over(before), F.lit(0)) - F.col("first")
+    totals = placed.groupBy("tree").agg(F.sum("held").alias("lines"))
+    firsts = placed.select(*piece, "tree", shift.alias("shift")).join(totals, "tree")
+    level = leaves.join(firsts, list(piece)).select(
+        "tree",
+        F.col("lines").alias("nodes"),
+        (F.col("id") + F.col("shift")).alias("n"),
+        F.lower(F.hex("hash")).alias("hash"),
+    )
+    most = totals.agg(F.max("lines")).first()[0] or 0
+    while most > 1:
+        level, most = _combined(level), -(-most // FAN)
+    return totals.join(level.select("tree", F.col("hash").alias("root")), "tree")
+
+
+def sorted_digest(df: DataFrame, code: str, by: Sequence[str] = ()) -> DataFrame:
+    """Digest of the sorted non-empty ``code`` values: ``codes`` (how many) and ``digest``.
+
+    The root of a hash tree (see :func:`tree_hashes`) over the distinct values in
+    byte order, whose leaves are SHA-256 hashes of ``count:value``. Unlike
+    :func:`set_digest` it can be checked part by part, and a value's place can be
+    shown from a few hashes. Repeats are counted before the sort by ranges, so
+    neither a hot value nor a hot group is one task. Without values, no row.
+    """
+    kept = df.where(F.col(code).isNotNull() & (F.col(code) != ""))
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    counted = kept.select(group.alias("group"), F.col(code).alias("value")).groupBy("group", "value")
+    counted = counted.agg(F.count(F.lit(1)).alias("times"))
+    ordered = counted.repartitionByRange("group", "value").sortWithinPartitions("group", "value")
+    leaves = ordered.select(
+        "group",
+        F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().alias("id"),
+        F.unhex(F.sha2(F.concat_ws(":", "times", "value"), 256)).alias("hash"),
+    )
+    roots = _roots(leaves, ["group", "part"], "group", "part")
+    codes = kept.groupBy(group.alias("tree")).agg(F.count(F.lit(1)).alias("codes"))
+    return roots.join(codes, "tree").select(
+        *[F.col("tree")[name].alias(name) for name in by], "codes", F.col("root").alias("digest")
+    )
+
+
 def tree_hashes(spark: SparkSession, root: str, by_folder: bool = False) -> DataFrame:
     """Hash tree over the lines of every file: ``path, length, lines, source_hash``.
 
@@ -101,18 +158,14 @@ def tree_hashes(spark: SparkSession, root: str, by_folder: bool = False) -> Data
     It depends on the file's bytes alone: how the file is split into blocks, or
     into parts at line ends, and what else is listed does not matter. The length
     tells whether a last newline is there. Empty files have no row, as Spark's
-    readers skip them.
-
-    No bytes of a file pass through the driver or one task: 32 bytes a line are
-    written once and shuffled once by place, and no group exceeds ``FAN`` hashes.
-    Lines before a block are a running sum with one row a block.
+    readers skip them. No bytes of a file pass through the driver or one task.
     """
     name = "regexp_replace(path, '/[^/]+$', '')" if by_folder else "path"
     # Parts sort by task and file number, as Spark names them; other files by name.
     part = "regexp_extract_all(regexp_extract(path, '/part-([0-9]+-.*?[.-]c[0-9]+)[^/]*$', 1), '(^[0-9]+|[0-9]+$)', 1)"
-    order = f"struct(transform({part}, x -> bigint(x)) AS part, path)"
-    sizes = _listed(spark, root).select("path", "length").selectExpr(f"{name} AS source", "length")
-    sizes = sizes.groupBy("source").agg(F.sum("length").alias("length"))
+    place = f"struct(transform({part}, x -> bigint(x)) AS part, path, block)"
+    sizes = _listed(spark, root).select("path", "length").selectExpr(f"{name} AS tree", "length")
+    sizes = sizes.groupBy("tree").agg(F.sum("length").alias("length"))
 
     scan = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
     leaves = scan.select(
@@ -120,32 +173,11 @@ def tree_hashes(spark: SparkSession, root: str, by_folder: bool = False) -> Data
         F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
-        F.sha2(F.col("value").cast("binary"), 256).alias("hash"),
-    )
-    scratch = scratch_folder(spark, "leaves")
-    leaves.withColumn("hash", F.unhex("hash")).write.parquet(scratch)
-    leaves = spark.read.parquet(scratch)
-
-    # Within a block, ids count lines in order; blocks are numbered in order of their file.
-    blocks = leaves.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("lines"))
-    placed = blocks.selectExpr("*", f"{name} AS source", f"{order} AS place")
-    before = Window.partitionBy("source").orderBy("place", "block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("before", F.coalesce(F.sum("lines").over(before), F.lit(0)))
-    totals = placed.groupBy("source").agg(F.sum("lines").alias("lines"))
-    firsts = placed.select("path", "block", "source", (F.col("before") - F.col("first")).alias("shift"))
-    level = leaves.join(firsts, ["path", "block"]).join(totals, "source").select(
-        "source",
-        F.col("lines").alias("nodes"),
-        (F.col("id") + F.col("shift")).alias("n"),
-        F.lower(F.hex("hash")).alias("hash"),
+        F.unhex(F.sha2(F.col("value").cast("binary"), 256)).alias("hash"),
     )
-    most = totals.agg(F.max("lines")).first()[0] or 0
-    while most > 1:
-        level, most = _combined(level), -(-most // FAN)
-    roots = sizes.join(totals, "source").join(level.select("source", "hash"), "source")
-    return roots.select(
-        F.col("source").alias("path"),
+    return sizes.join(_roots(leaves, ["path", "block"], name, place), "tree").select(
+        F.col("tree").alias("path"),
         "length",
         "lines",
-        F.sha2(F.concat_ws(":", "length", "lines", "hash"), 256).alias("source_hash"),
+        F.sha2(F.concat_ws(":", "length", "lines", "root"), 256).alias("source_hash"),
     )

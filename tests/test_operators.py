@@ -210,6 +210,36 @@ def test_payload_identity_counts_repeats_and_keeps_values_apart(spark):
     assert identity("ab", "c")[1] != identity("a", "bc")[1]
 
 
+def test_sorted_digest_is_the_tree_over_sorted_codes(spark, monkeypatch):
+    monkeypatch.setattr(digest, "FAN", 5)
+    draw = random.Random(3)
+    values = ["é", "z", "Z", "a:1", "aa", "\U0001f600", "\uffee"] + [str(i) for i in range(70)]
+    rows = [(draw.choice(["x", "y", None]), draw.choice(values)) for _ in range(300)]
+    rows += [("hot", "same")] * 200 + [("x", None), ("x", ""), ("none", None), ("none", "")]
+    want = {}
+    for group in {g for g, _ in rows}:
+        codes = [c for g, c in rows if g == group and c]
+        if not codes:
+            continue
+        hashes = [
+            hashlib.sha256(f"{codes.count(c)}:{c}".encode()).hexdigest() for c in sorted(set(codes), key=str.encode)
+        ]
+        while len(hashes) > 1:
+            joined = ["".join(hashes[i : i + 5]) for i in range(0, len(hashes), 5)]
+            hashes = [hashlib.sha256(j.encode()).hexdigest() for j in joined]
+        want[group] = (len(codes), hashes[0])
+
+    def of(listed, by=("g",)):
+        df = spark.createDataFrame(listed, "g string, c string").repartition(7)
+        return digest.sorted_digest(df, "c", by).collect()
+
+    assert {r["g"]: (r["codes"], r["digest"]) for r in of(rows)} == want
+    draw.shuffle(rows)
+    assert {r["g"]: (r["codes"], r["digest"]) for r in of(rows)} == want
+    assert of([("x", None)]) == [] and of([("x", ""), ("y", "")], ()) == []
+    assert len(of(rows, ())) == 1
+
+
 def test_file_hashes(spark, tmp_path):
     content = {f"f{i}.bin": bytes([i]) * (i * 700_000 + 1) for i in range(4)}
     for name, data in content.items():
