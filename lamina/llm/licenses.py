@@ -9,6 +9,7 @@ another of higher priority, or within a longer or earlier one of its own, goes.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -232,35 +233,47 @@ def detections(words: list[str], plain: str) -> list[tuple[int, int, int, str]]:
             found += [(m.start(), m.end(), rule.priority, rule.label) for m in rule.pattern.finditer(plain)]
     # Higher priority, then longer, then earlier ones suppress what lies within them.
     found.sort(key=lambda d: (-d[2], d[0] - d[1], d[0], d[3]))
-    kept: list[tuple[int, int, int, str]] = []
-    reach: list[tuple[int, int]] = []  # disjointly growing cover, by start
-    for d in found:
-        if not _covered(reach, d[0], d[1]):
-            kept.append(d)
-            _cover(reach, d[0], d[1])
+    kept = sorted(_standing(found))
+    at = _words_before(plain, [d[0] for d in kept])
     return [
-        (first := plain.count(" ", 0, a) - 1, first + plain.count(" ", a, b) + 1, p, label)
-        for a, b, p, label in sorted(kept)
+        (first, first + plain.count(" ", start, stop) + 1, priority, label)
+        for first, (start, stop, priority, label) in zip(at, kept)
     ]
 
 
-def _covered(reach: list[tuple[int, int]], start: int, stop: int) -> bool:
-    """Whether one interval of a chain without containment holds ``start`` to ``stop``."""
-    low, high = 0, len(reach)
-    while low < high:
-        middle = (low + high) // 2
-        if reach[middle][0] <= start:
-            low = middle + 1
-        else:
-            high = middle
-    return low > 0 and reach[low - 1][1] >= stop
-
+def _standing(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
+    """Detections that lie within no earlier one of the list.
 
-def _cover(reach: list[tuple[int, int]], start: int, stop: int) -> None:
-    """Add an interval; those that lie within it go, so starts and stops both ascend."""
-    reach[:] = [r for r in reach if not (start <= r[0] and r[1] <= stop)]
-    reach.append((start, stop))
-    reach.sort()
+    Lying within is transitive, so suppressed ones need not be told from others.
+    A tree over the starts holds the largest stop so far of every prefix, which
+    makes the cost of one detection the logarithm of their number.
+    """
+    starts = sorted({d[0] for d in found})
+    reach = [0] * (len(starts) + 1)
+    kept = []
+    for d in found:
+        place = at = bisect.bisect_left(starts, d[0]) + 1
+        furthest = 0
+        while at > 0:
+            furthest = max(furthest, reach[at])
+            at &= at - 1
+        if furthest >= d[1]:
+            continue
+        kept.append(d)
+        while place < len(reach):
+            reach[place] = max(reach[place], d[1])
+            place += place & -place
+    return kept
+
+
+def _words_before(plain: str, places: list[int]) -> list[int]:
+    """Numbers of the words that start behind the spaces at ascending places."""
+    numbers, words, last = [], -1, 0
+    for place in places:
+        words += plain.count(" ", last, place)
+        last = place
+        numbers.append(words)
+    return numbers
 
 
 SCAN = (
@@ -274,11 +287,13 @@ def scan_text(text: str) -> tuple:
     words, plain = normal(text)
     places, base = [], set()
     for phrase, label in BASE.items():
-        at = plain.find(f" {phrase} ")
+        at, starts = plain.find(f" {phrase} "), []
         while at >= 0:
-            places.append(plain.count(" ", 0, at))
-            base.add(label)
+            starts.append(at + 1)
             at = plain.find(f" {phrase} ", at + 1)
+        places += _words_before(plain, starts)
+        if starts:
+            base.add(label)
     found = detections(words, plain) if words else []
     every = base | {d[3] for d in found}
     doubt = 1.0

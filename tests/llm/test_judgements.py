@@ -126,13 +126,65 @@ def test_every_match_holds_a_keyword():
             assert not rule.words or rule.words & set(m[0].split())
 
 
+def one_by_one(text):
+    """Every rule on the text, every pair of detections compared."""
+    words = [w.decode() for w in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.encode().lower())]
+    plain = f" {' '.join(words)} "
+    found = [
+        (m.start(), m.end(), rule.priority, rule.label) for rule in licenses.rules() for m in rule.pattern.finditer(plain)
+    ]
+
+    def before(d, e):
+        return (-d[2], d[0] - d[1], d[0], d[3]) < (-e[2], e[0] - e[1], e[0], e[3])
+
+    kept = {
+        d
+        for i, d in enumerate(found)
+        if not any(
+            e[0] <= d[0] and d[1] <= e[1] and (before(e, d) or (e == d and j < i)) for j, e in enumerate(found) if j != i
+        )
+    }
+    return sorted((len(plain[:a].split()), len(plain[:b].split()), p, label) for a, b, p, label in kept)
+
+
+def test_detections_are_those_of_rules_tried_one_by_one(sf_texts):
+    draw = np.random.default_rng(5)
+    parts = """licensed under the|apache license|version 2.0|cc by|nc|sa 4.0|gnu|lesser general public license|all rights
+reserved|or later|spdx-license-identifier: mit|mit license|(c) 2020|copyright|general public license|v3|word|bsd 3-clause
+permission is hereby granted|free of charge|to any person obtaining a copy|the|mozilla public license 1.1""".split("|")
+    texts = [" ".join(draw.choice(parts, size=draw.integers(1, 40))) for _ in range(60)]
+    texts += [t for t in sf_texts.values() if t][:200]
+    some = 0
+    for text in texts:
+        words, plain = licenses.normal(text)
+        got = licenses.detections(words, plain) if words else []
+        want = one_by_one(text)
+        assert sorted(got) == want
+        labels = set(licenses.scan_text(text)[4].split(",")) | {d[3] for d in want}
+        assert licenses.scan_text(text)[5] == ",".join(sorted(labels - {""}))
+        best = {}
+        for *_, priority, label in want:
+            best[label] = max(best.get(label, 0), priority)
+        assert licenses.scan_text(text)[6] == pytest.approx(1 - np.prod([1 - p / 100 for p in best.values()]))
+        some += len(want) > 1
+    assert some > 20
+
+
 def test_contained_detections_go():
-    reach = []
-    for start, stop in [(10, 20), (5, 12), (18, 30)]:
-        assert not licenses._covered(reach, start, stop)
-        licenses._cover(reach, start, stop)
-    assert licenses._covered(reach, 11, 20) and licenses._covered(reach, 5, 6)
-    assert not licenses._covered(reach, 5, 20) and not licenses._covered(reach, 29, 31)
+    at = [(10, 20), (5, 12), (18, 30), (11, 20), (5, 6), (5, 20), (29, 31), (29, 31)]
+    kept = licenses._standing([(a, b, 1, "") for a, b in at])
+    assert [d[:2] for d in kept] == [(10, 20), (5, 12), (18, 30), (5, 20), (29, 31)]
+
+
+def test_a_long_text_full_of_licenses():
+    import time
+
+    text = "all rights reserved word " * 200_000  # 5 MB
+    began = time.perf_counter()
+    got = licenses.scan_text(text)
+    assert time.perf_counter() - began < 60
+    assert got[:5] == (800_000, 200_000, 0, 799_996, "reserved") and len(got[7]) == 200_000
+    assert [d["first"] for d in got[7]] == list(range(0, 800_000, 4))
 
 
 def test_license_odd_rows(odd, nothing):
