@@ -234,6 +234,46 @@ def test_base_spans_equal_the_plain_patterns(docs_of):
         assert [(s["start"], s["kind"], s["stop"]) for s in r["found"]] == plain_spans(r["text"])
 
 
+def test_further_spans_are_chosen_as_by_trying_all(docs_of, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 13)  # as small as it may be, so that texts have many blocks
+    draw = np.random.default_rng(9)
+    parts = ["555-123-4567", "123-45-6789", "abcdef0123456789-x", "me@x.org", "1.2.3.4", " ", "-", "a1", "(555) 123.4567", "_", "x" * 15]
+    texts = [(i, "".join(draw.choice(parts, size=n))) for i, n in enumerate([*range(0, 200, 2), 400, 900, 1500])]
+    model = pii.Model(
+        "pmod(c.f[1] * 7 + c.f[2] * 3 + c.f[0], 11D) / 11D", {"secret": 0.2, "national": 0.3, "insurance": 0.0}
+    )
+    docs = docs_of(texts)
+    proposed = {r["doc_id"]: r["candidates"] for r in pii.candidates(docs).collect()}
+    chosen = several = 0
+    for r in pii.spans(docs, model, out="found").collect():
+        base = [(c["start"], c["kind"], c["stop"]) for c in proposed[r["doc_id"]] if c["valid"]]
+        further = []
+        for c in proposed[r["doc_id"]]:
+            digits = sum(x in "0123456789" for x in c["value"])
+            score = (len(c["value"]) * 7 + digits * 3 + c["kind"]) % 11 / 11
+            if score >= model.thresholds.get(pii.KINDS[c["kind"]], 2):
+                further.append((-score, c["start"], c["kind"], c["stop"]))
+        kept = []
+        for _, start, kind, stop in sorted(further):
+            if not any(b < stop and start < e for b, _, e in base + kept):
+                kept.append((start, kind, stop))
+        assert [(s["start"], s["kind"], s["stop"]) for s in r["found"]] == sorted(base + kept)
+        chosen += len(kept)
+        several += len(further) > len(kept) > 0
+    assert chosen > 500 and several > 20
+
+
+def test_a_long_text_full_of_matches(docs_of):
+    import time
+
+    docs = docs_of([(1, "token=abcdefgh12345678ijk me@x.org 1.2.3.4 " * 25_000)])
+    began = time.perf_counter()
+    found = pii.spans(docs, pii.Model("1D", {"secret": 0.5}), out="found").first()["found"]
+    kinds = [s["kind"] for s in found]
+    assert time.perf_counter() - began < 90
+    assert kinds == [4, 0, 1] * 25_000
+
+
 def test_pii_query(spark, sf_texts):
     for r in pii.query(spark, SF).collect():
         want = plain_spans(sf_texts[r["doc_id"]])
