@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 
 from lamina.catalogue import star
 from lamina.catalogue.inputs import (
+    BED_NEW_SPELLING,
     EXTRACTED,
     INGESTED,
+    SHIFT_YEARS,
+    SPELLING_CHANGE,
     raw_beds,
     raw_care_units,
     raw_establishments,
@@ -23,6 +26,7 @@ from lamina.columns import columns
 from lamina.operators import manifest
 from lamina.operators.contracts import ContractViolation, TableSpec
 from lamina.operators.digest import FAN, tree_hashes
+from lamina.operators.latest import keep_last
 from lamina.plans import bronze, dashboard, gold, schemas, silver
 from lamina.plans.sources import (
     BEDS_CSV,
@@ -366,6 +370,56 @@ def landed_beds(spark: SparkSession, folder: str) -> DataFrame:
 SQL["landed_beds"] = star.SQL["yearly_fact"]
 
 
+@_query
+def changed_years(spark: SparkSession, folder: str) -> DataFrame:
+    """The bed fact after a refresh that brought one changed file, and one that brought nothing.
+
+    Only the years of the changed file are replaced; the others keep the date
+    of the extraction that brought their rows.
+    """
+    root = scratch_folder(spark, "changed")
+    frames = raw_beds(spark, folder)
+    newer = max(frames)
+    stale = frames | {newer: frames[newer].withColumn("_sus", F.lit("999"))}
+    stale[newer] = stale[newer].withColumn(BED_NEW_SPELLING["LEITOS SUS"], F.col("_sus")).drop("_sus")
+    first = _land(spark, f"{root}/first", BEDS_CSV, stale, (",", ";"))
+    second = _land(spark, f"{root}/second", BEDS_CSV, {newer: frames[newer]}, (";",))
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    warehouse.refresh(spark.createDataFrame(first, manifest.LISTING_SCHEMA), EXTRACTED, INGESTED)
+    changed = [(*row[:3], "changed", *row[4:6], "changed", *row[7:]) for row in second]
+    for days in (7, 14):
+        listing = spark.createDataFrame(changed, manifest.LISTING_SCHEMA)
+        warehouse.refresh(listing, EXTRACTED + timedelta(days), INGESTED + timedelta(days))
+    return star.comparable(warehouse.gold(schemas.FACT_BEDS))
+
+
+SQL["changed_years"] = f"""
+SELECT * REPLACE (CASE WHEN ano_referencia >= year(DATE '{SPELLING_CHANGE}') + {SHIFT_YEARS}
+                  THEN '{EXTRACTED + timedelta(7)}' ELSE _extraction_date END AS _extraction_date)
+FROM ({star.SQL["yearly_fact"]})"""
+
+
+@_query
+def compacted_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest order of every customer from rows appended year by year, compacted on the way."""
+    stored = Table(spark, scratch_folder(spark, "appended"))
+    orders = _orders_by_year(spark, folder).join(
+        table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey"
+    )
+    years = sorted(r[0] for r in orders.select("_extraction_date").distinct().collect())
+    for n, day in enumerate(years):
+        stored.append(orders.where(F.col("_extraction_date") == F.lit(day)))
+        if n == len(years) // 2:
+            stored.compact()
+    newest = keep_last(stored.read(), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return star.comparable(newest.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus"))
+
+
+SQL["compacted_log"] = """
+SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
+
+
 @_query
 def landed_ranking(spark: SparkSession, folder: str) -> DataFrame:
     """All four CSV datasets through files, up to the overload ranking."""

@@ -2,7 +2,7 @@
 
     <table>/_log/<version>.json      what the table consists of, whole, from this version on
     <table>/<column>=<value>/<id>/   Parquet of one partition, never changed once written
-    <table>/all/<id>/                Parquet of a table without partitions
+    <table>/all/<id>/                Parquet of a table without partitions, or of rows appended to it
 
 A version lists the folder of every partition, so replacing any number of them
 is the appearance of one file. It is written under another name and renamed,
@@ -13,7 +13,8 @@ step leaves folders that no version lists; readers never see them, and
 
 The log also holds the table's columns with a default each. A partition keeps
 the columns it was written with; what was added later is filled in when it is
-read, so a new column rewrites no data.
+read, so a new column rewrites no data. Notes are what a writer wants to know of
+its last write, like the versions of its inputs; they appear with it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import dataclass, replace
+from collections.abc import Collection
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -50,6 +52,7 @@ class Snapshot:
     defaults: dict[str, object]
     # Partition folder (or WHOLE) to [data folder, columns it was written with, rows].
     parts: dict[str, tuple[str, tuple[str, ...], int]]
+    notes: dict[str, dict[str, str]] = field(default_factory=dict)
 
     def to_json(self) -> str:
         held = {k: [f, list(c), n] for k, (f, c, n) in sorted(self.parts.items())}
@@ -60,6 +63,7 @@ class Snapshot:
                 "schema": self.schema.jsonValue(),
                 "defaults": self.defaults,
                 "parts": held,
+                "notes": self.notes,
             },
             sort_keys=True,
         )
@@ -73,6 +77,7 @@ class Snapshot:
             T.StructType.fromJson(held["schema"]),
             held["defaults"],
             {k: (f, tuple(c), n) for k, (f, c, n) in held["parts"].items()},
+            held.get("notes", {}),
         )
 
 
@@ -128,24 +133,35 @@ class Table:
         rows.write.option("compression", "zstd").parquet(f"{self.path.rstrip('/')}/{target}")
         return target, tuple(df.columns), written.get["rows"]
 
-    def replace(self, df: DataFrame, audit: Audit | None = None) -> int:
+    def replace(self, df: DataFrame, audit: Audit | None = None, notes: dict | None = None) -> int:
         """Replace all rows of a table without partitions; returns the rows loaded.
 
-        Rows that fail the ``audit`` leave no version.
+        Rows that fail the ``audit`` leave no version. Without ``notes`` the last ones stay.
         """
-        return self._replaced(df, self._begin(df, None), None, None, audit)
+        return self._replaced(df, self._begin(df, None), None, None, audit, notes)
 
     def replace_partition(
-        self, df: DataFrame, column: str, value: date | str | int | None, audit: Audit | None = None
+        self,
+        df: DataFrame,
+        column: str,
+        value: date | str | int | None,
+        audit: Audit | None = None,
+        notes: dict | None = None,
     ) -> int:
         """Replace one partition; returns the rows loaded, none of which may be of another one.
 
         The same input again leaves the same state. Empty input removes the partition.
         """
-        return self._replaced(df, self._begin(df, column), column, value, audit)
+        return self._replaced(df, self._begin(df, column), column, value, audit, notes)
 
     def _replaced(
-        self, df: DataFrame, known: Snapshot, column: str | None, value: object, audit: Audit | None
+        self,
+        df: DataFrame,
+        known: Snapshot,
+        column: str | None,
+        value: object,
+        audit: Audit | None,
+        notes: dict | None = None,
     ) -> int:
         df = audit.tap(df) if audit else df
         if column is None:
@@ -164,25 +180,120 @@ class Table:
             except ContractViolation:
                 folders.delete(self.spark, f"{self.path.rstrip('/')}/{target}")
                 raise
-        parts = {k: p for k, p in known.parts.items() if k != key}
+        parts = {k: p for k, p in known.parts.items() if column is not None and k != key}
         if loaded or column is None:
             parts[key] = (target, columns, loaded)
         try:
-            self._commit(replace(known, version=known.version + 1, parts=parts))
+            self._commit(_next(known, parts, notes))
         except Conflict:
             folders.delete(self.spark, f"{self.path.rstrip('/')}/{target}")
             raise
         return loaded
 
+    def replace_partitions(
+        self,
+        df: DataFrame,
+        column: str,
+        values: Collection[date | str | int | None],
+        audit: Audit | None = None,
+        notes: dict | None = None,
+    ) -> int:
+        """Replace the partitions of all given values as one transaction; returns the rows loaded.
+
+        A row of any other value fails the job. A value without rows loses its
+        partition, and the partitions of values not given stay as they are. One
+        job writes the rows, those of a large partition into several files.
+        """
+        known = self._begin(df, column)
+        root = self.path.rstrip("/")
+        # No version lists this folder, so what a lost writer leaves in it goes with the next vacuum.
+        prepared = f"{root}/prepared-{uuid.uuid4().hex}"
+        held, kind = quoted(column), df.schema[column].dataType
+        given = F.lit(False)
+        for value in values:
+            given = given | held.eqNullSafe(F.lit(value).cast(kind))
+        message = F.concat(F.lit("row outside the given partitions: "), F.coalesce(held.cast("string"), F.lit("NULL")))
+        rows = audit.tap(df) if audit else df
+        rows = rows.where(F.coalesce(F.when(~given, F.raise_error(message).cast("boolean")), F.lit(True)))
+        made: dict[str, tuple[str, tuple[str, ...], int]] = {}
+        try:
+            rows.hint("rebalance", column).write.partitionBy(column).option("compression", "zstd").parquet(prepared)
+            written = self.spark.read.schema(df.schema).parquet(prepared)
+            if audit is not None:
+                audit.require(written)
+            columns = tuple(c for c in df.columns if c != column)
+            for value, loaded in written.groupBy(held).count().collect():
+                key = folders.base_name(folders.of_partition(self.spark, self.path, column, value))
+                made[key] = (f"{key}/{uuid.uuid4().hex}", columns, loaded)
+                folders.move(self.spark, f"{prepared}/{key}", f"{root}/{made[key][0]}")
+            gone = {folders.base_name(folders.of_partition(self.spark, self.path, column, v)) for v in values}
+            parts = {k: p for k, p in known.parts.items() if k not in gone} | made
+            self._commit(_next(known, parts, notes))
+        except (Conflict, ContractViolation):
+            for folder, _, _ in made.values():
+                folders.delete(self.spark, f"{root}/{folder}")
+            raise
+        finally:
+            folders.delete(self.spark, prepared)
+        return sum(loaded for _, _, loaded in made.values())
+
+    def append(self, df: DataFrame, attempts: int = 20) -> int:
+        """Add rows to a table without partitions; returns how many.
+
+        Writers that append at once don't disturb each other: one that comes
+        second commits its folder again behind the first one's version.
+        """
+        made = self._write(df, WHOLE)
+        for _ in range(attempts):
+            known = self._begin(df, None)
+            try:
+                self._commit(_next(known, known.parts | {made[0]: made}))
+            except Conflict:
+                continue
+            return made[2]
+        folders.delete(self.spark, f"{self.path.rstrip('/')}/{made[0]}")
+        raise Conflict(f"{attempts} attempts to append to {self.path} met other writers")
+
+    def compact(self, attempts: int = 20) -> bool:
+        """Bring the appended parts of a table without partitions together; false if there is one at most.
+
+        The rows stay, and so do parts that others append meanwhile. If another
+        writer replaced what was read, that stands and this one is a :class:`Conflict`.
+        """
+        known = self.snapshot()
+        if known is None or known.partition_column is not None or len(known.parts) < 2:
+            return False
+        made = self._write(self._rows(known).hint("rebalance"), WHOLE)
+        for _ in range(attempts):
+            newest = self.snapshot()
+            if not known.parts.keys() <= newest.parts.keys():
+                break
+            later = {k: p for k, p in newest.parts.items() if k not in known.parts}
+            try:
+                self._commit(_next(newest, {made[0]: made} | later))
+            except Conflict:
+                continue
+            return True
+        folders.delete(self.spark, f"{self.path.rstrip('/')}/{made[0]}")
+        raise Conflict(f"{self.path} was replaced while it was compacted")
+
     def load(
-        self, df: DataFrame, spec: TableSpec, value: date | None = None, *, unique_by_construction: bool = False
+        self,
+        df: DataFrame,
+        spec: TableSpec,
+        value: date | None = None,
+        *,
+        unique_by_construction: bool = False,
+        notes: dict | None = None,
     ) -> int:
         """Check the contract and replace the partition ``value``, or the whole table.
 
         All checks are counted on the way (:class:`Audit`), so a load that breaks some leaves no version.
         """
         audit = Audit(spec, unique_by_construction=unique_by_construction)
-        return self.replace(df, audit) if spec.partition is None else self.replace_partition(df, spec.partition, value, audit)
+        if spec.partition is None:
+            return self.replace(df, audit, notes)
+        return self.replace_partition(df, spec.partition, value, audit, notes)
 
     def add_column(self, name: str, kind: T.DataType, default: object = None) -> bool:
         """Add a column unless it is there; what was stored before reads as ``default``.
@@ -212,6 +323,9 @@ class Table:
         known = self.snapshot(version)
         if known is None:
             raise FileNotFoundError(f"nothing committed in {self.path}")
+        return self._rows(known)
+
+    def _rows(self, known: Snapshot) -> DataFrame:
         # Partitions that were written with the same columns are one read.
         groups: dict[tuple[str, ...], list[str]] = {}
         for folder, columns, _ in known.parts.values():
@@ -254,5 +368,10 @@ class Table:
         return removed
 
 
+def _next(known: Snapshot, parts: dict, notes: dict | None = None) -> Snapshot:
+    """The version after ``known`` with other parts, and other notes if some are given."""
+    return replace(known, version=known.version + 1, parts=parts, notes=known.notes if notes is None else notes)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])

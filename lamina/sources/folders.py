@@ -53,6 +53,14 @@ def exchange(spark: SparkSession, prepared: str, location: str) -> None:
         raise OSError(f"{prepared} cannot take the place of {location}")
 
 
+def move(spark: SparkSession, location: str, target: str) -> None:
+    """Give a folder a name that is not taken."""
+    system, path = _path(spark, target)
+    system.mkdirs(path.getParent())
+    if not system.rename(_path(spark, location)[1], path):
+        raise OSError(f"{location} cannot become {target}")
+
+
 def read_text(spark: SparkSession, location: str) -> str:
     """A small file, whole."""
     system, path = _path(spark, location)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.columns import columns
-from lamina.operators.contracts import ContractViolation, TableSpec
+from lamina.operators.contracts import Audit, ContractViolation, TableSpec
 from lamina.sinks import tables
 from lamina.sinks.versioned import Conflict, Table
 from lamina.sources import folders
@@ -213,3 +213,89 @@ def test_builds_at_once_have_versions_of_their_own(spark, tmp_path):
     assert first != second
     assert tables.rebuild(spark.range(3), path) == 3
     assert tables.read_rebuilt(spark, path).count() == 3
+
+
+# --- several partitions at once, appended rows --------------------------------
+
+
+def test_several_partitions_are_one_transaction(spark, stored):
+    days = [date(2026, 6, d) for d in (1, 2, 3)]
+    three = rows(spark, 4, days[0]).union(rows(spark, 5, days[1])).union(rows(spark, 6, days[2]))
+    assert stored.replace_partitions(three, "d", days, notes={"inputs": {"a": "1"}}) == 15
+    assert stored.versions() == [1] and stored.snapshot().notes == {"inputs": {"a": "1"}}
+    kept = stored.snapshot().parts[f"d={days[0]}"]
+    # The second day is replaced, the third has no rows any more, the first one stays as it is.
+    assert stored.replace_partitions(rows(spark, 2, days[1]), "d", days[1:]) == 2
+    assert stored.values() == [str(days[0]), str(days[1])]
+    assert stored.snapshot().parts[f"d={days[0]}"] == kept
+    assert stored.snapshot().notes == {"inputs": {"a": "1"}}
+    assert stored.replace_partition(rows(spark, 1, days[2]), "d", days[2]) == 1
+    assert stored.read().count() == 7
+    assert stored.replace_partitions(rows(spark, 0), "d", []) == 0 and stored.read().count() == 7
+    for stray in (days[0], None):
+        mixed = rows(spark, 2, days[1]).union(spark.range(1).select("id", F.lit(stray).cast("date")))
+        with pytest.raises(Exception, match="row outside the given partitions"):
+            stored.replace_partitions(mixed, "d", days[1:])
+    assert stored.read().count() == 7 and not folders.matching(spark, f"{stored.path}/prepared-*")
+
+
+def test_odd_values_of_several_partitions(spark, stored):
+    values = ["a/b:c", "d=e", None, "1"]
+    made = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, k string")
+    assert stored.replace_partitions(made, "k", values) == 4
+    assert {(r["id"], r["k"]) for r in stored.read().collect()} == set(enumerate(values))
+
+
+def test_several_partitions_keep_the_contract(spark, stored):
+    spec = TableSpec("t", columns("id bigint not null, d date not null"), key=("id", "d"), partition="d")
+    double = rows(spark, 3).union(rows(spark, 3))
+    with pytest.raises(ContractViolation, match="duplicate"):
+        stored.replace_partitions(double, "d", [DAY], Audit(spec))
+    assert not stored.exists() and not folders.matching(spark, f"{stored.path}/*/*")
+    assert stored.replace_partitions(rows(spark, 3), "d", [DAY], Audit(spec)) == 3
+
+
+def test_appended_rows_and_compaction(spark, stored):
+    assert not stored.exists()
+    for n in (2, 3, 4):
+        assert stored.append(spark.range(n).select("id", F.lit(n).alias("n"))) == n
+    before = sorted(map(tuple, stored.read().collect()))
+    assert len(stored.snapshot().parts) == 3
+    assert stored.compact() and not stored.compact()
+    assert len(stored.snapshot().parts) == 1 and sorted(map(tuple, stored.read().collect())) == before
+    stored.append(spark.range(1).select("id", F.lit(9).alias("n")))
+    assert stored.read().count() == 10 and stored.read(version=3).count() == 9
+    assert stored.replace(spark.range(1).select("id", F.lit(1).alias("n"))) == 1
+    assert stored.read().count() == 1
+
+
+def test_writers_that_append_at_once_both_stay(spark, stored):
+    stored.append(spark.range(1))
+    writers = [threading.Thread(target=stored.append, args=(spark.range(n),)) for n in (10, 100, 1000)]
+    for writer in writers:
+        writer.start()
+    for writer in writers:
+        writer.join()
+    assert stored.read().count() == 1111 and stored.versions() == [1, 2, 3, 4]
+
+
+def test_compaction_meets_other_writers(spark, stored, monkeypatch):
+    for n in (1, 2):
+        stored.append(spark.range(n))
+    write = Table._write
+
+    def meanwhile(step):
+        def run(self, df, folder):
+            made = write(self, df, folder)
+            monkeypatch.setattr(Table, "_write", write)
+            step()
+            return made
+
+        monkeypatch.setattr(Table, "_write", run)
+
+    meanwhile(lambda: stored.append(spark.range(5)))
+    assert stored.compact() and len(stored.snapshot().parts) == 2 and stored.read().count() == 8
+    meanwhile(lambda: stored.replace(spark.range(4)))
+    with pytest.raises(Conflict):
+        stored.compact()
+    assert stored.read().count() == 4

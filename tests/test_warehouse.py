@@ -147,6 +147,89 @@ def test_one_changed_year(refreshed):
     assert {(r["ano_referencia"], r["uti_total_max"]) for r in fact.collect()} == {(2020, 2), (2021, 5)}
 
 
+def test_a_refresh_does_only_what_changed(refreshed, spark):
+    _, listing, first, *_ = refreshed
+    warehouse = Warehouse(spark, scratch_folder(spark, "incremental"))
+
+    def folders_of(spec):
+        return {k: p[0] for k, p in warehouse._gold_table(spec).snapshot().parts.items()}
+
+    def day(n):
+        return {"extraction_date": date(2026, 6, n), "ingested_at": NOW.replace(day=n)}
+
+    only_beds = {k: first[k] for k in ("b20", "b21", "b25")}
+    done = warehouse.refresh(listing(**only_beds), **day(1))
+    assert (done.staged, list(done.silver)) == (["leitos"], ["leitos"])
+    assert done.gold["gold.fato_leitos_anual"] == 2 and "gold.dim_municipio" not in done.gold
+    done = warehouse.refresh(listing(**first), **day(2))
+    assert done.staged == ["estabelecimentos", "covid_ocupacao", "ubs"] and "leitos" not in done.silver
+    assert "gold.fato_leitos_anual" not in done.gold and done.gold["gold.fato_pressao_uti_covid"] == 1
+
+    # Unchanged: no load, and the Gold step runs no job at all.
+    done = warehouse.refresh(listing(**first), **day(3))
+    assert (done.staged, done.silver, done.gold) == ([], {}, {})
+    spark.sparkContext.setJobGroup("unchanged", "")
+    try:
+        assert warehouse.refresh_gold(only_changed=True) == {}
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("unchanged")) == 0
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+    # One changed year: one partition of the fact, and of what is made of it.
+    beds_before, pressure_before = folders_of(schemas.FACT_BEDS), folders_of(schemas.FACT_PRESSURE)
+    occupancy_before = folders_of(schemas.FACT_OCCUPANCY)
+    changed = beds(";", ("202105", "0000012", "São Paulo", "9", "5"))
+    second = {**first, "b21": ("leitos", 2021, "v3", changed, "ISO-8859-1")}
+    done = warehouse.refresh(listing(**second), **day(4))
+    assert done.staged == ["leitos"] and list(done.silver) == ["leitos"]
+    assert done.gold == {"gold.dim_municipio": 1, "gold.fato_leitos_anual": 1, "gold.fato_pressao_uti_covid": 1}
+    after = folders_of(schemas.FACT_BEDS)
+    assert {k for k in after if after[k] != beds_before[k]} == {"ano_referencia=2021"}
+    assert folders_of(schemas.FACT_OCCUPANCY) == occupancy_before
+    assert folders_of(schemas.FACT_PRESSURE).keys() == pressure_before.keys()
+
+    # The same rows as a rebuild of everything gives.
+    specs = (schemas.FACT_BEDS, schemas.FACT_OCCUPANCY, schemas.FACT_PRESSURE, schemas.DIM_MUNICIPALITY)
+    stamps = ("_loaded_at", "_extraction_date")
+    rows = {s.name: sorted(map(str, warehouse.gold(s).drop(*stamps).collect())) for s in specs}
+    warehouse.refresh_gold()
+    assert rows == {s.name: sorted(map(str, warehouse.gold(s).drop(*stamps).collect())) for s in specs}
+
+    # A year that goes from the series goes from the facts: 2021 has no readable file now.
+    third = {**first, "b21": ("leitos", 2021, "v4", "QUEBRADO|ARQUIVO\n1|2\n", "ISO-8859-1")}
+    warehouse.refresh(listing(**third), **day(5))
+    assert list(folders_of(schemas.FACT_BEDS)) == ["ano_referencia=2020"]
+    assert warehouse.gold(schemas.FACT_PRESSURE).count() == 0
+
+
+def test_a_refresh_finishes_a_lost_one(refreshed, spark):
+    _, listing, first, *_ = refreshed
+    warehouse = Warehouse(spark, scratch_folder(spark, "resumed"))
+    only_beds = listing(**{k: first[k] for k in ("b20", "b21")})
+    assert warehouse.ingest(only_beds, DAY, NOW) == ["leitos"]  # and lost here
+    done = warehouse.refresh(only_beds, LATER, NOW.replace(day=17))
+    assert (done.staged, list(done.silver), done.gold["gold.fato_leitos_anual"]) == ([], ["leitos"], 2)
+    # A load of one extraction's years alone is not the whole series, so the next refresh loads that.
+    warehouse.refresh_silver("leitos", whole_series=False)
+    assert list(warehouse.refresh(only_beds, LATER, NOW.replace(day=18)).silver) == ["leitos"]
+
+
+def test_the_manifest_is_compacted(refreshed, spark, monkeypatch):
+    from lamina.plans import warehouse as module
+
+    monkeypatch.setattr(module, "TAIL", 3)
+    warehouse = Warehouse(spark, scratch_folder(spark, "noted"))
+    record = dict.fromkeys(manifest.MANIFEST_SCHEMA.names) | {"dataset": "leitos", "extraction_date": DAY}
+    for n in range(12):
+        row = record | {"year": 2000 + n % 3, "ingested_at": NOW.replace(minute=n), "etag": f"v{n}"}
+        assert warehouse._note(spark.createDataFrame([row], manifest.MANIFEST_SCHEMA))
+        assert len(warehouse._manifest().snapshot().parts) <= 4
+    assert warehouse.manifest().count() == 12
+    newest = manifest.current(warehouse.manifest()).collect()
+    assert {(r["year"], r["etag"]) for r in newest} == {(2000, "v9"), (2001, "v10"), (2002, "v11")}
+    assert len(warehouse._manifest().versions()) <= 6
+
+
 def test_vaccination_refresh(refreshed, tmp_path):
     warehouse, *_ = refreshed
     (tmp_path / "page_0000.json").write_text('[{"codigo_documento": "x"}]')
