@@ -1,31 +1,42 @@
 """Document quality by attention-based multiple-instance learning.
 
-A text is a bag of passages. Every passage is encoded by itself, as the
-frequencies of pairs of character classes in it and a few measures of the text
-it stands in. Gated attention gives each passage a weight, ``softmax(w .
+A text is a bag of passages of one size, however long it is. Every passage is
+encoded by itself, as the frequencies of pairs of character classes in it and a
+few measures of its words and lines; nothing of the rest of the text goes into
+it. Gated attention gives each passage a weight, ``softmax(w .
 (tanh(V x) * sigmoid(U x)))``, the weighted sum of the passages' hidden
 representations stands for the document, and a logistic unit scores it. Only
 documents have labels; which passages matter is learnt from them.
 
 Training takes a bounded sample of labelled documents, encoded by the
-executors; its size does not grow with the corpus. Scoring is a scan.
+executors, and of a long one passages at even distances; its size does not grow
+with the corpus. Scoring is a scan that reads all passages of every text, a
+block at a time: the softmax is carried on as its largest energy so far, the sum
+of weights and the weighted sum, so a text needs the memory of one block.
+
+A null text counts as empty, and an empty one is a bag of one empty passage.
+Repeated rows get equal scores, an empty table gives no rows, and without
+labels of both kinds every score is the mean of those there are, or 0.5.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lamina.llm import frames
 
 SAMPLE = 4000  # labelled documents that the model is fitted on
-PASSAGE = 400  # bytes of a passage, more in texts of over MOST passages
-MOST = 64
+PASSAGE = 400  # bytes of a passage, at every length of text
+BAG = 64  # passages of a document that training takes at most; scoring takes all
+BLOCK = 64  # passages that are encoded and weighed at once
 HIDDEN = 16
 EPOCHS, RATE, DECAY = 200, 0.02, 1e-3
 
@@ -62,37 +73,53 @@ def _class_table() -> np.ndarray:
 _TABLE = _class_table()
 
 
-def passages(text: str) -> np.ndarray:
-    """One row of features for every passage of the whole text; an empty text has one."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    width = max(PASSAGE, -(-len(raw) // MOST))
-    count = max(1, -(-len(raw) // width))
-    classes = _TABLE[raw]
+def _measures(piece: bytes) -> tuple[float, ...]:
+    """How long a passage is, and how much its words and lines repeat and vary."""
+    words, lines = piece.split(), piece.split(b"\n")
+    lengths = list(map(len, words))
+    n, distinct = len(words), len(set(words))
+    mean = sum(lengths) / max(1, n)
+    spread = max(0.0, sum(x * x for x in lengths) / max(1, n) - mean * mean)
+    return (
+        math.log1p(len(piece)), math.log1p(n), distinct / max(1, n), distinct / max(1, n) ** 0.8,
+        mean, math.sqrt(spread), len(set(lines)) / len(lines),
+    )
+
+
+def _encode(raw: bytes, begin: int, end: int) -> np.ndarray:
+    """One row of features for every passage between two bytes."""
+    count = max(1, -(-(end - begin) // PASSAGE))
     out = np.zeros((count, WIDTH), np.float32)
-    if len(raw) > 1:
-        owner = np.arange(len(raw) - 1) // width
+    classes = _TABLE[np.frombuffer(raw[begin : end + 1], np.uint8)]
+    if len(classes) > 1:
+        owner = np.arange(len(classes) - 1) // PASSAGE
         pairs = classes[:-1] * _CLASSES + classes[1:]
-        counts = np.bincount(owner * _PAIRS + pairs, minlength=count * _PAIRS)[: count * _PAIRS]
-        counts = counts.reshape(count, _PAIRS)
+        counts = np.bincount(owner * _PAIRS + pairs, minlength=count * _PAIRS).reshape(count, _PAIRS)
         out[:, :_PAIRS] = np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
-    words, lines = text.split(), text.split("\n")
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) if words else np.zeros(1)
-    distinct = len(set(words))
-    out[:, _PAIRS:] = [
-        np.log1p(len(raw)),
-        np.log1p(len(words)),
-        distinct / max(1, len(words)),
-        distinct / max(1.0, len(words)) ** 0.8,
-        lengths.mean(),
-        lengths.std(),
-        len(set(lines)) / len(lines),
-    ]
+    out[:, _PAIRS:] = [_measures(raw[at : min(at + PASSAGE, end)]) for at in range(begin, begin + count * PASSAGE, PASSAGE)]
     return out
 
 
+def blocks(text: str) -> Iterator[np.ndarray]:
+    """Features of all passages of the whole text, some passages at a time; an empty text has one."""
+    raw = text.encode("utf-8", "surrogatepass")
+    for begin in range(0, max(1, len(raw)), BLOCK * PASSAGE):
+        yield _encode(raw, begin, min(len(raw), begin + BLOCK * PASSAGE))
+
+
+def bag_of(text: str) -> np.ndarray:
+    """Features of at most :data:`BAG` passages, first and last among them, for training."""
+    raw = text.encode("utf-8", "surrogatepass")
+    count = max(1, -(-len(raw) // PASSAGE))
+    if count <= BAG:
+        return _encode(raw, 0, len(raw))
+    chosen = np.linspace(0, count - 1, BAG).astype(int).tolist()
+    return np.concatenate([_encode(raw, i * PASSAGE, min(len(raw), (i + 1) * PASSAGE)) for i in chosen])
+
+
 def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        bags = [passages(t).tobytes() for t in pdf["text"]]
+        bags = [bag_of(t).tobytes() for t in pdf["text"]]
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "bag": bags})
 
 
@@ -117,16 +144,26 @@ class Model:
     def score(self, text: str) -> float:
         if self.weights is None:
             return self.prior
-        x = _scaled(passages(text), self.mean, self.scale)
-        return float(_forward(self.weights, x, np.zeros(1, np.int64))["p"][0])
+        w = self.weights
+        top, total, bag = -np.inf, 0.0, np.zeros(HIDDEN)
+        for some in blocks(text):
+            hidden, energy = _passage_layers(w, _scaled(some, self.mean, self.scale))[2:]
+            higher = max(top, float(energy.max()))
+            raw, kept = np.exp(energy - higher), np.exp(top - higher)
+            total, bag, top = total * kept + raw.sum(), bag * kept + raw @ hidden, higher
+        return float(_sigmoid(bag / total @ w["c"] + w["b"][0]))
+
+
+def _passage_layers(w: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``tanh``, ``gate``, hidden representation and energy of every passage by itself."""
+    tanh, gate = np.tanh(x @ w["V"]), _sigmoid(x @ w["U"])
+    return tanh, gate, np.tanh(x @ w["E"] + w["e"]), (tanh * gate) @ w["w"]
 
 
 def _forward(w: dict[str, np.ndarray], x: np.ndarray, begins: np.ndarray) -> dict[str, np.ndarray]:
     """All layers for bags that lie one behind the other from ``begins`` on."""
     sizes = np.diff(np.r_[begins, len(x)])
-    tanh, gate = np.tanh(x @ w["V"]), _sigmoid(x @ w["U"])
-    hidden = np.tanh(x @ w["E"] + w["e"])
-    energy = (tanh * gate) @ w["w"]
+    tanh, gate, hidden, energy = _passage_layers(w, x)
     top = np.repeat(np.maximum.reduceat(energy, begins), sizes)
     raw = np.exp(energy - top)
     attention = raw / np.repeat(np.add.reduceat(raw, begins), sizes)
@@ -202,7 +239,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from at most :data:`SAMPLE` labelled documents that are not held out.
 
     Chosen by the hash of their ids. Several labels of one document count as
-    their mean, rounded up; rows without an id or label don't count.
+    their mean, rounded up; rows without an id or label don't count. Of rows
+    that repeat an id one text counts, by its hash, and only that one is encoded
+    and gathered.
     """
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -216,8 +255,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     frames.small_batches(docs.sparkSession)
     # At most SAMPLE rows of two numbers are broadcast.
     some = texts.join(F.broadcast(chosen), texts.doc_id == chosen.id).select("doc_id", "text", "label")
-    found = some.mapInPandas(_encoded, "doc_id long, label int, bag binary").toPandas()
-    found = found.sort_values(["doc_id", "bag"]).drop_duplicates("doc_id")
+    # Spark limits every id to one row in each task before the shuffle, however many repeat it.
+    own = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64("text", F.lit(1)))
+    once = some.withColumn("n", F.row_number().over(own)).where("n = 1").drop("n")
+    found = once.mapInPandas(_encoded, "doc_id long, label int, bag binary").toPandas().sort_values("doc_id")
     bags = [np.frombuffer(b, np.float32).reshape(-1, WIDTH) for b in found["bag"]]
     return fit(bags, found["label"].to_numpy(np.float32))
 
@@ -233,7 +274,7 @@ def score_of(model: Model, text: str = "text") -> Column:
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted`` of every row."""
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` of every row; one without an id is not held out."""
     model = train(docs, labels)
     frames.small_batches(docs.sparkSession)
     return docs.select(
@@ -242,7 +283,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the model doesn't reject, all columns kept."""
+    """The documents that the model doesn't reject, all columns kept.
+
+    Rows are judged one by one by their text, whatever their id; a null text as an empty one.
+    """
     model = train(docs, labels)
     frames.small_batches(docs.sparkSession)
     return docs.where(score_of(model) >= 0.5)
