@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lamina.catalogue.inputs import table
 from lamina.operators import manifest
 from lamina.operators.digest import FAN, payload_identity, set_digest, sorted_digest
+from lamina.operators.latest import keep_last
 from lamina.operators.paging import page_items, paged_rows, with_list_key
 from lamina.operators.shaping import align
 
@@ -99,8 +100,13 @@ FROM documents GROUP BY source"""
 
 
 def _listing_and_manifest(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Every page as a remote file, most also as a fallback copy, most known before."""
-    pages = table(spark, folder, "pages").select(
+    """Every page as a remote file, most also as a fallback copy, most known before.
+
+    A url is one file, so of the pages that repeat it the newest counts: each of
+    the listing's and the manifest's rows describes the same one.
+    """
+    newest = keep_last(table(spark, folder, "pages"), ["url"], ["page_id", "html"])
+    pages = newest.select(
         F.col("url").alias("dataset"),
         F.when(F.col("url").startswith("https"), 2024).alias("year"),
         F.col("url").contains("?").alias("has_query"),

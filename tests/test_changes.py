@@ -126,3 +126,25 @@ def test_latest_extraction(spark):
     assert m.latest_extraction_of(table, "beds") == (FIRST[0], "staged/h1")
     with pytest.raises(m.NothingExtracted):
         m.latest_extraction_of(table, "ubs")
+
+
+def test_pages_that_repeat_a_url_are_one_file_by_the_newest(spark, tmp_path):
+    from hashlib import sha256
+
+    from lamina.catalogue.changes import QUERIES
+
+    url, other = "http://a.example/de/1", "http://a.example/en/2"
+    texts = ["first", "second", "third"]
+    # Whichever hash is the largest, the newest page counts.
+    for newest in texts:
+        pages = [(n, url, t) for n, t in enumerate([*(x for x in texts if x != newest), newest])]
+        pages += [(n + 10, other, t) for n, t, in ((n, p[2]) for n, p in enumerate(pages))]
+        folder = str(tmp_path / newest)
+        spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+        found = {r["dataset"]: r for r in QUERIES["version_classify"](spark, folder).collect()}
+        hashed = sha256(newest.encode()).hexdigest()
+        assert {k: (r["status"], r["source_hash"]) for k, r in found.items()} == {
+            url: ("unchanged", hashed),
+            other: ("new", hashed),
+        }
+        assert sorted(r["dataset"] for r in QUERIES["manifest_advance"](spark, folder).collect()) == [url, other]
