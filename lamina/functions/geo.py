@@ -6,10 +6,11 @@ import math
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.cleaning import parse_float, strip_blank
+from lamina.session import PARTITIONS
 
 # Envelope of the country (degrees) and the WGS84 identifier.
 LATITUDE_RANGE = (-35.0, 6.0)
@@ -22,7 +23,8 @@ FLATTENING = 1 / 298.257223563
 # The least radius of curvature (north to south at the equator): no angle between two
 # points is larger than their distance over this.
 LEAST_RADIUS_M = EQUATOR_RADIUS_M * (1 - FLATTENING) ** 2
-CROWD = 20_000  # points of one cell that one task compares with its centres
+CROWD = 4_096  # points and centres of one cell that are compared as one block
+TASK_PAIRS = 2 * CROWD * CROWD  # pairs that one task compares, or so
 ZERO_TOLERANCE = 1e-6
 
 
@@ -194,9 +196,11 @@ def radius_join(
 
     It is an equi-join on cells (:class:`Cells`): a point is in one cell, a
     centre in nine at most, and neither side is broadcast but by its size. A
-    cell with more than ``CROWD`` points is cut into shares of about so many, by
-    the hash of the row, and the centres that reach it go to each share. (Equal
-    rows have one share, which adaptive execution splits where it has to.)
+    cell with more than ``CROWD`` points or centres is cut into blocks of about
+    so many of each, by the hash of the row. (Equal rows have one share, which
+    adaptive execution splits where it has to.) The work goes with the pairs and
+    not with the bytes, so the tasks are as many as the pairs that the cells
+    hold ask for; these are counted first.
     """
     clash = set(points.columns) & set(centres.columns) | ({distance_column} & {*points.columns, *centres.columns})
     if clash:
@@ -209,16 +213,40 @@ def radius_join(
         rows = df.select(row, lon.alias(f"{side}_lon"), lat.alias(f"{side}_lat"))
         return rows.where(f"{side}_lon BETWEEN -180D AND 180D AND {side}_lat BETWEEN -90D AND 90D")
 
+    def ball(lon: str, lat: str) -> list[Column]:
+        """The place on the unit sphere."""
+        places = f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))"
+        return [F.expr(e).alias(f"{lon[0]}_{axis}") for axis, e in zip("xyz", places)]
+
     p = placed(points, point_at, "p").withColumn("cell", F.expr(cells.key("p_lon", "p_lat")))
-    crowded = p.groupBy("cell").agg(F.count("*").alias("held")).where(F.col("held") > CROWD)
-    crowded = crowded.select("cell", F.ceil(F.col("held") / CROWD).cast("int").alias("shares"))
-    p = p.join(crowded, "cell", "left").withColumn(
-        "share", F.expr("int(pmod(xxhash64(p), coalesce(shares, 1)))")
-    )
     c = placed(centres, centre_at, "c").withColumn("cell", F.explode(F.expr(cells.keys("c_lon", "c_lat"))))
-    c = c.join(crowded, "cell", "left").withColumn("share", F.explode(F.expr("sequence(0, coalesce(shares, 1) - 1)")))
-    pairs = p.drop("shares").join(c.drop("shares"), ["cell", "share"])
-    found = pairs.withColumn("metres", F.expr(spheroid_m("c_lon", "c_lat", "p_lon", "p_lat")))
+    held = p.groupBy("cell").agg(F.count("*").alias("points")).join(
+        c.groupBy("cell").agg(F.count("*").alias("centres")), "cell"
+    )
+    pairs = held.agg(F.sum(F.col("points").cast("double") * F.col("centres"))).first()[0] or 0.0
+    shares = [F.ceil(F.col(n) / CROWD).cast("int").alias(f"{n}_shares") for n in ("points", "centres")]
+    crowded = held.where((F.col("points") > CROWD) | (F.col("centres") > CROWD)).select("cell", *shares)
+    block = ["cell", "p_share", "c_share"]
+
+    def dealt(df: DataFrame, side: str, other: str, own: str, across: str) -> DataFrame:
+        """A row in its own share, beside every share of the other side."""
+        every = F.explode(F.expr(f"sequence(0, coalesce({across}_shares, 1) - 1)"))
+        known = df.join(crowded, "cell", "left").select(
+            *df.columns, F.expr(f"int(pmod(xxhash64({side}), coalesce({own}_shares, 1)))").alias(f"{side}_share"),
+            every.alias(f"{other}_share"),
+        )
+        placed_rows = known.select("*", *ball(f"{side}_lon", f"{side}_lat"))
+        tasks = math.ceil(pairs / TASK_PAIRS)
+        if tasks < 2:
+            return placed_rows
+        return placed_rows.repartition(max(tasks, int(df.sparkSession.conf.get(PARTITIONS))), *block)
+
+    # No chord is longer than that of the widest angle; a few products spare most pairs the spheroid.
+    reach = min(math.pi, metres / LEAST_RADIUS_M * 1.0001)
+    chord = " + ".join(f"(p_{a} - c_{a}) * (p_{a} - c_{a})" for a in "xyz")
+    near = F.expr(f"{chord} <= {(2 * math.sin(reach / 2) + 1e-12) ** 2!r}D")
+    together = dealt(p, "p", "c", "points", "centres").join(dealt(c, "c", "p", "centres", "points"), block)
+    found = together.where(near).withColumn("metres", F.expr(spheroid_m("c_lon", "c_lat", "p_lon", "p_lat")))
     return found.where(F.col("metres") <= float(metres)).select(
         *[F.col("c")[name].alias(name) for name in centres.columns],
         *[F.col("p")[name].alias(name) for name in points.columns],

@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lamina.functions import geo
 
@@ -93,3 +94,15 @@ def test_the_plan_has_no_cross_join_and_a_crowd_is_dealt(spark, monkeypatch):
     assert found.count() == 4_000
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "share" in plan
+
+
+def test_tasks_go_with_the_pairs_and_none_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(geo, "CROWD", 50)
+    monkeypatch.setattr(geo, "TASK_PAIRS", 2 * 50 * 50, raising=False)
+    points = spark.range(2_000).selectExpr("int(id) AS p", "id / 1e6D AS p_lon", "0D AS p_lat")
+    centres = spark.range(300).selectExpr("int(id) AS c", "id / 1e6D AS c_lon", "0.001D AS c_lat")
+    found = joined(points, centres, 50_000.0)
+    tasks = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == found.select("c", "p").distinct().count() == 600_000
+    # More tasks than the session's four partitions, though the bytes are few.
+    assert len(tasks) > 20 and max(r["count"] for r in tasks) < 100_000
