@@ -3,10 +3,10 @@
 Generators with high recall propose spans, which may overlap: regular
 expressions for e-mail addresses, network addresses, card and phone numbers,
 secrets, and national phone and insurance numbers. Each candidate has features
-of its format and of the text around it. Boosted trees, trained on a bounded
-sample of candidates whose weak labels come from checks of format and context,
+of its format and of the text around it. Boosted trees, trained on the candidates
+of all documents, whose weak labels come from checks of format and context,
 give it a score, and each kind has the least threshold that keeps its
-precision on a held-out part of that sample. Spans of the four base kinds that
+precision on the third of the documents that is held out. Spans of the four base kinds that
 pass their checks always count; a candidate of another kind counts if its
 score reaches the threshold and no span that counts overlaps it.
 
@@ -15,7 +15,7 @@ that reads it: nothing is exploded, shuffled or gathered by document.
 
 A null text is empty and has no spans. Spans are counted in code points, the
 end exclusive. Repeated rows give repeated results; an empty table none, and
-a sample without both labels gives no model, so only base spans count.
+candidates without both labels give no model, so only base spans count.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from lamina.llm import frames
 
-SAMPLE_DOCS = 20_000  # documents whose candidates train the trees
 TREES, DEPTH = 12, 3
 PRECISION = 0.98
 BEFORE, AFTER = 24, 8  # characters of context
@@ -224,39 +223,46 @@ def _features(column: str = "c") -> str:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Trees and thresholds from the candidates of at most :data:`SAMPLE_DOCS` documents.
+    """Trees and thresholds from the candidates of all documents.
 
-    The sample is every n-th document by the hash of its id, so it does not
-    depend on the order of rows; a third of it is held out for the thresholds.
+    A third of the documents, by the hash of the id, is held out for the
+    thresholds. Candidates with the same features and label are one row with
+    their number as its weight, so what the trees are grown on is far smaller
+    than the candidates, and nothing of it is left out.
     """
-    every = max(1, math.ceil(docs.count() / SAMPLE_DOCS))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = texts.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
     weak = (
-        candidates(sample)
+        candidates(texts)
         # explode() would add a filter on the array's size that proposes all spans again.
         .select("id", F.explode_outer("candidates").alias("c"))
         .where("c IS NOT NULL")
         .selectExpr("id", "c.kind AS kind", f"{_features()} AS f", f"int({_WEAK}) AS label")
         .withColumn("held", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(3)) == 0)
+        .where("label IS NOT NULL")
     )
-    named = [F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)]
-    table = frames.written(weak.select("label", "held", "kind", *[n.alias(f"x_{k}") for n, k in zip(named, FEATURES)]), "candidates")
-    fit = table.where("NOT held AND label IS NOT NULL")
-    if fit.select("label").distinct().count() < 2:
+    counted = weak.groupBy("held", "kind", "label", "f").agg(F.count("*").alias("weight"))
+    named = [F.col("f")[i].alias(f"x_{name}") for i, name in enumerate(FEATURES)]
+    table = frames.written(counted.select("label", "held", "kind", F.col("weight").cast("double"), *named), "candidates")
+    fit = table.where("NOT held")
+    known = fit.groupBy("label").count().collect()  # a row a label
+    if len(known) < 2:
         return Model("0D", {})
     assembler = VectorAssembler(inputCols=[f"x_{k}" for k in FEATURES], outputCol="features")
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=0, labelCol="label").fit(
-        assembler.transform(fit)
-    )
+    # Splits are looked for in all rows, not in a part of them, where the square of the bins is as large.
+    bins = max(32, math.isqrt(sum(r["count"] for r in known)) + 1)
+    trees = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=0, maxBins=bins, labelCol="label", weightCol="weight"
+    ).fit(assembler.transform(fit))
     margin = " + ".join(f"{w!r}D * {_tree_sql(t.toDebugString)}" for t, w in zip(trees.trees, trees.treeWeights))
     score = f"1D / (1D + exp(-2D * ({margin})))"
-    held = table.where("held AND label IS NOT NULL").selectExpr(
-        "kind", "label", f"struct(array({', '.join(f'x_{k}' for k in FEATURES)}) AS f) AS c"
+    held = table.where("held").selectExpr(
+        "kind", "label", "weight", f"struct(array({', '.join(f'x_{k}' for k in FEATURES)}) AS f) AS c"
     )
     # Twenty steps of the score for each kind: the least from which on the precision holds.
-    steps = held.selectExpr("kind", "label", f"int(floor(least(0.999D, {score}) * 20)) AS step")
-    counts = steps.groupBy("kind", "step").agg(F.sum("label").alias("hits"), F.count("*").alias("n")).collect()
+    steps = held.selectExpr("kind", "label", "weight", f"int(floor(least(0.999D, {score}) * 20)) AS step")
+    counts = steps.groupBy("kind", "step").agg(
+        F.sum(F.col("label") * F.col("weight")).alias("hits"), F.sum("weight").alias("n")
+    ).collect()
     thresholds = {}
     for k, kind in enumerate(KINDS):
         hits = total = 0

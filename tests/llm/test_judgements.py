@@ -528,3 +528,23 @@ def test_pipeline_against_plain_python(spark):
 def test_catalogue_names():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalogue.QUERIES) == list(range(1, 14))
     assert catalogue.SQL.keys() <= catalogue.QUERIES.keys()
+
+
+def test_candidates_of_every_document_are_learnt_from(docs_of, monkeypatch):
+    """Only the last of many documents show a rule; whatever bound a sample had, they count."""
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 10, raising=False)
+    texts = [(i, f"call 555-{100 + i}-{4000 + i} or token={i:04d}abcdefghijklmnop now {i:04d}abcdefghijklmnop") for i in range(300)]
+    docs = docs_of(texts)
+    grown = []
+    written = frames.written
+
+    def seen(df, purpose, *more):
+        table = written(df, purpose, *more)
+        grown.append(table.agg({"weight": "sum"}).first()[0] if "weight" in table.columns else table.count())
+        return table
+
+    monkeypatch.setattr(frames, "written", seen)
+    model = pii.train(docs)
+    labelled = pii.candidates(docs).selectExpr("explode(candidates) AS c").where(f"({pii._WEAK}) IS NOT NULL").count()
+    assert grown == [labelled] and labelled >= 900
+    assert "secret" in model.thresholds
