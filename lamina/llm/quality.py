@@ -8,9 +8,11 @@ it. Gated attention gives each passage a weight, ``softmax(w .
 representations stands for the document, and a logistic unit scores it. Only
 documents have labels; which passages matter is learnt from them.
 
-Training takes a bounded sample of labelled documents, encoded by the
-executors, and of a long one passages at even distances; its size does not grow
-with the corpus. Scoring is a scan that reads all passages of every text, a
+Training takes every labelled document that is not held out, with all of its
+passages: the executors encode them once, some documents to a row, and every
+step of the descent is a job that adds up the gradient over all rows. Only sums
+as wide as the weights reach the driver, as whole numbers, so that they do not
+depend on the order in which tasks end. Scoring is a scan that reads all passages of every text, a
 block at a time: the softmax is carried on as its largest energy so far, the sum
 of weights and the weighted sum, so a text needs the memory of one block.
 
@@ -22,8 +24,9 @@ labels of both kinds every score is the mean of those there are, or 0.5.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -33,12 +36,14 @@ from pyspark.sql import functions as F
 
 from lamina.llm import frames
 
-SAMPLE = 4000  # labelled documents that the model is fitted on
 PASSAGE = 400  # bytes of a passage, at every length of text
-BAG = 64  # passages of a document that training takes at most; scoring takes all
+BAG = 64  # passages that an excerpt of a text has at most; training and scoring take all
+CHUNK = 64  # documents, or so, that are encoded as one row for the training
 BLOCK = 64  # passages that are encoded and weighed at once
 HIDDEN = 16
-EPOCHS, RATE, DECAY = 200, 0.02, 1e-3
+EPOCHS, RATE, DECAY = 60, 0.05, 1e-3
+# Sums over rows are of whole multiples of these, which add up alike in every order.
+MOMENT_UNIT, GRADIENT_UNIT = 2.0**-20, 2.0**-32
 
 # Classes of bytes; letters, digits, space and bytes beyond ASCII have their own.
 _SIGNS = [".,;:", "!?", "\"'()[]", "|", "#$%&*@^~`", "-_=+/\\<>{}"]
@@ -108,7 +113,7 @@ def blocks(text: str) -> Iterator[np.ndarray]:
 
 
 def bag_of(text: str) -> np.ndarray:
-    """Features of at most :data:`BAG` passages, first and last among them, for training."""
+    """Features of at most :data:`BAG` passages, first and last among them."""
     raw = text.encode("utf-8", "surrogatepass")
     count = max(1, -(-len(raw) // PASSAGE))
     if count <= BAG:
@@ -117,10 +122,38 @@ def bag_of(text: str) -> np.ndarray:
     return np.concatenate([_encode(raw, i * PASSAGE, min(len(raw), (i + 1) * PASSAGE)) for i in chosen])
 
 
-def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        bags = [bag_of(t).tobytes() for t in pdf["text"]]
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "bag": bags})
+def _chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Labels, numbers of passages and features of a few documents, in order of their ids."""
+    pdf = pdf.sort_values("doc_id")
+    bags = [np.concatenate(list(blocks(t))) for t in pdf["text"]]
+    sizes = np.array([len(b) for b in bags], np.int64)
+    labels = pdf["label"].to_numpy(np.float32)
+    return pd.DataFrame({"labels": [labels.tobytes()], "sizes": [sizes.tobytes()], "x": [np.concatenate(bags).tobytes()]})
+
+
+def _summed(chunks: DataFrame, of_chunk: Callable[..., np.ndarray], unit: float) -> np.ndarray:
+    """The sum over all chunks of what a function makes of labels, sizes and features, exact in ``unit``."""
+
+    def of_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for pdf in batches:
+            for labels, sizes, x in zip(pdf["labels"], pdf["sizes"], pdf["x"]):
+                features = np.frombuffer(x, np.float32).reshape(-1, WIDTH)
+                made = of_chunk(np.frombuffer(labels, np.float32), np.frombuffer(sizes, np.int64), features)
+                whole = np.rint(made / unit).astype(np.int64)
+                total = whole if total is None else total + whole
+        if total is not None:
+            yield pd.DataFrame({"total": [total.tobytes()]})
+
+    rows = chunks.mapInPandas(of_task, "total binary").collect()  # a row a task
+    # Python's integers hold any sum.
+    totals = [np.frombuffer(r["total"], np.int64).astype(object) for r in rows]
+    return (sum(totals[1:], totals[0]) * unit).astype(np.float64) if totals else np.zeros(0)
+
+
+def _moments(labels: np.ndarray, sizes: np.ndarray, x: np.ndarray) -> np.ndarray:
+    wide = x.astype(np.float64)
+    return np.r_[len(labels), labels.sum(), len(x), wide.sum(axis=0), (wide * wide).sum(axis=0)]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -197,15 +230,25 @@ def _gradient(
     }
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
-    """The network for bags of passages and labels 0 or 1, by Adam on all of them at once."""
-    prior = float(labels.mean()) if len(labels) else 0.5
-    if len(set(labels.tolist())) < 2:
+def _slopes(
+    w: dict[str, np.ndarray], mean: np.ndarray, scale: np.ndarray, labels: np.ndarray, sizes: np.ndarray, x: np.ndarray
+) -> np.ndarray:
+    """The gradient of the documents' summed loss, all weights behind each other."""
+    begins = np.cumsum(sizes) - sizes
+    slopes = _gradient(w, _scaled(x, mean, scale), begins, labels)
+    return np.concatenate([slopes[k].ravel() for k in w]).astype(np.float64) * len(labels)
+
+
+def fit(chunks: DataFrame) -> Model:
+    """The network for documents encoded by :func:`_chunk`, by Adam on all of them at once."""
+    found = _summed(chunks, _moments, MOMENT_UNIT)
+    documents, positive, passages = found[:3] if len(found) else (0, 0, 0)
+    prior = float(positive / documents) if documents else 0.5
+    if positive in (0, documents):
         return Model(prior)
-    x = np.concatenate(bags)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + np.float32(0.02)
-    x = _scaled(x, mean, scale)
-    begins = np.cumsum([0, *(len(b) for b in bags[:-1])])
+    mean, square = found[3 : 3 + WIDTH] / passages, found[3 + WIDTH :] / passages
+    scale = (np.sqrt(np.maximum(square - mean * mean, 0)) + 0.02).astype(np.float32)
+    mean = mean.astype(np.float32)
     random = np.random.default_rng(0)
     weights = {
         "V": random.normal(0, WIDTH**-0.5, (WIDTH, HIDDEN)),
@@ -217,16 +260,18 @@ def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
         "b": np.array([np.log(prior / (1 - prior))]),
     }
     weights = {k: v.astype(np.float32) for k, v in weights.items()}
+    ends = np.cumsum([v.size for v in weights.values()])[:-1]
     first = {k: np.zeros_like(v) for k, v in weights.items()}
     second = {k: np.zeros_like(v) for k, v in weights.items()}
     for step in range(1, EPOCHS + 1):
         rate = RATE * (1 - step / (EPOCHS + 1))
-        for k, g in _gradient(weights, x, begins, labels).items():
-            g = g + DECAY * weights[k] * (weights[k].ndim > 1)
+        slopes = _summed(chunks, partial(_slopes, dict(weights), mean, scale), GRADIENT_UNIT) / documents
+        for (k, held), g in zip(list(weights.items()), np.split(slopes, ends)):
+            g = g.reshape(held.shape) + DECAY * held * (held.ndim > 1)
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.99 * second[k] + 0.01 * g * g
             ahead = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-            weights[k] = (weights[k] - rate * ahead).astype(np.float32)
+            weights[k] = (held - rate * ahead).astype(np.float32)
     return Model(prior, mean, scale, weights)
 
 
@@ -236,31 +281,29 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model from at most :data:`SAMPLE` labelled documents that are not held out.
+    """The model from all labelled documents that are not held out.
 
-    Chosen by the hash of their ids. Several labels of one document count as
-    their mean, rounded up; rows without an id or label don't count. Of rows
-    that repeat an id one text counts, by its hash, and only that one is encoded
-    and gathered.
+    Several labels of one document count as their mean, rounded up; rows without
+    an id or label don't count. Of rows that repeat an id one text counts, by
+    its hash, and only that one is encoded.
     """
+    spark = docs.sparkSession
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .where(~is_held_out())
         .groupBy(F.col("doc_id").cast("long").alias("id"))
         .agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(SAMPLE)
     )
+    groups = max(1, math.ceil(chosen.count() / CHUNK))
     texts = frames.whole_text(docs)
-    frames.small_batches(docs.sparkSession)
-    # At most SAMPLE rows of two numbers are broadcast.
-    some = texts.join(F.broadcast(chosen), texts.doc_id == chosen.id).select("doc_id", "text", "label")
+    some = texts.join(chosen, texts.doc_id == chosen.id).select("doc_id", "text", "label")
     # Spark limits every id to one row in each task before the shuffle, however many repeat it.
     own = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64("text", F.lit(1)))
     once = some.withColumn("n", F.row_number().over(own)).where("n = 1").drop("n")
-    found = once.mapInPandas(_encoded, "doc_id long, label int, bag binary").toPandas().sort_values("doc_id")
-    bags = [np.frombuffer(b, np.float32).reshape(-1, WIDTH) for b in found["bag"]]
-    return fit(bags, found["label"].to_numpy(np.float32))
+    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(groups))
+    encoded = once.groupBy(chunk).applyInPandas(_chunk, "labels binary, sizes binary, x binary")
+    with frames.Scratch(spark) as scratch, frames.batches_of(spark, 16):
+        return fit(scratch.written(encoded, "passages"))
 
 
 def score_of(model: Model, text: str = "text") -> Column:

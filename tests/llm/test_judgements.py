@@ -548,3 +548,26 @@ def test_candidates_of_every_document_are_learnt_from(docs_of, monkeypatch):
     labelled = pii.candidates(docs).selectExpr("explode(candidates) AS c").where(f"({pii._WEAK}) IS NOT NULL").count()
     assert grown == [labelled] and labelled >= 900
     assert "secret" in model.thresholds
+
+
+def test_every_labelled_document_and_passage_is_learnt_from(spark, docs_of, monkeypatch):
+    """One label in a hundred documents behind the first, and a mark far into long texts."""
+    monkeypatch.setattr(quality, "SAMPLE", 8, raising=False)
+    read = []
+    moments = quality._summed if hasattr(quality, "_summed") else None
+    good = "plain words in a row, quite good ones. "
+    many = [(i, good * (900 if i % 20 == 0 else 3)) for i in range(150)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+
+    def kept(chunks, of_chunk, unit):
+        found = moments(chunks, of_chunk, unit)
+        read.append(found[:3].tolist())
+        return found
+
+    monkeypatch.setattr(quality, "_summed", kept, raising=False)
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    quality.train(docs_of(many), labels)
+    import zlib
+
+    ours = [(i, t) for i, t in many if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert read[0] == [len(ours), sum(i % 2 for i, _ in ours), sum(-(-len(t.encode()) // 400) for _, t in ours)]
