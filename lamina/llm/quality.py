@@ -125,10 +125,34 @@ def bag_of(text: str) -> np.ndarray:
 def _chunk(pdf: pd.DataFrame) -> pd.DataFrame:
     """Labels, numbers of passages and features of a few documents, in order of their ids."""
     pdf = pdf.sort_values("doc_id")
-    bags = [np.concatenate(list(blocks(t))) for t in pdf["text"]]
-    sizes = np.array([len(b) for b in bags], np.int64)
+    sizes, parts = np.zeros(len(pdf), np.int64), []
+    for n, text in enumerate(pdf["text"]):
+        for some in blocks(text):
+            sizes[n] += len(some)
+            parts.append(_sparse(some))
     labels = pdf["label"].to_numpy(np.float32)
-    return pd.DataFrame({"labels": [labels.tobytes()], "sizes": [sizes.tobytes()], "x": [np.concatenate(bags).tobytes()]})
+    made = {"labels": labels, "sizes": sizes} | {k: np.concatenate(v) for k, v in zip(_SPARSE, zip(*parts))}
+    return pd.DataFrame({k: [v.tobytes()] for k, v in made.items()})
+
+
+# Most pairs don't occur in a passage, so a chunk holds what is not zero: how many
+# features of a passage are not, which ones, and their values.
+_SPARSE = ("filled", "places", "values")
+CHUNKS = ", ".join(f"{c} binary" for c in ("labels", "sizes", *_SPARSE))
+
+
+def _sparse(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows, places = np.nonzero(x)
+    return np.bincount(rows, minlength=len(x)).astype(np.uint8), places.astype(np.uint8), x[rows, places]
+
+
+def _dense(filled: bytes, places: bytes, values: bytes) -> np.ndarray:
+    """The features that :func:`_sparse` was given, exactly."""
+    counts = np.frombuffer(filled, np.uint8)
+    x = np.zeros((len(counts), WIDTH), np.float32)
+    begins = np.repeat(np.arange(0, len(counts) * WIDTH, WIDTH), counts)
+    x.reshape(-1)[begins + np.frombuffer(places, np.uint8)] = np.frombuffer(values, np.float32)
+    return x
 
 
 def _summed(chunks: DataFrame, of_chunk: Callable[..., np.ndarray], unit: float) -> np.ndarray:
@@ -137,9 +161,8 @@ def _summed(chunks: DataFrame, of_chunk: Callable[..., np.ndarray], unit: float)
     def of_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for pdf in batches:
-            for labels, sizes, x in zip(pdf["labels"], pdf["sizes"], pdf["x"]):
-                features = np.frombuffer(x, np.float32).reshape(-1, WIDTH)
-                made = of_chunk(np.frombuffer(labels, np.float32), np.frombuffer(sizes, np.int64), features)
+            for labels, sizes, *sparse in pdf.itertuples(index=False):
+                made = of_chunk(np.frombuffer(labels, np.float32), np.frombuffer(sizes, np.int64), _dense(*sparse))
                 whole = np.rint(made / unit).astype(np.int64)
                 total = whole if total is None else total + whole
         if total is not None:
@@ -301,7 +324,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     own = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64("text", F.lit(1)))
     once = some.withColumn("n", F.row_number().over(own)).where("n = 1").drop("n")
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(groups))
-    encoded = once.groupBy(chunk).applyInPandas(_chunk, "labels binary, sizes binary, x binary")
+    encoded = once.groupBy(chunk).applyInPandas(_chunk, CHUNKS)
     with frames.Scratch(spark) as scratch, frames.batches_of(spark, 16):
         return fit(scratch.written(encoded, "passages"))
 

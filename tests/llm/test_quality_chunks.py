@@ -1,0 +1,20 @@
+"""What the training of op6 reads at every step: exact, and small."""
+
+import numpy as np
+import pandas as pd
+
+from lamina.llm import quality
+
+
+def _encoded(texts):
+    return np.concatenate([some for text in texts for some in quality.blocks(text)])
+
+
+def test_a_chunk_holds_its_features_exactly_and_not_their_zeros():
+    texts = ["", "A plain line of words, 42 of them.\n" * 40, "x" * 1200, "ünïcode | #tag\t" * 90]
+    made = quality._chunk(pd.DataFrame({"doc_id": [4, 3, 2, 1], "text": texts, "label": [0, 1, 0, 1]})).iloc[0]
+    whole = _encoded(texts[::-1])
+    assert np.frombuffer(made["labels"], np.float32).tolist() == [1, 0, 1, 0]
+    assert np.frombuffer(made["sizes"], np.int64).sum() == len(whole)
+    assert sum(map(len, made)) < whole.nbytes / 4
+    assert np.array_equal(quality._dense(made["filled"], made["places"], made["values"]), whole)
