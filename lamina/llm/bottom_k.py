@@ -9,11 +9,11 @@ Jaccard likeness of their whole sets is 0.8 or more.
   are ordered by how many classes have them. Similar sets share so many retained
   values that they must meet in the list of one of their rarest, so a class is
   listed under as many of its rarest values as the required overlap leaves, and
-  under none that nobody else has. A list is kept apart by sizes: similar sets lie
-  in one size class of the ratio 1.26 or in two next to each other, so a class is
-  listed under its own and the next one.
+  under none that nobody else has. Similar sets lie in one size class of the ratio
+  1.26 or in two next to each other, so a value that only sets of other sizes have
+  counts as one that nobody else has, and only classes of near sizes meet in a list.
 * Copies first: of every list that it is under, a class meets one other class
-  alone, another one in each list. So a large group of near copies is tied
+  of each near size alone, another one in each list. So a large group of near copies is tied
   together by a few links a class, and only classes of different groups meet
   after that, each two of them once, in the first list that both are under.
 * Where two classes meet, bitmaps of their whole sets bound how many shingles only
@@ -163,8 +163,12 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 WORDS = [f"w{i}" for i in range(MARKS)]
-KEY = ["value", "size"]
-MEET = "x_value = y_value AND x_size = y_size"
+MEET = "x_value = y_value AND abs(x_own - y_own) <= 1"
+OWN = f"int(least(floor(log(n) / log({SIZE_RATIO})), 62))"  # a class's size class, a bit of SIZES
+SIZES = "bit_or(shiftleft(1L, own)) AS sizes"
+# Of a value with these size classes and count: whether two classes of near sizes may have it, whether one has that of size ``own``.
+IN_NEAR_SIZES = "df > bit_count(sizes) OR (sizes & shiftright(sizes, 1)) != 0"
+NEAR_OWN = "df > bit_count(sizes) OR (sizes & (shiftleft(1L, own + 1) | shiftright(shiftleft(1L, own), 1))) != 0"
 
 
 def _possible(a: str, b: str) -> str:
@@ -177,14 +181,14 @@ def _possible(a: str, b: str) -> str:
 
 
 def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
-    """``c``, ``value``, ``size``: each class under its rarest retained values that another class has too.
+    """``c``, ``value``: each class under its rarest retained values that another class of near size has too.
 
-    ``listed`` are all of these values, in the order that is the same for all
-    classes. ``size`` is the class's own size class or the next one, ``own`` its own.
+    With ``n`` and bitmap of the class, ``own``, its size class, and ``earlier``, the
+    values that it is listed under and that come before, in the order that is the same for all.
     """
-    retained = classes.select("c", F.explode("sketch").alias("value"))
-    held = retained.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    held = scratch.written(held, "values")
+    retained = classes.select("c", F.expr(OWN).alias("own"), F.explode("sketch").alias("value"))
+    held = retained.groupBy("value").agg(F.count("*").alias("df"), F.expr(SIZES))
+    held = scratch.written(held.where(IN_NEAR_SIZES).where("df > 1"), "values")
     total = classes.count()
     frequent = held.where(F.col("df") * FREQUENT >= total)
     # Frequent values are few, by their definition; the lists of the others are short.
@@ -193,26 +197,26 @@ def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
         held.where(F.col("df") * FREQUENT < total), "value"
     )
     ranked = F.sort_array(F.collect_list(F.struct("df", "value")))
-    by_class = often.union(seldom).groupBy("c").agg(F.transform(ranked, lambda s: s["value"]).alias("shared"))
-    # The values that none shares are the rarest of all: they fill the first places.
+    shared = often.union(seldom).where(NEAR_OWN)
+    by_class = shared.groupBy("c").agg(F.transform(ranked, lambda s: s["value"]).alias("shared"))
+    # The values that none of near size shares are the rarest of all: they fill the first places.
     size = f"least(n, {SKETCH})"
     least = f"IF(n <= {SKETCH}, (3 * n + 3) div 4, {LEAST_SHARED})"
     places = f"int({size} - {least} + 1 - ({size} - size(shared)))"
-    own = F.floor(F.log("n") / F.log(F.lit(SIZE_RATIO))).cast("int")
     chosen = (
         classes.select("c", "n")
         .join(by_class, "c")
-        .withColumn("listed", F.expr(f"slice(shared, 1, greatest({places}, 0))"))
-        .select("c", "listed", own.alias("own"))
+        .select("c", F.expr(f"slice(shared, 1, greatest({places}, 0))").alias("listed"), F.expr(OWN).alias("own"))
     )
     chosen = scratch.written(chosen, "chosen")
-    # Few and short columns, since there are two rows for every listed value.
-    listed = chosen.select("c", F.explode("listed").alias("value"), "own").select(
-        "c", "value", F.explode(F.array("own", F.col("own") + 1)).alias("size")
+    # Few and short columns, since there is a row for every listed value.
+    listed = chosen.select("c", F.posexplode("listed").alias("i", "value"), "own")
+    several = listed.groupBy("value").agg(F.count("*").alias("df"), F.expr(SIZES))
+    met = listed.join(several.where(IN_NEAR_SIZES).where("df > 1"), "value").where(NEAR_OWN)
+    known = chosen.select("c", "listed").join(classes.select("c", "n", *WORDS), "c")
+    return met.select("c", "value", "i", "own").join(known, "c").selectExpr(
+        "c", "value", "own", "n", *WORDS, "slice(listed, 1, i) AS earlier"
     )
-    several = listed.groupBy(*KEY).count().where("count > 1").select(*KEY)
-    met = listed.join(several, KEY, "left_semi")
-    return met.join(chosen.join(classes.select("c", "n", *WORDS), "c"), "c")
 
 
 def _side(entries: DataFrame, prefix: str) -> DataFrame:
@@ -220,14 +224,16 @@ def _side(entries: DataFrame, prefix: str) -> DataFrame:
 
 
 def _star_pairs(listing: DataFrame) -> DataFrame:
-    """Pairs of a class and one other of each list it is under, that may be similar."""
+    """Pairs of a class and one other of each near size in each list it is under, that may be similar."""
     entry = F.struct(F.xxhash64("value", "c").alias("order"), "c", "n", *WORDS)
-    firsts = listing.groupBy(*KEY).agg(F.min(entry).alias("first"))
+    firsts = listing.groupBy("value", "own").agg(F.min(entry).alias("first"))
     centres = firsts.select(
-        *[F.col(c).alias(f"y_{c}") for c in KEY], *[F.col(f"first.{c}").alias(f"y_{c}") for c in ["c", "n", *WORDS]]
+        F.col("value").alias("y_value"),
+        F.col("own").alias("y_own"),
+        *[F.col(f"first.{c}").alias(f"y_{c}") for c in ["c", "n", *WORDS]],
     )
     return (
-        _side(listing.drop("listed", "own"), "x_")
+        _side(listing.drop("earlier"), "x_")
         .join(centres, F.expr(f"{MEET} AND x_c != y_c AND {_possible('x_', 'y_')}"))
         .selectExpr("least(x_c, y_c) AS a", "greatest(x_c, y_c) AS b")
         .distinct()
@@ -240,9 +246,9 @@ def _list_pairs(listing: DataFrame, group: DataFrame, scratch: frames.Scratch) -
         "g", F.coalesce("component", "c")
     )
     # A list of one group alone has nothing to add.
-    mixed = known.groupBy(*KEY).agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high")
-    entries = scratch.written(known.drop("component").join(mixed.select(*KEY), KEY, "left_semi"), "listing")
-    once = "x_size = greatest(x_own, y_own) AND array_intersect(x_listed, y_listed)[0] = x_value"
+    mixed = known.groupBy("value").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high")
+    entries = scratch.written(known.drop("component").join(mixed.select("value"), "value", "left_semi"), "listing")
+    once = "NOT arrays_overlap(x_earlier, y_earlier)"
     return (
         _side(entries, "x_")
         .join(_side(entries, "y_"), F.expr(f"{MEET} AND x_g < y_g AND {_possible('x_', 'y_')} AND {once}"))

@@ -111,3 +111,23 @@ def test_shingles_know_order_and_repeats():
     assert np.array_equal(shingles("A\tbÉ"), shingles("a bÉ"))
     assert not np.array_equal(shingles("bÉ c"), shingles("bé c"))
     assert len(shingles("")) == 0 and len(shingles(" \n ")) == 0 and len(shingles("one")) == 1
+
+
+def test_lists_hold_values_of_near_sizes_once(spark, docs_of):
+    words = [f"s{i}" for i in range(700)]
+    nested = [" ".join(words[:n]) for n in (40, 80, 160, 320, 640)]
+    copies = near_copies(random.Random(8), [100], 6)
+
+    def lists(texts):
+        with bottom_k.frames.Scratch(spark) as scratch:
+            rows = bottom_k.sketches(bottom_k.texts(docs_of(list(enumerate(texts)))))
+            classes = scratch.written(bottom_k._classes(rows), "classes")
+            found = bottom_k._listing(classes, scratch).collect()
+            return found, [spark.read.parquet(p).count() for p in scratch.paths if "values" in p]
+
+    assert lists(nested) == ([], [0])
+    found, _ = lists(nested + copies)
+    assert found and len({(r.c, r.value) for r in found}) == len(found)
+    assert all(len(r.earlier) < 35 and r.value not in r.earlier for r in found)
+    rows = list(enumerate(nested + copies))
+    assert collected(bottom_k.groups(docs_of(rows))) == plain_groups(rows)
