@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import frames
+from lamina.llm.frames import IN_NEAR_SIZES, NEAR_OWN, OWN, SIZES
 from lamina.llm.components import components
 
 SKETCH = 64
@@ -46,7 +47,6 @@ SHARED, UNITED = 5, 4
 # A value is frequent if one class in 200 has it: 64 x 200 such values at most,
 # whatever the size of the corpus, and their counts are broadcast.
 FREQUENT = 200
-SIZE_RATIO = 1.26  # a little over 5/4, the largest ratio of the sizes of similar sets
 MARKS = 8  # words of 64 bits in a bitmap
 MOST_BROADCAST = 500_000  # rows of 32 bytes that say whose texts are wanted
 WORDS_HELD = 1 << 18  # words whose hashes a task remembers
@@ -164,11 +164,6 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 WORDS = [f"w{i}" for i in range(MARKS)]
 MEET = "x_value = y_value AND abs(x_own - y_own) <= 1"
-OWN = f"int(least(floor(log(n) / log({SIZE_RATIO})), 62))"  # a class's size class, a bit of SIZES
-SIZES = "bit_or(shiftleft(1L, own)) AS sizes"
-# Of a value with these size classes and count: whether two classes of near sizes may have it, whether one has that of size ``own``.
-IN_NEAR_SIZES = "df > bit_count(sizes) OR (sizes & shiftright(sizes, 1)) != 0"
-NEAR_OWN = "df > bit_count(sizes) OR (sizes & (shiftleft(1L, own + 1) | shiftright(shiftleft(1L, own), 1))) != 0"
 
 
 def _possible(a: str, b: str) -> str:

@@ -16,6 +16,12 @@ from lamina.sources import folders
 
 # Whole texts travel in Arrow batches; few rows keep a batch of long ones small.
 ROWS_PER_BATCH = 256
+SIZE_RATIO = 1.26  # a little over 5/4, the largest ratio of the sizes of similar sets
+OWN = f"int(least(floor(log(n) / log({SIZE_RATIO})), 62))"  # the size class of a set of ``n``, a bit of SIZES
+SIZES = "bit_or(shiftleft(1L, own)) AS sizes"
+# Of a value with these size classes and count: whether two classes of near sizes may have it, whether one has that of size ``own``.
+IN_NEAR_SIZES = "df > bit_count(sizes) OR (sizes & shiftright(sizes, 1)) != 0"
+NEAR_OWN = "df > bit_count(sizes) OR (sizes & (shiftleft(1L, own + 1) | shiftright(shiftleft(1L, own), 1))) != 0"
 NO_ID = np.iinfo(np.int64).min  # stands for a null id where rows are put in order; sorts first
 
 

@@ -120,11 +120,12 @@ ENTRY = ["c", "n", "i", *[f"w{k}" for k in range(MARKS)]]
 
 
 def _listing(classes: DataFrame, scratch: frames.Scratch) -> DataFrame:
-    """``token`` with number and position of the classes that share it."""
+    """``token`` with number and position of the classes that share it with one of near size."""
     # Few and short columns, since there is a row for every listed token.
-    listed = classes.selectExpr("c", "posexplode(prefix) AS (i, token)")
-    shared = listed.groupBy("token").count().where("count > 1").select("token")
-    return scratch.written(listed.join(shared, "token", "left_semi"), "listing")
+    listed = classes.selectExpr("c", f"CAST({frames.OWN} AS BYTE) AS own", "posexplode(prefix) AS (i, token)")
+    shared = listed.groupBy("token").agg(F.count("*").alias("df"), F.expr(frames.SIZES)).where("df > 1")
+    met = listed.join(shared.where(frames.IN_NEAR_SIZES), "token").where(frames.NEAR_OWN)
+    return scratch.written(met.select("token", "c", "i"), "listing")
 
 
 def _sets(classes: DataFrame, found: DataFrame, scratch: frames.Scratch) -> DataFrame:
@@ -175,9 +176,9 @@ def _against_all(entries: DataFrame, lines: DataFrame) -> DataFrame:
     """Pairs of ``lines`` and the earlier entries of their lists, from the first token both are under."""
     met = F.expr(
         f"x_token = y_token AND x_c < y_c AND {_possible('x_', 'y_')}"
-        " AND array_intersect(x_prefix, y_prefix)[0] = x_token"
+        " AND NOT arrays_overlap(x_earlier, y_earlier)"
     )
-    columns = ["token", "prefix", *ENTRY]
+    columns = ["token", "earlier", *ENTRY]
     return _side(entries, "x_", columns).join(_side(lines, "y_", columns), met).selectExpr("x_c AS a", "y_c AS b")
 
 
@@ -200,7 +201,9 @@ def _with_earlier(classes: DataFrame, found: DataFrame, scratch: frames.Scratch)
     met = classes.join(listing.select("c").distinct(), "c", "left_semi")
     sets = _sets(met, found, scratch)
     known = met.select("c", "n", "prefix").join(sets.drop("tokens"), "c")
-    entries = scratch.written(listing.join(known, "c"), "entries")
+    # Of its prefix a row has what stands before its token.
+    entries = listing.join(known, "c").withColumn("prefix", F.expr("slice(prefix, 1, i)"))
+    entries = scratch.written(entries.withColumnRenamed("prefix", "earlier"), "entries")
     gone = scratch.written(_later(_against_one(entries, entries, F.col("c")), sets, scratch), "gone")
     rest = entries.join(gone, "c", "left_anti")
     more = scratch.written(_later(_against_one(entries, rest, F.xxhash64("token", "c")), sets, scratch), "gone")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from lamina.llm import line_dedup, simhash, spotsigs
+from lamina.llm import frames, line_dedup, simhash, spotsigs
 from lamina.llm.components import components
 
 from .conftest import ODD
@@ -331,3 +331,20 @@ def test_similar_spots_against_brute_force(spark, docs_of):
         if i < j and len(x & y) >= spotsigs.THRESHOLD * len(x | y)
     }
     assert got == want and len(got) > 5
+
+
+def test_lines_of_far_sizes_share_no_list(spark, docs_of):
+    words = [f"s{i}" for i in range(800)]
+    nested = [" ".join(words[:n]) for n in (40, 80, 160, 320, 640)]
+    alike = " ".join(words[:39])
+
+    def listed(texts):
+        with frames.Scratch(spark) as scratch:
+            found = line_dedup.lines(docs_of(list(enumerate(texts))))
+            classes = scratch.written(line_dedup._classes(found), "lines")
+            return {r.n for r in line_dedup._listing(classes, scratch).join(classes, "c").collect()}
+
+    assert listed(nested) == set()
+    assert listed([*nested, alike]) >= {35, 36}
+    gone = line_dedup.removed_lines(docs_of(list(enumerate([*nested, alike])))).collect()
+    assert [(r.doc, r.place) for r in gone] == [(5, 0)]
